@@ -106,7 +106,8 @@ def trusted(text: Column, words: Column, rules: Rules) -> Column:
 def fit(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> list[float]:
     """Weight of each bucket: log of its count among trusted documents over the count expected from the raw corpus."""
     worded = docs.select(F.col(text).cast("string").alias("t")).select("t", words_of(F.col("t")).alias("w"))
-    grams = worded.select(F.coalesce(trusted(F.col("t"), F.col("w"), rules), F.lit(False)).cast("long").alias("good"), F.explode(buckets_of(F.col("t"), F.col("w"))).alias("bucket"))
+    flagged = worded.select(F.coalesce(trusted(F.col("t"), F.col("w"), rules), F.lit(False)).cast("long").alias("good"), buckets_of(F.col("t"), F.col("w")).alias("buckets"))
+    grams = flagged.select("good", F.explode("buckets").alias("bucket"))  # a step of its own: else the flag is computed for every n-gram
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target")).collect()  # at most as many rows as buckets
     weights = [0.0] * (WORD_BUCKETS + SHAPE_BUCKETS)
     raw, target = sum(r.raw for r in counts), sum(r.target for r in counts)
