@@ -59,7 +59,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003), F.count_if(F.col("a") <= F.col("b"))).first()
         if state[0] == 0 or tuple(state) == before:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("root")).distinct()
+            return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(links.select("b", "b")).distinct()
         before = tuple(state)
         # Large star: all larger neighbours move to the smallest of the neighbourhood.
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
