@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_join, quality_rules, sentencepiece_bpe
+from . import ngram_join, quality_rules, sentencepiece_bpe, substring_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
