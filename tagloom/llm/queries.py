@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, ngram_join, quality_rules, sentencepiece_bpe, substring_dedup
+from . import chat_format, decontaminate, ngram_join, quality_rules, sentencepiece_bpe, substring_dedup, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,24 @@ select conv_id, count(*) as n_turns,
   cast(sum(length('<|im_start|>') + length(safe_role) + 1 + length(safe) + length('<|im_end|>') + 1) as bigint) as formatted_chars
 from escaped group by conv_id
 """
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark, table(spark, sf_dir, "pages"))
+
+
+ORACLES["op7_warc"] = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, strlen(html) as n, sha1(html) as hex from p),
+f as (select hex, min(page_id) as first from d group by hex)
+select d.page_id, cast(d.n as bigint) as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + ((
+    ((instr('0123456789abcdef', substr(d.hex || '00', cast(5 * i // 4 + 1 as bigint), 1)) - 1) * 256
+    + (instr('0123456789abcdef', substr(d.hex || '00', cast(5 * i // 4 + 2 as bigint), 1)) - 1) * 16
+    + (instr('0123456789abcdef', substr(d.hex || '00', cast(5 * i // 4 + 3 as bigint), 1)) - 1))
+    >> cast(7 - (5 * i) % 4 as bigint)) & 31) as bigint), 1)), '') as payload_digest,
+  case when d.page_id = f.first then 'response' else 'revisit' end as record_type,
+  case when d.page_id = f.first then null else f.first end as refers_to
+from d join f using (hex)
+"""
