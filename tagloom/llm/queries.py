@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, ngram_join, quality_rules, sentencepiece_bpe, substring_dedup, warc
-from .common import table
+from . import chat_format, decontaminate, language_id, ngram_join, quality_rules, sentencepiece_bpe, substring_dedup, warc
+from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +95,10 @@ select d.page_id, cast(d.n as bigint) as payload_bytes,
   case when d.page_id = f.first then null else f.first end as refers_to
 from d join f using (hex)
 """
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(crc_mod(docs["doc_id"], 4) != 2))
+    return language_id.predictions(docs, model).select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
