@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, ngram_join, quality_rules, sentencepiece_bpe, substring_dedup, warc
+from . import chat_format, decontaminate, labelled, language_id, ngram_join, quality_qda, quality_rules, sentencepiece_bpe, substring_dedup, toxicity, warc
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,21 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(crc_mod(docs["doc_id"], 4) != 2))
     return language_id.predictions(docs, model).select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def _learnt(spark: SparkSession, sf_dir: str, label: str, mod: int, left_out: int) -> DataFrame:
+    return labelled.sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label, crc_mod(F.col("id"), mod) != left_out)
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(_learnt(spark, sf_dir, "toxic", 5, 0))
+    scored = toxicity.scores(table(spark, sf_dir, "documents"), model)
+    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality_qda.fit(_learnt(spark, sf_dir, "quality", 3, 1))
+    scored = quality_qda.scores(table(spark, sf_dir, "documents"), model)
+    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
