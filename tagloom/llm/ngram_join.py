@@ -6,16 +6,18 @@ Exact, in four steps, none of which gathers a group in one place unsplit:
    document's n-grams are hashed into more groups than two linked documents can
    differ in, so linked documents have a non-empty group with equal content
    (see ``Bands``). Hashes of (band, group, content) go through one exchange,
-   packed into blocks; equal ones in one block are reduced to a star before it,
-   so a group of copies sends one row from each block. Stars are joined to
-   candidate clusters.
+   packed into blocks. Documents with an equal hash form a cell; cells with the
+   same members are one. In a cell, group counts are points in an R-tree: a
+   pair of nodes is passed over when the summed minima of its largest counts is
+   too small for any link, and pairs whose own summed minima allow a link are
+   joined to candidate clusters. So documents that share only a passage part.
+   Very large cells are joined unseen, which only makes clusters larger.
 2. Equal sets become one class (its smallest id); only classes in a cluster with
-   others are looked at again. Their sets are computed anew from the text.
-3. Join. Each cluster is dealt into blocks of bounded size. In a block, group
-   counts are points in an R-tree; a pair of nodes is passed over when the
-   summed minima of its largest counts is too small for any link; pairs left
-   are verified on the sets unless already connected. Every block of a cluster
-   also holds the same few pivots, which connects what is alike across blocks.
+   others are looked at again; their texts are fetched once.
+3. Join. Each cluster is dealt into blocks of bounded size. In a block the
+   R-tree's pairs are verified on the sets, unless already connected. Every
+   block of a cluster also holds the same few pivots, which connects what is
+   alike across blocks.
 4. Where a cluster of several blocks has not become one component, the classes
    outside its largest component are joined with every block of the cluster.
 
@@ -35,12 +37,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, written
+from .common import written
 from .components import Forest, components
 from .hashing import WordHasher, mix
 
-NO_IDS = np.empty(0, np.int64)
-
 
 @dataclass(frozen=True)
 class JoinSpec:
@@ -48,10 +48,11 @@ class JoinSpec:
     #: Two sets link when den * |intersection| >= num * |union|.
     num: int = 85
     den: int = 100
-    #: Groups of a count vector, points of a leaf, children of a node.
-    groups: int = 32
+    #: Points of a leaf, children of a node.
     leaf: int = 32
     fan: int = 8
+    #: Members of a cell that are looked at together.
+    cell: int = 20_000
     #: Set elements in a block of a cluster, classes that all its blocks share.
     block_elements: int = 2_000_000
     pivots: int = 16
@@ -71,6 +72,18 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return np.unique(h)
 
 
+def groups_of(n: int) -> int:
+    """Groups of a count vector: enough that unrelated sets of this size fall below the bound. Powers of four; a smaller vector is a fold of a larger."""
+    g = 64
+    while g < 0.04 * n and g < 4096:
+        g *= 4
+    return g
+
+
+def counts(s: np.ndarray, g: int) -> np.ndarray:
+    return np.bincount((mix(s) % np.uint64(g)).astype(np.int64), minlength=g).astype(np.int32)
+
+
 class Bands:
     """Size bands and the number of groups in each.
 
@@ -132,96 +145,141 @@ def _key(s: np.ndarray) -> tuple[int, int]:
     return tuple(x - (1 << 64) if x >> 63 else x for x in (d >> 64, d & ((1 << 64) - 1)))
 
 
-def _stars(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(signature, its first node) once each, and links of the other nodes to it, as an array of pairs."""
+def _pairs(sigs: list[np.ndarray], nodes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (signature, node), sorted."""
+    sig, node = np.concatenate(sigs), np.concatenate(nodes)
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
-    first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
-    head = np.repeat(node[first], np.diff(np.concatenate((first, [len(sig)]))))
-    links = np.stack((node, head), 1)[node != head]
-    return sig[first], node[first], np.unique(links, axis=0) if len(links) else links
-
-
-def _blocks(p: int, sig: np.ndarray, node: np.ndarray, links: np.ndarray, ids: list) -> pa.RecordBatch:
-    """Packed rows (p, kind, data): kind 0 holds signatures and nodes, 1 links, 2 documents (id, size, two halves of the key)."""
-    rows: list[tuple[int, int, bytes]] = []
-    if len(sig):  # sorted by signature, and so by bucket
-        bucket = ((sig >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
-        cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(sig)]))
-        rows += [(int(bucket[i]), 0, sig[i:j].tobytes() + node[i:j].tobytes()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-    if len(links):
-        rows.append((int(links[0, 0]) % p, 1, np.ascontiguousarray(links, np.int64).tobytes()))
-    if ids:
-        rows.append((ids[0][2] % p, 2, np.array(ids, np.int64).tobytes()))
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int8()), pa.array([r[2] for r in rows], pa.binary())], ["p", "kind", "data"])
-
-
-def _found(kind: int, pairs: np.ndarray) -> pa.RecordBatch:
-    """Rows (kind, a, b, n, lo)."""
-    columns = [pa.array(np.ascontiguousarray(pairs[:, i]), pa.int64()) for i in range(pairs.shape[1])]
-    if kind == 1:
-        columns += [pa.nulls(len(pairs), pa.int64())] * 2
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), kind, np.int8)), *columns], ["kind", "a", "b", "n", "lo"])
+    new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])))
+    return sig[new], node[new]
+
+
+def _blocks(p: int, sig: np.ndarray, node: np.ndarray) -> list[tuple[int, bytes]]:
+    """(bucket, packed signatures and nodes); buckets are ranges of signatures, which are sorted."""
+    bucket = ((sig >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
+    cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(sig)])) if len(sig) else [0]
+    return [(int(bucket[i]), sig[i:j].tobytes() + node[i:j].tobytes()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _cells(sig: np.ndarray, node: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of cells with several members: cell number and member, each member list once; and pairs that join the members of cells over the limit."""
+    starts = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+    sizes = np.diff(np.concatenate((starts, [len(sig)])))
+    number = mix(np.add.reduceat(mix(node.view(np.uint64)), starts) ^ sizes.astype(np.uint64)).view(np.int64)
+    _, first = np.unique(number, return_index=True)
+    chosen = np.zeros(len(starts), bool)
+    chosen[first] = True
+    chosen &= sizes > 1
+    small, large = np.repeat(chosen & (sizes <= limit), sizes), np.repeat(chosen & (sizes > limit), sizes)
+    head = np.repeat(node[starts], sizes)
+    return np.repeat(number, sizes)[small], node[small], np.stack((node, head), 1)[large & (node != head)]
+
+
+FOUND = "kind byte, a long, b long, n long, lo long, counts binary"
+
+
+def _found(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    nothing = pa.nulls(len(a), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), nothing, nothing, pa.nulls(len(a), pa.binary())], ["kind", "a", "b", "n", "lo", "counts"])
 
 
 def _candidates(docs: DataFrame, spec: JoinSpec, parts: int) -> DataFrame:
-    """Rows (kind, a, b, n, lo): kind 1 a candidate link of nodes a, b; kind 2 a document a with node b, set size n and the other key half lo."""
+    """Rows of FOUND. Kind 1: cell a has node b. Kind 2: document a has node b, set size n, the other key half lo and its count vector. Kind 3: nodes a and b are joined unseen."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bands = WordHasher(), Bands(spec)
         sigs, nodes, ids, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal held
-            sig = np.concatenate(sigs) if sigs else np.empty(0, np.uint64)
-            node = np.concatenate(nodes) if nodes else NO_IDS
-            out = _blocks(parts, *(_stars(sig, node) if len(sig) else (sig, node, np.empty((0, 2), np.int64))), ids)
-            sigs.clear(), nodes.clear(), ids.clear()
-            held = 0
-            return out
+            rows = [(p, data, None, None, None, None) for p, data in (_blocks(parts, *_pairs(sigs, nodes)) if sigs else ())]
+            rows += [(hi % parts, None, doc, hi, n, (lo, vec)) for doc, hi, n, lo, vec in ids]
+            kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+            columns += [pa.array([r[5] and r[5][i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.binary()))]
+            return pa.RecordBatch.from_arrays(columns, ["p", "data", "a", "b", "n", "lo", "counts"])
 
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = shingles(hasher.of(text, lower=True), spec.n)
                 hi, lo = _key(s)
-                ids.append((doc, hi, len(s), lo))
+                ids.append((doc, hi, len(s), lo, counts(s, groups_of(len(s))).tobytes()))
                 if len(s):
                     sigs.append(bands.signatures(s))
                     nodes.append(np.full(len(sigs[-1]), hi, np.int64))
                     held += len(sigs[-1])
-                if held >= spec.buffer or len(ids) >= 50_000:
+                if held >= spec.buffer or len(ids) >= 20_000:
                     yield flush()
+                    sigs, nodes, ids, held = [], [], [], 0
         if ids:
             yield flush()
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, nodes = [], []
         for b in batches:
-            for kind, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if kind == 0:
-                    half = len(data) // 2
-                    sigs.append(np.frombuffer(data[:half], np.uint64))
-                    nodes.append(np.frombuffer(data[half:], np.int64))
-                else:
-                    yield _found(kind, np.frombuffer(data, np.int64).reshape(-1, 2 if kind == 1 else 4))
+            for data in b.column(1).drop_null().to_pylist():
+                half = len(data) // 2
+                sigs.append(np.frombuffer(data[:half], np.uint64))
+                nodes.append(np.frombuffer(data[half:], np.int64))
+            own = b.filter(b.column(1).is_null())
+            if own.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(own.num_rows, 2, np.int8)), *own.columns[2:]], ["kind", "a", "b", "n", "lo", "counts"])
         if sigs:
-            _, _, links = _stars(np.concatenate(sigs), np.concatenate(nodes))
-            if len(links):
-                yield _found(1, links)
+            sig, node = _pairs(sigs, nodes)
+            sigs, nodes = [], []
+            cell, member, large = _cells(sig, node, spec.cell)
+            if len(cell):
+                yield _found(1, cell, member)
+            if len(large):
+                yield _found(3, large[:, 0], large[:, 1])
 
-    packed = docs.mapInArrow(pack, "p int, kind byte, data binary").repartition(parts, "p")
-    return packed.mapInArrow(unpack, "kind byte, a long, b long, n long, lo long")
+    packed = docs.mapInArrow(pack, "p int, data binary, a long, b long, n long, lo long, counts binary").repartition(parts, "p")
+    return packed.mapInArrow(unpack, FOUND)
+
+
+def _clusters(found: DataFrame, spec: JoinSpec) -> DataFrame:
+    """node, root of the candidate clusters: components of the pairs in a cell whose count vectors allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, now, rows = Forest(), None, []
+
+        def finish() -> list[tuple[int, int]]:
+            if len({forest.root(r[0]) for r in rows}) < 2:
+                return []
+            g = min(len(r[2]) for r in rows)
+            points = np.array([r[2].reshape(-1, g).sum(0) for r in rows])
+            tree = CountTree(points, np.array([r[1] for r in rows], np.int64), spec)
+            out = []
+            for i, (node, _, _) in enumerate(rows):
+                for j in tree.near(i).tolist():
+                    if forest.join(node, rows[j][0]):
+                        out.append((node, rows[j][0]))
+            return out
+
+        def batch(out: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+        for b in batches:
+            out: list[tuple[int, int]] = []
+            for cell, node, n, vec in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if cell != now:
+                    out += finish() if len(rows) > 1 else []
+                    now, rows = cell, []
+                rows.append((node, n, np.frombuffer(vec, np.int32)))
+            yield batch(out)
+        if len(rows) > 1:
+            yield batch(finish())
+
+    vectors = found.filter("kind = 2").select(F.col("b").alias("node"), "n", "counts").groupBy("node").agg(F.first("n").alias("n"), F.first("counts").alias("counts"))
+    cells = found.filter("kind = 1").select(F.col("a").alias("cell"), F.col("b").alias("node")).distinct()
+    members = cells.join(vectors, "node").select("cell", "node", "n", "counts").repartition("cell").sortWithinPartitions("cell", "node")
+    return components(members.mapInArrow(run, "a long, b long").union(found.filter("kind = 3").select("a", "b")))
 
 
 class CountTree:
     """R-tree over count vectors: nodes hold the largest count of each group and the smallest set size below them."""
 
-    def __init__(self, sets: list[np.ndarray], spec: JoinSpec):
-        self.spec, g = spec, spec.groups
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        flat = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
-        self.points = np.bincount(owner * g + (mix(flat) % np.uint64(g)).astype(np.int64), minlength=len(sets) * g).reshape(-1, g).astype(np.int32)
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, spec: JoinSpec):
+        self.spec, self.points, self.sizes = spec, points, sizes
         # Packed bottom-up: by size, then within runs of sizes by the first counts.
         order = np.lexsort((self.points[:, 2], self.points[:, 1], self.points[:, 0], self.sizes))
         self.order = order
@@ -260,7 +318,8 @@ def block_links(ids: list[int], sets: list[np.ndarray], asks: list[bool], spec:
     """Links that connect what the block's links connect: pairs with an asking member that are not connected yet are verified."""
     if len(ids) < 2:
         return []
-    tree = CountTree(sets, spec)
+    g = min(256, groups_of(max(map(len, sets))))
+    tree = CountTree(np.array([counts(s, g) for s in sets]), np.array([len(s) for s in sets], np.int64), spec)
     # Elements as small numbers, so that an intersection is a sum over marks.
     _, flat = np.unique(np.concatenate(sets), return_inverse=True)
     ends = np.cumsum(tree.sizes)
@@ -287,53 +346,46 @@ def block_links(ids: list[int], sets: list[np.ndarray], asks: list[bool], spec:
     return out
 
 
-def _linked(members: DataFrame, spec: JoinSpec) -> DataFrame:
-    """Links (a, b) within each (cluster, block) of members(cluster, block, doc, comp, asks, data); comp is the component known so far."""
+def _linked(members: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
+    """Links (a, b) within each (cluster, block) of members(doc, node, lo, comp, places array<struct<cluster, block, asks>>); comp is the component known so far.
+
+    Texts travel, not sets: they are smaller. The sets are computed where they are compared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
+        now, rows, hasher = None, [], WordHasher()
 
         def finish() -> list[tuple[int, int]]:
             forest = Forest()
             for doc, comp, _, _ in rows:
                 forest.join(doc, comp)
-            return block_links([r[0] for r in rows], [np.frombuffer(r[3], np.uint64) for r in rows], [r[2] for r in rows], spec, forest)
+            return block_links([r[0] for r in rows], [r[3] for r in rows], [r[2] for r in rows], spec, forest)
+
+        def batch(out: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         for b in batches:
             out: list[tuple[int, int]] = []
-            for cluster, block, doc, comp, asks, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for cluster, block, doc, comp, asks, node, lo, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (cluster, block) != now:
                     out += finish() if rows else []
                     now, rows = (cluster, block), []
-                if not rows or rows[-1][0] != doc:
-                    rows.append((doc, comp, asks, data))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
+                if rows and rows[-1][0] == doc:
+                    continue
+                s = shingles(hasher.of(text, lower=True), spec.n)
+                if _key(s) == (node, lo):  # else another row with this id
+                    rows.append((doc, comp, asks, s))
+            yield batch(out)
         if rows:
-            out = finish()
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
-
-    picked = members.select("cluster", "block", "doc", "comp", "asks", "data").repartition("cluster", "block").sortWithinPartitions("cluster", "block", "doc", F.desc("asks"))
-    return picked.mapInArrow(run, "a long, b long")
+            yield batch(finish())
 
+    placed = docs.join(members, "doc").select("doc", "comp", "node", "lo", "text", F.explode("places").alias("x"))
+    placed = placed.select("x.cluster", "x.block", "doc", "comp", "x.asks", "node", "lo", "text")
+    return placed.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "doc", F.desc("asks")).mapInArrow(run, "a long, b long")
 
-def _sets(docs: DataFrame, classes: DataFrame, spec: JoinSpec) -> DataFrame:
-    """classes(doc, node, lo, cluster, block, ...) with data, the set's bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for b in batches:
-            t, node, lo = (b.column(b.schema.get_field_index(x)).to_pylist() for x in ("text", "node", "lo"))
-            for start, end in chunks(t):
-                data = []
-                for i in range(start, end):
-                    s = shingles(hasher.of(t[i], lower=True), spec.n)
-                    data.append(s.tobytes() if _key(s) == (node[i], lo[i]) else None)  # else another row with this id
-                part = b.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in names), pa.array(data, pa.binary())], [*names, "data"])
-
-    names = ["doc", "cluster", "nblocks", "block", "pivot"]
-    joined = docs.join(classes, "doc").select("text", "node", "lo", *names)
-    return joined.mapInArrow(run, "doc long, cluster long, nblocks int, block int, pivot boolean, data binary").filter("data is not null")
+def _place(block, asks: bool):
+    return F.struct("cluster", block.cast("int").alias("block"), F.lit(asks).alias("asks"))
 
 
 def linked_documents(docs: DataFrame, spec: JoinSpec = JoinSpec(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -344,7 +396,7 @@ def linked_documents(docs: DataFrame, spec: JoinSpec = JoinSpec(), key: str = "d
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * docs.rdd.getNumPartitions())
     found = written(_candidates(docs, spec, parts), "candidates")
     ids = found.filter("kind = 2").select(F.col("a").alias("doc"), F.col("b").alias("node"), "n", "lo")
-    clusters = components(found.filter("kind = 1").select("a", "b").distinct()).select("node", F.col("root").alias("cluster"))
+    clusters = _clusters(found, spec).select("node", F.col("root").alias("cluster"))
 
     # Classes of equal sets in clusters, dealt into blocks by a hash.
     classes = ids.filter("n > 0 and doc is not null").groupBy("node", "lo").agg(F.min("doc").alias("doc"), F.first("n").alias("n")).join(clusters, "node")
@@ -352,32 +404,25 @@ def linked_documents(docs: DataFrame, spec: JoinSpec = JoinSpec(), key: str = "d
     sized = classes.groupBy("cluster").agg(F.sum("n").alias("all"), F.min(F.struct(F.xxhash64("doc").alias("h"), F.col("doc").alias("d"))).alias("least"), F.count(F.lit(1)).alias("members"))
     sized = sized.filter("members > 1").select("cluster", F.ceil(F.col("all") / spec.block_elements).cast("int").alias("nblocks"), (F.lit(spec.pivots) / F.col("members")).alias("share"))
     # A member of a split cluster is a pivot with the chance that makes about ``pivots`` of them.
-    dealt = classes.join(sized, "cluster").select(
-        "doc", "node", "lo", "cluster", "nblocks", F.pmod(F.xxhash64("doc"), F.col("nblocks")).cast("int").alias("block"),
-        ((F.col("nblocks") > 1) & (F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(1 << 30)) < F.col("share") * (1 << 30))).alias("pivot"),
-    )
-    members = written(_sets(docs, dealt, spec), "members")
-    copies = members.filter("pivot").select("doc", "cluster", F.explode(F.sequence(F.lit(0), F.col("nblocks") - 1)).alias("block"), F.col("doc").alias("comp"), F.lit(True).alias("asks"), "data")
-    own = members.filter("not pivot").select("doc", "cluster", "block", F.col("doc").alias("comp"), F.lit(True).alias("asks"), "data")
-    links = written(_linked(own.union(copies), spec), "links")
-
-    # What is still apart in clusters of several blocks.
+    is_pivot = (F.col("nblocks") > 1) & (F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    members = classes.join(sized, "cluster").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("nblocks")).cast("int")).withColumn("pivot", is_pivot)
+    every = F.sequence(F.lit(0), F.col("nblocks") - 1)
+    first_round = members.select("doc", "node", "lo", F.col("doc").alias("comp"), F.transform(F.when(F.col("pivot"), every).otherwise(F.array("block")), lambda x: _place(x, True)).alias("places"))
+    links = written(_linked(first_round, docs, spec), "links")
+
+    # What is still apart in clusters of several blocks: the classes outside the largest component ask every block.
     split = members.filter("nblocks > 1")
     if not split.isEmpty():
         joined = components(links)
-        state = split.join(joined, split["doc"] == joined["node"], "left").select(split["*"], F.coalesce("root", "doc").alias("comp"))
-        state = written(state, "state")
-        sizes = state.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum(F.octet_length("data") / 8).alias("w"))
-        total = sizes.groupBy("cluster").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("w").alias("all"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+        state = written(split.join(joined, split["doc"] == joined["node"], "left").select(split["*"], F.coalesce("root", "doc").alias("comp")), "state")
+        sizes = state.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
+        total = sizes.groupBy("cluster").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("k")).filter("k > 1")
         small = sizes.join(total, "cluster").filter("comp <> top.comp").groupBy("cluster").agg(F.sum("w").alias("small"))
-        total = total.join(small, "cluster").select("cluster", F.col("top.comp").alias("top"), F.ceil(F.col("small") / spec.block_elements).cast("int").alias("nasks"))
-        rest = state.join(total, "cluster")
-        # Each block of asking classes meets each block of the cluster.
-        asking = rest.filter("comp <> top").select("doc", "cluster", "comp", "data", "nblocks", F.pmod(F.xxhash64("doc", F.lit(3)), F.col("nasks")).cast("int").alias("q"))
-        asking = asking.select("*", F.explode(F.sequence(F.lit(0), F.col("nblocks") - 1)).alias("r")).select("doc", "cluster", (F.col("q") * F.col("nblocks") + F.col("r")).alias("block"), "comp", F.lit(True).alias("asks"), "data")
-        others = rest.select("doc", "cluster", "comp", "data", "nblocks", F.col("block").alias("r"), F.explode(F.sequence(F.lit(0), F.col("nasks") - 1)).alias("q"))
-        others = others.select("doc", "cluster", (F.col("q") * F.col("nblocks") + F.col("r")).alias("block"), "comp", F.lit(False).alias("asks"), "data")
-        links = links.union(_linked(asking.union(others), spec))
+        rest = state.join(total.join(small, "cluster").select("cluster", F.col("top.comp").alias("top"), F.ceil(F.col("small") / spec.block_elements).cast("int").alias("nasks")), "cluster")
+        q = F.pmod(F.xxhash64("doc", F.lit(3)), F.col("nasks")).cast("int")
+        asked = F.transform(F.sequence(F.lit(0), F.col("nasks") - 1), lambda x: _place(x * F.col("nblocks") + F.col("block"), False))
+        asking = F.when(F.col("comp") != F.col("top"), F.transform(every, lambda x: _place(q * F.col("nblocks") + x, True))).otherwise(F.array().cast("array<struct<cluster:bigint,block:int,asks:boolean>>"))
+        links = links.union(_linked(rest.select("doc", "node", "lo", "comp", F.concat(asked, asking).alias("places")), docs, spec))
 
     roots = components(links)
     first = ids.filter("n > 0 and doc is not null").groupBy("node", "lo").agg(F.min("doc").alias("rep"))
