@@ -82,20 +82,27 @@ class Canon:
 
     def _reset(self) -> None:
         self.index: dict[str, int] = {}
-        self.first, self.inner, self.slot, self.ends, self.empty = [], [], [], [], []
-        self.arrays = None
+        # By token: hash at the beginning of a sentence and elsewhere, placeholder at either place (bits), sentence end, nothing left.
+        n = CACHE_TOKENS // 8
+        self.first, self.inner = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        self.slot, self.ends, self.empty = np.zeros(n, np.int8), np.zeros(n, bool), np.zeros(n, bool)
 
     def _learn(self, raw: str) -> int:
+        i = len(self.index)
+        if i == len(self.first):
+            for name in ("first", "inner", "slot", "ends", "empty"):
+                own = getattr(self, name)
+                setattr(self, name, np.concatenate((own, np.zeros_like(own))))
         core = strip(raw)
         low = core.lower()
         plain = PLACEHOLDERS[0] if NUMBER.fullmatch(core) or low in NUMBER_WORDS else PLACEHOLDERS[1] if low in UNITS else low
         name = PLACEHOLDERS[2] if plain == low and core[:1].isupper() else plain
-        self.first.append(xxhash.xxh3_64_intdigest(plain))
-        self.inner.append(xxhash.xxh3_64_intdigest(name))
-        self.slot.append((plain != low) + 2 * (name != low))
-        self.ends.append(raw.endswith(ENDS))
-        self.empty.append(not core)
-        self.index[raw] = i = len(self.index)
+        self.first[i] = xxhash.xxh3_64_intdigest(plain)
+        self.inner[i] = xxhash.xxh3_64_intdigest(name)
+        self.slot[i] = (plain != low) + 2 * (name != low)
+        self.ends[i] = raw.endswith(ENDS)
+        self.empty[i] = not core
+        self.index[raw] = i
         return i
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -103,11 +110,9 @@ class Canon:
         raw = (text or "").split()
         if len(self.index) > CACHE_TOKENS:
             self._reset()
-        get, before = self.index.get, len(self.index)
+        get = self.index.get
         ids = [i if (i := get(t)) is not None else self._learn(t) for t in raw]
-        if self.arrays is None or len(self.index) != before:
-            self.arrays = tuple(np.array(x, d) for x, d in ((self.first, np.uint64), (self.inner, np.uint64), (self.slot, np.int8), (self.ends, bool), (self.empty, bool)))
-        first, inner, slot, ends, empty = self.arrays
+        first, inner, slot, ends, empty = self.first, self.inner, self.slot, self.ends, self.empty
         at = np.array(ids, np.int64)
         if len(at) and empty[at].any():
             kept = ~empty[at]
