@@ -1,10 +1,452 @@
-"""Driver queries of the engine's own operators, with DuckDB oracles."""
+"""Driver queries of the engine's own operators, each over its whole table, with DuckDB oracles where SQL can express them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import extract, similarity, text, tokens
+from ..operators import dataset, evaluate, reports
+from ..sources import records, registry
+from ..streaming import capture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def page_lang(url: Column) -> Column:
+    return F.regexp_extract(url, "^[a-z]+://[^/]+/([a-z]{2})/", 1)
+
+
+PAGE_LANG = "regexp_extract(url, '^[a-z]+://[^/]+/([a-z]{2})/', 1)"
+
+
+def digest(c: Column) -> Column:
+    return F.md5(c.cast("binary"))
+
+
+# --- profiles of pages -------------------------------------------------------
+
+
+@query(f"""
+with p as (select {PAGE_LANG} as lang, length(html) as size,
+  len(regexp_extract_all(html, '<[a-zA-Z]')) as tags, len(regexp_extract_all(html, '<div[ >]')) as divs, len(regexp_extract_all(html, '<span[ >]')) as spans,
+  len(regexp_extract_all(html, '<[a-z][^>]* class="[^"]+"')) as classes, len(regexp_extract_all(html, '<[a-z][^>]* id="[^"]+"')) as ids from pages)
+select lang, count(*) as n, round(avg(size), 1) as size_mean, median(size) as size_median, min(size) as size_min, max(size) as size_max,
+  round(avg(tags), 1) as tags_mean, median(tags) as tags_median, cast(sum(divs) as bigint) as divs, cast(sum(spans) as bigint) as spans, cast(sum(classes) as bigint) as classes, cast(sum(ids) as bigint) as ids
+from p group by lang""")
+def html_profile_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(page_lang(F.col("url")).alias("lang"), "html")
+    p = reports.profiled(pages)
+    return p.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("html_size"), 1).alias("size_mean"), F.median("html_size").alias("size_median"), F.min("html_size").alias("size_min"), F.max("html_size").alias("size_max"),
+        F.round(F.avg("tag_count"), 1).alias("tags_mean"), F.median("tag_count").alias("tags_median"), F.sum("div_count").alias("divs"), F.sum("span_count").alias("spans"), F.sum("class_count").alias("classes"), F.sum("id_count").alias("ids"),
+    )
+
+
+@query()
+def html_size_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(page_lang(F.col("url")).alias("lang"), "html")
+    return reports.size_summary(reports.profiled(pages), "lang")
+
+
+@query("""
+select page_id, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) as title, contains(html, '<body') as has_body,
+  cast(len(regexp_extract_all(html, '<div[ >]')) as bigint) as n_div, cast(len(regexp_extract_all(html, '<p[ >]')) as bigint) as n_p, cast(len(regexp_extract_all(html, '<a[ >]')) as bigint) as n_a, cast(len(regexp_extract_all(html, '<h[1-6][ >]')) as bigint) as n_headings
+from (select page_id, replace(replace(replace(replace(html, '&amp;', '&'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©') as html from pages)""")
+def html_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = table(spark, sf_dir, "pages").withColumn("o", reports.html_overview.asNondeterministic()("html"))
+    return made.select("page_id", "o.*")
+
+
+@query("""
+select tag, count(*) as n from (select unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) as tag from pages) group by tag order by n desc, tag limit 15""")
+def tag_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_tags(table(spark, sf_dir, "pages"))
+
+
+@query()
+def clean_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.level_stats(reports.token_levels(table(spark, sf_dir, "pages"), "page_id"))
+
+
+@query()
+def context_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.context_fit(reports.token_levels(table(spark, sf_dir, "pages"), "page_id"))
+
+
+@query()
+def signal_to_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").withColumn("label", extract.annotated.asNondeterministic()("html", F.lit("job_posting")))
+    return reports.signal_to_noise(reports.token_levels(pages, "page_id", json="label"))
+
+
+# --- counts, statistics, completeness ----------------------------------------
+
+
+@query("select event_type, count(*) as n from events group by event_type order by event_type")
+def type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).orderBy("event_type")
+
+
+@query("""
+select d.event_type, coalesce(c.n, 0) as n, case when coalesce(c.n, 0) >= 10 then '[Complete] ' else '' end || d.event_type || ' (' || coalesce(c.n, 0) || '/10)' as label
+from (values ('click'), ('view'), ('purchase'), ('refund')) d(event_type) left join (select event_type, count(*) as n from events group by event_type) c using (event_type)""")
+def zero_filled_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dimension = spark.createDataFrame([("click",), ("view",), ("purchase",), ("refund",)], "event_type string")
+    return reports.option_labels(reports.zero_filled(table(spark, sf_dir, "events"), dimension, "event_type"), "event_type")
+
+
+@query(r"""
+with d as (select lang, n_chars, len(list_filter(regexp_split_to_array(text, '[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'), lambda w: w <> '')) as words from documents)
+select lang, cast(grouping(lang) as int) as is_total, count(*) as n, round(avg(n_chars), 4) as n_chars_mean, median(n_chars) as n_chars_median, min(n_chars) as n_chars_min, max(n_chars) as n_chars_max,
+  round(avg(words), 4) as words_mean, median(words) as words_median, min(words) as words_min, max(words) as words_max
+from d group by grouping sets ((lang), ())""")
+def length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "n_chars", text.word_count(F.col("text")).alias("words"))
+    return reports.grouped_stats(docs, "lang", ["n_chars", "words"])
+
+
+@query("""
+select count(n_chars) as n, cast(sum(n_chars) as bigint) as total, round(avg(n_chars), 4) as mean, max(n_chars) as max, round(quantile_cont(n_chars, 0.95), 4) as p95, cast(ceil(max(n_chars) / 1000.0) * 1000 as bigint) as max_to_thousand from documents""")
+def length_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.overall(table(spark, sf_dir, "documents"), "n_chars")
+
+
+@query("""
+with l as (unpivot (select cast(l_quantity as double) as l_quantity, cast(l_extendedprice as double) as l_extendedprice, cast(l_discount as double) as l_discount from lineitem) on l_quantity, l_extendedprice, l_discount into name variable value value)
+select variable, count(value) as count, round(avg(value), 4) as mean, round(stddev_samp(value), 4) as std, min(value) as min, round(quantile_cont(value, 0.25), 4) as q25, round(quantile_cont(value, 0.5), 4) as q50, round(quantile_cont(value, 0.75), 4) as q75, max(value) as max
+from l group by variable""")
+def described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.described(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+
+
+@query("""
+select lang, round(quantile_cont(n_chars, 0.0), 4) as low, round(quantile_cont(n_chars, 0.25), 4) as q1, round(quantile_cont(n_chars, 0.5), 4) as middle, round(quantile_cont(n_chars, 0.75), 4) as q3, round(quantile_cont(n_chars, 1.0), 4) as high from documents group by lang""")
+def length_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.box_plot(table(spark, sf_dir, "documents"), "lang", "n_chars")
+
+
+@query("""
+with b as (select cast(min(n_chars) as double) as lo, cast(max(n_chars) as double) as hi from documents)
+select cast(least(floor((n_chars - lo) / ((hi - lo) / 30)), 29) as int) as bin, count(*) as n from documents, b group by bin""")
+def length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.histogram(table(spark, sf_dir, "documents"), "n_chars")
+
+
+@query("""
+select min(n_chars) as min, max(n_chars) as max, round(avg(n_chars), 4) as mean, cast((list_sort(list(n_chars)))[count(*) // 2 + 1] as double) as upper_median from documents""")
+def upper_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.upper_median(table(spark, sf_dir, "documents"), "n_chars")
+
+
+@query("""
+select event_type, case when not json_valid(props) then 'not JSON' when json_type(props) <> 'OBJECT' then 'not an object' when json_extract(props, '$.k') is null then 'no key' else 'valid' end as state, count(*) as n from events group by all""")
+def props_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.try_parse_json("props")
+    state = F.when(v.isNull(), "not JSON").when(~F.schema_of_variant(v).startswith("OBJECT"), "not an object").when(~records.has_key(v, "$.k"), "no key").otherwise("valid")
+    return table(spark, sf_dir, "events").groupBy("event_type", state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
+
+
+LABEL = """case when value < 20 then '{"type": "' || event_type || '", "value": null, "user": "TODO"}' when value < 40 then '{"type": "' || event_type || '", "value": "", "note": "x"}' else '{"type": "' || event_type || '", "value": "' || user_id || '"}' end"""
+
+
+@query(f"""
+with l as (select event_type, {LABEL} as raw from events), t as (select event_type, count(*) as total from l group by event_type),
+f as (select event_type, unnest(json_keys(raw)) as field, raw from l)
+select event_type, field, count(*) as present, total, round(sum(case when coalesce(json_extract_string(raw, '$.' || field), '') in ('', 'TODO') then 0 else 1 end) * 100.0 / total, 4) as coverage_pct,
+  round(sum(case when coalesce(json_extract_string(raw, '$.' || field), '') in ('', 'TODO') then 0 else 1 end) * 100.0 / count(*), 4) as completeness_pct
+from f join t using (event_type) group by event_type, field, total""")
+def field_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_type", F.expr(LABEL).alias("raw"))
+    return reports.completeness(events, "event_type", "raw")
+
+
+@query()
+def label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.element_at(F.array(*[F.lit(k) for k in registry.FIELD_NOTES]), (F.col("page_id") % 3 + 1).cast("int"))
+    pages = table(spark, sf_dir, "pages").withColumn("type", kind)
+    labelled = pages.withColumn("expected_json", extract.annotated.asNondeterministic()("html", "type")).select("type", "expected_json")
+    return reports.quality_summary(reports.quality_flags(labelled))
+
+
+@query("""
+with g as (select user_id, count(*) as n, count(distinct json_extract_string(props, '$.k')) = 1 as ok from events group by user_id)
+select cast(sum(n) as bigint) as rows, cast(coalesce(sum(n) filter (ok), 0) as bigint) as consistent_rows, count(*) as groups from g""")
+def group_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.consistency(table(spark, sf_dir, "events"), "user_id", "props")
+
+
+@query("""
+select mark, answer, count(*) as n from (
+  select 'quality' as mark, case quality when 1 then 'yes' when 0 then 'no' end as answer from labels union all select 'toxic', case toxic when 1 then 'yes' when 0 then 'no' end from labels)
+group by mark, answer""")
+def relabelled_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = table(spark, sf_dir, "labels").unpivot("doc_id", ["quality", "toxic"], "mark", "value")
+    return long.groupBy("mark", F.when(F.col("value") == 1, "yes").when(F.col("value") == 0, "no").alias("answer")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- split, quota, variations ------------------------------------------------
+
+SPLIT = """select {cols}, case when r <= floor(n * 0.8) then 'train' when r <= floor(n * 0.8) + floor(n * 0.1) then 'validation' else 'test' end as split
+from (select *, row_number() over (partition by {by} order by md5('42:' || doc_id), doc_id) as r, count(*) over (partition by {by}) as n from {t})"""
+
+
+@query(SPLIT.format(cols="doc_id, lang", by="lang", t="documents"))
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset.stratified_split(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", "lang")
+
+
+@query(f"""
+with s as ({SPLIT.format(cols="mark", by="mark", t="(select doc_id, quality * 10 + toxic as mark from labels)")})
+select mark, count(*) as total, nullif(count(*) filter (split = 'train'), 0) as train, nullif(count(*) filter (split = 'validation'), 0) as validation, nullif(count(*) filter (split = 'test'), 0) as test from s group by mark""")
+def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") * 10 + F.col("toxic")).alias("mark"))
+    return dataset.split_table(dataset.stratified_split(labels, "doc_id", "mark"), "mark")
+
+
+@query("""
+with b as (select page_id, row_number() over (order by page_id) - 1 as place, count(*) over () as n, 400000 as target from pages),
+c as (select page_id, place, greatest(target - n, 0) // n as each, greatest(target - n, 0) % n as extra from b),
+d as (select page_id, place * each + least(place, extra) as first, each + case when place < extra then 1 else 0 end as k from c)
+select page_id, ordinal, case when ordinal > 0 then cast(first + ordinal - 1 as bigint) end as variation_id from (select *, unnest(generate_series(0, k)) as ordinal from d)""")
+def variation_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset.with_quota(table(spark, sf_dir, "pages").select("page_id"), "page_id", 400_000)
+
+
+@query()
+def page_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("example_html"))
+    # One variation of every page: the target follows the table.
+    made = dataset.variations(dataset.with_quota(pages, "page_id", 2 * pages.count()), "page_id")
+    return made.select("page_id", "ordinal", "variation_id", digest(F.col("example_html")).alias("html_md5"), "metadata.augmentations", "metadata.applied")
+
+
+@query(r"""select page_id, md5(replace(replace(html, '<div', chr(10) || '<div'), '><', '>' || chr(10) || '<')) as html_md5 from pages""")
+def whitespace_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spaced = F.replace(F.replace("html", F.lit("<div"), F.lit("\n<div")), F.lit("><"), F.lit(">\n<"))
+    return table(spark, sf_dir, "pages").select("page_id", digest(spaced).alias("html_md5"))
+
+
+# --- chat --------------------------------------------------------------------
+
+
+def _examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.element_at(F.array(*[F.lit(k) for k in registry.FIELD_NOTES]), (F.col("page_id") % 3 + 1).cast("int"))
+    answer = F.concat(F.lit('{\n  "type": "'), kind, F.lit('",\n  "url": "'), "url", F.lit('"\n}'))
+    rows = table(spark, sf_dir, "pages").select("page_id", kind.alias("type"), F.col("html").alias("example_html"), answer.alias("expected_json"))
+    return dataset.chat_examples(rows, registry.prompts(spark))
+
+
+_PROMPTS = " ".join(f"when {i} then '{registry.prompt(k)}'" for i, k in enumerate(registry.FIELD_NOTES))
+_TYPES = " ".join(f"when {i} then '{k}'" for i, k in enumerate(registry.FIELD_NOTES))
+_CHAT = f"""select page_id, html, '{registry.INSTRUCTION}' || chr(10) || chr(10) || 'HTML:' || chr(10) || html || chr(10) || chr(10) || case page_id % 3 {_PROMPTS} end as user_text,
+  '{{' || chr(10) || '  "type": "' || case page_id % 3 {_TYPES} end || '",' || chr(10) || '  "url": "' || url || '"' || chr(10) || '}}' as answer from pages"""
+
+
+@query(rf"""
+with c as ({_CHAT}), t as (select page_id, md5(user_text) as user_md5, md5(answer) as answer_md5,
+  cast(len(regexp_extract_all(user_text, '\p{{L}}{{1,6}}|\p{{N}}|[^\p{{L}}\p{{N}}\s\x0B]')) + len(regexp_extract_all(answer, '\p{{L}}{{1,6}}|\p{{N}}|[^\p{{L}}\p{{N}}\s\x0B]')) + 10 as bigint) as n_tokens from c)
+select * from t where n_tokens <= 24000""")
+def chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dataset.within_budget(_examples(spark, sf_dir))
+    part = lambda i, name: digest(F.get("messages", F.lit(i))["content"]).alias(name)
+    return kept.select("page_id", part(0, "user_md5"), part(1, "answer_md5"), "n_tokens")
+
+
+@query(f"""with c as ({_CHAT}) select page_id, md5(html) as html_md5, md5(answer) as answer_md5, length(user_text) - length(html) as overhead from c""")
+def chat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dataset.from_chat(_examples(spark, sf_dir).drop("prompt"), registry.prompts(spark))
+    user = F.length(F.get("messages", F.lit(0))["content"])
+    return cut.select("page_id", digest(F.col("html")).alias("html_md5"), digest(F.col("answer")).alias("answer_md5"), (user - F.length("html")).cast("long").alias("overhead"))
+
+
+@query("""
+select conv_id, count(*) as n, md5(string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' order by turn)) as text_md5 from conversations group by conv_id""")
+def conversation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("messages"))
+    return turns.select("conv_id", F.size("messages").cast("long").alias("n"), digest(dataset.one_text(F.col("messages"))).alias("text_md5"))
+
+
+THOUGHT = "case turn % 4 when 0 then text when 1 then '<think>plan</think> ' || text || ' ' when 2 then text || ' <think>' || role else '<think>a</think> ' || text || '</think>rest' end"
+
+
+@query(f"""
+with t as (select conv_id, turn, {THOUGHT} as x from conversations)
+select conv_id, turn, md5(trim(case when not contains(x, '<think>') then x when contains(x, '</think>') then split_part(x, '</think>', 2) else split_part(x, '<think>', 1) end, chr(32) || chr(10) || chr(9) || chr(13))) as answer_md5 from t""")
+def answers_without_thoughts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(THOUGHT).alias("x"))
+    return turns.select("conv_id", "turn", digest(text.answer_of(F.col("x"))).alias("answer_md5"))
+
+
+# --- similarity and evaluation -----------------------------------------------
+
+# Non-ASCII characters count as one sign each on both sides: DuckDB measures bytes.
+PAIRS = r"""select conv_id, turn, regexp_replace(text, '[^\x00-\x7F]', '?', 'g') as reference, regexp_replace(coalesce(lag(text) over (partition by conv_id order by turn), ''), '[^\x00-\x7F]', '?', 'g') as prediction from conversations"""
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plain = lambda c: F.regexp_replace(c, r"[^\x00-\x7F]", "?")
+    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", plain(F.col("text")).alias("reference"), plain(F.coalesce(before, F.lit(""))).alias("prediction"))
+    return rows
+
+
+@query(f"""
+with p as ({PAIRS}) select conv_id, turn, cast(levenshtein(prediction, reference) as bigint) as distance,
+  round(case when greatest(length(prediction), length(reference)) = 0 then 1.0 else 1.0 - levenshtein(prediction, reference) / greatest(length(prediction), length(reference))::double end, 6) as similarity from p""")
+def edit_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, r = F.col("prediction"), F.col("reference")
+    return _pairs(spark, sf_dir).select("conv_id", "turn", similarity.edit_distance(p, r).cast("long").alias("distance"), F.round(similarity.edit_similarity(p, r), 6).alias("similarity"))
+
+
+OVERLAP = f"""
+with p as ({PAIRS}), t as (select conv_id, turn, regexp_extract_all(lower(prediction), '[a-z0-9]+') as a, regexp_extract_all(lower(reference), '[a-z0-9]+') as b from p),
+g as (select conv_id, turn, n, list_transform(range(1, len(a) - n + 2), lambda i: array_to_string(a[i:i + n - 1], ' ')) as ga, list_transform(range(1, len(b) - n + 2), lambda i: array_to_string(b[i:i + n - 1], ' ')) as gb from t, (values (1), (2)) v(n)),
+ca as (select conv_id, turn, n, x, count(*) as c from (select conv_id, turn, n, unnest(ga) as x from g) group by all), cb as (select conv_id, turn, n, x, count(*) as c from (select conv_id, turn, n, unnest(gb) as x from g) group by all),
+m as (select conv_id, turn, n, sum(least(ca.c, cb.c)) as both from ca join cb using (conv_id, turn, n, x) group by all)
+select g.conv_id, g.turn, g.n, case when m.both is null then 0.0 else 2.0 * m.both / (len(ga) + len(gb)) end as f1 from g left join m on m.conv_id = g.conv_id and m.turn = g.turn and m.n = g.n"""
+
+
+@query(f"""with o as ({OVERLAP}) select conv_id, turn, round(cast(max(f1) filter (n = 1) as double), 6) as rouge1, round(cast(max(f1) filter (n = 2) as double), 6) as rouge2 from o group by conv_id, turn""")
+def overlap_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, r = F.col("prediction"), F.col("reference")
+    return _pairs(spark, sf_dir).select("conv_id", "turn", F.round(similarity.overlap_f1(p, r, 1), 6).alias("rouge1"), F.round(similarity.overlap_f1(p, r, 2), 6).alias("rouge2"))
+
+
+@query()
+def rouge_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.scored(_pairs(spark, sf_dir)).drop("prediction", "reference")
+
+
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """References, and the predictions of two made-up models: the turn before, and the reference's first half."""
+    rows = _pairs(spark, sf_dir).select((F.col("conv_id") * 1000 + F.col("turn")).alias("example_idx"), "reference", "prediction")
+    half = F.left("reference", F.floor(F.length("reference") / 2).cast("int"))
+    return rows.select("example_idx", "reference"), rows.select("example_idx", "prediction"), rows.select("example_idx", half.alias("prediction"))
+
+
+@query(f"""
+with p as ({PAIRS}), s as (select reference, prediction as a, left(reference, cast(floor(length(reference) / 2) as int)) as b from p),
+m as (select avg(levenshtein(a, reference)) as base_d, avg(levenshtein(b, reference)) as tuned_d,
+  avg(case when greatest(length(a), length(reference)) = 0 then 1.0 else 1 - levenshtein(a, reference) / greatest(length(a), length(reference))::double end) as base_n,
+  avg(case when greatest(length(b), length(reference)) = 0 then 1.0 else 1 - levenshtein(b, reference) / greatest(length(b), length(reference))::double end) as tuned_n from s)
+select 'levenshtein_avg' as metric, round(base_d, 6) as base, round(tuned_d, 6) as finetuned, round(case when base_d > 0 then (base_d - tuned_d) * 100 / base_d else 0 end, 4) as improvement_pct from m
+union all select 'levenshtein_normalized', round(base_n, 6), round(tuned_n, 6), round(case when base_n > 0 then (tuned_n - base_n) * 100 / base_n else 0 end, 4) from m""")
+def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    references, base, tuned = _sides(spark, sf_dir)
+    score = lambda side: evaluate.averaged(evaluate.scored(evaluate.paired(side, references), stemmed=False).select("levenshtein_avg", "levenshtein_normalized"))
+    out = evaluate.compared(score(base), score(tuned))
+    return out.select("metric", F.round("base", 6).alias("base"), F.round("finetuned", 6).alias("finetuned"), F.round("improvement_pct", 4).alias("improvement_pct"))
+
+
+@query(f"""with p as ({PAIRS}) select conv_id * 1000 + turn as example_idx, md5(reference) as reference_md5, md5(prediction) as base_md5, md5(left(reference, cast(floor(length(reference) / 2) as int))) as finetuned_md5 from p""")
+def comparison_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = evaluate.samples(*_sides(spark, sf_dir))
+    return made.select("example_idx", digest(F.col("reference")).alias("reference_md5"), digest(F.col("base_prediction")).alias("base_md5"), digest(F.col("finetuned_prediction")).alias("finetuned_md5"))
+
+
+# --- extraction and matching -------------------------------------------------
+
+
+@query("""
+select page_id, nullif(trim(replace(replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '&amp;', '&'), '&quot;', '"')), '') as title from pages""")
+def extracted_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = table(spark, sf_dir, "pages").withColumn("e", extract.extracted.asNondeterministic()("html", F.lit("job_posting")))
+    return made.select("page_id", F.get_json_object("e", "$.title").alias("title"))
+
+
+@query()
+def annotated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = F.array(*[F.lit(k) for k in registry.TYPES])
+    pages = table(spark, sf_dir, "pages").withColumn("type", F.element_at(kinds, (F.col("page_id") % len(registry.TYPES) + 1).cast("int")))
+    return pages.select("page_id", "type", extract.annotated("html", "type").alias("expected_json"))
+
+
+@query(r"""
+select doc_id, nullif(regexp_extract(text, '\$\d+(?:\.\d{2})?'), '') as price, nullif(regexp_extract(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}'), '') as email,
+  nullif(regexp_extract(text, '\(\d{3}\)\s*\d{3}-\d{4}|\d{3}-\d{3}-\d{4}'), '') as phone, nullif(regexp_extract(text, '\b(404|500|503|502|403|429)\b'), '') as status from documents""")
+def first_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = {"price": extract.PRICE, "email": extract.EMAIL, "phone": extract.PHONE, "status": extract.STATUS}
+    return table(spark, sf_dir, "documents").select("doc_id", *[extract.first_match(F.col("text"), p).alias(n) for n, p in found.items()])
+
+
+@query("""
+select page_id, case when contains(html, '__next') or contains(html, '_reactRoot') then 'react' when contains(html, '__nuxt') or contains(html, '__NUXT__') then 'vue' when contains(html, 'ng-version') or contains(html, 'ng-app') then 'angular' end as framework from pages""")
+def page_framework(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", extract.framework(F.col("html")).alias("framework"))
+
+
+# --- URLs --------------------------------------------------------------------
+
+HOST = "nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')"
+
+
+@query(f"select {HOST} as host, count(*) as n, count(distinct url) as urls, count(*) filter (starts_with(url, 'https:')) as secure from pages group by host")
+def url_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("url", text.host(F.col("url")).alias("host"))
+    return pages.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("urls"), F.count_if(F.col("url").startswith("https:")).alias("secure"))
+
+
+@query(f"""
+select page_id, host from (select page_id, {HOST} as host, row_number() over (partition by {HOST} order by md5(url), url) as r from pages) where r <= 2""")
+def few_of_each_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", text.host(F.col("url")).alias("host"))
+    return dataset.few_of_each_host(pages, "host", "url").select("page_id", "host")
+
+
+@query(f"""
+with l as (select '- **' || {HOST} || '/x** - page ' || page_id as line, page_id as place from pages union all select '# ' || url, page_id from pages union all select '- ' || {HOST} || ' - again', page_id + 1 from pages)
+select 'https://' || d as url, min(place) as place from (select case when contains(line, '**') then split_part(split_part(line, '**', 2), '/', 1) else split_part(trim(substr(line, 2)), ' ', 1) end as d, place from l where starts_with(line, '-')) where contains(d, '.') group by d""")
+def domain_bullets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", text.host(F.col("url")).alias("host"))
+    bold = pages.select(F.concat(F.lit("- **"), "host", F.lit("/x** - page "), F.col("page_id").cast("string")).alias("line"), F.col("page_id").alias("place"))
+    head = pages.select(F.concat(F.lit("# "), "url").alias("line"), F.col("page_id").alias("place"))
+    plain = pages.select(F.concat(F.lit("- "), "host", F.lit(" - again")).alias("line"), (F.col("page_id") + 1).alias("place"))
+    return records.domains(bold.union(head).union(plain))
+
+
+# --- captures and streams ----------------------------------------------------
+
+STAMP = "strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.' || lpad(cast(user_id % 1000 as varchar), 3, '0') || 'Z'"
+
+
+@query(f"""
+with a as (select 'annotation_' || event_type || '_' || replace(left({STAMP}, 19), ':', '-') || '.json' as name, event_type as type, {STAMP} as timestamp, props from events)
+select name, arg_max(type, (timestamp, props)) as type, max(timestamp) as timestamp from a group by name""")
+def annotation_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("."), F.lpad((F.col("user_id") % 1000).cast("string"), 3, "0"), F.lit("Z"))
+    label = F.concat(F.lit('{"type": "'), "event_type", F.lit('"}'))
+    captures = table(spark, sf_dir, "events").select(F.col("props").alias("html"), label.alias("label"), F.lit(None).cast("string").alias("url"), stamp.alias("timestamp"))
+    return capture.latest(capture.annotations(captures).withColumn("batch", F.lit(0).cast("long"))).select("name", "type", "timestamp")
+
+
+@query("select event_type as type, count(*) as n from events group by event_type")
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sf_dir}/events.parquet"
+    rows = capture.stream_table(spark, path, spark.read.parquet(path).schema)
+    captures = rows.select(F.col("props").alias("html"), F.concat(F.lit('{"type": "'), "event_type", F.lit('"}')).alias("label"), F.lit(None).cast("string").alias("url"), F.col("ts").cast("string").alias("timestamp"))
+    return capture.drained(capture.running_counts(captures), "stream_counts")
+
+
+@query(r"""
+select lang, cast(sum(length(text)) as bigint) as chars, cast(sum(len(regexp_extract_all(text, '\p{L}{1,6}|\p{N}|[^\p{L}\p{N}\s\x0B]'))) as bigint) as tokens from documents group by lang""")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.groupBy("lang").agg(F.sum(F.length("text").cast("long")).alias("chars"), F.sum(tokens.approximate(F.col("text"))).alias("tokens"))
