@@ -120,7 +120,7 @@ def fit(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> list[flo
 
 def ratio(text: Column, words: Column, weights: list[float]) -> Column:
     """Log-likelihood ratio per n-gram; 0 without n-grams."""
-    table = F.split(F.lit(",".join(f"{w:g}" for w in weights)), ",").cast("array<double>")  # folded to one constant
+    table = F.split(F.lit(",".join(f"{w:.6f}" for w in weights)), ",").cast("array<double>")  # folded to one constant
     mean = lambda b: F.when(F.size(b) == 0, F.lit(0.0)).otherwise(F.aggregate(b, F.lit(0.0), lambda a, x: a + F.get(table, x)) / F.size(b))
     return bound(buckets_of(text, words), mean)
 

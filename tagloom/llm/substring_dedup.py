@@ -211,7 +211,8 @@ def without_repeats(docs: DataFrame, spec: Spec = Spec(), key: str = "doc_id", t
     names, at = docs.columns, docs.columns.index(text)
     plain = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     found = repeats(plain, spec)
-    marks = found.select(F.col("doc").alias("__doc"), F.col("marks").alias("__marks"))
-    joined = docs.join(marks, docs[key].cast("long") == marks["__doc"], "left").drop("__doc")
+    own = "marks_of_" + "_".join(names)  # longer than any column of docs
+    marks = found.select(F.col("doc").alias(f"{own}_doc"), F.col("marks").alias(own))
+    joined = docs.join(marks, docs[key].cast("long") == marks[f"{own}_doc"], "left").drop(f"{own}_doc")
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType, True) for f in docs.schema.fields])
     return joined.mapInArrow(run, schema)

@@ -214,7 +214,7 @@ def write(pages: DataFrame, folder: str, spec: Spec = Spec()) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).join(revisits(pages, spec), ["page_id", "digest"], "left").select("page_id", "url", "payload", "refers_to")
     rows.mapInArrow(run, INDEX).write.parquet(f"{folder}/index")
-    return spark.read.parquet(f"{folder}/index")
+    return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
 def read(index: DataFrame) -> DataFrame:
