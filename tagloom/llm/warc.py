@@ -8,8 +8,8 @@ one frame. Pages with equal payloads are stored once: the smallest page_id is a
 response, the others are revisit records that refer to it.
 
 Only digests are grouped; pages are then dealt by page_id, so a payload that
-very many pages share is no hot key. A bundle's name follows from its content,
-so a task that runs again writes the same file; bundles that no index row names
+very many pages share is no hot key. A bundle's name follows from its task, place and
+content, so a task that runs again writes the same file; bundles that no index row names
 are leftovers. Where the shared folder isn't a mounted path the bundles are
 kept as rows of the index table instead of files.
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import os
 import re
 import struct
@@ -31,6 +32,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -187,7 +189,7 @@ def write(pages: DataFrame, folder: str, spec: Spec = Spec()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(w: BundleWriter) -> pa.RecordBatch:
             data = w.finish()
-            name = f"{hashlib.sha1(data).hexdigest()}.warc.zst"
+            name = f"{TaskContext.get().partitionId():06d}-{next(number):05d}-{hashlib.sha1(data).hexdigest()}.warc.zst"
             if local:
                 path = f"{local}/bundles/{name}"
                 with open(f"{path}.{os.getpid()}.{id(w)}", "wb") as f:
@@ -200,7 +202,7 @@ def write(pages: DataFrame, folder: str, spec: Spec = Spec()) -> DataFrame:
             kinds = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], [x.split()[0] for x in INDEX.split(", ")])
 
-        w = BundleWriter(spec)
+        w, number = BundleWriter(spec), itertools.count()
         for b in batches:
             for page_id, url, payload, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 w.add(page_id, record(page_id, url, payload, refers, spec))
