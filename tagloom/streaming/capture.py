@@ -30,8 +30,8 @@ def annotations(captures: DataFrame) -> DataFrame:
 
 
 def latest(rows: DataFrame) -> DataFrame:
-    """The last row of each name: a save of the same type and second replaces the one before."""
-    by_name = rows.groupBy("name").agg(F.max(F.struct("timestamp", "batch", "type", "example_html", "expected_json")).alias("x"))
+    """The last row of each name (by batch, then time): a save of the same type and second replaces the one before."""
+    by_name = rows.groupBy("name").agg(F.max(F.struct("batch", "timestamp", "type", "example_html", "expected_json")).alias("x"))
     return by_name.select("name", "x.*")
 
 
