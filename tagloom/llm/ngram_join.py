@@ -379,7 +379,8 @@ def _linked(members: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
         if rows:
             yield batch(finish())
 
-    placed = docs.join(members, "doc").select("doc", "comp", "node", "lo", "text", F.explode("places").alias("x"))
+    # A sort-merge join at every size: members grow with the input, and so would a broadcast.
+    placed = docs.join(members.hint("merge"), "doc").select("doc", "comp", "node", "lo", "text", F.explode("places").alias("x"))
     placed = placed.select("x.cluster", "x.block", "doc", "comp", "x.asks", "node", "lo", "text")
     return placed.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "doc", F.desc("asks")).mapInArrow(run, "a long, b long")
 
