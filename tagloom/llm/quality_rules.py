@@ -37,7 +37,7 @@ class Rules:
     #: Expected target count below which a bucket says little.
     shrink: float = 30.0
     #: Least ratio per n-gram (natural logarithm) of a kept document.
-    threshold: float = -0.15
+    threshold: float = -0.25
     #: A trusted document has so many words at least, and so many symbols and runs of capitals in a hundred characters or words at most.
     trusted_words: int = 30
     trusted_symbol_percent: int = 1
