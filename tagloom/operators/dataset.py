@@ -15,6 +15,8 @@ from ..functions.tokens import approximate, of_chat
 from ..sources import registry
 
 SPLITS = ("train", "validation", "test")
+#: Ranges of a key in which rows are ranked apart.
+RANGES = 256
 
 
 def draw(key: Column, seed: int) -> Column:
@@ -56,20 +58,21 @@ def split_table(rows: DataFrame, stratum: str) -> DataFrame:
 
 
 def with_quota(rows: DataFrame, key: str, target: int) -> DataFrame:
-    """Each row once as the original (ordinal 0, null variation_id) and as many variations as brings the total to the target.
+    """Each row once as the original (ordinal 0, null variation_id) and as many variations as brings the total to the target; key is a number.
 
     (target - n) is shared evenly; the first rows by key get one more until the
     rest is used up. variation_id counts variations over all rows, by key. At
     or above the target there are no variations.
     """
-    # Positions come from counts of key ranges: no global sort in one task.
-    ranged = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("__at", F.monotonically_increasing_id())
-    part, offset = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    ranged = ranged.withColumns({"__part": part, "__offset": offset})
-    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__c"))  # a row for each partition
-    starts = sizes.select(F.col("__part").alias("__p"), F.coalesce(F.sum("__c").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__start"), F.sum("__c").over(Window.partitionBy()).alias("__n"))
-    placed = ranged.join(F.broadcast(starts), F.col("__part") == F.col("__p"))
-    return expand_quota(placed.withColumn("__place", F.col("__start") + F.col("__offset")), target, rows.columns, F.col("__place"), F.col("__n"))
+    # Positions come from ranks within key ranges and the counts of the ranges before: no global sort in one task.
+    cuts = rows.agg(F.percentile_approx(key, [i / RANGES for i in range(1, RANGES)], 10_000)).first()[0] or []
+    place = F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]), lambda c: c < F.col(key))) if cuts else F.lit(0)
+    ranged = rows.withColumn("__range", place)
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__c"))  # at most RANGES rows
+    starts = sizes.select(F.col("__range").alias("__r"), F.coalesce(F.sum("__c").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__start"), F.sum("__c").over(Window.partitionBy()).alias("__n"))
+    ranked = ranged.withColumn("__rank", F.row_number().over(Window.partitionBy("__range").orderBy(key)) - 1)
+    placed = ranked.join(F.broadcast(starts), F.col("__range") == F.col("__r"))
+    return expand_quota(placed.withColumn("__place", F.col("__start") + F.col("__rank")), target, rows.columns, F.col("__place"), F.col("__n"))
 
 
 def expand_quota(rows: DataFrame, target: int, columns: list[str], place: Column, n: Column) -> DataFrame:

@@ -146,7 +146,7 @@ def canonical(raw: Column) -> Column:
     return F.parse_json(raw).cast("string")
 
 
-def consistent_groups(rows: DataFrame, by: str, raw: str, size: str | None = None) -> DataFrame:
+def consistent_groups(rows: DataFrame, by: str, raw: str) -> DataFrame:
     """by, n, consistent: whether all labels of a group are equal. Minima and maxima are enough, so a large group is summed up before it meets."""
     text = canonical(F.col(raw))
     return rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), (F.min(text).eqNullSafe(F.max(text)) & (F.count(text) == F.count(F.lit(1)))).alias("consistent"))
@@ -158,15 +158,10 @@ def consistency(rows: DataFrame, by: str, raw: str) -> DataFrame:
 
 
 def upper_median(rows: DataFrame, value: str) -> DataFrame:
-    """min, max, mean and the element at n div 2 of the sorted values. Counts by value are summed, not the values gathered."""
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    return counts.agg(F.min("v").alias("min"), F.max("v").alias("max"), F.round(F.sum(F.col("v") * F.col("c")) / F.sum("c"), 4).alias("mean"), _upper("v", "c").alias("upper_median"))
-
-
-def _upper(v: str, c: str) -> Column:
-    """Of distinct values with counts, the first whose running count passes n div 2."""
-    at = f"(sum({c}) div 2)"
-    return F.expr(f"transform(array(struct(array_sort(collect_list(struct({v} as v, {c} as c))) as s, {at} as at)), x -> aggregate(x.s, struct(cast(0 as bigint) as n, cast(null as double) as r), (a, y) -> struct(a.n + y.c as n, if(a.r is null and a.n + y.c > x.at, cast(y.v as double), a.r) as r)).r)[0]")
+    """min, max, mean and the element at n div 2 of the sorted values: the discrete median from above."""
+    v = F.col(value)
+    upper = F.expr(f"percentile_disc(0.5) within group (order by `{value}` desc)").cast("double")
+    return rows.agg(F.min(v).alias("min"), F.max(v).alias("max"), F.round(F.avg(v), 4).alias("mean"), upper.alias("upper_median"))
 
 
 def token_levels(pages: DataFrame, key: str, html: str = "html", json: str | None = None, count=approximate) -> DataFrame:
