@@ -14,7 +14,7 @@ import random
 import re
 from collections.abc import Callable
 
-from .html_tree import Node, parse, serialise
+from .html_tree import RAW, VOID, Node, parse, serialise
 
 #: Names, texts and rules that are put in, and each profile's gates.
 WRAPPERS = ("container", "wrapper", "content", "main", "page-wrapper", "site-content", "app-root")
@@ -25,9 +25,13 @@ STYLES = (
     "body { margin: 0; padding: 0; }",
     "* { box-sizing: border-box; }",
 )
+NOISE_CLASSES = ("container", "wrapper", "content", "main", "section", "item", "block", "element", "component", "module")
+NOISE_DATA = ("id", "key", "index", "type")
+NOISE_STYLES = ("display: block", "margin: 0", "padding: 0", "position: relative", "box-sizing: border-box")
+NOISE_COMMENTS = ("Start of section", "End of section", "TODO: refactor this", "Generated by framework", "Container element")
 GATES = {
     "standard": (("wrapper_divs", 0.7), ("random_attrs", 0.6), ("comments", 0.5), ("styles", 0.4), ("whitespace", 0.5)),
-    "exploratory": (("wrapper_divs", 0.4), ("random_attrs", 0.6), ("styles", 0.3), ("comments", 0.4), ("whitespace", 0.5)),
+    "exploratory": (("numbered_wrappers", 0.4), ("noise_attrs", 0.6), ("inline_styles", 0.3), ("leading_comments", 0.4), ("pretty", 0.5)),
 }
 
 
@@ -85,7 +89,49 @@ def spaced(html: str, rng: random.Random) -> str:
     return html
 
 
-TREE_STEPS: dict[str, Callable[[Node, random.Random], None]] = {"wrapper_divs": wrap, "random_attrs": attributes, "comments": comments, "styles": styles}
+def numbered_wrappers(root: Node, rng: random.Random) -> None:
+    """One to three nested divs around the body's content, the outermost numbered 0."""
+    if body := _first(root, "body"):
+        inner, at = body.children, body
+        for i in range(rng.randint(1, 3)):
+            div = Node("div", {"class": f"wrapper-{i}"}, at)
+            at.children = [div]
+            at = div
+        at.children = inner
+        for x in inner:
+            if isinstance(x, Node):
+                x.parent = at
+
+
+def noise_attributes(root: Node, rng: random.Random) -> None:
+    """Each tag gets a class with some chance between 0.1 and 0.3, and a data attribute with half of it."""
+    chance = rng.uniform(0.1, 0.3)
+    for x in root.elements():
+        if rng.random() < chance:
+            x.attrs["class"] = " ".join([*(x.attrs.get("class") or "").split(), rng.choice(NOISE_CLASSES)])
+        if rng.random() < chance / 2:
+            x.attrs[f"data-{rng.choice(NOISE_DATA)}"] = f"value-{rng.randint(1, 1000)}"
+
+
+def inline_styles(root: Node, rng: random.Random) -> None:
+    chance = rng.uniform(0.05, 0.2)
+    for x in root.elements():
+        if rng.random() < chance:
+            x.attrs["style"] = "; ".join([s for s in (x.attrs.get("style"),) if s] + [rng.choice(NOISE_STYLES)])
+
+
+def leading_comments(root: Node, rng: random.Random) -> None:
+    """Three to ten comments, each as the first child of some tag; raw-text and void tags hold none."""
+    tags = [x for x in root.elements() if x.name not in VOID | RAW]
+    for _ in range(min(len(tags), rng.randint(3, 10))):
+        rng.choice(tags).children.insert(0, ("comment", f" {rng.choice(NOISE_COMMENTS)} "))
+
+
+TREE_STEPS: dict[str, Callable[[Node, random.Random], None]] = {
+    "wrapper_divs": wrap, "random_attrs": attributes, "comments": comments, "styles": styles,
+    "numbered_wrappers": numbered_wrappers, "noise_attrs": noise_attributes, "inline_styles": inline_styles, "leading_comments": leading_comments,
+}
+TEXT_STEPS: dict[str, Callable[[str, random.Random], str]] = {"whitespace": spaced, "pretty": lambda html, rng: serialise(parse(html), pretty=rng.random() < 0.5)}
 
 
 def vary(html: str, seed: int, base_id: object, variation_id: int, profile: str = "standard") -> tuple[str, list[str], list[str]]:
@@ -104,9 +150,10 @@ def vary(html: str, seed: int, base_id: object, variation_id: int, profile: str
                 applied.append(step)
             before = after
         html = before
-    if "whitespace" in planned:
-        after = spaced(html, rng)
-        if after != html:
-            applied.append("whitespace")
-        html = after
+    for step in planned:
+        if step in TEXT_STEPS:
+            after = TEXT_STEPS[step](html, rng)
+            if after != html:
+                applied.append(step)
+            html = after
     return html, planned, applied

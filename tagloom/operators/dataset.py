@@ -98,6 +98,12 @@ def variations(rows: DataFrame, key: str, html: str = "example_html", seed: int
     return made.withColumns({html: F.col("__v.html"), "metadata": meta}).drop("__v")
 
 
+def variation_grid(rows: DataFrame, key: str, per_base: int = 100) -> DataFrame:
+    """Each row ``per_base`` times with base_id and variation_id from 0, the original; null ids for the variation step there."""
+    grid = rows.select("*", F.col(key).alias("base_id"), F.explode(F.sequence(F.lit(0), F.lit(per_base - 1))).alias("ordinal"))
+    return grid.withColumn("variation_id", F.when(F.col("ordinal") > 0, F.col("ordinal").cast("long")))
+
+
 def chat_examples(rows: DataFrame, prompts: DataFrame, html: str = "example_html", answer: str = "expected_json") -> DataFrame:
     """rows(type, html, answer) with messages array<struct<role, content>>; a type without a prompt is an error."""
     joined = rows.join(F.broadcast(prompts), "type", "left")  # a few rows by construction

@@ -164,6 +164,21 @@ def upper_median(rows: DataFrame, value: str) -> DataFrame:
     return rows.agg(F.min(v).alias("min"), F.max(v).alias("max"), F.round(F.avg(v), 4).alias("mean"), upper.alias("upper_median"))
 
 
+def unlike_original(rows: DataFrame, base: str, variation: str, raw: str) -> DataFrame:
+    """base, n_unlike: variations whose label differs from that of variation 0 of their base. Originals are summed up before they meet their variations."""
+    text = canonical(F.col(raw))
+    first = rows.filter(F.col(variation) == 0).groupBy(base).agg(F.min(text).alias("__first"))
+    return rows.join(first, base).groupBy(base).agg(F.count_if(~text.eqNullSafe(F.col("__first"))).alias("n_unlike"))
+
+
+def validation_tally(rows: DataFrame, html: str, raw: str, required: list[str]) -> DataFrame:
+    """n, html_ok (not blank), json_ok (parses), keys_ok (an object with all required keys)."""
+    v = F.try_parse_json(raw)
+    keys = F.coalesce(F.json_object_keys(F.when(F.schema_of_variant(v).startswith("OBJECT"), F.col(raw))), F.array().cast("array<string>"))
+    complete_keys = F.size(F.array_except(F.array(*[F.lit(k) for k in required]), keys)) == 0
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(F.trim(html), F.lit("")) != "").alias("html_ok"), F.count_if(v.isNotNull()).alias("json_ok"), F.count_if(v.isNotNull() & complete_keys).alias("keys_ok"))
+
+
 def token_levels(pages: DataFrame, key: str, html: str = "html", json: str | None = None, count=approximate) -> DataFrame:
     """key and, for each level of cleaning, chars, tokens, percent less than the original, and label tokens per html token."""
     made = pages.withColumn("__c", html_levels.asNondeterministic()(F.col(html)))

@@ -238,6 +238,27 @@ def page_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("page_id", "ordinal", "variation_id", digest(F.col("example_html")).alias("html_md5"), "metadata.augmentations", "metadata.applied")
 
 
+@query()
+def exploratory_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("example_html"))
+    made = dataset.variations(dataset.variation_grid(pages, "page_id", 4), "page_id", profile="exploratory")
+    return made.select("base_id", "ordinal", "variation_id", digest(F.col("example_html")).alias("html_md5"), "metadata.augmentations", "metadata.applied")
+
+
+@query("""
+select count(*) as n, count(*) filter (trim(event_type) <> '') as html_ok, count(*) filter (json_valid(props)) as json_ok, count(*) filter (json_exists(props, '$.k')) as keys_ok from events""")
+def validation_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.validation_tally(table(spark, sf_dir, "events"), "event_type", "props", ["k"])
+
+
+@query("""
+with v as (select user_id, row_number() over (partition by user_id order by event_id) - 1 as variation, props from events)
+select user_id, count(*) filter (json_extract_string(v.props, '$.k') <> json_extract_string(f.props, '$.k')) as n_unlike from v join (select user_id, props from v where variation = 0) f using (user_id) group by user_id""")
+def unlike_original(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").withColumn("variation", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1)
+    return reports.unlike_original(events, "user_id", "variation", "props")
+
+
 @query(r"""select page_id, md5(replace(replace(html, '<div', chr(10) || '<div'), '><', '>' || chr(10) || '<')) as html_md5 from pages""")
 def whitespace_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
     spaced = F.replace(F.replace("html", F.lit("<div"), F.lit("\n<div")), F.lit("><"), F.lit(">\n<"))

@@ -17,6 +17,11 @@ def quoted(text: Column) -> Column:
     return listed.substr(F.lit(2), F.length(listed) - 2)
 
 
+def chat_line(messages: Column) -> Column:
+    """A chat example as one JSON line."""
+    return F.to_json(F.struct(messages.alias("messages")), {"ignoreNullFields": "false"})
+
+
 def write_lines(df: DataFrame, line: Column, path: str, order: str | None = None) -> None:
     """One text file in each partition, or with ``order`` (a column) one file in that order: small results only."""
     out = df.select(line.alias("value"), *([F.col(order)] if order else []))

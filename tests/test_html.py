@@ -90,3 +90,13 @@ def test_variations_are_reproducible_and_keep_the_text():
             assert html == PAGE
     assert seen == {"wrapper_divs", "random_attrs", "comments", "styles", "whitespace"}
     assert all("wrapper_divs" not in mutate.vary("<p>x</p>", 1, 1, v)[2] and "styles" not in mutate.vary("<p>x</p>", 1, 1, v)[2] for v in range(30))
+
+
+def test_exploratory_variations():
+    text, seen = h.visible_text(h.parse(PAGE)).split(), set()
+    for v in range(60):
+        html, planned, applied = mutate.vary(PAGE, 42, 7, v, "exploratory")
+        assert mutate.vary(PAGE, 42, 7, v, "exploratory")[0] == html and set(applied) <= set(planned)
+        assert h.visible_text(h.parse(html)).split() == text
+        seen |= set(applied)
+    assert seen == {n for n, _ in mutate.GATES["exploratory"]}

@@ -180,3 +180,18 @@ def test_token_levels(spark):
     assert got[1].original_tokens > got[1].minimal_tokens > got[1].moderate_tokens > 0 and got[2].minimal_reduction_pct is None and got[2].original_snr is None
     fit = {(x.context_window, x.level): x.fits for x in r.context_fit(r.token_levels(pages, "page_id")).collect()}
     assert len(fit) == 24 and fit[1024, "original"] == 2
+
+
+def test_grid_and_validation(spark):
+    rows = spark.createDataFrame([(1, "<p>", '{"type": "a", "n": 1}'), (2, " ", "{")], "id long, example_html string, expected_json string")
+    grid = d.variation_grid(rows, "id", 3)
+    assert sorted((x.base_id, x.ordinal, x.variation_id) for x in grid.collect()) == [(b, o, o or None) for b in (1, 2) for o in range(3)]
+    assert tuple(r.validation_tally(rows, "example_html", "expected_json", ["type"]).first()) == (2, 1, 1, 1)
+    assert tuple(r.validation_tally(rows, "example_html", "expected_json", ["type", "x"]).first()) == (2, 1, 1, 0)
+    pairs = spark.createDataFrame([(1, 0, '{"a":1,"b":2}'), (1, 1, '{"b":2,"a":1}'), (1, 2, '{"a":2}'), (2, 0, "{}")], "base_id int, variation_id int, raw string")
+    assert {x.base_id: x.n_unlike for x in r.unlike_original(pairs, "base_id", "variation_id", "raw").collect()} == {1: 1, 2: 0}
+
+
+def test_chat_lines(spark):
+    df = spark.createDataFrame([([("user", "é\n"), ("assistant", None)],)], "messages array<struct<role: string, content: string>>")
+    assert json.loads(df.select(sinks.chat_line(F.col("messages"))).first()[0]) == {"messages": [{"role": "user", "content": "é\n"}, {"role": "assistant", "content": None}]}
