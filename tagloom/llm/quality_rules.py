@@ -63,8 +63,15 @@ def repeat_words(words: Column) -> Column:
         steps = lambda p: F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(p, k + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
         return bound(ranked, lambda s: bound(places(s), steps))
 
+    def windows(h: Column) -> Column:
+        """Hashes of five words from those of two and four: each step looks up one element."""
+        two = F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1)))
+        four = lambda p: F.transform(p, lambda x, i: F.xxhash64(x, F.get(p, i + 2)))
+        five = lambda q: F.slice(F.transform(q, lambda x, i: F.xxhash64(x, F.get(h, i + 4))), F.lit(1), F.size(h) - (WINDOW - 1))
+        return bound(two, lambda p: bound(four(p), five))
+
     def count(w: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)]))
+        hashes = bound(F.transform(w, lambda x: F.xxhash64(x)), windows)
         return F.when(F.size(w) < WINDOW, F.lit(0)).otherwise(bound(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h))))
 
     return bound(words, count)
@@ -107,7 +114,8 @@ def fit(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> list[flo
     """Weight of each bucket: log of its count among trusted documents over the count expected from the raw corpus."""
     worded = docs.select(F.col(text).cast("string").alias("t")).select("t", words_of(F.col("t")).alias("w"))
     flagged = worded.select(F.coalesce(trusted(F.col("t"), F.col("w"), rules), F.lit(False)).cast("long").alias("good"), buckets_of(F.col("t"), F.col("w")).alias("buckets"))
-    grams = flagged.select("good", F.explode("buckets").alias("bucket"))  # a step of its own: else the flag is computed for every n-gram
+    # A step of its own: else the flag is computed for every n-gram. Outer: else a filter on the array's size computes it twice.
+    grams = flagged.select("good", F.explode_outer("buckets").alias("bucket")).filter("bucket is not null")
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target")).collect()  # at most as many rows as buckets
     weights = [0.0] * (WORD_BUCKETS + SHAPE_BUCKETS)
     raw, target = sum(r.raw for r in counts), sum(r.target for r in counts)
