@@ -5,8 +5,8 @@ and digits or signs that stand for letters to plain letters. The lexicon has
 seed words and terms learnt from a bounded sample: words, and beginnings of
 words (for compounds), that labelled texts have far more often if toxic. Of
 matches at the beginning of one word the heaviest counts; matches within an
-exception phrase don't count. The sum of weights and its density per word are
-combined by a logistic function, fitted on the same sample.
+exception phrase don't count. The sum of weights, its density per word and the
+heaviest weight are combined by a logistic function, fitted on the same sample.
 
 Edge cases: null and empty texts match nothing and get the score of that; with
 no labels of both kinds the seed words and a fixed function decide.
@@ -72,8 +72,8 @@ class Spec:
 class Model:
     #: Term to weight; a trailing * marks the beginning of a word.
     terms: dict[str, float]
-    #: Intercept and weights of log(1 + sum) and log(1 + 100 * sum / words).
-    logistic: tuple[float, float, float] = (-3.0, 2.0, 1.0)
+    #: Intercept and weights of log(1 + sum), log(1 + 100 * sum / words) and the heaviest weight.
+    logistic: tuple[float, ...] = (-3.0, 2.0, 1.0, 0.0)
 
 
 class Matcher:
@@ -88,8 +88,8 @@ class Matcher:
             self.machine.add_word(term, (len(term), whole, stem, term in EXCEPTIONS))
         self.machine.make_automaton()
 
-    def sums(self, text: str | None) -> tuple[float, int]:
-        """Sum of weights, and number of words."""
+    def sums(self, text: str | None) -> tuple[float, int, float]:
+        """Sum of weights, number of words, heaviest weight."""
         t = fold(text)
         found: dict[int, float] = {}
         spared: list[tuple[int, int]] = []
@@ -106,11 +106,11 @@ class Matcher:
         for a, b in spared:
             for s in [s for s in found if a <= s <= b]:
                 del found[s]
-        return sum(found.values()), len(t.split())
+        return sum(found.values()), len(t.split()), max(found.values(), default=0.0)
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        sums = np.array([self.sums(t) for t in texts], float).reshape(-1, 2)
-        return np.stack((np.ones(len(sums)), np.log1p(sums[:, 0]), np.log1p(100 * sums[:, 0] / np.maximum(1, sums[:, 1]))), 1)
+        sums = np.array([self.sums(t) for t in texts], float).reshape(-1, 3)
+        return np.stack((np.ones(len(sums)), np.log1p(sums[:, 0]), np.log1p(100 * sums[:, 0] / np.maximum(1, sums[:, 1])), sums[:, 2]), 1)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.features(texts) @ np.array(self.model.logistic), -40, 40)))
@@ -145,7 +145,7 @@ def _terms(sample: DataFrame, spec: Spec) -> DataFrame:
 
 
 def fit(sample: DataFrame, spec: Spec = Spec()) -> Model:
-    """The model of a bounded sample (id, text, label). At most ``max_terms`` terms, and two sums of each document, reach the driver."""
+    """The model of a bounded sample (id, text, label). At most ``max_terms`` terms, and three numbers of each document, reach the driver."""
     sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     terms = {w: SEED_WEIGHT for w in SEEDS}
     if len(sizes) < 2:
@@ -162,11 +162,11 @@ def fit(sample: DataFrame, spec: Spec = Spec()) -> Model:
         matcher = Matcher(sent.value)
         for b in batches:
             x = matcher.features(b.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 1]), pa.array(x[:, 2]), b.column(1)], ["a", "b", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 1]), pa.array(x[:, 2]), pa.array(x[:, 3]), b.column(1)], ["a", "b", "c", "label"])
 
-    rows = sorted((r.a, r.b, r.label) for r in sample.select("text", "label").mapInArrow(run, "a double, b double, label int").collect())
+    rows = sorted((r.a, r.b, r.c, r.label) for r in sample.select("text", "label").mapInArrow(run, "a double, b double, c double, label int").collect())
     data = np.array(rows, float)
-    model.logistic = tuple(logistic(np.column_stack((np.ones(len(data)), data[:, :2])), data[:, 2]).tolist())
+    model.logistic = tuple(logistic(np.column_stack((np.ones(len(data)), data[:, :3])), data[:, 3]).tolist())
     return model
 
 
