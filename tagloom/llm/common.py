@@ -32,9 +32,20 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: lineage ends here, and a lost executor costs nothing before it."""
+    return saved(df, name)[0]
+
+
+def saved(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``written``, with the path."""
     spark = df.sparkSession
     df.write.parquet(path := new_path(spark, name))
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a written table that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Connected components of links, by alternating large and small stars over DataFrames.
 
 Each round is two aggregations with map-side minima and two joins whose skewed
-partitions Spark splits; the links of a round are written to the shared folder.
+partitions Spark splits; the links of a round are written to the shared folder, and those of the round
+before removed.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, saved
 
 
 class Forest:
@@ -54,7 +55,7 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node of links(a, b), both long; root is the smallest node it reaches. Nodes without a link to another have no row."""
     links = links.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
-    links = written(links.mapInArrow(_contract, "a long, b long").distinct(), "links")
+    links, path = saved(links.mapInArrow(_contract, "a long, b long").distinct(), "links")
     before = None
     while True:
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003), F.count_if(F.col("a") <= F.col("b"))).first()
@@ -68,4 +69,6 @@ def components(links: DataFrame) -> DataFrame:
         # Small star: a node and its smaller neighbours move to the smallest of these.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("x")).select("x.*")
-        links = written(small.filter("a <> b").distinct(), "links")
+        old = path
+        links, path = saved(small.filter("a <> b").distinct(), "links")
+        discard(links.sparkSession, old)
