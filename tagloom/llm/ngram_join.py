@@ -192,7 +192,7 @@ def _candidates(docs: DataFrame, spec: JoinSpec, parts: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             rows = [(p, data, None, None, None, None) for p, data in (_blocks(parts, *_pairs(sigs, nodes)) if sigs else ())]
-            rows += [(hi % parts, None, doc, hi, n, (lo, vec)) for doc, hi, n, lo, vec in ids]
+            rows += [((doc or 0) % parts, None, doc, hi, n, (lo, vec)) for doc, hi, n, lo, vec in ids]  # by id: copies have one key
             kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             columns += [pa.array([r[5] and r[5][i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.binary()))]
