@@ -8,10 +8,10 @@ one document alone can't repeat. No window longer than the full one matters,
 so there the doubling ends.
 
 At level 2 a row holds a run of full windows that share a half window, up to
-length/2 + 1 of them. Rows are sorted by half window and document; a pass over
+length/2 + 1 of them; equal runs of a document share a row. Rows are sorted by half window and document; a pass over
 them keeps the first document of each full window. Half windows with very many
 rows take another way: the least document of each full window by map-side
-minima, and a join whose skewed partitions Spark splits.
+minima, and a salted join.
 
 Edge cases: null and empty texts have no words and lose none; texts with fewer
 words than the length lose none; repeats within one document, or among rows
@@ -35,6 +35,10 @@ from .common import WORD, written
 from .hashing import WordHasher, windows
 
 
+#: Tasks over which the rows of one hot window are dealt.
+SALTS = 32
+
+
 @dataclass(frozen=True)
 class Spec:
     #: Words in a window; even.
@@ -75,11 +79,11 @@ def _level1(docs: DataFrame, spec: Spec) -> DataFrame:
     return docs.mapInArrow(run, "half long, doc long")
 
 
-RUN = "half long, doc long, start int, hot boolean, windows binary"
+RUN = "half long, doc long, starts array<int>, hot boolean, windows binary"
 
 
 def _level2(docs: DataFrame, repeated: DataFrame, spec: Spec) -> DataFrame:
-    """Runs of full windows under half windows that repeat."""
+    """Runs of full windows under half windows that repeat; equal runs of a document (of a word said over and over) are one row with their starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -92,22 +96,28 @@ def _level2(docs: DataFrame, repeated: DataFrame, spec: Spec) -> DataFrame:
                 chosen = half[place].view(np.int64)
                 ends = np.append(starts[1:], len(full))
                 for known, is_hot in ((cold, False), (hot, True)):
+                    equal: dict[tuple[int, bytes], list[int]] = {}
                     for k in np.flatnonzero(np.isin(chosen, np.array(known or [], np.int64))).tolist():
-                        rows.append((int(chosen[k]), doc, int(starts[k]), is_hot, full[starts[k] : ends[k]].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()))], ["half", "doc", "start", "hot", "windows"])
+                        equal.setdefault((int(chosen[k]), full[starts[k] : ends[k]].tobytes()), []).append(int(starts[k]))
+                    rows += [(h, doc, at, is_hot, data) for (h, data), at in equal.items()]
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["half", "doc", "starts", "hot", "windows"])
 
     lists = repeated.groupBy("doc").agg(*[F.collect_list(F.when(F.col("hot") == h, F.col("half"))).alias(n) for n, h in (("cold_halves", False), ("hot_halves", True))])
     return docs.join(lists, "doc").select("doc", "text", "cold_halves", "hot_halves").mapInArrow(run, RUN)
 
 
+MARK = "doc long, starts array<int>, bits long"
+
+
 def _marks(runs: DataFrame) -> DataFrame:
-    """(doc, start, bits): bit i is set if the window at start + i begins in a smaller document as well."""
+    """Rows of MARK: bit i is set if the windows at starts + i begin in a smaller document as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, first = None, {}
         for b in batches:
-            out: list[tuple[int, int, int]] = []
-            for half, doc, start, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            out: list[tuple[int, list[int], int]] = []
+            for half, doc, starts, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if half != now:
                     now, first = half, {}
                 bits = 0
@@ -115,30 +125,28 @@ def _marks(runs: DataFrame) -> DataFrame:
                     if first.setdefault(w, doc) != doc:
                         bits |= 1 << i
                 if bits:
-                    out.append((doc, start, bits))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64()))], ["doc", "start", "bits"])
+                    out.append((doc, starts, bits))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.list_(pa.int32()), pa.int64()))], ["doc", "starts", "bits"])
 
-    sorted_ = runs.select("half", "doc", "start", "windows").repartition("half").sortWithinPartitions("half", "doc")
-    return sorted_.mapInArrow(run, "doc long, start int, bits long")
+    sorted_ = runs.select("half", "doc", "starts", "windows").repartition("half").sortWithinPartitions("half", "doc")
+    return sorted_.mapInArrow(run, MARK)
 
 
 def _hot_marks(runs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data = [np.frombuffer(x, np.int64) for x in b.column(2).to_pylist()]
-            sizes = [len(x) for x in data]
-            if not data:
-                continue
-            starts = np.repeat(np.array(b.column(1).to_pylist(), np.int32), sizes) + np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(data)), pa.array(np.repeat(np.array(b.column(0).to_pylist(), np.int64), sizes)), pa.array(starts.astype(np.int32))], ["w", "doc", "start"])
+            rows = [(w, doc, starts, 1 << i) for doc, starts, data in zip(*(c.to_pylist() for c in b.columns), strict=True) for i, w in enumerate(np.frombuffer(data, np.int64).tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64()))], ["w", "doc", "starts", "bits"])
 
-    each = runs.select("doc", "start", "windows").mapInArrow(run, "w long, doc long, start int")
-    least = each.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("w", "least")
-    return each.join(least, "w").filter("doc > least").select("doc", "start", F.lit(1).cast("long").alias("bits"))
+    each = runs.select("doc", "starts", "windows").mapInArrow(run, f"w long, {MARK}")
+    # Least documents have map-side minima; rows of one window are dealt over SALTS tasks, each with a copy of its minimum.
+    least = each.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("w", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = each.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    return salted.join(least, ["w", "salt"]).filter("doc > least").select("doc", "starts", "bits")
 
 
 def repeats(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
-    """(doc, marks array<struct<start, bits>>) of the documents that lose words; docs has doc and text."""
+    """(doc, marks array<struct<starts, bits>>) of the documents that lose words; docs has doc and text."""
     if spec.length % 2 or not 2 <= spec.length <= 124:
         raise ValueError("length must be even and at most 124")
     halves = written(_level1(docs, spec), "halves")
@@ -146,20 +154,20 @@ def repeats(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     repeated = halves.join(often.select("half", (F.col("c") > spec.hot).alias("hot")), "half")
     runs = written(_level2(docs.filter("doc is not null"), repeated, spec), "runs")
     marks = _marks(runs.filter("not hot")).union(_hot_marks(runs.filter("hot")))
-    return marks.groupBy("doc").agg(F.collect_list(F.struct("start", "bits")).alias("marks"))
+    return marks.groupBy("doc").agg(F.collect_list(F.struct("starts", "bits")).alias("marks"))
 
 
 def _removed(n: int, marks: list[dict] | None, length: int) -> np.ndarray:
     """Whether each of n words is covered by a marked window."""
     step = np.zeros(n + 1, np.int32)
     for m in marks or ():
-        bits, start = m["bits"], m["start"]
+        bits, starts = m["bits"], np.array(m["starts"], np.int64)
         while bits:
             low = bits & -bits
-            at = start + low.bit_length() - 1
-            if at + length <= n:  # else a mark of another row with this id
-                step[at] += 1
-                step[at + length] -= 1
+            at = starts + low.bit_length() - 1
+            at = at[at + length <= n]  # else a mark of another row with this id
+            np.add.at(step, at, 1)
+            np.add.at(step, at + length, -1)
             bits ^= low
     return np.cumsum(step[:-1]) > 0
 

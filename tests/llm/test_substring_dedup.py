@@ -31,7 +31,7 @@ def corpus(seed, length):
     for _ in range(40):
         parts = [rng.choice(passages) if rng.random() < 0.5 else [rng.choice(words) for _ in range(rng.randint(0, length))] for _ in range(rng.randint(0, 6))]
         docs.append(rng.choice((" ", "\n", "\t ")).join(w for p in parts for w in p))
-    docs += [docs[3], docs[3], "", None]
+    docs += [docs[3], docs[3], "", None, "a " * 4 * length, "b " + "a " * 3 * length, "a b " * 2 * length]
     ids = list(range(len(docs)))
     rng.shuffle(ids)
     return list(zip(ids, docs, strict=True))
