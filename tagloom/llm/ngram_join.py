@@ -11,7 +11,8 @@ Exact, in four steps, none of which gathers a group in one place unsplit:
    pair of nodes is passed over when the summed minima of its largest counts is
    too small for any link, and pairs whose own summed minima allow a link are
    joined to candidate clusters. So documents that share only a passage part.
-   Very large cells are joined unseen, which only makes clusters larger.
+   Very large cells are passed over by documents that must meet any partner in
+   another cell too (``Bands``); those of the others are joined unseen.
 2. Equal sets become one class (its smallest id); only classes in a cluster with
    others are looked at again; their texts are fetched once.
 3. Join. Each cluster is dealt into blocks of bounded size. In a block the
@@ -52,7 +53,7 @@ class JoinSpec:
     leaf: int = 32
     fan: int = 8
     #: Members of a cell that are looked at together.
-    cell: int = 20_000
+    cell: int = 2_000
     #: Set elements in a block of a cluster, classes that all its blocks share.
     block_elements: int = 2_000_000
     pivots: int = 16
@@ -91,6 +92,8 @@ class Bands:
     difference has at most H elements. With H + 1 + e groups at least e + 1
     agree, so unless both sets leave more than e groups empty, a non-empty one
     does. A set with more than e empty groups emits its empty groups as well.
+    Groups whose content very many sets share count like empty ones: up to e of
+    both together may be passed over. What is left of e is the set's slack.
     """
 
     def __init__(self, spec: JoinSpec):
@@ -117,26 +120,28 @@ class Bands:
         mean, load = k * (1 - 1 / k) ** n, n / k
         return mean + 4 * max(0.0, k * np.exp(-load) * (1 - (1 + load) * np.exp(-load))) ** 0.5
 
-    def signatures(self, s: np.ndarray) -> np.ndarray:
+    def signatures(self, s: np.ndarray) -> tuple[np.ndarray, int]:
+        """Signatures of a set in its bands, and its slack (-1: none of its groups may be passed over)."""
         n = len(s)
         if not n:
-            return np.empty(0, np.uint64)
+            return np.empty(0, np.uint64), -1
         b = int(np.searchsorted(self.low, n, "right")) - 1
         mixed = mix(s ^ np.uint64(0x2545F4914F6CDD1D))
         out = [self._of_band(s, mixed, b)]
         if b and self.spec.den * (self.low[b] - 1) >= self.spec.num * n:  # it may link with a set of the band below
             out.append(self._of_band(s, mixed, b - 1))
-        return np.concatenate(out)
+        return np.concatenate([x for x, _ in out]), min(slack for _, slack in out)
 
-    def _of_band(self, s: np.ndarray, mixed: np.ndarray, b: int) -> np.ndarray:
+    def _of_band(self, s: np.ndarray, mixed: np.ndarray, b: int) -> tuple[np.ndarray, int]:
         k = self.k[b]
         group = ((s >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)  # s is sorted, and so is this
         starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
         sums, groups = np.add.reduceat(mixed, starts), group[starts]
-        if k - len(starts) > self.e[b]:
+        slack = max(-1, self.e[b] - (k - len(starts)))
+        if slack < 0:
             empty = np.setdiff1d(np.arange(k, dtype=np.uint64), groups)
             sums, groups = np.concatenate((sums, np.zeros(len(empty), np.uint64))), np.concatenate((groups, empty))
-        return mix(sums ^ mix(np.uint64(b << 40) + groups + np.uint64(1)))
+        return mix(sums ^ mix(np.uint64(b << 40) + groups + np.uint64(1))), slack
 
 
 def _key(s: np.ndarray) -> tuple[int, int]:
@@ -162,29 +167,27 @@ def _blocks(p: int, sig: np.ndarray, node: np.ndarray) -> list[tuple[int, bytes]
 
 
 def _cells(sig: np.ndarray, node: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of cells with several members: cell number and member, each member list once; and pairs that join the members of cells over the limit."""
+    """Of cells with several members: cell number and member, each member list once; and, as pairs, signature and member of cells over the limit."""
     starts = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(sig)])))
     number = mix(np.add.reduceat(mix(node.view(np.uint64)), starts) ^ sizes.astype(np.uint64)).view(np.int64)
     _, first = np.unique(number, return_index=True)
     chosen = np.zeros(len(starts), bool)
     chosen[first] = True
-    chosen &= sizes > 1
-    small, large = np.repeat(chosen & (sizes <= limit), sizes), np.repeat(chosen & (sizes > limit), sizes)
-    head = np.repeat(node[starts], sizes)
-    return np.repeat(number, sizes)[small], node[small], np.stack((node, head), 1)[large & (node != head)]
+    small, large = np.repeat(chosen & (sizes > 1) & (sizes <= limit), sizes), np.repeat(sizes > limit, sizes)
+    return np.repeat(number, sizes)[small], node[small], np.stack((sig.view(np.int64), node), 1)[large]
 
 
-FOUND = "kind byte, a long, b long, n long, lo long, counts binary"
+FOUND = "kind byte, a long, b long, n long, lo long, slack long, counts binary"
 
 
 def _found(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     nothing = pa.nulls(len(a), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), nothing, nothing, pa.nulls(len(a), pa.binary())], ["kind", "a", "b", "n", "lo", "counts"])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), nothing, nothing, nothing, pa.nulls(len(a), pa.binary())], ["kind", "a", "b", "n", "lo", "slack", "counts"])
 
 
 def _candidates(docs: DataFrame, spec: JoinSpec, parts: int) -> DataFrame:
-    """Rows of FOUND. Kind 1: cell a has node b. Kind 2: document a has node b, set size n, the other key half lo and its count vector. Kind 3: nodes a and b are joined unseen."""
+    """Rows of FOUND. Kind 1: cell a has node b. Kind 2: document a has node b, set size n, the other key half lo, its slack and its count vector. Kind 3: very large cell a has node b."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bands = WordHasher(), Bands(spec)
@@ -192,19 +195,20 @@ def _candidates(docs: DataFrame, spec: JoinSpec, parts: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             rows = [(p, data, None, None, None, None) for p, data in (_blocks(parts, *_pairs(sigs, nodes)) if sigs else ())]
-            rows += [((doc or 0) % parts, None, doc, hi, n, (lo, vec)) for doc, hi, n, lo, vec in ids]  # by id: copies have one key
+            rows += [((doc or 0) % parts, None, doc, hi, n, (lo, slack, vec)) for doc, hi, n, lo, slack, vec in ids]  # by id: copies have one key
             kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-            columns += [pa.array([r[5] and r[5][i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.binary()))]
-            return pa.RecordBatch.from_arrays(columns, ["p", "data", "a", "b", "n", "lo", "counts"])
+            columns += [pa.array([r[5] and r[5][i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+            return pa.RecordBatch.from_arrays(columns, ["p", "data", "a", "b", "n", "lo", "slack", "counts"])
 
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = shingles(hasher.of(text, lower=True), spec.n)
                 hi, lo = _key(s)
-                ids.append((doc, hi, len(s), lo, counts(s, groups_of(len(s))).tobytes()))
+                found, slack = bands.signatures(s)
+                ids.append((doc, hi, len(s), lo, slack, counts(s, groups_of(len(s))).tobytes()))
                 if len(s):
-                    sigs.append(bands.signatures(s))
+                    sigs.append(found)
                     nodes.append(np.full(len(sigs[-1]), hi, np.int64))
                     held += len(sigs[-1])
                 if held >= spec.buffer or len(ids) >= 20_000:
@@ -222,7 +226,7 @@ def _candidates(docs: DataFrame, spec: JoinSpec, parts: int) -> DataFrame:
                 nodes.append(np.frombuffer(data[half:], np.int64))
             own = b.filter(b.column(1).is_null())
             if own.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(own.num_rows, 2, np.int8)), *own.columns[2:]], ["kind", "a", "b", "n", "lo", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(own.num_rows, 2, np.int8)), *own.columns[2:]], ["kind", "a", "b", "n", "lo", "slack", "counts"])
         if sigs:
             sig, node = _pairs(sigs, nodes)
             sigs, nodes = [], []
@@ -232,7 +236,7 @@ def _candidates(docs: DataFrame, spec: JoinSpec, parts: int) -> DataFrame:
             if len(large):
                 yield _found(3, large[:, 0], large[:, 1])
 
-    packed = docs.mapInArrow(pack, "p int, data binary, a long, b long, n long, lo long, counts binary").repartition(parts, "p")
+    packed = docs.mapInArrow(pack, "p int, data binary, a long, b long, n long, lo long, slack long, counts binary").repartition(parts, "p")
     return packed.mapInArrow(unpack, FOUND)
 
 
@@ -269,10 +273,17 @@ def _clusters(found: DataFrame, spec: JoinSpec) -> DataFrame:
         if len(rows) > 1:
             yield batch(finish())
 
-    vectors = found.filter("kind = 2").select(F.col("b").alias("node"), "n", "counts").groupBy("node").agg(F.first("n").alias("n"), F.first("counts").alias("counts"))
+    nodes = found.filter("kind = 2").groupBy(F.col("b").alias("node")).agg(F.first("n").alias("n"), F.first("slack").alias("slack"), F.first("counts").alias("counts"))
     cells = found.filter("kind = 1").select(F.col("a").alias("cell"), F.col("b").alias("node")).distinct()
-    members = cells.join(vectors, "node").select("cell", "node", "n", "counts").repartition("cell").sortWithinPartitions("cell", "node")
-    return components(members.mapInArrow(run, "a long, b long").union(found.filter("kind = 3").select("a", "b")))
+    members = cells.join(nodes, "node").select("cell", "node", "n", "counts").repartition("cell").sortWithinPartitions("cell", "node")
+    seen = members.mapInArrow(run, "a long, b long")
+    # Very large cells: who has no more of them than its slack meets its partners elsewhere.
+    large = found.filter("kind = 3").select(F.col("a").alias("cell"), F.col("b").alias("node"))
+    bound_to = large.groupBy("node").agg(F.count(F.lit(1)).alias("c")).join(nodes, "node").filter("c > slack").select("node")
+    kept = large.join(bound_to, "node")
+    heads = kept.groupBy("cell").agg(F.min("node").alias("head"))
+    unseen = kept.join(heads, "cell").filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    return components(seen.union(unseen))
 
 
 class CountTree:
