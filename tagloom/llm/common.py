@@ -15,6 +15,8 @@ WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 SPACES = r"[\x20\x09-\x0D]+"
 #: Characters of text that a Python step handles at a time.
 CHUNK_CHARS = 1_000_000
+#: Bytes of an Arrow batch that Python gets.
+BATCH_BYTES = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,6 +50,12 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """df; from now on its session hands Python at most BATCH_BYTES at a time, whatever the length of the texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
