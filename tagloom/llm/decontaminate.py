@@ -3,11 +3,16 @@
 Tokens are canonicalised: numbers, units and names (capitalised words that
 don't begin a sentence) become typed placeholders, other words lose case and
 outer punctuation. Windows of eight canonical tokens of the benchmark are the
-build side of a hash join with those of the documents; hits that lie on one
-alignment of document and item are one match. The original values in the
+build side of a hash join with those of the documents. Whether a word is a name
+depends on its capitals, so windows are joined by their plain tokens as well,
+which have no placeholders and no case: copies in capitals, in title case, in
+lower case or within a sentence are found by these. Hits of either kind that
+lie on one alignment of document and item are one match. The original values in the
 placeholders must correspond one to one along a match: numbers may change, but
-the same number in the same way. So verbatim and re-parameterised copies are
-found, and look-alike templates with unrelated values are not.
+the same number in the same way; values are compared without case. So verbatim
+and re-parameterised copies are found, and look-alike templates with unrelated
+values are not. A copy whose case and values both changed is found as far as its
+names are still capitalised alike.
 
 A document is contaminated by an item if a consistent match has a run of
 ``min_run`` tokens (the whole item if it is shorter), or consistent windows
@@ -84,23 +89,24 @@ class Canon:
 
     def _reset(self) -> None:
         self.index: dict[str, int] = {}
-        # By token: hash at the beginning of a sentence and elsewhere, placeholder at either place (bits), sentence end, nothing left.
+        # By token: hash at the beginning of a sentence, elsewhere and without placeholders, placeholder at either place (bits), sentence end, nothing left.
         n = CACHE_TOKENS // 8
-        self.first, self.inner = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        self.first, self.inner, self.plain = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
         self.slot, self.ends, self.empty = np.zeros(n, np.int8), np.zeros(n, bool), np.zeros(n, bool)
 
     def _learn(self, raw: str) -> int:
         i = len(self.index)
         if i == len(self.first):
-            for name in ("first", "inner", "slot", "ends", "empty"):
+            for name in ("first", "inner", "plain", "slot", "ends", "empty"):
                 own = getattr(self, name)
                 setattr(self, name, np.concatenate((own, np.zeros_like(own))))
         core = strip(raw)
-        low = core.lower()
+        low = core.casefold()
         plain = PLACEHOLDERS[0] if NUMBER.fullmatch(core) or low in NUMBER_WORDS else PLACEHOLDERS[1] if low in UNITS else low
         name = PLACEHOLDERS[2] if plain == low and core[:1].isupper() else plain
         self.first[i] = xxhash.xxh3_64_intdigest(plain)
         self.inner[i] = xxhash.xxh3_64_intdigest(name)
+        self.plain[i] = xxhash.xxh3_64_intdigest(low)
         self.slot[i] = (plain != low) + 2 * (name != low)
         self.ends[i] = raw.endswith(ENDS)
         self.empty[i] = not core
@@ -109,6 +115,10 @@ class Canon:
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Hashes of the canonical tokens, whether each is a placeholder, and the raw tokens."""
+        return self.both(text)[:3]
+
+    def both(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """As ``tokens``, with the hashes of the plain tokens."""
         raw = (text or "").split()
         if len(self.index) > CACHE_TOKENS:
             self._reset()
@@ -122,7 +132,7 @@ class Canon:
             at = at[kept]
         begins = np.ones(len(at), bool)
         begins[1:] = ends[at[:-1]]
-        return np.where(begins, first[at], inner[at]), np.where(begins, slot[at] & 1, slot[at] >> 1).astype(bool), raw
+        return np.where(begins, first[at], inner[at]), np.where(begins, slot[at] & 1, slot[at] >> 1).astype(bool), raw, self.plain[at]
 
 
 class Probe:
@@ -131,16 +141,20 @@ class Probe:
     def __init__(self, items: list[tuple[int, str | None]], spec: Spec):
         canon, self.spec = Canon(), spec
         self.items: dict[int, tuple[int, np.ndarray, np.ndarray, list[str], int]] = {}
-        found: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        # Typed and plain windows share a table: without placeholders they are the same, with them no hash is both. With each goes whether it is plain.
+        found: dict[int, dict[int, list[tuple[int, int, bool]]]] = defaultdict(lambda: defaultdict(list))
         for n, (item, text) in enumerate(items):
-            tokens, slots, raw = canon.tokens(text)
+            tokens, slots, raw, plain = canon.both(text)
             if len(tokens) < spec.min_item:
                 continue
             w = min(spec.window, len(tokens))
             at = self.usable(windows(tokens, w), slots, w)
             self.items[n] = (item, tokens, slots, raw, w)
+            literal = windows(plain, w)
             for q, h in zip(at[0].tolist(), at[1].tolist(), strict=True):
-                found[w][h].append((n, q))
+                if h != int(literal[q]):
+                    found[w][h].append((n, q, False))
+                found[w][int(literal[q])].append((n, q, True))
         self.tables = {}
         for w, by_hash in found.items():
             bits = np.zeros(1 << 20, bool)
@@ -156,35 +170,49 @@ class Probe:
 
     def matches(self, canon: Canon, text: str | None) -> list[tuple[int, int, float, int]]:
         """(item, consistent windows, their share of the item's, changed slots) for each item that contaminates the text."""
-        tokens, slots, raw = canon.tokens(text)
-        lines: dict[tuple[int, int], set[int]] = defaultdict(set)
+        tokens, slots, raw, plain = canon.both(text)
+        lines: dict[tuple[int, int], tuple[set[int], set[int]]] = defaultdict(lambda: (set(), set()))
         for w, (bits, by_hash) in self.tables.items():
             hashes = windows(tokens, w)
-            for p in np.flatnonzero(bits[(hashes >> np.uint64(44)).astype(np.int64)]).tolist():
-                for n, q in by_hash.get(int(hashes[p]), ()):
-                    lines[n, p - q].add(q)
-        good: dict[int, tuple[set[int], int, int]] = {}
-        for (n, shift), starts in lines.items():
-            kept, changed = self._consistent(n, shift, sorted(starts), slots, raw)
-            if kept:
-                before = good.get(n, (set(), 0, 0))
-                good[n] = (before[0] | kept, max(before[1], self._run(kept, self.items[n][4])), max(before[2], changed))
-        out = []
-        for n, (kept, run, changed) in good.items():
+            for h in (hashes, windows(plain, w)) if slots.any() else (hashes,):
+                for p in np.flatnonzero(bits[(h >> np.uint64(44)).astype(np.int64)]).tolist():
+                    for n, q, literal in by_hash.get(int(h[p]), ()):
+                        lines[n, p - q][literal].add(q)
+        # The typed hits beside the plain ones, and by themselves: plain hits come first, and values of theirs can rule out typed ones.
+        good: dict[tuple[int, bool], tuple[set[int], int, int]] = {}
+        for (n, shift), (typed, literal) in lines.items():
+            beside = self._consistent(n, shift, sorted(typed), slots, raw, literal)
+            alone = beside if len(beside[0]) == len(typed | literal) else self._consistent(n, shift, sorted(typed | self._bare(n, literal)), slots, raw)
+            for way, (kept, changed) in ((True, beside), (False, alone)):
+                if kept:
+                    before = good.get((n, way), (set(), 0, 0))
+                    good[n, way] = (before[0] | kept, max(before[1], self._run(kept, self.items[n][4])), max(before[2], changed))
+        out: dict[int, tuple[int, int, float, int]] = {}
+        for (n, _), (kept, run, changed) in good.items():
             item, its, _, _, w = self.items[n]
             share = len(kept) / (len(its) - w + 1)
-            if run >= min(self.spec.min_run, len(its)) or share >= self.spec.share:
-                out.append((item, len(kept), share, changed))
-        return out
+            if (run >= min(self.spec.min_run, len(its)) or share >= self.spec.share) and (n not in out or out[n][1] < len(kept)):
+                out[n] = (item, len(kept), share, changed)
+        return list(out.values())
+
+    def _bare(self, n: int, starts: set[int]) -> set[int]:
+        """Those of an item's windows that have no placeholders."""
+        _, _, slots, _, w = self.items[n]
+        return {q for q in starts if not slots[q : q + w].any()}
 
-    def _consistent(self, n: int, shift: int, starts: list[int], slots: np.ndarray, raw: list[str]) -> tuple[set[int], int]:
-        """Windows along an alignment whose placeholders correspond one to one with those before, and how many values differ."""
+    def _consistent(self, n: int, shift: int, starts: list[int], slots: np.ndarray, raw: list[str], literal: set[int] | frozenset[int] = frozenset()) -> tuple[set[int], int]:
+        """Windows along an alignment whose placeholders correspond one to one with those before, and how many values differ.
+
+        Literal windows all count, and their values stand for themselves.
+        """
         _, _, its_slots, its_raw, w = self.items[n]
-        to: dict[str, str] = {}
-        back: dict[str, str] = {}
-        kept, changed = set(), set()
+        own = {strip(its_raw[i]).casefold() for q in literal for i in range(q, q + w) if its_slots[i]}
+        to, back = {a: a for a in own}, {a: a for a in own}
+        kept, changed = set(literal), set()
         for q in starts:
-            pairs = [(strip(its_raw[i]), strip(raw[i + shift])) for i in range(q, q + w) if its_slots[i]]
+            if q in kept:
+                continue
+            pairs = [(strip(its_raw[i]).casefold(), strip(raw[i + shift]).casefold()) for i in range(q, q + w) if its_slots[i]]
             if all(to.get(a, b) == b and back.get(b, a) == a for a, b in pairs) and len({a for a, _ in pairs}) == len({b for _, b in pairs}):
                 to.update(pairs)
                 back.update((b, a) for a, b in pairs)

@@ -74,3 +74,22 @@ def test_query_is_the_brute_forces(spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert d.contaminations(df, empty).count() == 0 and d.clean(df, empty).count() == df.count()
     assert d.contaminations(spark.createDataFrame([], df.schema), bench).count() == 0
+
+
+def test_copies_in_another_case():
+    upper, lower, title = ITEM.upper(), ITEM.lower(), ITEM.title()
+    for copy in (upper, lower, title, f"and so {upper} he said", f"someone asked whether {title} or so", f"nobody knew that {lower} at all"):
+        assert hits(copy) == {1}, copy
+        assert d.Probe([(1, ITEM)], d.Spec()).matches(d.Canon(), copy)[0][3] == 0, copy
+    short = "What is the true capital of my country"
+    for copy in (f"they asked What is the true capital of my country and left", short.upper(), short.title(), short.lower()):
+        assert hits(copy, [(1, short)]) == {1}, copy
+    assert hits("STRASSE UND HAUS UND HOF AM SEE", [(1, "Straße und Haus und Hof am See")]) == {1}
+    assert hits("THE BOAT LEAVES BOSTON AT 9 AND CARRIES 120 PEOPLE IN 3 ROWS, SO WHO IS IT") == set()
+
+
+def test_plain_hits_take_nothing_from_typed_ones():
+    words = "red box on the floor holds 5 balls and the blue box by the door holds 5 balls of wool and a green box holds 5 balls more"
+    told = words.replace("5", "8", 2)  # the last value is the item's own
+    got = d.Probe([(1, words)], d.Spec()).matches(d.Canon(), told)
+    assert [m[0] for m in got] == [1] and got[0][3] == 1
