@@ -23,7 +23,8 @@ a larger benchmark takes several passes.
 
 Edge cases: null or empty texts match nothing; items with fewer than
 ``min_item`` tokens are too short to tell and match nothing; repeated rows each
-give their result; windows in which most tokens are placeholders don't count.
+give their result; windows in which most tokens are placeholders have no typed
+form (they would fit anything), so they count where they are copied literally.
 """
 
 from __future__ import annotations
@@ -148,13 +149,13 @@ class Probe:
             if len(tokens) < spec.min_item:
                 continue
             w = min(spec.window, len(tokens))
-            at = self.usable(windows(tokens, w), slots, w)
+            hashes, literal = windows(tokens, w), windows(plain, w)
             self.items[n] = (item, tokens, slots, raw, w)
-            literal = windows(plain, w)
-            for q, h in zip(at[0].tolist(), at[1].tolist(), strict=True):
+            for q, h in zip(*(x.tolist() for x in self.usable(hashes, slots, w)), strict=True):
                 if h != int(literal[q]):
                     found[w][h].append((n, q, False))
-                found[w][int(literal[q])].append((n, q, True))
+            for q, h in enumerate(literal.tolist()):
+                found[w][h].append((n, q, True))
         self.tables = {}
         for w, by_hash in found.items():
             bits = np.zeros(1 << 20, bool)

@@ -93,3 +93,24 @@ def test_plain_hits_take_nothing_from_typed_ones():
     told = words.replace("5", "8", 2)  # the last value is the item's own
     got = d.Probe([(1, words)], d.Spec()).matches(d.Canon(), told)
     assert [m[0] for m in got] == [1] and got[0][3] == 1
+
+
+def test_items_dense_in_placeholders():
+    series = "1 1 2 3 5 8 13 21 34 55 89 144 233 377 610"
+    sums = "12 plus 30 is 42 and 7 times 6 is 42 and 84 over 2 is 42 too"
+    title = "Which River Flows Through The City Of Paris And Into The English Channel"
+    shout = "WHICH RIVER FLOWS THROUGH PARIS AND ON TO THE CHANNEL AT LE HAVRE"
+    short = "3 kg 5 kg"
+    for item in (series, sums, title, shout, short):
+        for copy in (f"so they said {item} and went home", item.upper(), item.lower()):
+            assert hits(copy, [(1, item)]) == {1}, (item, copy)
+            assert d.Probe([(1, item)], d.Spec()).matches(d.Canon(), copy)[0][2:] == (1.0, 0), copy
+    # The limit stays for other values: numbers alone are no template.
+    assert hits("2 2 4 6 10 16 26 42 68 110 178 288 466 754 1220", [(1, series)]) == set()
+    assert hits("Some Lake Lies Beyond The Town Of Geneva And Under The Swiss Mountains", [(1, title)]) == set()
+
+
+def test_dense_windows_keep_runs_whole():
+    # A dense stretch within an item used to break the run, and its windows still counted in the share.
+    item = "please sort these values into order for me 9 8 7 6 5 4 3 2 1 0 and then tell me which of them is least"
+    assert d.Probe([(1, item)], d.Spec()).matches(d.Canon(), item)[0][1:3] == (len(item.split()) - 7, 1.0)
