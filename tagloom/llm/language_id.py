@@ -7,18 +7,22 @@ cross entropy, and the language with the least wins. Very many stretches of
 text walk their automata in step, one array operation per character; stretches
 are ``stretch`` characters long, whole texts are parsed.
 
-Training text is a bounded sample: for each language, the start of the
+Training text is a bounded sample: for each language, parts from all over the
 documents with the smallest hash in each of ``pieces`` buckets, up to
-``train_chars`` characters together.
+``train_chars`` characters together (less where the tables of many languages
+would be larger than ``table_bytes``).
+
+Each language has an alphabet of its own, its ``alphabet`` commonest letters;
+its rarer letters share one symbol there, and a letter that its sample lacks
+ends a phrase, so scripts don't take symbols from each other.
 
 Edge cases: text that is null or has no letter is "und" with score 0, as is all
-text when nothing was learnt; ties go to the smaller name; letters outside the
-model's alphabet share one symbol; with one language alone the score is 1.
+text when nothing was learnt; ties go to the smaller name; with one language
+alone the score is 1.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,8 +39,11 @@ class Spec:
     pieces: int = 48
     piece_chars: int = 4_000
     train_chars: int = 24_000
+    #: Letters of a language that have a symbol each.
     alphabet: int = 100
     stretch: int = 512
+    #: Stretches that a text longer than its share is sampled in.
+    parts: int = 8
     #: Bytes of all tables together; many languages get shorter training texts.
     table_bytes: int = 120_000_000
 
@@ -94,18 +101,24 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return step
 
 
+def spread(points: np.ndarray, n: int, parts: int) -> list[np.ndarray]:
+    """About n of the points, as stretches evenly placed over them; all as one if there are no more."""
+    if len(points) <= n:
+        return [points]
+    size = -(-n // parts)
+    return [points[i : i + size] for i in np.linspace(0, len(points) - size, parts).astype(int).tolist()]
+
+
 @dataclass
 class Model:
     names: list[str]
-    #: Sorted lower-case letters with symbols 1 and up; 0 is a gap, then comes any other letter, then padding.
+    #: Sorted lower-case letters of all languages with symbols 1 and up; 0 is a gap, then comes any other letter, then padding.
     alphabet: np.ndarray
     tables: list[np.ndarray] = field(default_factory=list)
     sizes: list[int] = field(default_factory=list)
     stretch: int = 512
-
-    @property
-    def width(self) -> int:
-        return len(self.alphabet) + 3
+    #: For each language, the column of its table for each symbol.
+    columns: list[np.ndarray] = field(default_factory=list)
 
     def symbols(self, points: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.alphabet, points), max(0, len(self.alphabet) - 1))
@@ -114,14 +127,26 @@ class Model:
 
     def symbol_table(self) -> np.ndarray:
         """Symbol of each lower-case code point."""
-        table = np.full(0x110000, len(self.alphabet) + 1, np.uint8)
+        table = np.full(0x110000, len(self.alphabet) + 1, np.int32)
         table[0] = 0
         table[self.alphabet] = np.arange(1, len(self.alphabet) + 1)
         return table
 
-    def learn(self, name: str, symbols: np.ndarray) -> None:
-        """States are numbered by the place of their row. A missing transition holds the complement of where the next phrase goes on."""
-        step, width = suffix_automaton(symbols.tolist()), self.width
+    def learn(self, name: str, symbols: np.ndarray, letters: int = 100) -> None:
+        """States are numbered by the place of their row. A missing transition holds the complement of where the next phrase goes on.
+
+        Columns: gap, the commonest symbols, rarer ones together, those that the text lacks, padding.
+        """
+        last = len(self.alphabet) + 2
+        counts = np.bincount(symbols, minlength=last)[1:last]
+        ranked = np.argsort(-counts, kind="stable")
+        own = np.sort(ranked[: min(letters, int((counts > 0).sum()))]) + 1
+        width = len(own) + 4
+        column = np.full(last + 1, width - 2, np.int32)
+        column[1:last][counts > 0] = width - 3
+        column[own] = np.arange(1, len(own) + 1)
+        column[0], column[last] = 0, width - 1
+        step = suffix_automaton(column[symbols].tolist())
         first = np.full(width, -1, np.int32)
         for c, s in step[0].items():
             first[c] = ~(s * width)
@@ -133,15 +158,16 @@ class Model:
         self.names.append(name)
         self.tables.append(table.ravel())
         self.sizes.append(len(symbols))
+        self.columns.append(column)
 
     def phrases(self, columns: np.ndarray) -> np.ndarray:
         """Phrases in each column of symbols (padded below), a row for each language."""
         out = np.empty((len(self.names), columns.shape[1]), np.int64)
-        for i, table in enumerate(self.tables):
+        for i, (table, column) in enumerate(zip(self.tables, self.columns, strict=True)):
             state = np.zeros(columns.shape[1], np.int32)
             count = np.ones(columns.shape[1], np.int32)
             for row in columns:
-                state += row
+                state += column.take(row)
                 state = table.take(state)
                 sign = state >> 31
                 count -= sign
@@ -153,20 +179,26 @@ class Model:
 def fit(docs: DataFrame, spec: Spec = Spec(), key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """The model of docs(doc_id, text, lang); rows without language or text don't count."""
     rows = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("l")).filter("t is not null and l is not null")
-    ranked = rows.select("l", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(spec.pieces)).alias("bucket"), F.struct(F.xxhash64("k"), F.xxhash64("t")).alias("h"), F.substring("t", 1, spec.piece_chars).alias("t"))
+    n, size = F.length("t"), spec.piece_chars // spec.parts
+    # Long texts travel as evenly placed parts.
+    places = F.transform(F.sequence(F.lit(0), F.lit(spec.parts - 1)), lambda i: F.substring("t", (1 + F.floor(i * (n - size) / max(1, spec.parts - 1))).cast("int"), F.lit(size)))
+    sampled = F.when(n <= spec.piece_chars, F.array("t")).otherwise(places)
+    ranked = rows.select("l", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(spec.pieces)).alias("bucket"), F.struct(F.xxhash64("k"), F.xxhash64("t")).alias("h"), sampled.alias("t"))
     picked = ranked.groupBy("l", "bucket").agg(F.min_by("t", "h").alias("t"), F.min("h").alias("h")).collect()  # at most ``pieces`` rows of a language
     by_lang: dict[str, list] = {}
     for r in sorted(picked, key=lambda r: (r.l, r.bucket)):
-        by_lang.setdefault(r.l, []).append(folded(r.t))
-    counts = Counter(int(c) for parts in by_lang.values() for p in parts for c in p[p > 0])
-    common = sorted(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: spec.alphabet])
-    model = Model([], np.array(common, np.int64), stretch=spec.stretch)
-    chars = min(spec.train_chars, max(500, spec.table_bytes // (8 * model.width * max(1, len(by_lang)))))
-    for name, parts in sorted(by_lang.items()):
-        per = chars // len(parts) + 1
-        symbols = np.concatenate([np.append(model.symbols(p[:per]), 0) for p in parts])
+        by_lang.setdefault(r.l, []).append([folded(t) for t in r.t])
+    every = [p for docs in by_lang.values() for parts in docs for p in parts]
+    model = Model([], np.unique(np.concatenate([p[p > 0] for p in every])).astype(np.int64) if every else np.empty(0, np.int64), stretch=spec.stretch)
+    width = min(spec.alphabet, len(model.alphabet)) + 4
+    chars = min(spec.train_chars, max(500, spec.table_bytes // (8 * width * max(1, len(by_lang)))))
+    for name, texts in sorted(by_lang.items()):
+        per = chars // len(texts) + 1
+        # A text's share comes from all of its parts alike.
+        kept = [q for parts in texts for p in parts for q in spread(p, -(-per // len(parts)), 1 if len(parts) > 1 else spec.parts)]
+        symbols = np.concatenate([np.append(model.symbols(p), 0) for p in kept])
         if (symbols > 0).any():
-            model.learn(name, symbols)
+            model.learn(name, symbols, spec.alphabet)
     return model
 
 
@@ -191,11 +223,11 @@ class Identifier:
             s = s[np.concatenate(([True], ~(gap[1:] & gap[:-1])))]
             owner.append(i)
             sizes.append(len(s))
-            found.append(np.append(s, np.full(-len(s) % n, m.width - 1, np.uint8)))
+            found.append(np.append(s, np.full(-len(s) % n, len(m.alphabet) + 2, np.int32)))
         if not found or not m.names:
             return out
         rows = np.concatenate(found).reshape(-1, n)
-        many = m.phrases(np.ascontiguousarray(rows.T).astype(np.int32))
+        many = m.phrases(np.ascontiguousarray(rows.T))
         ends = np.cumsum([len(x) // n for x in found])
         total = np.add.reduceat(many, np.concatenate(([0], ends[:-1])), axis=1)
         bits = total * np.log2(np.array(m.sizes))[:, None] / np.array(sizes)

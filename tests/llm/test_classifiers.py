@@ -58,6 +58,32 @@ def test_language_predictions(spark):
     assert {r.lang_pred for r in language_id.predictions(df, empty).collect()} == {"und"}
 
 
+def test_training_texts_are_sampled_throughout(spark):
+    # Each text starts with a long passage of French; only what follows tells.
+    rng = random.Random(6)
+    say = lambda k, n: " ".join(rng.choice(LANGS[k]) for _ in range(n))
+    rows = [(i, f"{say('fr', 1200)} {say(k, 9000)}", k) for i, k in enumerate(["en", "de"] * 9)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    tests = [(i, say(k, 40), k) for i, k in enumerate(["en", "de"] * 40)]
+    got = language_id.predictions(spark.createDataFrame(tests, "doc_id long, text string, lang string"), model).collect()
+    assert sum(r.lang_pred == tests[r.doc_id][2] for r in got) >= 0.99 * len(tests)
+    # Half of the sample at least is what follows: French is not nearer than it.
+    assert language_id.Identifier(model).of([say("en", 200)]).__next__()[1] > 0.3
+
+
+def test_scripts_have_alphabets_of_their_own(spark):
+    # 100 letters of a common script used to leave those of rarer scripts one symbol together.
+    rng = random.Random(7)
+    scripts = {"aa": (0x4E00, 120), "bb": (0x0621, 26), "cc": (0x0905, 30)}
+    pick = lambda k: chr(scripts[k][0] + rng.randrange(scripts[k][1]))
+    say = lambda k, n: " ".join(pick(k) + pick(k) + pick(k) for _ in range(n))
+    rows = [(i, say(k, 800 if k == "aa" else 20), k) for i, k in enumerate(list(scripts) * 15)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    tests = [(i, say(k, 25), k) for i, k in enumerate(list(scripts) * 30)]
+    got = {r.doc_id: r.lang_pred for r in language_id.predictions(spark.createDataFrame(tests, "doc_id long, text string, lang string"), model).collect()}
+    assert sum(got[i] == k for i, _, k in tests) >= 0.97 * len(tests)
+
+
 def test_discriminant_against_the_formula():
     rng = np.random.default_rng(4)
     x = np.concatenate((rng.normal(0, 1, (200, 3)), rng.normal(1, 2, (300, 3))))
