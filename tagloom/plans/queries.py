@@ -241,7 +241,7 @@ def page_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def exploratory_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("example_html"))
-    made = dataset.variations(dataset.variation_grid(pages, "page_id", 4), "page_id", profile="exploratory")
+    made = dataset.variations(dataset.variation_grid(pages, "page_id"), "page_id", profile="exploratory")
     return made.select("base_id", "ordinal", "variation_id", digest(F.col("example_html")).alias("html_md5"), "metadata.augmentations", "metadata.applied")
 
 

@@ -195,3 +195,11 @@ def test_grid_and_validation(spark):
 def test_chat_lines(spark):
     df = spark.createDataFrame([([("user", "é\n"), ("assistant", None)],)], "messages array<struct<role: string, content: string>>")
     assert json.loads(df.select(sinks.chat_line(F.col("messages"))).first()[0]) == {"messages": [{"role": "user", "content": "é\n"}, {"role": "assistant", "content": None}]}
+
+
+def test_exploratory_query_makes_the_whole_grid(spark, tmp_path):
+    from tagloom.plans import queries
+
+    spark.createDataFrame([(1, "u", "<div><p>a</p></div>"), (2, "u", None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.QUERIES["exploratory_variations"](spark, str(tmp_path)).collect()
+    assert sorted((x.base_id, x.ordinal) for x in got) == [(b, o) for b in (1, 2) for o in range(100)]
