@@ -444,7 +444,10 @@ def linked_documents(docs: DataFrame, spec: JoinSpec = JoinSpec(), key: str = "d
 
 
 def one_of_each(docs: DataFrame, spec: JoinSpec = JoinSpec(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are the smallest id of their component, with all their columns; of rows that repeat an id one stays."""
+    """The documents that are the smallest id of their component, with all their columns.
+
+    Of rows that repeat id and text one stays. Links are between ids: rows with one id and different texts all stay or all go.
+    """
     kept = linked_documents(docs, spec, key, text).filter("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
     whole = docs.filter(F.col(key).isNotNull()).join(kept, key, "left_semi")
-    return whole.dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull()))
+    return whole.dropDuplicates([key, text]).unionByName(docs.filter(F.col(key).isNull()))

@@ -107,3 +107,13 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()}
     assert got == {i: 0 for i in range(201)} | {1000: 1000, 1001: 1000, 1002: 1000}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_id_with_different_texts(spark):
+    from tagloom.llm import ngram_join
+
+    texts = ["one text about boats and lakes and rivers", "another text of bread and salt and butter"]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[0]), (6, texts[0]), (7, "some third text that stands quite alone here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.text) for r in ngram_join.one_of_each(df).collect())
+    assert got == sorted([(5, texts[0]), (5, texts[1]), rows[-1]])
