@@ -194,6 +194,12 @@ def level_stats(levels: DataFrame) -> DataFrame:
     return long.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("tokens"), 4).alias("tokens_mean"), F.median("tokens").alias("tokens_median"), F.min("tokens").alias("tokens_min"), F.max("tokens").alias("tokens_max"), F.round(F.avg("less"), 4).alias("reduction_mean"))
 
 
+def sample_means(pages: DataFrame, key: str, html: str = "html", limit: int = 50) -> DataFrame:
+    """n, original_mean and moderate_mean of tokens, and the mean reduction, of the first rows by key; others are not parsed."""
+    levels = token_levels(pages.select(key, html).orderBy(key).limit(limit), key, html)
+    return levels.agg(F.count(F.lit(1)).alias("n"), *[F.round(F.avg(f"{x}_tokens"), 4).alias(f"{x}_mean") for x in ("original", "moderate")], F.round(F.avg("moderate_reduction_pct"), 4).alias("reduction_mean"))
+
+
 def context_fit(levels: DataFrame) -> DataFrame:
     """context_window, level, fits: rows whose tokens fit. One pass: a count for each of the few windows and levels."""
     names = [(w, x) for w in registry.CONTEXT_WINDOWS for x in html_tree.LEVELS]

@@ -86,6 +86,12 @@ def clean_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.level_stats(reports.token_levels(table(spark, sf_dir, "pages"), "page_id"))
 
 
+@query()
+def train_sample_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "html", F.lit("page").alias("type"))
+    return reports.sample_means(dataset.stratified_split(pages, "page_id", "type").filter("split = 'train'"), "page_id")
+
+
 @query()
 def context_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.context_fit(reports.token_levels(table(spark, sf_dir, "pages"), "page_id"))

@@ -203,3 +203,13 @@ def test_exploratory_query_makes_the_whole_grid(spark, tmp_path):
     spark.createDataFrame([(1, "u", "<div><p>a</p></div>"), (2, "u", None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = queries.QUERIES["exploratory_variations"](spark, str(tmp_path)).collect()
     assert sorted((x.base_id, x.ordinal) for x in got) == [(b, o) for b in (1, 2) for o in range(100)]
+
+
+def test_sample_means_are_of_the_first_rows(spark):
+    rows = [(i, f"<div><script>x</script><p>{'word ' * i}</p></div>") for i in range(1, 81)]
+    pages = spark.createDataFrame(rows[::-1], "page_id long, html string").repartition(3)
+    first = r.token_levels(pages.filter("page_id <= 50"), "page_id").collect()
+    got = r.sample_means(pages, "page_id").first()
+    assert got.n == 50 and got.original_mean == round(sum(x.original_tokens for x in first) / 50, 4) and got.moderate_mean == round(sum(x.moderate_tokens for x in first) / 50, 4)
+    assert abs(got.reduction_mean - sum(x.moderate_reduction_pct for x in first) / 50) < 1e-3
+    assert r.sample_means(pages.limit(0), "page_id").first().n == 0
