@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded
+from .common import mapped
 
 START, END = "<|im_start|>", "<|im_end|>"
 CHAT = "{% for m in messages %}" + START + "{{ m.role | escape }}\n{% if m.role == 'assistant' %}{% generation %}{{ m.text | escape }}{% endgeneration %}{% else %}{{ m.text | escape }}{% endif %}" + END + "\n{% endfor %}"
@@ -408,7 +408,7 @@ def formatted_turns(rows: DataFrame, source: str = CHAT) -> DataFrame:
             spans = pa.array([[{"start": i, "end": j} for i, j in loss_spans(p)] for p in made], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(["".join(s for s, _ in p) for p in made], pa.string()), spans], ["conv_id", "turn", "formatted", "loss"])
 
-    return _ordered(rows).transform(bounded).mapInArrow(run, "conv_id long, turn long, formatted string, loss array<struct<start: long, end: long>>")
+    return _ordered(rows).transform(mapped, run, "conv_id long, turn long, formatted string, loss array<struct<start: long, end: long>>")
 
 
 class _Digest:
@@ -456,4 +456,4 @@ def digests(rows: DataFrame, source: str = CHAT) -> DataFrame:
         if state is not None:
             yield batch([(now, state)])
 
-    return _ordered(rows).transform(bounded).mapInArrow(run, DIGEST)
+    return _ordered(rows).transform(mapped, run, DIGEST)

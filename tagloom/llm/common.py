@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +25,11 @@ BATCH_BYTES = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a fresh local one only where that is unset."""
+    """The folder in spark.checkpoint.dir, which all executors share. Where it is unset, a fresh local one in local mode; on a cluster that is an error."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tagloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -50,10 +57,44 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def bounded(df: DataFrame) -> DataFrame:
-    """df; from now on its session hands Python at most BATCH_BYTES at a time, whatever the length of the texts."""
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """df with a row number ``rid``, written in buckets by it: joins on ``rid`` don't move these rows again, and no bucket is hot.
+
+    The rows are read from files in the shared folder; the catalog keeps no entry.
+    """
+    spark = df.sparkSession
+    parts = min(100_000, max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions()))
+    numbered, entry = df.withColumn("rid", F.monotonically_increasing_id()), f"tagloom_{uuid.uuid4().hex}"
+    numbered.repartition(parts, "rid").write.format("parquet").option("path", new_path(spark, name)).bucketBy(parts, "rid").saveAsTable(entry)
+    table = spark.table(entry)
+    table.schema  # resolved before the entry goes
+    spark.sql(f"DROP TABLE {entry}")
+    return table
+
+
+def give_back() -> None:
+    """Returns freed memory to the system; a worker lives on for the tasks of later stages and would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only some C libraries can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def mapped(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow(run, schema) in bounded memory.
+
+    Python gets at most BATCH_BYTES at a time, whatever the length of the texts; this is a setting of df's session,
+    which Spark reads when the plan runs. What ``run`` held is given back when its task ends.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df
+    return df.mapInArrow(whole, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, discard, saved
+from .common import discard, mapped, saved
 
 
 class Forest:
@@ -55,7 +55,7 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node of links(a, b), both long; root is the smallest node it reaches. Nodes without a link to another have no row."""
     links = links.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
-    links, path = saved(links.transform(bounded).mapInArrow(_contract, "a long, b long").distinct(), "links")
+    links, path = saved(links.transform(mapped, _contract, "a long, b long").distinct(), "links")
     before = None
     while True:
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003), F.count_if(F.col("a") <= F.col("b"))).first()

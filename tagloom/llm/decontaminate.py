@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded
+from .common import mapped
 
 from .hashing import windows
 
@@ -255,7 +255,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, spec: Spec = Spec(), k
                 rows = [(doc, *m) for doc, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for m in probe.matches(canon, t)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.float64() if i == 3 else pa.int64()) for i in range(5)], ["doc_id", "item_id", "n_windows", "share", "changed_slots"])
 
-        found = picked.transform(bounded).mapInArrow(run, schema)
+        found = picked.transform(mapped, run, schema)
         out = found if out is None else out.union(found)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
@@ -271,5 +271,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, spec: Spec = Spec(), text: str
             for b in batches:
                 yield b.filter(pa.array([not probe.matches(canon, t) for t in b.column(at).to_pylist()], pa.bool_()))
 
-        docs = docs.transform(bounded).mapInArrow(run, docs.schema)
+        docs = docs.transform(mapped, run, docs.schema)
     return docs

@@ -64,3 +64,12 @@ def windows(words: np.ndarray, length: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         sums = np.concatenate((np.zeros(1, np.uint64), np.add.accumulate(words * up[:n])))
         return mix((sums[length:] - sums[:-length]) * down[: n - length + 1])
+
+
+def spans(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the words from each start to each end."""
+    n = len(words)
+    up, down = powers(n)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate((np.zeros(1, np.uint64), np.add.accumulate(words * up[:n])))
+        return mix(mix((sums[ends] - sums[starts]) * down[starts]) + (ends - starts).astype(np.uint64))

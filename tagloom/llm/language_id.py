@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, chunks
+from .common import chunks, mapped
 
 
 @dataclass(frozen=True)
@@ -249,4 +249,4 @@ def predictions(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
             made = list(identify.of(b.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[0] for x in made], pa.string()), pa.array([x[1] for x in made], pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).transform(bounded).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).transform(mapped, run, "doc_id long, lang_pred string, score double")

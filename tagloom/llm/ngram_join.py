@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, written
+from .common import mapped, written
 from .components import Forest, components
 from .hashing import WordHasher, mix
 
@@ -236,8 +236,8 @@ def _candidates(docs: DataFrame, spec: JoinSpec, parts: int) -> DataFrame:
             if len(large):
                 yield _found(3, large[:, 0], large[:, 1])
 
-    packed = docs.transform(bounded).mapInArrow(pack, "p int, data binary, a long, b long, n long, lo long, slack long, counts binary").repartition(parts, "p")
-    return packed.transform(bounded).mapInArrow(unpack, FOUND)
+    packed = docs.transform(mapped, pack, "p int, data binary, a long, b long, n long, lo long, slack long, counts binary").repartition(parts, "p")
+    return packed.transform(mapped, unpack, FOUND)
 
 
 def _clusters(found: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -276,7 +276,7 @@ def _clusters(found: DataFrame, spec: JoinSpec) -> DataFrame:
     nodes = found.filter("kind = 2").groupBy(F.col("b").alias("node")).agg(F.first("n").alias("n"), F.first("slack").alias("slack"), F.first("counts").alias("counts"))
     cells = found.filter("kind = 1").select(F.col("a").alias("cell"), F.col("b").alias("node")).distinct()
     members = cells.join(nodes, "node").select("cell", "node", "n", "counts").repartition("cell").sortWithinPartitions("cell", "node")
-    seen = members.transform(bounded).mapInArrow(run, "a long, b long")
+    seen = members.transform(mapped, run, "a long, b long")
     # Very large cells: who has no more of them than its slack meets its partners elsewhere.
     large = found.filter("kind = 3").select(F.col("a").alias("cell"), F.col("b").alias("node"))
     bound_to = large.groupBy("node").agg(F.count(F.lit(1)).alias("c")).join(nodes, "node").filter("c > slack").select("node")
@@ -393,7 +393,7 @@ def _linked(members: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
     # A sort-merge join at every size: members grow with the input, and so would a broadcast.
     placed = docs.join(members.hint("merge"), "doc").select("doc", "comp", "node", "lo", "text", F.explode("places").alias("x"))
     placed = placed.select("x.cluster", "x.block", "doc", "comp", "x.asks", "node", "lo", "text")
-    return placed.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "doc", F.desc("asks")).transform(bounded).mapInArrow(run, "a long, b long")
+    return placed.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "doc", F.desc("asks")).transform(mapped, run, "a long, b long")
 
 
 def _place(block, asks: bool):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, chunks
+from .common import chunks, mapped
 
 #: Characters that prose hardly has.
 SYMBOLS = "#*$%&|<>{}[]\\^~=+_@"
@@ -121,7 +121,7 @@ def fit(sample: DataFrame, shrink: float = 0.15) -> Model:
             x = _vectors(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(list(x), pa.list_(pa.float64()))], ["id", "label", "x"])
 
-    rows = sorted(sample.select("id", "text", "label").transform(bounded).mapInArrow(run, "id long, label int, x array<double>").collect(), key=lambda r: (r.id, r.x))
+    rows = sorted(sample.select("id", "text", "label").transform(mapped, run, "id long, label int, x array<double>").collect(), key=lambda r: (r.id, r.x))
     return fit_arrays(np.array([r.x for r in rows], float).reshape(-1, FEATURES), np.array([r.label for r in rows], int), shrink)
 
 
@@ -135,4 +135,4 @@ def scores(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
             s = np.concatenate([sent.value.scores(_vectors(texts[i:j])) for i, j in chunks(texts)] or [np.empty(0)])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())], ["doc_id", "score", "predicted"])
 
-    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).transform(bounded).mapInArrow(run, "doc_id long, score double, predicted int")
+    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).transform(mapped, run, "doc_id long, score double, predicted int")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, chunks
+from .common import chunks, mapped
 
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 SPACE = "▁"
@@ -312,7 +312,7 @@ def encode_column(df: DataFrame, path: str, text: str = "text", ids: str = "toke
                 columns.append(pa.array([t for _, t in made], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
 
-    return df.transform(bounded).mapInArrow(run, schema)
+    return df.transform(mapped, run, schema)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -329,4 +329,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return picked.transform(bounded).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return picked.transform(mapped, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

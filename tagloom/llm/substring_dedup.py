@@ -1,17 +1,21 @@
 """Removal of word windows that an earlier document already has, by level-wise doubling.
 
-Level 1 looks at windows of half the length, and of these at one for each full
-window: the one with the smallest hash inside it (equal full windows choose
-equal ones, so none is missed). Level 2 extends to the full length only where
-the half window occurs in two documents or more; windows whose half occurs in
-one document alone can't repeat. No window longer than the full one matters,
-so there the doubling ends.
-
-At level 2 a row holds a run of full windows that share a half window, up to
-length/2 + 1 of them. Rows are sorted by half window and document; a pass over
-them keeps the first document of each full window. Half windows with very many
-rows take another way: the least document of each full window by map-side
-minima, and a join whose skewed partitions Spark splits.
+Levels are window lengths: ``first`` words, then twice as many, and so on below
+the full length. A level looks at one window for each full window: the one with
+the smallest hash inside it (equal full windows choose equal ones, so none is
+missed). Only full windows whose choice occurs in two documents or more go on
+to the next level; the loop ends as soon as none survives. Longer windows than
+the full one decide nothing, so there the doubling ends.
+
+At the full length consecutive survivors that share their last choice are a
+run, and a run is compared as a whole first: where a smaller document has the
+same run, all its windows repeat. Of each different run one stands for all, and
+only runs that met another run under one choice are opened into windows.
+
+Texts are laid out once in buckets by a row number, so each level joins its
+survivors with them without moving texts; rows that share an id are told apart.
+No step brings the rows of one window together: minima and maxima are summed up
+before they meet, and are joined back in skewed partitions that Spark can split.
 
 Edge cases: null and empty texts have no words and lose none; texts with fewer
 words than the length lose none; repeats within one document, or among rows
@@ -31,139 +35,207 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, written
-from .hashing import WordHasher, windows
+from .common import WORD, discard, mapped, saved, shared_table
+from .hashing import WordHasher, spans, windows
 
 
 @dataclass(frozen=True)
 class Spec:
-    #: Words in a window; even.
+    #: Words in a window.
     length: int = 50
-    #: Half windows in more documents than this are not gathered in one place.
-    hot: int = 3_000
+    #: Words in a window of the first level.
+    first: int = 13
 
 
-def anchors(words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Half-window hashes; starts of the runs of full windows that choose the same half window; its place for each run."""
-    half = windows(words, length // 2)
-    full = len(words) - length + 1
-    if full <= 0:
-        return half, np.empty(0, np.int64), np.empty(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(half, length // 2 + 1)
-    place = np.empty(full, np.int64)
-    for i in range(0, full, 65_536):
-        place[i : i + 65_536] = view[i : i + 65_536].argmin(1) + np.arange(i, min(full, i + 65_536))
-    starts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    return half, starts, place[starts]
+def levels(spec: Spec) -> list[int]:
+    """Window lengths below the full one."""
+    out = [min(spec.first, spec.length)]
+    while out[-1] * 2 < spec.length:
+        out.append(out[-1] * 2)
+    return out
 
 
-def _level1(docs: DataFrame, spec: Spec) -> DataFrame:
-    """(half, doc): the chosen half windows of each document, once each."""
+def choices(words: np.ndarray, length: int, part: int) -> np.ndarray:
+    """For each full window, the start of the window of ``part`` words in it with the smallest hash, the first of equals; and all their hashes."""
+    hashes = windows(words, part)
+    full = max(0, len(words) - length + 1)
+    place = np.empty(full, np.int64)
+    if full:
+        view = np.lib.stride_tricks.sliding_window_view(hashes, length - part + 1)
+        for i in range(0, full, 65_536):
+            place[i : i + 65_536] = view[i : i + 65_536].argmin(1) + np.arange(i, min(full, i + 65_536))
+    return hashes, place
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for b in batches:
-            found, docs_ = [], []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                half, _, place = anchors(hasher.of(text), spec.length)
-                if len(place) and doc is not None:
-                    found.append(np.unique(half[place]))
-                    docs_.append(np.full(len(found[-1]), doc, np.int64))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(docs_))], ["half", "doc"])
 
-    return docs.mapInArrow(run, "half long, doc long")
+def surviving(words: np.ndarray, length: int, sizes: list[int], known: list[list[int]]) -> tuple[np.ndarray, np.ndarray | None]:
+    """Starts of the full windows whose choices at each of the first levels are known, and the hash of their last choice."""
+    starts, last = np.arange(max(0, len(words) - length + 1)), None
+    for part, hits in zip(sizes, known, strict=True):
+        hashes, place = choices(words, length, part)
+        last = hashes[place[starts]].view(np.int64)
+        kept = np.isin(last, np.array(hits, np.int64))
+        starts, last = starts[kept], last[kept]
+    return starts, last
 
 
-RUN = "half long, doc long, start int, hot boolean, windows binary"
+def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values) if values else np.empty(0, np.int64), kind))
 
 
-def _level2(docs: DataFrame, repeated: DataFrame, spec: Spec) -> DataFrame:
-    """Runs of full windows under half windows that repeat."""
+def _level(docs: DataFrame, spec: Spec, done: int) -> DataFrame:
+    """(w, doc, rid): the choices at level ``done`` of the full windows that survived those before, once for each row. docs has rid, doc, text and known (hashes of each level so far)."""
+    sizes = levels(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for b in batches:
-            rows: list[tuple] = []
-            for doc, text, cold, hot in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            found, rids, ids = [], [], []
+            for rid, doc, text, known in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 words = hasher.of(text)
-                half, starts, place = anchors(words, spec.length)
-                full = windows(words, spec.length)
-                chosen = half[place].view(np.int64)
-                ends = np.append(starts[1:], len(full))
-                for known, is_hot in ((cold, False), (hot, True)):
-                    for k in np.flatnonzero(np.isin(chosen, np.array(known or [], np.int64))).tolist():
-                        rows.append((int(chosen[k]), doc, int(starts[k]), is_hot, full[starts[k] : ends[k]].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()))], ["half", "doc", "start", "hot", "windows"])
+                starts, _ = surviving(words, spec.length, sizes[:done], known)
+                if len(starts):
+                    hashes, place = choices(words, spec.length, sizes[done])
+                    found.append(np.unique(hashes[place[starts]].view(np.int64)))
+                    rids.append(np.full(len(found[-1]), rid, np.int64))
+                    ids.append(np.full(len(found[-1]), doc, np.int64))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found, ids, rids)], ["w", "doc", "rid"])
+
+    return docs.select("rid", "doc", "text", "known").transform(mapped, run, "w long, doc long, rid long")
+
 
-    lists = repeated.groupBy("doc").agg(*[F.collect_list(F.when(F.col("hot") == h, F.col("half"))).alias(n) for n, h in (("cold_halves", False), ("hot_halves", True))])
-    return docs.join(lists, "doc").select("doc", "text", "cold_halves", "hot_halves").mapInArrow(run, RUN)
+def _repeated(rows: DataFrame) -> DataFrame:
+    """rid, hits: the hashes of each row that two documents have."""
+    often = rows.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("w")
+    return rows.join(often, "w").groupBy("rid").agg(F.collect_list("w").alias("hits"))
 
 
-def _marks(runs: DataFrame) -> DataFrame:
-    """(doc, start, bits): bit i is set if the window at start + i begins in a smaller document as well."""
+RUNS = "r long, w long, doc long, rid long, n int, starts array<int>"
+
+
+def _runs(docs: DataFrame, spec: Spec) -> DataFrame:
+    """The different runs of each row: hash of their words, last choice, number of full windows, and where they start."""
+    sizes = levels(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, first = None, {}
+        hasher = WordHasher()
         for b in batches:
-            out: list[tuple[int, int, int]] = []
-            for half, doc, start, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if half != now:
-                    now, first = half, {}
-                bits = 0
-                for i, w in enumerate(np.frombuffer(data, np.int64).tolist()):
-                    if first.setdefault(w, doc) != doc:
-                        bits |= 1 << i
-                if bits:
-                    out.append((doc, start, bits))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64()))], ["doc", "start", "bits"])
-
-    sorted_ = runs.select("half", "doc", "start", "windows").repartition("half").sortWithinPartitions("half", "doc")
-    return sorted_.mapInArrow(run, "doc long, start int, bits long")
-
-
-def _hot_marks(runs: DataFrame) -> DataFrame:
+            flat: list[tuple] = []
+            starts_of: list[np.ndarray] = []
+            for rid, doc, text, known in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                words = hasher.of(text)
+                starts, last = surviving(words, spec.length, sizes, known)
+                if not len(starts):
+                    continue
+                _, place = choices(words, spec.length, sizes[-1])
+                place = place[starts]
+                first = np.flatnonzero(np.concatenate(([True], (starts[1:] != starts[:-1] + 1) | (place[1:] != place[:-1]))))
+                n = np.diff(np.append(first, len(starts)))
+                at = starts[first]
+                hashes = spans(words, at, at + n - 1 + spec.length).view(np.int64)
+                order = np.argsort(hashes, kind="stable")
+                cuts = np.flatnonzero(np.concatenate(([True], hashes[order][1:] != hashes[order][:-1])))
+                heads = order[cuts]
+                flat += zip(hashes[heads].tolist(), last[first[heads]].tolist(), [doc] * len(heads), [rid] * len(heads), n[heads].tolist(), strict=True)
+                starts_of += np.split(at[order].astype(np.int32), cuts[1:])
+            if flat:
+                columns = [pa.array([x[i] for x in flat], pa.int64() if i < 4 else pa.int32()) for i in range(5)]
+                yield pa.RecordBatch.from_arrays([*columns, _lists(starts_of, pa.int32())], ["r", "w", "doc", "rid", "n", "starts"])
+
+    return docs.select("rid", "doc", "text", "known").transform(mapped, run, RUNS)
+
+
+def _opened(docs: DataFrame, spec: Spec) -> DataFrame:
+    """(w, r, doc, at): the full windows of the wanted runs, array<struct<r, start, n>>."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
         for b in batches:
-            data = [np.frombuffer(x, np.int64) for x in b.column(2).to_pylist()]
-            sizes = [len(x) for x in data]
-            if not data:
-                continue
-            starts = np.repeat(np.array(b.column(1).to_pylist(), np.int32), sizes) + np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(data)), pa.array(np.repeat(np.array(b.column(0).to_pylist(), np.int64), sizes)), pa.array(starts.astype(np.int32))], ["w", "doc", "start"])
-
-    each = runs.select("doc", "start", "windows").mapInArrow(run, "w long, doc long, start int")
-    least = each.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("w", "least")
-    return each.join(least, "w").filter("doc > least").select("doc", "start", F.lit(1).cast("long").alias("bits"))
-
-
-def repeats(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
-    """(doc, marks array<struct<start, bits>>) of the documents that lose words; docs has doc and text."""
-    if spec.length % 2 or not 2 <= spec.length <= 124:
-        raise ValueError("length must be even and at most 124")
-    halves = written(_level1(docs, spec), "halves")
-    often = halves.groupBy("half").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("c")).filter("least < most")
-    repeated = halves.join(often.select("half", (F.col("c") > spec.hot).alias("hot")), "half")
-    runs = written(_level2(docs.filter("doc is not null"), repeated, spec), "runs")
-    marks = _marks(runs.filter("not hot")).union(_hot_marks(runs.filter("hot")))
-    return marks.groupBy("doc").agg(F.collect_list(F.struct("start", "bits")).alias("marks"))
+            out = []
+            for doc, text, wanted in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                full = windows(hasher.of(text), spec.length).view(np.int64)
+                for x in wanted:
+                    n = x["n"]
+                    out.append((full[x["start"] : x["start"] + n], np.full(n, x["r"], np.int64), np.full(n, doc, np.int64), np.arange(n)))
+            if out:
+                columns = [np.concatenate([x[i] for x in out]) for i in range(4)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns[:3]), pa.array(columns[3], pa.int32())], ["w", "r", "doc", "at"])
+
+    return docs.select("doc", "text", "wanted").transform(mapped, run, "w long, r long, doc long, at int")
+
+
+MARKS = "array<struct<starts: array<int>, n: int, at: array<int>>>"
+
+
+def repeats(store: DataFrame, spec: Spec = Spec()) -> DataFrame:
+    """rid, marks (see ``MARKS``) of the rows of store(rid, doc, text) that lose words. A mark names windows by the starts of equal runs and, within each, places; all ``n`` if ``at`` is null."""
+    if not 1 <= spec.first or not 2 <= spec.length:
+        raise ValueError("the length must be 2 at least, the first level's 1")
+    spark, docs = store.sparkSession, store.filter("doc is not null and text is not null").select("rid", "doc", "text")
+    none = F.array().cast("array<array<bigint>>")
+    known, old = docs.withColumn("known", none), None
+    lists = None
+    for done in range(len(levels(spec))):
+        rows, path = saved(_level(known, spec, done), "level")
+        hits = _repeated(rows)
+        if lists is not None:
+            hits = hits.join(lists, "rid").select("rid", F.concat("known", F.array("hits")).alias("known"))
+        else:
+            hits = hits.select("rid", F.array("hits").alias("known"))
+        lists, new = saved(hits, "survivors")
+        for x in (path, old):
+            if x:
+                discard(spark, x)
+        old = new
+        if lists.isEmpty():
+            return lists.select("rid", F.lit(None).cast(MARKS).alias("marks"))
+        known = docs.join(lists, "rid")
+
+    runs, runs_at = saved(_runs(known, spec), "runs")
+    discard(spark, old)
+    least, least_at = saved(runs.groupBy("r").agg(F.min("doc").alias("least"), F.first("w").alias("w")), "least")
+    # Runs that meet a different run of another document under one choice, each at one place.
+    met = least.groupBy("w").agg(F.min("least").alias("low"), F.max("least").alias("high")).filter("low < high").select("w")
+    wanted = runs.join(least.join(met, "w", "left_semi").select("r", "least"), "r").filter("doc = least")
+    wanted = wanted.select("r", F.struct("rid", F.get("starts", F.lit(0)).alias("start"), "n").alias("x")).groupBy("r").agg(F.first("x").alias("x"))
+    wanted = wanted.groupBy("x.rid").agg(F.collect_list(F.struct("r", "x.start", "x.n")).alias("wanted"))
+    each, each_at = saved(_opened(docs.join(wanted, "rid"), spec), "windows")
+    first = each.groupBy("w").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("w", "low")
+    parts = each.join(first, "w").filter("doc > low").groupBy("r").agg(F.collect_list("at").alias("at"))
+    judged = least.select("r", "least").join(parts, "r", "left")
+    marks = runs.join(judged, "r").filter("doc > least or at is not null")
+    marks = marks.groupBy("rid").agg(F.collect_list(F.struct("starts", "n", F.when(F.col("doc") == F.col("least"), F.col("at")).alias("at"))).alias("marks"))
+    marks, _ = saved(marks, "marks")
+    for x in (runs_at, least_at, each_at):
+        discard(spark, x)
+    return marks
 
 
 def _removed(n: int, marks: list[dict] | None, length: int) -> np.ndarray:
     """Whether each of n words is covered by a marked window."""
     step = np.zeros(n + 1, np.int32)
     for m in marks or ():
-        bits, start = m["bits"], m["start"]
-        while bits:
-            low = bits & -bits
-            at = start + low.bit_length() - 1
-            if at + length <= n:  # else a mark of another row with this id
-                step[at] += 1
-                step[at + length] -= 1
-            bits ^= low
+        starts = np.array(m["starts"], np.int64)
+        if m["at"] is None:
+            np.add.at(step, starts, 1)
+            np.add.at(step, starts + m["n"] - 1 + length, -1)
+        else:
+            each = (starts[:, None] + np.array(m["at"], np.int64)).ravel()
+            np.add.at(step, each, 1)
+            np.add.at(step, each + length, -1)
     return np.cumsum(step[:-1]) > 0
 
 
+def _marked(docs: DataFrame, spec: Spec, key: str, text: str) -> DataFrame:
+    """rid, c0, c1, ... (the columns of docs, text as a string) and marks."""
+    at = docs.columns.index(text)
+    columns = [F.col(f"`{c}`").cast("string").alias(f"c{i}") if i == at else F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    store = shared_table(docs.select(*columns, F.col(f"`{key}`").cast("long").alias("doc")), "texts")
+    marks = repeats(store.select("rid", "doc", F.col(f"c{at}").alias("text")), spec)
+    return store.drop("doc").join(marks, "rid", "left")
+
+
 def digests(docs: DataFrame, spec: Spec = Spec(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
 
@@ -172,20 +244,16 @@ def digests(docs: DataFrame, spec: Spec = Spec(), key: str = "doc_id", text: str
             n, gone, kept = [], [], []
             for t, marks in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 words = WORD.findall(t or "")
-                if marks:
-                    off = _removed(len(words), marks, spec.length)
-                    gone.append(int(off.sum()))
-                    left = [w for w, x in zip(words, off.tolist(), strict=True) if not x]
-                else:
-                    gone.append(0)
-                    left = words
+                off = _removed(len(words), marks, spec.length)
+                left = [w for w, x in zip(words, off.tolist(), strict=True) if not x] if marks else words
                 n.append(len(words))
+                gone.append(int(off.sum()))
                 kept.append(hashlib.sha256(" ".join(left).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    marked = docs.join(repeats(docs, spec), "doc", "left")
-    return marked.select("doc", "text", "marks").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    picked = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    marked = _marked(picked, spec, "doc_id", "text").select("c0", "c1", "marks")
+    return marked.transform(mapped, run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, spec: Spec = Spec(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -199,20 +267,12 @@ def without_repeats(docs: DataFrame, spec: Spec = Spec(), key: str = "doc_id", t
                     places = [m.start() for m in WORD.finditer(t)]
                     off = _removed(len(places), marks, spec.length).tolist()
                     ends = [*places[1:], len(t)]
-                    t = t[: places[0]] + "".join(t[i:j] for i, j, x in zip(places, ends, off, strict=True) if not x)
-                    if all(off):
-                        t = None
+                    t = None if all(off) else t[: places[0]] + "".join(t[i:j] for i, j, x in zip(places, ends, off, strict=True) if not x)
                 out.append((t, not (marks and t is None)))
             columns = list(b.columns[:-1])
             columns[at] = pa.array([t for t, _ in out], pa.string())
-            made = pa.RecordBatch.from_arrays(columns, names)
-            yield made.filter(pa.array([x for _, x in out], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array([x for _, x in out], pa.bool_()))
 
     names, at = docs.columns, docs.columns.index(text)
-    plain = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    found = repeats(plain, spec)
-    own = "marks_of_" + "_".join(names)  # longer than any column of docs
-    marks = found.select(F.col("doc").alias(f"{own}_doc"), F.col("marks").alias(own))
-    joined = docs.join(marks, docs[key].cast("long") == marks[f"{own}_doc"], "left").drop(f"{own}_doc")
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType, True) for f in docs.schema.fields])
-    return joined.mapInArrow(run, schema)
+    return _marked(docs, spec, key, text).drop("rid").transform(mapped, run, schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded
+from .common import mapped
 
 #: Seed words, phrases in which they are harmless, look-alike letters and signs.
 SEEDS = "idiot moron stupid loser scum trash worthless pathetic disgusting clown dumb imbecile jerk bastard".split()
@@ -142,7 +142,7 @@ def _terms(sample: DataFrame, spec: Spec) -> DataFrame:
                 own |= {w[:k] + "*" for w in own for k in spec.stems if len(w) > k}
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(own), pa.string()), pa.array([label] * len(own), pa.int32())], ["term", "label"])
 
-    each = sample.select("text", "label").transform(bounded).mapInArrow(run, "term string, label int")
+    each = sample.select("text", "label").transform(mapped, run, "term string, label int")
     return each.groupBy("term").agg(F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
 
 
@@ -166,7 +166,7 @@ def fit(sample: DataFrame, spec: Spec = Spec()) -> Model:
             x = matcher.features(b.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 1]), pa.array(x[:, 2]), pa.array(x[:, 3]), b.column(1)], ["a", "b", "c", "label"])
 
-    rows = sorted((r.a, r.b, r.c, r.label) for r in sample.select("text", "label").transform(bounded).mapInArrow(run, "a double, b double, c double, label int").collect())
+    rows = sorted((r.a, r.b, r.c, r.label) for r in sample.select("text", "label").transform(mapped, run, "a double, b double, c double, label int").collect())
     data = np.array(rows, float)
     model.logistic = tuple(logistic(np.column_stack((np.ones(len(data)), data[:, :3])), data[:, 3]).tolist())
     return model
@@ -182,4 +182,4 @@ def scores(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
             s = matcher.scores(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())], ["doc_id", "score", "predicted"])
 
-    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).transform(bounded).mapInArrow(run, "doc_id long, score double, predicted int")
+    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).transform(mapped, run, "doc_id long, score double, predicted int")

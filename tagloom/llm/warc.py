@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, new_path
+from .common import mapped, new_path
 
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -215,7 +215,7 @@ def write(pages: DataFrame, folder: str, spec: Spec = Spec()) -> DataFrame:
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).join(revisits(pages, spec), ["page_id", "digest"], "left").select("page_id", "url", "payload", "refers_to")
-    rows.transform(bounded).mapInArrow(run, INDEX).write.parquet(f"{folder}/index")
+    rows.transform(mapped, run, INDEX).write.parquet(f"{folder}/index")
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
@@ -230,7 +230,7 @@ def read(index: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
     bundles = index.groupBy("bundle").agg(F.max("data").alias("data"))
-    return bundles.transform(bounded).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return bundles.transform(mapped, run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def fetch(index: DataFrame, page_ids: DataFrame) -> DataFrame:
@@ -250,7 +250,7 @@ def fetch(index: DataFrame, page_ids: DataFrame) -> DataFrame:
 
     wanted = index.filter("frame is not null").drop("data").join(page_ids.select("page_id").distinct(), "page_id")
     wanted = wanted.join(index.filter("data is not null").select("bundle", "data"), "bundle", "left").select("bundle", "frame", "offset", "length", "page_id", "data")
-    return wanted.repartition("bundle").sortWithinPartitions("bundle", "frame", "offset").transform(bounded).mapInArrow(run, "page_id long, record binary")
+    return wanted.repartition("bundle").sortWithinPartitions("bundle", "frame", "offset").transform(mapped, run, "page_id long, record binary")
 
 
 def archived(spark: SparkSession, pages: DataFrame, spec: Spec = Spec()) -> DataFrame:

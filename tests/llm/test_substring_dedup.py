@@ -37,7 +37,7 @@ def corpus(seed, length):
     return list(zip(ids, docs, strict=True))
 
 
-@pytest.mark.parametrize(("seed", "spec"), [(1, s.Spec()), (2, s.Spec(length=10)), (3, s.Spec(length=10, hot=2)), (4, s.Spec(length=2)), (5, s.Spec(length=50, hot=0))])
+@pytest.mark.parametrize(("seed", "spec"), [(1, s.Spec()), (2, s.Spec(length=10)), (3, s.Spec(length=10, first=3)), (4, s.Spec(length=2)), (5, s.Spec(first=6)), (6, s.Spec(length=7, first=1)), (7, s.Spec(length=130))])
 def test_digests_are_the_brute_forces(spark, seed, spec):
     docs = corpus(seed, spec.length)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
@@ -55,3 +55,31 @@ def test_edge_cases(spark):
     assert sorted((r.doc_id or 0, r.text, r.start) for r in out.collect()) == [(0, long, 5), (1, long, 1), (1, long, 2), (2, "new  words ", 3)]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert s.digests(empty).count() == 0 and s.without_repeats(empty).count() == 0
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    say = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    a, b, c = say("a", 80), say("b", 80), say("c", 90)
+    docs = [(1, a), (2, a), (2, b), (3, f"{say('x', 7)} {b} {say('y', 3)}"), (3, c), (3, c), (4, f"{c} {a} {say('z', 60)}"), (4, say("z", 60)), (5, f"{say('z', 55)} {say('c', 60)}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(r) for r in s.digests(df).collect()) == brute(docs, 50)
+    kept = {(r.doc_id, r.text) for r in s.without_repeats(df).collect()}
+    assert {(1, a), (2, b), (3, c), (4, say("z", 60))} <= kept and (2, a) not in kept
+
+
+def test_one_word_over_and_over(spark):
+    docs = [(i, "a " * (200 + i % 50)) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(r) for r in s.digests(df).collect()) == brute(docs, 50)
+    store = df.selectExpr("doc_id as rid", "doc_id as doc", "text", "array(array(%d), array(%d)) as known" % tuple(int(s.windows(s.WordHasher().of("a " * 50), k).view("int64")[0]) for k in (13, 26)))
+    rows = s._runs(store, s.Spec()).collect()  # one row for each document, not for each window
+    assert len(rows) == 300 and all(len(r.starts) == 200 + r.doc % 50 - 49 for r in rows)
+
+
+def test_levels_double():
+    assert s.levels(s.Spec()) == [13, 26] and s.levels(s.Spec(length=100, first=6)) == [6, 12, 24, 48, 96] and s.levels(s.Spec(length=4, first=9)) == [4]
+
+
+def test_no_candidate_ends_the_loop(spark):
+    df = spark.createDataFrame([(i, " ".join(f"{i}w{k}" for k in range(70))) for i in range(5)], "doc_id long, text string")
+    assert [(r.n_words, r.n_removed) for r in s.digests(df).collect()] == [(70, 0)] * 5
