@@ -2,8 +2,8 @@
 
 A text is cut into words that no merge can cross. All new words of a chunk are
 encoded together: their symbols lie in one flat array, each round finds every
-word's best pair with a segmented minimum, merges its leftmost occurrence in
-all words at once, and closes the gaps, until no word has a pair left.
+word's best pair with a segmented minimum, merges its occurrences in all words
+at once, from the left, and closes the gaps, until no word has a pair left.
 
 Edge cases: a null text counts as empty; an empty text has no ids; characters
 outside the vocabulary become their UTF-8 bytes (byte fallback).
@@ -12,7 +12,7 @@ outside the vocabulary become their UTF-8 bytes (byte fallback).
 from __future__ import annotations
 
 import hashlib
-import heapq
+import itertools
 import re
 import struct
 from collections.abc import Iterator
@@ -27,10 +27,9 @@ from .common import chunks, mapped
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 SPACE = "▁"
 NO_PAIR = np.int32(2**31 - 1)
-#: Words with more symbols are merged one by one with a heap: rounds would cost the square of their length.
-LONG_WORD = 2_000
-#: Encoded words that a worker keeps.
-CACHE_WORDS = 300_000
+#: Encoded words that a worker keeps, and the longest of them.
+CACHE_WORDS = 100_000
+CACHE_CHARS = 32
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -82,6 +81,8 @@ class PieceModel:
                 charsmap, self.dummy_prefix, squeeze = spec.get(2, b""), bool(spec.get(3, 1)), bool(spec.get(4, 1))
         if charsmap or squeeze or algorithm != 2 or BYTE not in self.kinds or USER_DEFINED in self.kinds:
             raise ValueError("only BPE models with byte fallback, the identity normaliser and no user-defined pieces are supported")
+        if any(k == NORMAL and SPACE in p.lstrip(SPACE) for p, k in zip(self.pieces, self.kinds, strict=True)):
+            raise ValueError("pieces must not span words")
         self.size = len(self.pieces)
         normal = [i for i, k in enumerate(self.kinds) if k == NORMAL]
         self.unknown = self.kinds.index(UNKNOWN)
@@ -104,8 +105,7 @@ class PieceModel:
                 left, right = self.symbol.get(p[:k]), self.symbol.get(p[k:])
                 if left is not None and right is not None:
                     pairs[left, right] = rank
-        self.pairs = pairs
-        self._hash_table()
+        self._hash_table(pairs)
         self.char_symbol = np.full(0x110000, self.dead, np.int32)
         for p, i in self.symbol.items():
             if len(p) == 1:
@@ -124,10 +124,10 @@ class PieceModel:
             return " ⁇ ".encode()
         return self.pieces[i].replace(SPACE, " ").encode()
 
-    def _hash_table(self) -> None:
+    def _hash_table(self, pairs: dict[tuple[int, int], int]) -> None:
         """Open addressing over pair keys, probed for whole arrays at a time."""
-        keys = np.array([a * (self.symbols + 1) + b for a, b in self.pairs], np.int64)
-        ranks = np.array(list(self.pairs.values()), np.int32)
+        keys = np.array([a * (self.symbols + 1) + b for a, b in pairs], np.int64)
+        ranks = np.array(list(pairs.values()), np.int32)
         self.bits = max(10, int(len(keys) * 4).bit_length())
         self.slot_key, self.slot_rank = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, NO_PAIR, np.int32)
         slots = self._slot(keys)
@@ -178,8 +178,7 @@ class PieceModel:
                 symbols, word, place, rank, best_here = (x[~over] for x in (symbols, word, place, rank, best_here))
                 if not len(word):
                     break
-            at = np.flatnonzero(rank == best_here)
-            at = at[np.concatenate(([True], word[at[1:]] != word[at[:-1]]))]
+            at = self._together(np.flatnonzero(rank == best_here), symbols, word, rank)
             symbols[at] = self.rank_id[rank[at]]
             kept = np.ones(len(word), bool)
             kept[at + 1] = False
@@ -207,28 +206,29 @@ class PieceModel:
             start = end
         return out
 
-    def merge_heap(self, word: str) -> list[int]:
-        """Ids of one long word: the same merges in the same order, from a heap of (rank, place)."""
-        points = list(map(ord, word))
-        symbols = self.char_symbol[points].tolist()
-        n = len(symbols)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(r, i) for i in range(n - 1) if (r := self.pairs.get((symbols[i], symbols[i + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i = heapq.heappop(heap)
-            j = after[i] if symbols[i] >= 0 else -1
-            if j < 0 or self.pairs.get((symbols[i], symbols[j])) != r:
-                continue
-            symbols[i], symbols[j] = int(self.rank_id[r]), -1
-            after[i] = k = after[j]
-            if k >= 0:
-                before[k] = i
-                if (x := self.pairs.get((symbols[i], symbols[k]))) is not None:
-                    heapq.heappush(heap, (x, i))
-            if (h := before[i]) >= 0 and (x := self.pairs.get((symbols[h], symbols[i]))) is not None:
-                heapq.heappush(heap, (x, h))
-        return [j for i, s in enumerate(symbols) if s >= 0 for j in ([s] if s < self.size else self.byte_ids[list(chr(points[i]).encode())].tolist())]
+    def _together(self, at: np.ndarray, symbols: np.ndarray, word: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Of the places of each word's best pair those that merge in one round, from the left.
+
+        Places that overlap the one before are passed over. One merge after the other would go on with the same pair as
+        long as no merge makes a better one; so the first that does is the last of its word in this round.
+        """
+        heads = np.concatenate(([True], at[1:] != at[:-1] + 1))
+        number = np.arange(len(at))
+        at = at[(number - np.maximum.accumulate(np.where(heads, number, 0))) % 2 == 0]
+        made, mine = self.rank_id[rank[at]], word[at]
+        first = np.concatenate(([True], mine[1:] != mine[:-1]))
+        if first.all():
+            return at
+        # Neighbours as they are when all merges further left are done.
+        before, after = np.maximum(at - 1, 0), np.minimum(at + 2, len(word) - 1)
+        touching = np.concatenate(([False], at[1:] == at[:-1] + 2))
+        left = np.where(touching, np.concatenate((made[:1], made[:-1])), symbols[before])
+        better = (at > 0) & (word[before] == mine) & (self.rank(left, made) < rank[at])
+        better |= (at + 2 < len(word)) & (word[after] == mine) & (self.rank(made, symbols[after]) < rank[at])
+        if not better.any():
+            return at
+        passed = np.cumsum(better) - better
+        return at[passed == passed[first][np.cumsum(first) - 1]]
 
     def cut(self, text: str) -> list[str]:
         if not text:
@@ -236,12 +236,7 @@ class PieceModel:
         return self.words.findall((SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE))
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        long = {i for i, w in enumerate(words) if len(w) > LONG_WORD}
-        out: list[list[int]] = [self.merge_heap(w) if i in long else [] for i, w in enumerate(words)]
-        if short := [i for i in range(len(words)) if i not in long]:
-            for i, ids in zip(short, self.merge_rounds([words[i] for i in short]), strict=True):
-                out[i] = ids
-        return out
+        return self.merge_rounds(words) if words else []
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text, without begin or end ids."""
@@ -268,31 +263,31 @@ class Codec:
 
     def __init__(self, path: str):
         self.model = model(path)
-        self.ids: dict[str, str] = {}
-        self.back: dict[str, str] = {}
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.ids) + len(words) > CACHE_WORDS:
-            self.ids.clear()
-            self.back.clear()
-        new = [w for w in words if w not in self.ids]
+        self.known: dict[str, tuple[str, str]] = {}
+
+    def encoded(self, words: set[str]) -> dict[str, tuple[str, str]]:
+        """(ids joined by commas, their text) of each word."""
         m = self.model
-        for w, ids in zip(new, m.encode_words(new) if new else (), strict=True):
-            if len(w) > 64:
-                w = w[:]  # a copy of its own
-            self.ids[w] = ",".join(map(str, ids))
-            self.back[w] = b"".join(map(m.piece_bytes.__getitem__, ids)).decode("utf-8", "replace")
+        made = m.encode_words(new := [w for w in words if w not in self.known])
+        out = {w: (",".join(map(str, ids)), b"".join(map(m.piece_bytes.__getitem__, ids)).decode("utf-8", "replace")) for w, ids in zip(new, made, strict=True)}
+        out |= {w: self.known[w] for w in words if w not in out}
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known.clear()
+        room = CACHE_WORDS - len(self.known)
+        self.known.update(itertools.islice(((w, out[w]) for w in new if len(w) <= CACHE_CHARS), room))
+        return out
 
     def both_ways(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:
         """(ids joined by commas, text decoded from these ids) of each text."""
         for start, end in chunks(texts):
             cut = [self.model.cut(t or "") for t in texts[start:end]]
-            self.learn({w for words in cut for w in words})
+            known = self.encoded({w for words in cut for w in words})
             for words in cut:
-                text = "".join(map(self.back.__getitem__, words))
+                found = [known[w] for w in words]
+                text = "".join([x[1] for x in found])
                 if self.model.dummy_prefix and text.startswith(" "):
                     text = text[1:]
-                yield ",".join(map(self.ids.__getitem__, words)), text
+                yield ",".join([x[0] for x in found]), text
 
 
 def encode_column(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids", decoded: str | None = None) -> DataFrame:

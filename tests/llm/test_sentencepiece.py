@@ -26,10 +26,23 @@ def test_ids_and_text_are_the_librarys(library):
         assert m.decode(ids) == library.decode(ids)
 
 
-def test_heap_and_rounds_agree():
+def test_long_words(library):
     m = bpe.model(PATH)
-    word = "▁" + "internationalisation" * 150
-    assert m.merge_heap(word) == m.merge_rounds([word])[0]
+    rng = random.Random(2)
+    words = ["internationalisation" * 500, "a" * 30_000, "ab" * 9000 + "b" * 77, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000)), "".join(rng.choice("aé日😀t") for _ in range(9000)), "ththththe" * 2000]
+    words += ["".join(rng.choice(a) for _ in range(rng.randint(1, 400))) for a in ("ab", "the", "aeinst", "ing", "0123456789", "-=", "eE") for _ in range(150)]
+    assert m.encode_words(words) == [library.encode(w)[1:] if library.encode(w)[0] == library.piece_to_id("▁") else m.encode_words([w])[0] for w in words]
+    for w in words:
+        assert m.encode(w) == library.encode(w)
+
+
+def test_long_words_take_few_rounds(monkeypatch):
+    m = bpe.model(PATH)
+    rounds = []
+    real = m._together
+    monkeypatch.setattr(m, "_together", lambda *x: rounds.append(1) or real(*x))
+    m.merge_rounds(["▁" + "internationalisation" * 5000])
+    assert len(rounds) < 60
 
 
 def test_cache_may_overflow(library, monkeypatch):
