@@ -8,8 +8,8 @@ depends on its capitals, so windows are joined by their plain tokens as well,
 which have no placeholders and no case: copies in capitals, in title case, in
 lower case or within a sentence are found by these. Hits of either kind that
 lie on one alignment of document and item are one match. The original values in the
-placeholders must correspond one to one along a match: numbers may change, but
-the same number in the same way; values are compared without case. So verbatim
+placeholders must correspond along a match: numbers may change, but the same
+number in the same way (new values may be equal); values are compared without case. So verbatim
 and re-parameterised copies are found, and look-alike templates with unrelated
 values are not. A copy whose case and values both changed is found as far as its
 names are still capitalised alike.
@@ -18,19 +18,20 @@ A document is contaminated by an item if a consistent match has a run of
 ``min_run`` tokens (the whole item if it is shorter), or consistent windows
 make up half of the item's.
 
-The build side is sent to the tasks in blocks of a bounded number of windows;
-a larger benchmark takes several passes.
+The build side is sent to the tasks, as sorted arrays, in blocks of a bounded
+number of windows; a larger benchmark takes several passes.
 
-Edge cases: null or empty texts match nothing; items with fewer than
-``min_item`` tokens are too short to tell and match nothing; repeated rows each
-give their result; windows in which most tokens are placeholders have no typed
+Edge cases: null or empty texts match nothing; an item shorter than a window is
+one window of its length; an item of one or two tokens says nothing within a
+longer text, so it contaminates the documents that hold nothing else; repeated
+rows each give their result; windows in which most tokens are placeholders have no typed
 form (they would fit anything), so they count where they are copied literally.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,7 +65,9 @@ class Spec:
     #: Placeholders that a window may have.
     max_slots: int = 4
     min_run: int = 13
-    min_item: int = 4
+    #: Items with fewer tokens have no typed form; with fewer than ``min_inside`` they count only as the whole text of a document.
+    min_typed: int = 4
+    min_inside: int = 3
     share: float = 0.5
     #: Benchmark windows sent to the tasks at a time.
     block_windows: int = 1_000_000
@@ -137,31 +140,31 @@ class Canon:
 
 
 class Probe:
-    """The windows of a block of items, as a hash table for whole arrays."""
+    """The windows of a block of items, as sorted arrays that whole documents are looked up in. Built once, on the driver."""
 
     def __init__(self, items: list[tuple[int, str | None]], spec: Spec):
-        canon, self.spec = Canon(), spec
-        self.items: dict[int, tuple[int, np.ndarray, np.ndarray, list[str], int]] = {}
+        canon, self.spec, self.items, self.seen = Canon(), spec, items, {}
         # Typed and plain windows share a table: without placeholders they are the same, with them no hash is both. With each goes whether it is plain.
-        found: dict[int, dict[int, list[tuple[int, int, bool]]]] = defaultdict(lambda: defaultdict(list))
-        for n, (item, text) in enumerate(items):
+        found: dict[int, list[tuple[np.ndarray, ...]]] = defaultdict(list)
+        for n, (_, text) in enumerate(items):
             tokens, slots, raw, plain = canon.both(text)
-            if len(tokens) < spec.min_item:
+            if not len(tokens):
                 continue
             w = min(spec.window, len(tokens))
-            hashes, literal = windows(tokens, w), windows(plain, w)
-            self.items[n] = (item, tokens, slots, raw, w)
-            for q, h in zip(*(x.tolist() for x in self.usable(hashes, slots, w)), strict=True):
-                if h != int(literal[q]):
-                    found[w][h].append((n, q, False))
-            for q, h in enumerate(literal.tolist()):
-                found[w][h].append((n, q, True))
+            literal = windows(plain, w)
+            if w >= spec.min_typed:
+                q, h = self.usable(windows(tokens, w), slots, w)
+                typed = h != literal[q]
+                found[w].append((h[typed], np.full(int(typed.sum()), n), q[typed], np.zeros(int(typed.sum()), bool)))
+            found[w].append((literal, np.full(len(literal), n), np.arange(len(literal)), np.ones(len(literal), bool)))
         self.tables = {}
-        for w, by_hash in found.items():
-            bits = np.zeros(1 << 20, bool)
-            keys = np.array(list(by_hash), np.uint64)
-            bits[(keys >> np.uint64(44)).astype(np.int64)] = True
-            self.tables[w] = (bits, by_hash)
+        for w, parts in found.items():
+            keys, n, q, is_plain = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(keys, kind="stable")
+            shift = 64 - min(24, max(16, int(16 * len(keys)).bit_length()))
+            bits = np.zeros(1 << (64 - shift), bool)
+            bits[(keys >> np.uint64(shift)).astype(np.int64)] = True
+            self.tables[w] = (np.uint64(shift), bits, keys[order], n[order].astype(np.int32), q[order].astype(np.int32), is_plain[order])
 
     def usable(self, hashes: np.ndarray, slots: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of windows with few enough placeholders."""
@@ -169,56 +172,74 @@ class Probe:
         ok = np.flatnonzero(sums[w:] - sums[:-w] <= min(self.spec.max_slots, w // 2)) if len(hashes) else np.empty(0, np.int64)
         return ok, hashes[ok]
 
+    def item(self, n: int, canon: Canon) -> tuple[int, np.ndarray, list[str], int]:
+        """Number of tokens, placeholders, raw tokens and window of an item that was met."""
+        if n not in self.seen:
+            if len(self.seen) > 2_000:
+                self.seen.clear()
+            _, slots, raw = canon.tokens(self.items[n][1])
+            self.seen[n] = (len(raw), slots, raw, min(self.spec.window, len(raw)))
+        return self.seen[n]
+
     def matches(self, canon: Canon, text: str | None) -> list[tuple[int, int, float, int]]:
         """(item, consistent windows, their share of the item's, changed slots) for each item that contaminates the text."""
         tokens, slots, raw, plain = canon.both(text)
         lines: dict[tuple[int, int], tuple[set[int], set[int]]] = defaultdict(lambda: (set(), set()))
-        for w, (bits, by_hash) in self.tables.items():
+        for w, (shift, bits, keys, ns, qs, is_plain) in self.tables.items():
+            if w < self.spec.min_inside and w != len(tokens):
+                continue
             hashes = windows(tokens, w)
             for h in (hashes, windows(plain, w)) if slots.any() else (hashes,):
-                for p in np.flatnonzero(bits[(h >> np.uint64(44)).astype(np.int64)]).tolist():
-                    for n, q, literal in by_hash.get(int(h[p]), ()):
-                        lines[n, p - q][literal].add(q)
+                at = np.flatnonzero(bits[(h >> shift).astype(np.int64)])
+                low, high = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
+                for k in np.flatnonzero(low < high).tolist():
+                    for j in range(low[k], high[k]):
+                        lines[int(ns[j]), int(at[k]) - int(qs[j])][int(is_plain[j])].add(int(qs[j]))
         # The typed hits beside the plain ones, and by themselves: plain hits come first, and values of theirs can rule out typed ones.
         good: dict[tuple[int, bool], tuple[set[int], int, int]] = {}
         for (n, shift), (typed, literal) in lines.items():
-            beside = self._consistent(n, shift, sorted(typed), slots, raw, literal)
-            alone = beside if len(beside[0]) == len(typed | literal) else self._consistent(n, shift, sorted(typed | self._bare(n, literal)), slots, raw)
+            facts = self.item(n, canon)
+            beside = self._consistent(facts, shift, sorted(typed), slots, raw, literal)
+            alone = beside if len(beside[0]) == len(typed | literal) else self._consistent(facts, shift, sorted(typed | self._bare(facts, literal)), slots, raw)
             for way, (kept, changed) in ((True, beside), (False, alone)):
                 if kept:
                     before = good.get((n, way), (set(), 0, 0))
-                    good[n, way] = (before[0] | kept, max(before[1], self._run(kept, self.items[n][4])), max(before[2], changed))
+                    good[n, way] = (before[0] | kept, max(before[1], self._run(kept, facts[3])), max(before[2], changed))
         out: dict[int, tuple[int, int, float, int]] = {}
         for (n, _), (kept, run, changed) in good.items():
-            item, its, _, _, w = self.items[n]
-            share = len(kept) / (len(its) - w + 1)
-            if (run >= min(self.spec.min_run, len(its)) or share >= self.spec.share) and (n not in out or out[n][1] < len(kept)):
-                out[n] = (item, len(kept), share, changed)
+            size, _, _, w = self.item(n, canon)
+            share = len(kept) / (size - w + 1)
+            if (run >= min(self.spec.min_run, size) or share >= self.spec.share) and (n not in out or out[n][1] < len(kept)):
+                out[n] = (self.items[n][0], len(kept), share, changed)
         return list(out.values())
 
-    def _bare(self, n: int, starts: set[int]) -> set[int]:
+    @staticmethod
+    def _bare(facts: tuple[int, np.ndarray, list[str], int], starts: set[int]) -> set[int]:
         """Those of an item's windows that have no placeholders."""
-        _, _, slots, _, w = self.items[n]
+        _, slots, _, w = facts
         return {q for q in starts if not slots[q : q + w].any()}
 
-    def _consistent(self, n: int, shift: int, starts: list[int], slots: np.ndarray, raw: list[str], literal: set[int] | frozenset[int] = frozenset()) -> tuple[set[int], int]:
-        """Windows along an alignment whose placeholders correspond one to one with those before, and how many values differ.
+    @staticmethod
+    def _consistent(facts: tuple[int, np.ndarray, list[str], int], shift: int, starts: list[int], slots: np.ndarray, raw: list[str], literal: set[int] | frozenset[int] = frozenset()) -> tuple[set[int], int]:
+        """Windows along an alignment whose placeholders correspond: each value of the item stands for one value of the text. And how many values differ.
 
-        Literal windows all count, and their values stand for themselves.
+        Each value of the item is bound to what most of its places in these windows hold (the first of equals), so one
+        chance pair rules out its own windows alone. Literal windows all count, and their values stand for themselves.
         """
-        _, _, its_slots, its_raw, w = self.items[n]
-        own = {strip(its_raw[i]).casefold() for q in literal for i in range(q, q + w) if its_slots[i]}
-        to, back = {a: a for a in own}, {a: a for a in own}
+        _, its_slots, its_raw, w = facts
+        places = sorted({i for q in starts if q not in literal for i in range(q, q + w) if its_slots[i]})
+        pairs = {i: (strip(its_raw[i]).casefold(), strip(raw[i + shift]).casefold()) for i in places}
+        bound: dict[str, str] = {}
+        for (a, b), _ in Counter(pairs.values()).most_common():
+            bound.setdefault(a, b)
+        for a in {strip(its_raw[i]).casefold() for q in literal for i in range(q, q + w) if its_slots[i]}:
+            bound[a] = a
         kept, changed = set(literal), set()
         for q in starts:
-            if q in kept:
-                continue
-            pairs = [(strip(its_raw[i]).casefold(), strip(raw[i + shift]).casefold()) for i in range(q, q + w) if its_slots[i]]
-            if all(to.get(a, b) == b and back.get(b, a) == a for a, b in pairs) and len({a for a, _ in pairs}) == len({b for _, b in pairs}):
-                to.update(pairs)
-                back.update((b, a) for a, b in pairs)
+            own = [pairs[i] for i in range(q, q + w) if i in pairs] if q not in literal else []
+            if all(bound[a] == b for a, b in own):
                 kept.add(q)
-                changed.update(a for a, b in pairs if a != b)
+                changed.update(a for a, b in own if a != b)
         return kept, len(changed)
 
     @staticmethod
@@ -247,10 +268,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, spec: Spec = Spec(), k
     picked = docs.select(F.col(key).cast("long"), F.col(text).cast("string"))
     out = None
     for items in blocks(benchmark, spec, item, item_text):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+        sent = docs.sparkSession.sparkContext.broadcast(Probe(items, spec))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            probe, canon = Probe(sent.value, spec), Canon()
+            probe, canon = sent.value, Canon()
             for b in batches:
                 rows = [(doc, *m) for doc, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for m in probe.matches(canon, t)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.float64() if i == 3 else pa.int64()) for i in range(5)], ["doc_id", "item_id", "n_windows", "share", "changed_slots"])
@@ -264,10 +285,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, spec: Spec = Spec(), text: str
     """The documents that no item contaminates, with all their columns."""
     at = docs.columns.index(text)
     for items in blocks(benchmark, spec, item, item_text):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+        sent = docs.sparkSession.sparkContext.broadcast(Probe(items, spec))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            probe, canon = Probe(sent.value, spec), Canon()
+            probe, canon = sent.value, Canon()
             for b in batches:
                 yield b.filter(pa.array([not probe.matches(canon, t) for t in b.column(at).to_pylist()], pa.bool_()))
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from tagloom.llm import decontaminate as d
@@ -21,7 +22,7 @@ def test_slots_must_correspond():
     assert hits(text.replace("5", "8", 1), [(1, text)]) == set() or d.Probe([(1, text)], d.Spec()).matches(d.Canon(), text.replace("5", "8", 1))[0][2] < 1
     p = d.Probe([(1, text)], d.Spec())
     tokens, slots, raw = d.Canon().tokens(text.replace("5", "8", 1))
-    kept, _ = p._consistent(0, 0, list(range(len(tokens) - 7)), slots, raw)
+    kept, _ = p._consistent(p.item(0, d.Canon()), 0, list(range(len(tokens) - 7)), slots, raw)
     assert len(kept) < len(tokens) - 7
 
 
@@ -32,7 +33,11 @@ def test_clean_texts_stay():
 
 
 def test_short_and_empty_items():
-    assert hits("x what is love y", [(1, "what is love"), (2, None), (3, "")]) == set()
+    short = [(1, "What is love?"), (2, None), (3, ""), (4, "Paris"), (5, "42 km"), (6, "is 5 here")]
+    assert hits("x what is love y", short) == {1} and hits("WHAT IS LOVE", short) == {1}
+    assert hits("they went to Paris by a 42 km road", short) == set()
+    assert hits("PARIS!", short) == {4} and hits(" 42 Km.", short) == {5}
+    assert hits("what is life", short) == hits("it is 6 here", short) == set() and hits("it is 5 here", short) == {6}
     assert hits("and what is true love then", [(1, "what is true love")]) == {1}
 
 
@@ -114,3 +119,83 @@ def test_dense_windows_keep_runs_whole():
     # A dense stretch within an item used to break the run, and its windows still counted in the share.
     item = "please sort these values into order for me 9 8 7 6 5 4 3 2 1 0 and then tell me which of them is least"
     assert d.Probe([(1, item)], d.Spec()).matches(d.Canon(), item)[0][1:3] == (len(item.split()) - 7, 1.0)
+
+
+def test_new_values_may_be_equal_and_one_chance_pair_does_little():
+    changed = ITEM.replace("120", "7").replace(" 9 ", " 7 ").replace(" 3 ", " 7 ")
+    assert hits(changed) == {1}
+    text = "box 5 on the left wall holds more than box 5 on the right wall and so we open box 5 first before we close box 5 again at noon"
+    told = text.replace("5", "9", 1).replace(" 5", " 8")
+    got = d.Probe([(1, text)], d.Spec()).matches(d.Canon(), told)
+    assert [m[0] for m in got] == [1] and got[0][3] == 1
+
+
+def naive(docs, items, spec):
+    """By definition, token by token, on its own tokens: windows over typed and plain tokens at every alignment."""
+
+    def parse(text):
+        out, begins = [], True
+        for raw in (text or "").split():
+            core = raw.strip(".,!?:;()'")
+            if not core:
+                continue
+            low = core.lower()
+            kind = "#n" if low.replace(".", "").isdigit() else "#u" if low in ("km", "kg", "hours") else "#a" if core[0].isupper() and not begins else None
+            out.append((kind or low, low, kind is not None))
+            begins = raw[-1] in ".!?:"
+        return out
+
+    found = set()
+    for doc, text in docs:
+        t = parse(text)
+        for item, it in items:
+            v = parse(it)
+            w = min(spec.window, len(v))
+            best = 0
+            for shift in range(-len(v) + 1, len(t)):
+                at = [q for q in range(len(v) - w + 1) if 0 <= q + shift and q + shift + w <= len(t)]
+                plain = [q for q in at if all(v[i][1] == t[i + shift][1] for i in range(q, q + w))]
+                few = [q for q in at if sum(v[i][2] for i in range(q, q + w)) <= min(spec.max_slots, w // 2)]
+                typed = [q for q in few if all(v[i][0] == t[i + shift][0] for i in range(q, q + w))]
+                for starts, fixed in ((plain, plain), (sorted({*plain, *typed}), plain), (typed, [])):
+                    votes = {}
+                    for i in sorted({i for q in starts if q not in fixed for i in range(q, q + w) if v[i][2]}):
+                        votes.setdefault(v[i][1], []).append(t[i + shift][1])
+                    bind = {a: max(b, key=lambda x, b=b: (b.count(x), -b.index(x))) for a, b in votes.items()}
+                    bind |= {v[i][1]: v[i][1] for q in fixed for i in range(q, q + w) if v[i][2]}
+                    kept = [q for q in starts if q in fixed or all(bind[v[i][1]] == t[i + shift][1] for i in range(q, q + w) if v[i][2])]
+                    run = max((len(list(g)) for _, g in itertools.groupby(enumerate(kept), lambda x: x[1] - x[0])), default=1 - w) + w - 1
+                    best = max(best, run / min(spec.min_run, len(v)), len(kept) / (len(v) - w + 1) / spec.share)
+            if best >= 1:
+                found.add((doc, item))
+    return found
+
+
+def test_templates_are_the_naive_ones():
+    rng = random.Random(9)
+    words = "the train boat box from town to river holds takes and then after before how many of red blue green does it all".split()
+    names = ["Boston", "Denver", "Anna", "Rome"]
+
+    def say(n):
+        return " ".join(rng.choice((*words, *words, str(rng.randint(1, 9)), "km", "kg", rng.choice(names))) + ("." if rng.random() < 0.05 else "") for _ in range(n))
+
+    items = [(i, say(rng.randint(9, 30))) for i in range(25)]
+    docs = []
+    for k in range(250):
+        own = rng.choice(items)[1].split()
+        own = own[rng.randint(0, 3) : len(own) - rng.randint(0, 3)]
+        way = k % 5
+        swap = {str(i): str(rng.randint(1, 9)) for i in range(1, 10)} | {a: rng.choice(names) for a in names}
+        if way == 1:
+            own = [swap.get(x, x) for x in own]
+        elif way == 2:
+            own = [rng.choice(names) if x in names and rng.random() < 0.4 else str(rng.randint(1, 9)) if x.isdigit() and rng.random() < 0.5 else x for x in own]
+        elif way == 3:
+            own = [x.upper() if rng.random() < 0.5 else x for x in own]
+        elif way == 4:
+            own = [rng.choice(words) if rng.random() < 0.08 else x for x in own]
+        docs.append((k, " ".join([say(rng.randint(0, 6)), *own, say(rng.randint(0, 6))])))
+    probe, canon = d.Probe(items, d.Spec()), d.Canon()
+    got = {(k, m[0]) for k, t in docs for m in probe.matches(canon, t)}
+    want = naive(docs, items, d.Spec())
+    assert got == want and 100 < len(want) < 250
