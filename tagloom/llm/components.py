@@ -1,8 +1,9 @@
 """Connected components of links, by alternating large and small stars over DataFrames.
 
-Each round is two aggregations with map-side minima and two joins whose skewed
-partitions Spark splits; the links of a round are written to the shared folder, and those of the round
-before removed.
+Each round is two aggregations with map-side minima and two joins; a hub's rows are one key of these joins,
+whose partitions Spark splits from its threshold for skew on (below it a partition is small). The links of a
+round are written to the shared folder, and those of the round before removed. Rounds end when every tree is
+a star, which is tested on the links themselves.
 """
 
 from __future__ import annotations
@@ -56,12 +57,12 @@ def components(links: DataFrame) -> DataFrame:
     """node, root for every node of links(a, b), both long; root is the smallest node it reaches. Nodes without a link to another have no row."""
     links = links.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
     links, path = saved(links.transform(mapped, _contract, "a long, b long").distinct(), "links")
-    before = None
     while True:
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003), F.count_if(F.col("a") <= F.col("b"))).first()
-        if state[0] == 0 or tuple(state) == before:
+        # Done when every tree is a star: each node has one link, and leads to a node that has none.
+        ends = links.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("top")).union(links.select("b", F.lit(0), F.lit(1)))
+        nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("top").alias("top"))
+        if nodes.filter("out > 1 or (out = 1 and top = 1)").isEmpty():
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(links.select("b", "b")).distinct()
-        before = tuple(state)
         # Large star: all larger neighbours move to the smallest of the neighbourhood.
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tagloom.llm import ngram_join as j
-from tagloom.llm.components import components
+from tagloom.llm.components import Forest, components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -117,3 +117,23 @@ def test_one_id_with_different_texts(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted((r.doc_id, r.text) for r in ngram_join.one_of_each(df).collect())
     assert got == sorted([(5, texts[0]), (5, texts[1]), rows[-1]])
+
+
+@pytest.mark.parametrize("kind", ["path", "star", "random", "tree", "none"])
+def test_components_are_union_finds(spark, kind):
+    rng = random.Random(kind)
+    n = 400
+    links = {
+        "path": [(i, i + 1) for i in range(n)],
+        "star": [(7, i) for i in range(n)] + [(n + i, 2 * n) for i in range(50)],
+        "random": [(rng.randrange(n), rng.randrange(n)) for _ in range(n // 2)],
+        "tree": [(i, i // 2) for i in range(1, n)] + [(-5, -5), (-9, -2)],
+        "none": [],
+    }[kind]
+    rng.shuffle(links)
+    forest = Forest()
+    for a, b in links:
+        forest.join(a, b)
+    nodes = {x for a, b in links if a != b for x in (a, b)}
+    df = spark.createDataFrame(links, "a long, b long").repartition(7)
+    assert {(r.node, r.root) for r in components(df).collect()} == {(x, forest.root(x)) for x in nodes}
