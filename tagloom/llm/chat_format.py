@@ -8,12 +8,14 @@ loss mask) with their ends ``{% endfor %}``, ``{% endif %}``,
 ``{% endgeneration %}``. A tag with a dash ({%- -%}) strips the white space on
 that side. Expressions know strings, whole numbers, true, false, none, names,
 fields (``a.b``, ``a['b']``), ``+ == != < > and or not``, and the filters
-``trim upper lower length escape``. There are no calls, attributes of Python
+``trim upper lower length escape line``. There are no calls, attributes of Python
 objects or imports: a name reads the given values and a field reads a mapping.
 
 ``escape`` makes control strings harmless, reversibly: ``<|`` becomes ``<\\|``,
 and a backslash behind ``<`` gets one more. So what a text says can't be taken
-for a marker, and ``read_back`` restores turns and loss texts exactly.
+for a marker, and ``read_back`` restores turns and loss texts exactly. ``line``
+does the same for what must stay on one line (a role): a line feed becomes the
+control string ``<|lf|>``, which an escaped text can't hold.
 
 Edge cases: a null text or role is empty; rows that repeat a turn keep their
 order by role and text; a null conv_id is a conversation of its own; one
@@ -33,8 +35,8 @@ from pyspark.sql import functions as F
 
 from .common import mapped
 
-START, END = "<|im_start|>", "<|im_end|>"
-CHAT = "{% for m in messages %}" + START + "{{ m.role | escape }}\n{% if m.role == 'assistant' %}{% generation %}{{ m.text | escape }}{% endgeneration %}{% else %}{{ m.text | escape }}{% endif %}" + END + "\n{% endfor %}"
+START, END, FEED = "<|im_start|>", "<|im_end|>", "<|lf|>"
+CHAT = "{% for m in messages %}" + START + "{{ m.role | line }}\n{% if m.role == 'assistant' %}{% generation %}{{ m.text | escape }}{% endgeneration %}{% else %}{{ m.text | escape }}{% endif %}" + END + "\n{% endfor %}"
 
 TAG = re.compile(r"\{(\{|%)(-?)\s*(.*?)\s*(-?)(\}|%)\}", re.S)
 TOKEN = re.compile(r"\s*(?:(?P<string>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<number>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|[|.+<>()\[\]]))")
@@ -60,6 +62,7 @@ FILTERS: dict[str, Callable[[Any], Any]] = {
     "lower": lambda x: _text(x).lower(),
     "length": lambda x: len(x) if isinstance(x, (str, list, dict)) else 0,
     "escape": lambda x: escape(_text(x)),
+    "line": lambda x: escape(_text(x)).replace("\n", FEED),
 }
 
 
@@ -380,13 +383,13 @@ TURN = re.compile(re.escape(START) + r"(.*?)\n(.*?)" + re.escape(END) + "\n", re
 
 
 def read_back(formatted: str) -> list[tuple[str, str]]:
-    """(role, text) of each turn in the output of CHAT. Roles hold no line feed."""
+    """(role, text) of each turn in the output of CHAT."""
     out, at = [], 0
     for m in TURN.finditer(formatted):
         if m.start() != at:
             raise ValueError("text between turns")
         at = m.end()
-        out.append((unescape(m[1]), unescape(m[2])))
+        out.append((unescape(m[1].replace(FEED, "\n")), unescape(m[2])))
     if at != len(formatted):
         raise ValueError("text after the last turn")
     return out

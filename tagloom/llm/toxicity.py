@@ -1,15 +1,15 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text.
 
 Folding lower-cases, takes accents off, and maps homoglyphs of other scripts
-and digits or signs that stand for letters to plain letters. The lexicon has
-seed words and terms learnt from a bounded sample: words, and beginnings of
-words (for compounds), that labelled texts have far more often if toxic. Of
+and digits or signs that stand for letters to plain letters. The lexicon is
+learnt from a bounded sample: words, and beginnings of words (for compounds),
+that labelled texts have far more often if toxic. Of
 matches at the beginning of one word the heaviest counts; matches within an
 exception phrase don't count. The sum of weights, its density per word and the
 heaviest weight are combined by a logistic function, fitted on the same sample.
 
-Edge cases: null and empty texts match nothing and get the score of that; with
-no labels of both kinds the seed words and a fixed function decide.
+Edge cases: null and empty texts match nothing and get the score of that;
+without labels of both kinds there are no terms, so all texts get that score.
 """
 
 from __future__ import annotations
@@ -26,12 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import mapped
 
-#: Seed words, phrases in which they are harmless, look-alike letters and signs.
-SEEDS = "idiot moron stupid loser scum trash worthless pathetic disgusting clown dumb imbecile jerk bastard".split()
+#: Phrases in which a term is harmless, look-alike letters and signs.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "class clown", "clown fish", "stupid question", "no such thing as a stupid", "sore loser")
 LOOKALIKES = "аaеeоoрpсcуyхxіiѕsјjԁdһhοoαaιiνvρpτtυuкkмmтtвbнhөo"
 SIGNS = "0o1i3e4a5s7t8b@a$s"
-SEED_WEIGHT = 3.0
 
 
 def _fold_table() -> dict[int, str]:
@@ -132,15 +130,25 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50)
     return w
 
 
+def terms_of(text: str | None, spec: Spec) -> set[str]:
+    """What of a text may become a term: its words, and their beginnings marked with *."""
+    own = {w for w in words(fold(text)) if 3 <= len(w) <= 40}
+    return own | {w[:k] + "*" for w in own for k in spec.stems if len(w) > k}
+
+
 def _terms(sample: DataFrame, spec: Spec) -> DataFrame:
     """(term, toxic, clean): documents of either kind with each term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            terms, labels = [], []
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = {w for w in words(fold(text)) if 3 <= len(w) <= 40}
-                own |= {w[:k] + "*" for w in own for k in spec.stems if len(w) > k}
-                yield pa.RecordBatch.from_arrays([pa.array(sorted(own), pa.string()), pa.array([label] * len(own), pa.int32())], ["term", "label"])
+                terms += (own := terms_of(text, spec))
+                labels += [label] * len(own)
+                if len(terms) > 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(labels, pa.int32())], ["term", "label"])
+                    terms, labels = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(labels, pa.int32())], ["term", "label"])
 
     each = sample.select("text", "label").transform(mapped, run, "term string, label int")
     return each.groupBy("term").agg(F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
@@ -149,14 +157,14 @@ def _terms(sample: DataFrame, spec: Spec) -> DataFrame:
 def fit(sample: DataFrame, spec: Spec = Spec()) -> Model:
     """The model of a bounded sample (id, text, label). At most ``max_terms`` terms, and three numbers of each document, reach the driver."""
     sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
-    terms = {w: SEED_WEIGHT for w in SEEDS}
+    terms: dict[str, float] = {}
     if len(sizes) < 2:
         return Model(terms)
     weight = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
     # The bound that chance alone would hardly pass: what toxic documents have beyond clean ones.
     ranked = _terms(sample, spec).filter(F.col("toxic") >= spec.least_support).withColumn("weight", weight).filter(F.col("weight") >= spec.least_weight)
     for r in ranked.orderBy(F.desc("weight"), F.desc("toxic"), "term").limit(spec.max_terms).collect():
-        terms[r.term] = max(terms.get(r.term, 0.0), round(r.weight, 4))
+        terms[r.term] = round(r.weight, 4)
     model = Model(terms)
     sent = sample.sparkSession.sparkContext.broadcast(model)
 

@@ -176,13 +176,20 @@ def revisits(pages: DataFrame, spec: Spec = Spec()) -> DataFrame:
     return each.join(first, "digest").filter("page_id > refers_to").select("page_id", "digest", "refers_to").distinct()
 
 
+def mounted(spark: SparkSession, folder: str) -> str | None:
+    """The path of a folder that Spark too takes for a local file's (where it is shared, a mount), else None."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(place).toUri().getPath() if system.getScheme() == "file" else None
+
+
 INDEX = "bundle string, page_id long, frame int, offset int, length int, data binary"
 
 
 def write(pages: DataFrame, folder: str, spec: Spec = Spec()) -> DataFrame:
     """Writes the archives of pages(page_id, url, html) below a folder and returns their index, itself a table there."""
     spark = pages.sparkSession
-    local = folder.removeprefix("file://") if folder.startswith(("file://", "/")) else None
+    local = mounted(spark, folder)
     if local:
         os.makedirs(f"{local}/bundles", exist_ok=True)
 

@@ -140,3 +140,73 @@ def test_folding_and_exceptions():
     assert m.sums("grob grobian groß")[0] == 4.0
     assert m.sums("put it in the trash can") == (0, 6, 0) and m.sums("trash, trash can")[0] == 3.0
     assert m.sums(None) == m.sums("") == (0, 0, 0)
+
+
+def naive_sums(terms, text):
+    """The matcher by definition: at each place of the folded text every term is tried."""
+    t = toxicity.fold(text)
+    spared = set()
+    for phrase in toxicity.EXCEPTIONS:
+        for i in range(len(t)):
+            if t.startswith(phrase, i) and (i == 0 or not t[i - 1].isalpha()) and not t[i + len(phrase) : i + len(phrase) + 1].isalpha():
+                spared |= set(range(i, i + len(phrase)))
+    total, top = 0.0, 0.0
+    for i in range(len(t)):
+        if i and t[i - 1].isalpha() or i in spared:
+            continue
+        best = 0.0
+        for term, weight in terms.items():
+            core = term.rstrip("*")
+            if t.startswith(core, i) and (term.endswith("*") or not t[i + len(core) : i + len(core) + 1].isalpha()):
+                best = max(best, weight)
+        total, top = total + best, max(top, best)
+    return total, len(t.split()), top
+
+
+def test_matcher_is_the_naive_one():
+    rng = random.Random(8)
+    terms = {"idiot": 3.0, "trash": 2.5, "clown": 2.75, "clow*": 1.5, "grob*": 2.0, "grobi*": 2.25, "ab": 1.0, "abc": 4.0, "a*": 0.5, "stupid": 3.5}
+    m = toxicity.Matcher(toxicity.Model(terms))
+    parts = [*"ab", "abc", "abcd", "clown", "clowns", "class clown", "clown fish", "1d10t", "ïdiot", "idiot", "trash", "trash can", "trash cans", "grobian", "grob", "stupid question", "stupid", "STUPID", " ", " ", " ", ",", "\n", "-", "é", "4", "😀"]
+    hits = 0
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) + rng.choice(("", " ", " ")) for _ in range(rng.randint(0, 12)))
+        got, want = m.sums(text), naive_sums(terms, text)
+        assert abs(got[0] - want[0]) < 1e-9 and got[1:] == want[1:], text
+        hits += any(x in toxicity.fold(text) for x in toxicity.EXCEPTIONS)
+    assert hits > 500
+
+
+def test_toxic_terms_weights_and_scores_are_recomputed(spark):
+    rng = random.Random(10)
+    vocabulary = [w for k in LANGS for w in LANGS[k]]
+    rows = []
+    for i in range(300):
+        y = int(rng.random() < 0.4)
+        text = [rng.choice(vocabulary) for _ in range(rng.randint(3, 30))]
+        if y:
+            text.insert(rng.randint(0, len(text)), rng.choice(("1D10T", "grobianhaft", "grobianisch", "trash", "vilain!")))
+        elif rng.random() < 0.2:
+            text.append("trash can")
+        rows.append((i, " ".join(text), y))
+    spec = toxicity.Spec()
+    model = toxicity.fit(spark.createDataFrame(rows, "id long, text string, label int").repartition(3), spec)
+    sizes = [sum(y == k for _, _, y in rows) for k in (0, 1)]
+    seen = {}
+    for _, t, y in rows:
+        own = {w.strip("!") for w in toxicity.fold(t).split()}
+        own = {w for w in own if 3 <= len(w) <= 40}
+        for w in own | {w[:k] + "*" for w in own for k in (4, 5, 6, 7) if len(w) > k}:
+            seen.setdefault(w, [0, 0])[y] += 1
+    want = {w: float(np.log((b + 0.5) / (sizes[1] + 1)) - np.log((a + 0.5) / (sizes[0] + 1))) for w, (a, b) in seen.items() if b >= spec.least_support}
+    want = {w: x for w, x in want.items() if x >= spec.least_weight}
+    assert model.terms.keys() == want.keys() and {"idiot", "grobian*"} <= want.keys() and all(abs(model.terms[w] - x) < 1e-4 for w, x in want.items())
+    x = []
+    for _, t, _ in rows:
+        total, n, top = naive_sums(model.terms, t)
+        x.append((1.0, np.log1p(total), np.log1p(100 * total / max(1, n)), top))
+    x, y, w = np.array(x), np.array([r[2] for r in rows]), np.array(model.logistic)
+    gradient = x.T @ (y - 1 / (1 + np.exp(-x @ w))) - np.array([1e-6, 1, 1, 1]) * w
+    assert np.abs(gradient).max() < 1e-4  # the ridge optimum
+    got = {r.doc_id: r.score for r in toxicity.scores(spark.createDataFrame(rows, "doc_id long, text string, label int"), model).collect()}
+    assert all(abs(got[i] - 1 / (1 + np.exp(-x[i] @ w))) < 1e-9 for i in range(len(rows)))
