@@ -41,6 +41,30 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
 
 
+WORDS_SQL = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+ORACLES["op3_ngram_jaccard_join"] = rf"""
+with recursive d as (select doc_id, regexp_split_to_array(translate(array_to_string({WORDS_SQL}, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ') as w, len({WORDS_SQL}) as n from documents),
+s as (select distinct doc_id, case when n < 4 then array_to_string(w, ' ') else array_to_string(w[i:i + 3], ' ') end as g from d, unnest(range(1, greatest(n - 3, 1) + 1)) t(i) where n > 0),
+c as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as both from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select p.a, p.b from p join c x on x.doc_id = p.a join c y on y.doc_id = p.b where 100 * p.both >= 85 * (x.n + y.n - p.both)),
+e as (select a, b from l union all select b, a from l),
+r(node, root) as (select doc_id, doc_id from d union select e.b, r.root from r join e on e.a = r.node where r.root < e.b)
+select d.doc_id, coalesce(any_value(c.n), 0) as n_shingles, min(r.root) as component_id from d left join c using (doc_id) join r on r.node = d.doc_id group by d.doc_id
+"""
+
+ORACLES["op8_substring_dedup"] = rf"""
+with d as (select row_number() over () as r, doc_id, {WORDS_SQL} as w from documents),
+g as (select r, doc_id, i, array_to_string(w[i:i + 49], ' ') as k from d, unnest(range(1, len(w) - 48)) t(i)),
+f as (select k, min(doc_id) as least from g group by k),
+c as (select distinct r, unnest(range(i, i + 50)) as p from g join f using (k) where doc_id > least),
+o as (select r, count(*) as n from c group by r),
+k as (select r, string_agg(word, ' ' order by p) as t from (select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d) anti join c using (r, p) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(o.n, 0) as n_removed, sha256(coalesce(k.t, '')) as kept_sha256 from d left join o using (r) left join k using (r)
+"""
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
