@@ -190,28 +190,32 @@ def tag_names(html: str | None) -> list[str]:
 
 
 def clean(root: Node, level: str) -> Node:
-    """The tree cleaned in place. Levels: minimal drops styles and scripts; moderate also drawings, style and class; aggressive keeps content tags, six attributes, and no tag without text unless it holds an image or link."""
+    """The tree cleaned in place. Levels: minimal drops styles and scripts; moderate also drawings, style and class; aggressive keeps content tags, six attributes, and no tag without text unless it holds an image or link.
+
+    Two passes over the tree, whatever its shape: one drops tags and attributes, one from the inside out tells what holds content.
+    """
     drop = {"original": frozenset(), "minimal": DROP_MINIMAL, "moderate": DROP_MODERATE, "aggressive": DROP_AGGRESSIVE}[level]
-    for x in list(root.elements()):
-        if x.name in drop:
-            x.parent.children = [c for c in x.parent.children if c is not x]
-    for x in root.elements():
+    order, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        order.append(x)
+        x.children = [c for c in x.children if not (isinstance(c, Node) and c.name in drop)]
+        todo += [c for c in x.children if isinstance(c, Node)]
         if level == "moderate":
             x.attrs.pop("style", None)
             x.attrs.pop("class", None)
         elif level == "aggressive":
             x.attrs = {k: v for k, v in x.attrs.items() if k in KEEP_ATTRS}
     if level == "aggressive":
-        gone: set[int] = set()
-        for x in list(root.elements()):  # from the outside in: what is gone is not asked again
-            if id(x.parent) in gone:
-                gone.add(id(x))
-            elif not any(t.strip() for t in x.texts(frozenset())) and not x.find(lambda y: y.name in ("img", "a")):
-                x.parent.children = [c for c in x.parent.children if c is not x]
-                gone.add(id(x))
+        holds: set[int] = set()  # nodes with a text, image or link below
+        for x in reversed(order):  # children before their parents
+            if any(c.strip() if isinstance(c, str) else isinstance(c, Node) and (id(c) in holds or c.name in ("img", "a")) for c in x.children):
+                holds.add(id(x))
+            x.children = [c for c in x.children if not isinstance(c, Node) or id(c) in holds]
     return root
 
 
 def cleaned(html: str | None) -> list[str]:
-    """The page at each of LEVELS but the first, parsed once for each."""
-    return [serialise(clean(parse(html), level)) for level in LEVELS[1:]]
+    """The page at each of LEVELS but the first. Parsed once: each level drops what the one before drops, and more."""
+    root = parse(html)
+    return [serialise(clean(root, level)) for level in LEVELS[1:]]

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import random
-import re
 from collections.abc import Callable
 
 from .html_tree import RAW, VOID, Node, parse, serialise
@@ -43,7 +42,7 @@ def _first(root: Node, name: str) -> Node | None:
     return root.find(lambda x: x.name == name)
 
 
-def wrap(root: Node, rng: random.Random) -> None:
+def wrap(root: Node, rng: random.Random) -> bool:
     if body := _first(root, "body"):
         for _ in range(rng.randint(1, 3)):
             div = Node("div", {"class": rng.choice(WRAPPERS)}, body)
@@ -51,45 +50,72 @@ def wrap(root: Node, rng: random.Random) -> None:
             for x in div.children:
                 if isinstance(x, Node):
                     x.parent = div
+    return body is not None
 
 
-def attributes(root: Node, rng: random.Random) -> None:
+#: How an attribute takes a new value: replaced, or joined to what is there.
+JOINS = {"class": " ", "style": "; "}
+Rule = tuple[float, Callable[[random.Random], str], Callable[[random.Random], str]]
+
+#: (chance, attribute, value) of the standard change of attributes.
+ATTRIBUTE_RULES: tuple[Rule, ...] = (
+    (0.5, lambda rng: "class", lambda rng: f"auto-{rng.randint(1000, 9999)}"),
+    (0.3, lambda rng: "data-id", lambda rng: str(rng.randint(10000, 99999))),
+    (0.2, lambda rng: "aria-hidden", lambda rng: "true"),
+)
+
+
+def decorate(tags: list[Node], rules: tuple[Rule, ...], rng: random.Random) -> bool:
+    """Each rule falls on each tag with its chance."""
+    changed = False
+    for x in tags:
+        for chance, attribute, value in rules:
+            if rng.random() < chance:
+                name = attribute(rng)
+                old = x.attrs.get(name) if name in JOINS else None
+                old = " ".join(old.split()) if old and name == "class" else old
+                new = f"{old}{JOINS[name]}{value(rng)}" if old else value(rng)
+                changed |= x.attrs.get(name) != new
+                x.attrs[name] = new
+    return changed
+
+
+def attributes(root: Node, rng: random.Random) -> bool:
+    """The standard change of attributes, on five to twenty tags."""
     tags = list(root.elements())
-    for x in rng.sample(tags, min(len(tags), rng.randint(5, 20))):
-        if rng.random() < 0.5:
-            x.attrs["class"] = " ".join([*(x.attrs.get("class") or "").split(), f"auto-{rng.randint(1000, 9999)}"])
-        if rng.random() < 0.3:
-            x.attrs["data-id"] = str(rng.randint(10000, 99999))
-        if rng.random() < 0.2:
-            x.attrs["aria-hidden"] = "true"
+    return decorate(rng.sample(tags, min(len(tags), rng.randint(5, 20))), ATTRIBUTE_RULES, rng)
 
 
-def comments(root: Node, rng: random.Random) -> None:
+def comments(root: Node, rng: random.Random) -> bool:
     body = _first(root, "body")
     inner = list(body.elements()) if body else []
     for _ in range(rng.randint(2, 5) if inner else 0):
         x = rng.choice(inner)
         at = next(i for i, c in enumerate(x.parent.children) if c is x)
         x.parent.children.insert(at, ("comment", rng.choice(COMMENTS)))
+    return bool(inner)
 
 
-def styles(root: Node, rng: random.Random) -> None:
+def styles(root: Node, rng: random.Random) -> bool:
     if head := _first(root, "head"):
         style = Node("style", {}, head)
         style.children.append("\n".join(rng.sample(STYLES, rng.randint(1, 3))))
         head.children.append(style)
+    return head is not None
+
+
+#: Where line feeds may go: (text, text with line feed), each in half of the variations.
+SPACING = (("<div", "\n<div"), ("><", ">\n<"))
 
 
 def spaced(html: str, rng: random.Random) -> str:
     """Line feeds before opening divs, between tags, both or neither."""
-    if rng.random() < 0.5:
-        html = html.replace("<div", "\n<div")
-    if rng.random() < 0.5:
-        html = re.sub("><", ">\n<", html)
+    for plain, broken in SPACING:
+        html = html.replace(plain, broken) if rng.random() < 0.5 else html
     return html
 
 
-def numbered_wrappers(root: Node, rng: random.Random) -> None:
+def numbered_wrappers(root: Node, rng: random.Random) -> bool:
     """One to three nested divs around the body's content, the outermost numbered 0."""
     if body := _first(root, "body"):
         inner, at = body.children, body
@@ -101,33 +127,34 @@ def numbered_wrappers(root: Node, rng: random.Random) -> None:
         for x in inner:
             if isinstance(x, Node):
                 x.parent = at
+    return body is not None
 
 
-def noise_attributes(root: Node, rng: random.Random) -> None:
+def noise_attributes(root: Node, rng: random.Random) -> bool:
     """Each tag gets a class with some chance between 0.1 and 0.3, and a data attribute with half of it."""
     chance = rng.uniform(0.1, 0.3)
-    for x in root.elements():
-        if rng.random() < chance:
-            x.attrs["class"] = " ".join([*(x.attrs.get("class") or "").split(), rng.choice(NOISE_CLASSES)])
-        if rng.random() < chance / 2:
-            x.attrs[f"data-{rng.choice(NOISE_DATA)}"] = f"value-{rng.randint(1, 1000)}"
+    noise = (
+        (chance, lambda rng: "class", lambda rng: rng.choice(NOISE_CLASSES)),
+        (chance / 2, lambda rng: f"data-{rng.choice(NOISE_DATA)}", lambda rng: f"value-{rng.randint(1, 1000)}"),
+    )
+    return decorate(list(root.elements()), noise, rng)
 
 
-def inline_styles(root: Node, rng: random.Random) -> None:
-    chance = rng.uniform(0.05, 0.2)
-    for x in root.elements():
-        if rng.random() < chance:
-            x.attrs["style"] = "; ".join([s for s in (x.attrs.get("style"),) if s] + [rng.choice(NOISE_STYLES)])
+def inline_styles(root: Node, rng: random.Random) -> bool:
+    """Each tag gets a style with some chance between 0.05 and 0.2."""
+    return decorate(list(root.elements()), ((rng.uniform(0.05, 0.2), lambda rng: "style", lambda rng: rng.choice(NOISE_STYLES)),), rng)
 
 
-def leading_comments(root: Node, rng: random.Random) -> None:
+def leading_comments(root: Node, rng: random.Random) -> bool:
     """Three to ten comments, each as the first child of some tag; raw-text and void tags hold none."""
     tags = [x for x in root.elements() if x.name not in VOID | RAW]
     for _ in range(min(len(tags), rng.randint(3, 10))):
         rng.choice(tags).children.insert(0, ("comment", f" {rng.choice(NOISE_COMMENTS)} "))
+    return bool(tags)
 
 
-TREE_STEPS: dict[str, Callable[[Node, random.Random], None]] = {
+#: Steps on the tree; each tells whether it changed it.
+TREE_STEPS: dict[str, Callable[[Node, random.Random], bool]] = {
     "wrapper_divs": wrap, "random_attrs": attributes, "comments": comments, "styles": styles,
     "numbered_wrappers": numbered_wrappers, "noise_attrs": noise_attributes, "inline_styles": inline_styles, "leading_comments": leading_comments,
 }
@@ -142,14 +169,8 @@ def vary(html: str, seed: int, base_id: object, variation_id: int, profile: str
     tree = [s for s in planned if s in TREE_STEPS]
     if tree:
         root = parse(html)
-        before = serialise(root)
-        for step in tree:
-            TREE_STEPS[step](root, rng)
-            after = serialise(root)
-            if after != before:
-                applied.append(step)
-            before = after
-        html = before
+        applied = [step for step in tree if TREE_STEPS[step](root, rng)]
+        html = serialise(root)
     for step in planned:
         if step in TEXT_STEPS:
             after = TEXT_STEPS[step](html, rng)

@@ -1,8 +1,9 @@
 """Text similarity: n-gram overlap (ROUGE-1, -2), longest common subsequence (ROUGE-L) and edit distance.
 
-Tokens are runs of a-z and 0-9 of the lower-cased text. The plain n-gram scores
-and the edit distance are JVM expressions; stemming (Porter, 1980; words of more
-than three letters) and subsequences need Arrow functions.
+Tokens are runs of a-z and 0-9 of the lower-cased text. The edit distance is a JVM
+expression; multisets of n-grams, stemming (Porter, 1980; words of more than three
+letters) and subsequences are Arrow functions, linear in the number of words but
+for the subsequences.
 """
 
 from __future__ import annotations
@@ -20,26 +21,6 @@ from .kinds import struct
 WORD = re.compile(r"[a-z0-9]+")
 
 
-def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"))
-
-
-def overlap_f1(prediction: Column, reference: Column, n: int = 1) -> Column:
-    """F1 of n-gram multisets, without stemming; 0 if there is no overlap."""
-
-    def numbered(text: Column) -> Column:
-        """Each n-gram with how many times it has come before: multisets as sets."""
-        grams = F.transform(F.array(tokens(text)), lambda t: F.when(F.size(t) < n, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(0), F.size(t) - n), lambda i: F.array_join(F.slice(t, i + 1, n), " "))))[0]
-        ranked = F.transform(F.array(F.array_sort(grams)), lambda g: F.transform(g, lambda x, i: F.concat(x, F.lit("\t"), (i - F.array_position(g, x) + 1).cast("string"))))
-        return ranked[0]
-
-    def score(p: Column, r: Column) -> Column:
-        both = F.size(F.array_intersect(p, r))
-        return F.when(both == 0, F.lit(0.0)).otherwise(2.0 * both / (F.size(p) + F.size(r)))
-
-    return F.transform(F.array(F.struct(numbered(prediction).alias("p"), numbered(reference).alias("r"))), lambda x: score(x["p"], x["r"]))[0]
-
-
 def edit_distance(a: Column, b: Column) -> Column:
     return F.levenshtein(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))
 
@@ -155,6 +136,14 @@ def rouge(prediction: str | None, reference: str | None) -> tuple[float, float,
     return grams_f1(p, r, 1), grams_f1(p, r, 2), f1(lcs(p, r), len(p), len(r))
 
 
+@F.pandas_udf(struct("rouge1 double, rouge2 double"))
+def overlap_scores(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """F1 of the multisets of words and of word pairs, without stemming: (prediction, reference)."""
+    for p, r in batches:
+        words = [[WORD.findall((t or "").lower()) for t in x] for x in (p, r)]
+        yield pd.DataFrame([(grams_f1(a, b, 1), grams_f1(a, b, 2)) for a, b in zip(*words, strict=True)], columns=["rouge1", "rouge2"])
+
+
 @F.pandas_udf(struct("rouge1 double, rouge2 double, rougeL double"))
 def rouge_scores(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     """Column form of ``rouge`` (prediction, reference)."""

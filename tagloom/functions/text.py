@@ -47,7 +47,8 @@ def answer_of(text: Column) -> Column:
 
 
 def preview(text: Column, n: int = 100) -> Column:
-    return F.concat(F.left(text, F.lit(n)), F.lit("..."))
+    """The first n characters, with an ellipsis if there are more."""
+    return F.when(F.length(text) > n, F.concat(F.left(text, F.lit(n)), F.lit("..."))).otherwise(text)
 
 
 def joined_fragments(parts: Column, separator: str = "\n\n<!-- FRAGMENT SEPARATOR -->\n\n") -> Column:
@@ -63,6 +64,16 @@ def percent_less(before: Column, after: Column) -> Column:
     return F.try_divide((before - after) * F.lit(100.0), before)
 
 
+def half_even(value: Column, digits: int = 0) -> Column:
+    """Rounded, a half to the even neighbour as data-frame libraries do; by the decimal digits that are shown."""
+    return F.bround(value.cast("decimal(38,12)"), digits).cast("double")
+
+
+def holds(text: Column, part: str) -> Column:
+    """Whether a text has a part, as it stands; false for null."""
+    return F.coalesce(text.contains(part), F.lit(False))
+
+
 def complete(value: Column) -> Column:
     """Whether a label value (text of a JSON value, null for a JSON null) is filled in. A list with a TODO counts as filled in."""
     return value.isNotNull() & ~value.isin("TODO", "")

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import mutate
 from ..functions.kinds import struct
+from ..functions.rendering import pretty_json
 from ..functions.text import after_marker, without_prompt
 from ..functions.tokens import approximate, of_chat
-from ..sources import registry
+from ..sources import records, registry, sinks
 
 SPLITS = ("train", "validation", "test")
 #: Ranges of a key in which rows are ranked apart.
@@ -27,24 +28,26 @@ def draw(key: Column, seed: int) -> Column:
 def stratified_split(rows: DataFrame, key: str, stratum: str, ratios: tuple[float, float] = (0.8, 0.1), seed: int = 42) -> DataFrame:
     """rows with ``split``. In each class, ordered by a draw, the first floor(n * ratio) rows are train, the next validation, the rest test.
 
-    Sizes are exact in each class, so the split is disjoint and exhaustive.
-    Ranks within a large class are not computed in one task: rows are ranked
+    Sizes are exact in each class, so the split is disjoint and exhaustive; rows
+    with a null key come first and null is a class of its own. Ranks within a large class are not computed in one task: rows are ranked
     within a range of draws, and the counts of the ranges before are added.
     """
-    ranges = rows.withColumns({"__draw": draw(F.col(key), seed), "__range": F.conv(F.left(draw(F.col(key), seed), F.lit(2)), 16, 10).cast("int")})
-    counts = ranges.groupBy(stratum, "__range").agg(F.count(F.lit(1)).alias("__c"))
-    by_class = Window.partitionBy(stratum)
+    # The row is one column from here on, so its names can't clash.
+    drawn = rows.select(F.struct("*").alias("row"), F.col(stratum).alias("class"), F.col(key).alias("key"), draw(F.col(key), seed).alias("draw"))
+    ranged = drawn.withColumn("range", F.coalesce(F.conv(F.left("draw", F.lit(2)), 16, 10).cast("int"), F.lit(-1)))
+    counts = ranged.groupBy("class", "range").agg(F.count(F.lit(1)).alias("c"))
+    by_class = Window.partitionBy("class")
     before = counts.select(
-        F.col(stratum).alias("__s"), F.col("__range").alias("__r"),
-        F.coalesce(F.sum("__c").over(by_class.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("__c").over(by_class).alias("__n"),
+        F.col("class").alias("of_class"), F.col("range").alias("of_range"),
+        F.coalesce(F.sum("c").over(by_class.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.sum("c").over(by_class).alias("n"),
     )
-    ranked = ranges.withColumn("__rank", F.row_number().over(Window.partitionBy(stratum, "__range").orderBy("__draw", key)))
-    joined = ranked.join(before, ranked[stratum].eqNullSafe(before["__s"]) & (ranked["__range"] == before["__r"]))
-    rank, n = F.col("__rank") + F.col("__before"), F.col("__n")
+    ranked = ranged.withColumn("rank", F.row_number().over(Window.partitionBy("class", "range").orderBy("draw", "key")))
+    joined = ranked.join(before, F.col("class").eqNullSafe(F.col("of_class")) & (F.col("range") == F.col("of_range")))
+    rank, n = F.col("rank") + F.col("before"), F.col("n")
     train, val = F.floor(n * ratios[0]), F.floor(n * ratios[1])
     split = F.when(rank <= train, SPLITS[0]).when(rank <= train + val, SPLITS[1]).otherwise(SPLITS[2])
-    return joined.select(*[ranked[c] for c in rows.columns], split.alias("split"))
+    return joined.select("row.*", split.alias("split"))
 
 
 def small_classes(rows: DataFrame, stratum: str, least: int = 2) -> DataFrame:
@@ -105,12 +108,12 @@ def variation_grid(rows: DataFrame, key: str, per_base: int = 100) -> DataFrame:
 
 
 def chat_examples(rows: DataFrame, prompts: DataFrame, html: str = "example_html", answer: str = "expected_json") -> DataFrame:
-    """rows(type, html, answer) with messages array<struct<role, content>>; a type without a prompt is an error."""
-    joined = rows.join(F.broadcast(prompts), "type", "left")  # a few rows by construction
+    """rows(type, html, answer) with messages array<struct<role, content>>; the answer (JSON) is rendered with an indent of 2; a type without a prompt is an error."""
+    joined = rows.withColumn("rendered_answer", pretty_json.asNondeterministic()(F.col(answer))).join(F.broadcast(prompts), "type", "left")  # a few rows by construction
     known = F.when(F.col("prompt").isNull(), F.raise_error(F.concat(F.lit("unknown type: "), F.coalesce("type", F.lit("null"))))).otherwise(F.col("prompt"))
     user = F.concat(F.lit(registry.INSTRUCTION + "\n\n" + registry.HTML_MARKER), html, F.lit("\n\n"), known)
     turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
-    return joined.withColumn("messages", F.array(turn("user", user), turn("assistant", F.col(answer))))
+    return joined.withColumn("messages", F.array(turn("user", user), turn("assistant", F.col("rendered_answer")))).drop("rendered_answer")
 
 
 def within_budget(rows: DataFrame, limit: int = registry.MAX_TOKENS, count=approximate) -> DataFrame:
@@ -118,6 +121,31 @@ def within_budget(rows: DataFrame, limit: int = registry.MAX_TOKENS, count=appro
     return rows.withColumn("n_tokens", of_chat(F.col("messages"), count)).filter(F.col("n_tokens") <= limit)
 
 
+def budget_tally(rows: DataFrame, limit: int = registry.MAX_TOKENS, trained: int = registry.TRAIN_TOKENS, count=approximate) -> DataFrame:
+    """n, kept and dropped (over the limit) of rows(messages), and over_trained: those kept that training would still cut."""
+    n = rows.select(of_chat(F.col("messages"), count).alias("n_tokens"))
+    kept = F.col("n_tokens") <= limit
+    return n.agg(F.count(F.lit(1)).alias("n"), F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped"), F.count_if(kept & (F.col("n_tokens") > trained)).alias("over_trained"))
+
+
+def within_tokens(rows: DataFrame, text: str, least: int, most: int, count=approximate) -> DataFrame:
+    """Rows whose text has from ``least`` to ``most`` tokens, both inclusive; null texts go."""
+    return rows.filter(count(F.col(text)).between(least, most))
+
+
+def first_rows(rows: DataFrame, by: str, limit: int) -> DataFrame:
+    """The first rows by a key that tells rows apart: the same ones on any cluster, without a full sort."""
+    return rows.orderBy(by).limit(limit)
+
+
+def convert(spark, source: str, target: str, limit: int = registry.MAX_TOKENS) -> None:
+    """A file of golden lines to a folder of chat lines: rendered, cut at the budget. A malformed line or an unknown type is an error; records that lack a key stay out."""
+    golden = records.json_lines(spark, source).withColumn("file", F.lit(None).cast("string"))
+    rows = records.valid(golden).select("type", "example_html", "expected_json")
+    kept = within_budget(chat_examples(rows, registry.prompts(spark)), limit)
+    sinks.write_lines(kept, sinks.chat_line(F.col("messages")), target)
+
+
 def from_chat(rows: DataFrame, prompts: DataFrame) -> DataFrame:
     """rows(type, messages) with html as the marker cuts it, html without the prompt, and the answer."""
     cut = rows.join(F.broadcast(prompts), "type", "left").withColumn("html_and_prompt", after_marker(F.get("messages", F.lit(0))["content"]))
@@ -131,7 +159,7 @@ def one_text(messages: Column, start: str = "<|im_start|>", end: str = "<|im_end
 
 def few_of_each_host(rows: DataFrame, host: str, key: str, limit: int = 2) -> DataFrame:
     """At most ``limit`` rows of a host, by a draw. The smallest draws are kept before rows of a host meet."""
-    picked = rows.withColumn("__draw", F.md5(F.col(key).cast("binary")))
-    salted = Window.partitionBy(host, F.left("__draw", F.lit(2))).orderBy("__draw", key)
-    near = picked.withColumn("__rank", F.row_number().over(salted)).filter(F.col("__rank") <= limit)
-    return near.withColumn("__rank", F.row_number().over(Window.partitionBy(host).orderBy("__draw", key))).filter(F.col("__rank") <= limit).drop("__draw", "__rank")
+    picked = rows.select(F.struct("*").alias("row"), F.col(host).alias("host"), F.col(key).alias("key"), F.md5(F.col(key).cast("binary")).alias("draw"))
+    salted = Window.partitionBy("host", F.left("draw", F.lit(2))).orderBy("draw", "key")
+    near = picked.withColumn("rank", F.row_number().over(salted)).filter(F.col("rank") <= limit)
+    return near.withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy("draw", "key"))).filter(F.col("rank") <= limit).select("row.*")

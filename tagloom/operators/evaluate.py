@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import edit_distance, edit_similarity, overlap_f1, rouge_scores
+from ..functions.similarity import edit_distance, edit_similarity, overlap_scores, rouge_scores
 
 METRICS = ("rouge1", "rouge2", "rougeL", "levenshtein_normalized", "levenshtein_avg")
 LOWER_IS_BETTER = ("levenshtein_avg",)
@@ -13,19 +13,28 @@ LOWER_IS_BETTER = ("levenshtein_avg",)
 
 def paired(predictions: DataFrame, references: DataFrame, key: str = "example_idx") -> DataFrame:
     """predictions(key, prediction) and references(key, reference) joined; a key on one side alone is an error when it is read. A null prediction (a failure) is an empty text."""
-    marked = references.withColumn("__r", F.lit(True)).join(predictions.withColumn("__p", F.lit(True)), key, "full_outer")
-    ok = F.col("__r").isNotNull() & F.col("__p").isNotNull()
-    checked = F.when(ok, F.col(key)).otherwise(F.raise_error(F.concat(F.lit("no pair for example "), F.col(key).cast("string"))))
-    return marked.select(checked.alias(key), F.coalesce("prediction", F.lit("")).alias("prediction"), F.coalesce("reference", F.lit("")).alias("reference"))
+    return _checked(references, {"prediction": predictions}, key).select(key, "prediction", "reference")
+
+
+def _checked(references: DataFrame, sides: dict[str, DataFrame], key: str) -> DataFrame:
+    """key, reference and a column for the predictions of each side. All are dealt by the key once."""
+    out = references.select(F.col(key).alias(key), F.struct("reference").alias("of_references"))
+    for name, side in sides.items():
+        out = out.join(side.select(F.col(key).alias(key), F.struct("prediction").alias(f"of_{name}")), key, "full_outer")
+    missing = F.col("of_references").isNull()
+    for name in sides:
+        missing |= F.col(f"of_{name}").isNull()
+    # On the reference, which every use reads.
+    reference = F.when(missing, F.raise_error(F.concat(F.lit("no pair for example "), F.col(key).cast("string")))).otherwise(F.coalesce("of_references.reference", F.lit("")))
+    texts = [F.coalesce(f"of_{name}.prediction", F.lit("")).alias(name) for name in sides]
+    return out.select(key, reference.alias("reference"), *texts)
 
 
 def scored(pairs: DataFrame, stemmed: bool = True) -> DataFrame:
-    """pairs(prediction, reference) with each metric of each pair. Stemmed scores need an Arrow function, plain ones none (but leave ROUGE-L out)."""
+    """pairs(prediction, reference) with each metric of each pair. Plain scores don't stem and leave ROUGE-L out."""
     p, r = F.col("prediction"), F.col("reference")
     edits = {"levenshtein_avg": edit_distance(p, r).cast("double"), "levenshtein_normalized": edit_similarity(p, r)}
-    if not stemmed:
-        return pairs.withColumns({"rouge1": overlap_f1(p, r, 1), "rouge2": overlap_f1(p, r, 2)} | edits)
-    made = pairs.withColumn("__s", rouge_scores.asNondeterministic()(p, r))
+    made = pairs.withColumn("__s", (rouge_scores if stemmed else overlap_scores).asNondeterministic()(p, r))
     return made.select(*pairs.columns, "__s.*", *[c.alias(n) for n, c in edits.items()])
 
 
@@ -36,6 +45,19 @@ def averaged(scores: DataFrame) -> DataFrame:
     return means.unpivot([], names, "metric", "value")
 
 
+def comparison(references: DataFrame, base: DataFrame, tuned: DataFrame, key: str = "example_idx", stemmed: bool = True) -> DataFrame:
+    """metric, base, finetuned, improvement_pct: both models' predictions joined with the references and scored in one pass."""
+    both = _checked(references, {"base": base, "finetuned": tuned}, key)
+    sides = [F.struct(F.lit(x).alias("side"), F.col(x).alias("prediction"), "reference") for x in ("base", "finetuned")]
+    scores = scored(both.select(F.explode(F.array(*sides)).alias("x")).select("x.*"), stemmed)
+    names = [m for m in METRICS if m in scores.columns]
+    means = scores.groupBy("side").agg(*[F.avg(m).alias(m) for m in names]).unpivot("side", names, "metric", "value")
+    value = lambda x: F.coalesce(F.max(F.when(F.col("side") == x, F.col("value"))), F.lit(0.0)).alias(x)
+    every = references.sparkSession.createDataFrame([(m,) for m in names], "metric string")
+    table = every.join(means, "metric", "left").groupBy("metric").agg(value("base"), value("finetuned"))
+    return table.withColumn("improvement_pct", improvement("metric", "base", "finetuned"))
+
+
 def improvement(metric: str, base: str, tuned: str):
     """Percent better than the base; less is better for distances; 0 if the base is not positive."""
     b, t = F.col(base), F.col(tuned)

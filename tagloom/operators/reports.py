@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import html_tree
 from ..functions.kinds import SIMPLE, struct
 from ..functions.text import complete, percent_less
-from ..functions.tokens import approximate
+from ..functions.tokens import approximate, approximate_count
 from ..sources import registry
+from . import quantiles
 
 
 @F.pandas_udf(struct(html_tree.PROFILE))
@@ -34,6 +35,15 @@ def html_tags(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([html_tree.tag_names(t) for t in texts], dtype="object")
 
 
+@F.pandas_udf(struct(", ".join(f"{x}_{y} long" for x in html_tree.LEVELS for y in ("chars", "tokens"))))
+def html_level_counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """Characters and approximate tokens of each level; the cleaned texts stay in Python."""
+    names = [f"{x}_{y}" for x in html_tree.LEVELS for y in ("chars", "tokens")]
+    for texts in batches:
+        made = [[None] * len(names) if t is None else [n for x in (t, *html_tree.cleaned(t)) for n in (len(x), approximate_count(x))] for t in texts]
+        yield pd.DataFrame(made, columns=names, dtype="Int64")
+
+
 @F.pandas_udf(struct("minimal string, moderate string, aggressive string"))
 def html_levels(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
@@ -46,39 +56,66 @@ def profiled(pages: DataFrame, html: str = "html") -> DataFrame:
     return made.select(*pages.columns, "__p.*")
 
 
+def _long(rows: DataFrame, by: dict[str, Column], values: list[str]) -> DataFrame:
+    """The columns of ``by``, variable and value (double) of each value of each row."""
+    each = [F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("value")) for v in values]
+    return rows.select(*[c.alias(n) for n, c in by.items()], F.explode(F.array(*each)).alias("x")).select(*by, "x.variable", "x.value")
+
+
 def size_summary(rows: DataFrame, by: str) -> DataFrame:
     """Sizes, tags, words and depth of profiled rows by group, to one decimal."""
     one = lambda c, name: F.round(c, 1).alias(name)
-    return rows.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n"), one(F.avg("html_size"), "size_mean"), one(F.median("html_size"), "size_median"), F.min("html_size").alias("size_min"), F.max("html_size").alias("size_max"),
-        one(F.avg("tag_count"), "tags_mean"), one(F.median("tag_count"), "tags_median"), one(F.avg("word_count"), "words_mean"), one(F.median("word_count"), "words_median"),
-        one(F.avg("nesting_depth"), "depth_mean"), F.max("nesting_depth").alias("depth_max"),
+    measures = {"html_size": "size", "tag_count": "tags", "word_count": "words"}
+    means = rows.groupBy(F.col(by).alias("g")).agg(
+        F.count(F.lit(1)).alias("n"), one(F.avg("html_size"), "size_mean"), F.min("html_size").alias("size_min"), F.max("html_size").alias("size_max"), one(F.avg("tag_count"), "tags_mean"),
+        one(F.avg("word_count"), "words_mean"), one(F.avg("nesting_depth"), "depth_mean"), F.max("nesting_depth").alias("depth_max"),
     )
+    middle = _medians(_long(rows, {"g": F.col(by)}, list(measures)), ["g"])
+    middle = middle.groupBy(F.col("g").alias("mg")).agg(*[one(F.max(F.when(F.col("variable") == m, F.col("median"))), f"{x}_median") for m, x in measures.items()])
+    joined = means.join(middle, F.col("g").eqNullSafe(F.col("mg")))
+    return joined.select(F.col("g").alias(by), "n", "size_mean", "size_median", "size_min", "size_max", "tags_mean", "tags_median", "words_mean", "words_median", "depth_mean", "depth_max")
+
+
+def _medians(long: DataFrame, by: list[str]) -> DataFrame:
+    """The columns of ``by``, variable, median of _long rows."""
+    counts = quantiles.counted(long, {x: F.col(x) for x in (*by, "variable")}, F.col("value"))
+    return quantiles.quantiles(counts, [*by, "variable"], [0.5]).select(*by, "variable", F.get("q", F.lit(0)).alias("median"))
 
 
 def grouped_stats(rows: DataFrame, by: str, values: list[str]) -> DataFrame:
-    """Mean, median, min, max of each value by group and over all (null group), in one pass of grouping sets."""
+    """Mean, median, min, max of each value by group and over all (null group). Medians of all come from the counts of the groups."""
     view = rows.select(F.col(by).alias("g"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
-    stats = [x for i, v in enumerate(values) for x in (F.round(F.avg(f"v{i}"), 4).alias(f"{v}_mean"), F.median(f"v{i}").alias(f"{v}_median"), F.min(f"v{i}").alias(f"{v}_min"), F.max(f"v{i}").alias(f"{v}_max"))]
-    return view.groupingSets([["g"], []], "g").agg(F.grouping("g").cast("int").alias("is_total"), F.count(F.lit(1)).alias("n"), *stats).withColumnRenamed("g", by)
+    stats = [x for i, v in enumerate(values) for x in (F.round(F.avg(f"v{i}"), 4).alias(f"{v}_mean"), F.min(f"v{i}").alias(f"{v}_min"), F.max(f"v{i}").alias(f"{v}_max"))]
+    means = view.groupingSets([["g"], []], "g").agg(F.grouping("g").cast("int").alias("is_total"), F.count(F.lit(1)).alias("n"), *stats)
+    counts = quantiles.counted(_long(rows, {"g": F.col(by)}, values), {"g": F.col("g"), "variable": F.col("variable"), "total": F.lit(0)}, F.col("value"))
+    whole = counts.groupBy("variable", "v").agg(F.sum("c").alias("c")).select(F.lit(None).cast(rows.schema[by].dataType).alias("g"), "variable", F.lit(1).alias("total"), "v", "c")
+    found = quantiles.quantiles(counts.unionByName(whole), ["g", "variable", "total"], [0.5])
+    wide = found.groupBy(F.col("g").alias("mg"), "total").agg(*[F.max(F.when(F.col("variable") == v, F.get("q", F.lit(0)))).alias(f"{v}_median") for v in values])
+    joined = means.join(wide, F.col("g").eqNullSafe(F.col("mg")) & (F.col("is_total") == F.col("total")), "left")
+    return joined.select(F.col("g").alias(by), "is_total", "n", *[f"{v}_{x}" for v in values for x in ("mean", "median", "min", "max")])
 
 
 def overall(rows: DataFrame, value: str) -> DataFrame:
     """Count, sum, mean, max, p95 (interpolated) and max rounded up to a thousand."""
     v = F.col(value)
-    return rows.agg(F.count(v).alias("n"), F.sum(v).alias("total"), F.round(F.avg(v), 4).alias("mean"), F.max(v).alias("max"), F.round(F.percentile(v, F.lit(0.95)), 4).alias("p95"), (F.ceil(F.max(v) / 1000) * 1000).cast("long").alias("max_to_thousand"))
+    means = rows.agg(F.count(v).alias("n"), F.sum(v).alias("total"), F.round(F.avg(v), 4).alias("mean"), F.max(v).alias("max"), (F.ceil(F.max(v) / 1000) * 1000).cast("long").alias("max_to_thousand"))
+    p95 = quantiles.quantiles(quantiles.counted(rows, {}, v), [], [0.95]).select(F.round(F.get("q", F.lit(0)), 4).alias("p95"))
+    return means.join(F.broadcast(p95)).select("n", "total", "mean", "max", "p95", "max_to_thousand")  # one row each
 
 
 def described(rows: DataFrame, values: list[str]) -> DataFrame:
     """variable, count, mean, std, min, quartiles (interpolated), max; one row for each value."""
-    long = rows.select(*[F.col(v).cast("double").alias(v) for v in values]).unpivot([], values, "variable", "value")
-    q = lambda p: F.round(F.percentile("value", F.lit(p)), 4)
-    return long.groupBy("variable").agg(F.count("value").alias("count"), F.round(F.avg("value"), 4).alias("mean"), F.round(F.stddev_samp("value"), 4).alias("std"), F.min("value").alias("min"), q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"), F.max("value").alias("max"))
+    long = _long(rows, {}, values)
+    means = long.groupBy(F.col("variable").alias("name")).agg(F.count("value").alias("count"), F.round(F.avg("value"), 4).alias("mean"), F.round(F.stddev_samp("value"), 4).alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    found = quantiles.quantiles(quantiles.counted(long, {"variable": F.col("variable")}, F.col("value")), ["variable"], [0.25, 0.5, 0.75])
+    q = [F.round(F.get("q", F.lit(i)), 4).alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
+    return means.join(found, F.col("name") == F.col("variable"), "left").select(F.col("name").alias("variable"), "count", "mean", "std", "min", *q, "max")
 
 
 def box_plot(rows: DataFrame, by: str, value: str) -> DataFrame:
-    five = F.percentile(value, F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    return rows.groupBy(by).agg(five.alias("f")).select(by, *[F.round(F.get("f", F.lit(i)), 4).alias(n) for i, n in enumerate(("low", "q1", "middle", "q3", "high"))])
+    """Least, quartiles and greatest of each group; groups without a value have no row."""
+    five = quantiles.quantiles(quantiles.counted(rows, {by: F.col(by)}, F.col(value)), [by], [0.0, 0.25, 0.5, 0.75, 1.0])
+    return five.select(by, *[F.round(F.get("q", F.lit(i)), 4).alias(n) for i, n in enumerate(("low", "q1", "middle", "q3", "high"))])
 
 
 def histogram(rows: DataFrame, value: str, bins: int = 30) -> DataFrame:
@@ -160,8 +197,8 @@ def consistency(rows: DataFrame, by: str, raw: str) -> DataFrame:
 def upper_median(rows: DataFrame, value: str) -> DataFrame:
     """min, max, mean and the element at n div 2 of the sorted values: the discrete median from above."""
     v = F.col(value)
-    upper = F.expr(f"percentile_disc(0.5) within group (order by `{value}` desc)").cast("double")
-    return rows.agg(F.min(v).alias("min"), F.max(v).alias("max"), F.round(F.avg(v), 4).alias("mean"), upper.alias("upper_median"))
+    upper = quantiles.quantiles(quantiles.counted(rows, {}, v), [], [0.5], upper=True).select(F.get("q", F.lit(0)).alias("upper_median"))
+    return rows.agg(F.min(v).alias("min"), F.max(v).alias("max"), F.round(F.avg(v), 4).alias("mean")).join(F.broadcast(upper))  # one row each
 
 
 def unlike_original(rows: DataFrame, base: str, variation: str, raw: str) -> DataFrame:
@@ -181,17 +218,23 @@ def validation_tally(rows: DataFrame, html: str, raw: str, required: list[str])
 
 def token_levels(pages: DataFrame, key: str, html: str = "html", json: str | None = None, count=approximate) -> DataFrame:
     """key and, for each level of cleaning, chars, tokens, percent less than the original, and label tokens per html token."""
-    made = pages.withColumn("__c", html_levels.asNondeterministic()(F.col(html)))
-    texts = {"original": F.col(html), **{x: F.col(f"__c.{x}") for x in html_tree.LEVELS[1:]}}
     label = count(F.col(json)) if json else F.lit(None).cast("long")
-    out = made.select(key, *[c for name, t in texts.items() for c in (F.length(t).cast("long").alias(f"{name}_chars"), count(t).alias(f"{name}_tokens"))], label.alias("json_tokens"))
+    if count is approximate:
+        counted = pages.select(F.col(key).alias("id"), label.alias("label"), html_level_counts.asNondeterministic()(F.col(html)).alias("c"))
+        out = counted.select(F.col("id").alias(key), "c.*", F.col("label").alias("json_tokens"))
+    else:
+        made = pages.select(F.col(key).alias("id"), F.col(html).alias("original"), label.alias("label"), html_levels.asNondeterministic()(F.col(html)).alias("c"))
+        texts = {"original": F.col("original"), **{x: F.col(f"c.{x}") for x in html_tree.LEVELS[1:]}}
+        out = made.select(F.col("id").alias(key), *[c for name, t in texts.items() for c in (F.length(t).cast("long").alias(f"{name}_chars"), count(t).alias(f"{name}_tokens"))], F.col("label").alias("json_tokens"))
     return out.withColumns({f"{x}_reduction_pct": percent_less(F.col("original_tokens"), F.col(f"{x}_tokens")) for x in html_tree.LEVELS[1:]} | {f"{x}_snr": F.try_divide(F.col("json_tokens").cast("double"), F.col(f"{x}_tokens")) for x in html_tree.LEVELS})
 
 
 def level_stats(levels: DataFrame) -> DataFrame:
     """level, n, mean, median, min, max of tokens, and the mean reduction."""
     long = levels.select(F.explode(F.array(*[F.struct(F.lit(x).alias("level"), F.col(f"{x}_tokens").alias("tokens"), (F.col(f"{x}_reduction_pct") if x != "original" else F.lit(None).cast("double")).alias("less")) for x in html_tree.LEVELS])).alias("x")).select("x.*")
-    return long.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("tokens"), 4).alias("tokens_mean"), F.median("tokens").alias("tokens_median"), F.min("tokens").alias("tokens_min"), F.max("tokens").alias("tokens_max"), F.round(F.avg("less"), 4).alias("reduction_mean"))
+    means = long.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("tokens"), 4).alias("tokens_mean"), F.min("tokens").alias("tokens_min"), F.max("tokens").alias("tokens_max"), F.round(F.avg("less"), 4).alias("reduction_mean"))
+    middle = _medians(_long(levels, {}, [f"{x}_tokens" for x in html_tree.LEVELS]), []).select(F.regexp_replace("variable", "_tokens$", "").alias("of"), "median")
+    return means.join(middle, F.col("level") == F.col("of"), "left").select("level", "n", "tokens_mean", F.col("median").alias("tokens_median"), "tokens_min", "tokens_max", "reduction_mean")
 
 
 def sample_means(pages: DataFrame, key: str, html: str = "html", limit: int = 50) -> DataFrame:

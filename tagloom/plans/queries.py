@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import random
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import extract, similarity, text, tokens
+from ..functions import extract, mutate, rendering, similarity, text, tokens
 from ..operators import dataset, evaluate, reports
-from ..sources import records, registry
+from ..functions.kinds import SIMPLE
+from ..sources import records, registry, scratch, sinks
 from ..streaming import capture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,7 +189,7 @@ def field_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.element_at(F.array(*[F.lit(k) for k in registry.FIELD_NOTES]), (F.col("page_id") % 3 + 1).cast("int"))
+    kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
     pages = table(spark, sf_dir, "pages").withColumn("type", kind)
     labelled = pages.withColumn("expected_json", extract.annotated.asNondeterministic()("html", "type")).select("type", "expected_json")
     return reports.quality_summary(reports.quality_flags(labelled))
@@ -267,22 +270,28 @@ def unlike_original(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""select page_id, md5(replace(replace(html, '<div', chr(10) || '<div'), '><', '>' || chr(10) || '<')) as html_md5 from pages""")
 def whitespace_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spaced = F.replace(F.replace("html", F.lit("<div"), F.lit("\n<div")), F.lit("><"), F.lit(">\n<"))
-    return table(spark, sf_dir, "pages").select("page_id", digest(spaced).alias("html_md5"))
+    @F.pandas_udf(SIMPLE["string"])
+    def spaced(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        always = random.Random()
+        always.random = lambda: 0.0
+        for texts in batches:
+            yield texts.map(lambda t: mutate.spaced(t, always))
+
+    return table(spark, sf_dir, "pages").select("page_id", digest(spaced("html")).alias("html_md5"))
 
 
 # --- chat --------------------------------------------------------------------
 
 
 def _examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.element_at(F.array(*[F.lit(k) for k in registry.FIELD_NOTES]), (F.col("page_id") % 3 + 1).cast("int"))
-    answer = F.concat(F.lit('{\n  "type": "'), kind, F.lit('",\n  "url": "'), "url", F.lit('"\n}'))
+    kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
+    answer = F.concat(F.lit('{"type":"'), kind, F.lit('", "url":"'), "url", F.lit('"}'))
     rows = table(spark, sf_dir, "pages").select("page_id", kind.alias("type"), F.col("html").alias("example_html"), answer.alias("expected_json"))
     return dataset.chat_examples(rows, registry.prompts(spark))
 
 
-_PROMPTS = " ".join(f"when {i} then '{registry.prompt(k)}'" for i, k in enumerate(registry.FIELD_NOTES))
-_TYPES = " ".join(f"when {i} then '{k}'" for i, k in enumerate(registry.FIELD_NOTES))
+_PROMPTS = " ".join(f"when {i} then '{t}'" for i, t in enumerate(registry.PROMPTS.values()))
+_TYPES = " ".join(f"when {i} then '{k}'" for i, k in enumerate(registry.PROMPTS))
 _CHAT = f"""select page_id, html, '{registry.INSTRUCTION}' || chr(10) || chr(10) || 'HTML:' || chr(10) || html || chr(10) || chr(10) || case page_id % 3 {_PROMPTS} end as user_text,
   '{{' || chr(10) || '  "type": "' || case page_id % 3 {_TYPES} end || '",' || chr(10) || '  "url": "' || url || '"' || chr(10) || '}}' as answer from pages"""
 
@@ -353,8 +362,8 @@ select g.conv_id, g.turn, g.n, case when m.both is null then 0.0 else 2.0 * m.bo
 
 @query(f"""with o as ({OVERLAP}) select conv_id, turn, round(cast(max(f1) filter (n = 1) as double), 6) as rouge1, round(cast(max(f1) filter (n = 2) as double), 6) as rouge2 from o group by conv_id, turn""")
 def overlap_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p, r = F.col("prediction"), F.col("reference")
-    return _pairs(spark, sf_dir).select("conv_id", "turn", F.round(similarity.overlap_f1(p, r, 1), 6).alias("rouge1"), F.round(similarity.overlap_f1(p, r, 2), 6).alias("rouge2"))
+    made = _pairs(spark, sf_dir).withColumn("s", similarity.overlap_scores.asNondeterministic()("prediction", "reference"))
+    return made.select("conv_id", "turn", F.round("s.rouge1", 6).alias("rouge1"), F.round("s.rouge2", 6).alias("rouge2"))
 
 
 @query()
@@ -369,18 +378,38 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     return rows.select("example_idx", "reference"), rows.select("example_idx", "prediction"), rows.select("example_idx", half.alias("prediction"))
 
 
-@query(f"""
-with p as ({PAIRS}), s as (select reference, prediction as a, left(reference, cast(floor(length(reference) / 2) as int)) as b from p),
-m as (select avg(levenshtein(a, reference)) as base_d, avg(levenshtein(b, reference)) as tuned_d,
-  avg(case when greatest(length(a), length(reference)) = 0 then 1.0 else 1 - levenshtein(a, reference) / greatest(length(a), length(reference))::double end) as base_n,
-  avg(case when greatest(length(b), length(reference)) = 0 then 1.0 else 1 - levenshtein(b, reference) / greatest(length(b), length(reference))::double end) as tuned_n from s)
-select 'levenshtein_avg' as metric, round(base_d, 6) as base, round(tuned_d, 6) as finetuned, round(case when base_d > 0 then (base_d - tuned_d) * 100 / base_d else 0 end, 4) as improvement_pct from m
-union all select 'levenshtein_normalized', round(base_n, 6), round(tuned_n, 6), round(case when base_n > 0 then (tuned_n - base_n) * 100 / base_n else 0 end, 4) from m""")
+def _f1(n: int, side: str) -> str:
+    """Mean F1 of n-gram multisets of a side (a or b) with the reference, over all rows of s."""
+    grams = lambda c: f"list_transform(range(1, len({c}) - {n} + 2), lambda i: array_to_string({c}[i:i + {n - 1}], ' '))"
+    return f"""(with t as (select k, regexp_extract_all(lower({side}), '[a-z0-9]+') as x, regexp_extract_all(lower(reference), '[a-z0-9]+') as y from s), g as (select k, {grams('x')} as gx, {grams('y')} as gy from t),
+  cx as (select k, u, count(*) as c from (select k, unnest(gx) as u from g) group by all), cy as (select k, u, count(*) as c from (select k, unnest(gy) as u from g) group by all),
+  m as (select k, sum(least(cx.c, cy.c)) as n from cx join cy using (k, u) group by k) select avg(case when m.n is null then 0.0 else 2.0 * m.n / (len(gx) + len(gy)) end) from g left join m using (k))"""
+
+
+_METRICS = {
+    "levenshtein_avg": lambda side: f"(select avg(levenshtein({side}, reference)) from s)",
+    "levenshtein_normalized": lambda side: f"(select avg(case when greatest(length({side}), length(reference)) = 0 then 1.0 else 1 - levenshtein({side}, reference) / greatest(length({side}), length(reference))::double end) from s)",
+    "rouge1": lambda side: _f1(1, side),
+    "rouge2": lambda side: _f1(2, side),
+}
+
+
+@query(
+    f"with p as ({PAIRS}), s as (select row_number() over () as k, reference, prediction as a, left(reference, cast(floor(length(reference) / 2) as int)) as b from p), m as ("
+    + " union all ".join(f"select '{m}' as metric, {of('a')} as base, {of('b')} as tuned" for m, of in _METRICS.items())
+    + ") select metric, round(base, 6) as base, round(tuned, 6) as finetuned, round(case when base > 0 then (case when metric = 'levenshtein_avg' then base - tuned else tuned - base end) * 100 / base else 0 end, 4) as improvement_pct from m"
+)
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    references, base, tuned = _sides(spark, sf_dir)
-    score = lambda side: evaluate.averaged(evaluate.scored(evaluate.paired(side, references), stemmed=False).select("levenshtein_avg", "levenshtein_normalized"))
-    out = evaluate.compared(score(base), score(tuned))
-    return out.select("metric", F.round("base", 6).alias("base"), F.round("finetuned", 6).alias("finetuned"), F.round("improvement_pct", 4).alias("improvement_pct"))
+    return _rounded(evaluate.comparison(*_sides(spark, sf_dir), stemmed=False))
+
+
+@query()
+def model_comparison_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(evaluate.comparison(*_sides(spark, sf_dir)))
+
+
+def _rounded(table: DataFrame) -> DataFrame:
+    return table.select("metric", F.round("base", 6).alias("base"), F.round("finetuned", 6).alias("finetuned"), F.round("improvement_pct", 4).alias("improvement_pct"))
 
 
 @query(f"""with p as ({PAIRS}) select conv_id * 1000 + turn as example_idx, md5(reference) as reference_md5, md5(prediction) as base_md5, md5(left(reference, cast(floor(length(reference) / 2) as int))) as finetuned_md5 from p""")
@@ -477,3 +506,202 @@ select lang, cast(sum(length(text)) as bigint) as chars, cast(sum(len(regexp_ext
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.groupBy("lang").agg(F.sum(F.length("text").cast("long")).alias("chars"), F.sum(tokens.approximate(F.col("text"))).alias("tokens"))
+
+
+@query(f"""
+with a as (select 'annotation_' || event_type || '_' || replace(left({STAMP}, 19), ':', '-') || '.json' as name, event_type as type, {STAMP} as timestamp, props from events)
+select name, arg_max(type, (timestamp, props)) as type, max(timestamp) as timestamp from a group by name""")
+def captures_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as captures through the stream that saves them, and read back."""
+    path, folder = f"{sf_dir}/events.parquet", scratch.folder(spark, "captures")
+    rows = capture.stream_table(spark, path, spark.read.parquet(path).schema)
+    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("."), F.lpad((F.col("user_id") % 1000).cast("string"), 3, "0"), F.lit("Z"))
+    captures = rows.select(F.col("props").alias("html"), F.concat(F.lit('{"type": "'), "event_type", F.lit('"}')).alias("label"), F.lit(None).cast("string").alias("url"), stamp.alias("timestamp"))
+    capture.save(captures, f"{folder}/rows", f"{folder}/log").trigger(availableNow=True).start().awaitTermination()
+    return capture.saved(spark, f"{folder}/rows").select("name", "type", "timestamp")
+
+
+@query("select user_id % 100 as host, count(distinct user_id) as n from events group by host")
+def captured_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user once, from a stream of events that all lie within the watermark."""
+    path = f"{sf_dir}/events.parquet"
+    rows = capture.stream_table(spark, path, spark.read.parquet(path).schema).select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    folder = scratch.folder(spark, "once")
+    once = capture.once(rows, "user_id", "ts", "60 days")
+    once.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").groupBy((F.col("user_id") % 100).alias("host")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- sources and sinks -------------------------------------------------------
+
+RAW = """case event_id % 8 when 0 then '{"example_html": "<p>' || user_id || '</p>", "expected_json": {"type": "' || event_type || '"}}' when 1 then '{"example_html": ' when 2 then '{"expected_json": {"type": "x"}}' when 3 then '{"example_html": "x"}'
+  when 4 then '{"example_html": "x", "expected_json": "type"}' when 5 then '{"example_html": null, "expected_json": {"type": null}}' when 6 then '[1]' else '{"example_html": "x", "expected_json": {}}' end"""
+FILE = "'annotation_' || case event_id % 4 when 0 then 'recipe' when 1 then 'job_posting' when 2 then 'event' else 'person' end || '_' || event_id || '.json'"
+
+
+@query(f"""
+with r as (select {RAW} as raw from events), s as (select raw, case when not json_valid(raw) then 'not JSON' when json_type(raw) <> 'OBJECT' then 'not an object' when not json_exists(raw, '$.example_html') then 'no example_html'
+  when not json_exists(raw, '$.expected_json') then 'no expected_json' when json_type(raw, '$.expected_json') <> 'OBJECT' then 'expected_json is not an object' when not json_exists(raw, '$.expected_json.type') then 'no type' end as reason from r)
+select reason, case when reason is null then json_extract_string(raw, '$.expected_json.type') end as type, count(*) as n from s group by all""")
+def annotation_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records.validated(table(spark, sf_dir, "events").select(F.expr(RAW).alias("raw")))
+    return rows.groupBy("reason", F.when(F.col("reason").isNull(), F.col("type")).alias("type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""
+with r as (select {FILE} as file, {RAW} as raw from events), s as (select case when contains(file, 'recipe') then 'recipe' when contains(file, 'job_posting') then 'job_posting' when contains(file, 'event') then 'event' end as type_by_name, case when json_valid(raw) then json_extract_string(raw, '$.expected_json.type') end as own from r)
+select type_by_name, own is distinct from type_by_name as disagrees, count(*) as n from s where type_by_name is not null group by all""")
+def named_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(F.expr(FILE).alias("file"), F.expr(RAW).alias("raw"))
+    return records.typed_by_name(rows).groupBy("type_by_name", "disagrees").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"select event_type as type, count(*) as n from events where event_id % 8 = 0 group by event_type union all select null, count(*) from events where event_id % 8 = 5 having count(*) > 0")
+def annotation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by type of what can be read, over lines that partly can't."""
+    folder = scratch.folder(spark, "annotations")
+    sinks.write_lines(table(spark, sf_dir, "events").select(F.expr(RAW).alias("raw")), F.col("raw"), folder)
+    return records.type_counts(records.json_lines(spark, folder, strict=False))
+
+
+@query(f"select page_id, md5(html) as html_md5, case page_id % 3 {_TYPES} end as type, md5(html) is not null as valid from pages")
+def golden_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Golden records written as JSON lines, read back strictly and validated."""
+    folder = scratch.folder(spark, "golden")
+    kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
+    label = F.concat(F.lit('{"type": "'), kind, F.lit('", "page": '), F.col("page_id").cast("string"), F.lit("}"))
+    sinks.write_lines(table(spark, sf_dir, "pages").withColumn("label", label), sinks.golden_line(F.col("html"), F.col("label")), folder)
+    rows = records.validated(records.json_lines(spark, folder))
+    return rows.select(F.get_json_object("expected_json", "$.page").cast("long").alias("page_id"), digest(F.col("example_html")).alias("html_md5"), "type", F.col("reason").isNull().alias("valid"))
+
+
+@query(f"with c as ({_CHAT}) select page_id, md5(user_text) as user_md5, md5(answer) as answer_md5 from c")
+def chat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat examples written as JSON lines and read back; the line holds no lineage, so the page comes from its url's row."""
+    folder = scratch.folder(spark, "chat")
+    examples = _examples(spark, sf_dir)
+    sinks.write_lines(examples, sinks.chat_line(F.col("messages")), folder)
+    back = records.json_lines(spark, folder).select(F.from_json("raw", "messages array<struct<role: string, content: string>>").alias("x")).select("x.messages")
+    part = lambda i, name: digest(F.get("messages", F.lit(i))["content"]).alias(name)
+    read = back.select(part(0, "user_md5"), part(1, "answer_md5"))
+    ids = examples.select("page_id", part(0, "own_user"), part(1, "own_answer"))
+    return ids.join(read, (F.col("own_user") == F.col("user_md5")) & (F.col("own_answer") == F.col("answer_md5")), "left").select("page_id", "user_md5", "answer_md5")
+
+
+@query("select quality, toxic, count(*) as n, cast(sum(doc_id) as bigint) as ids from labels group by all")
+def csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch.folder(spark, "csv")
+    sinks.write_csv(table(spark, sf_dir, "labels"), folder)
+    back = spark.read.csv(folder, header=True, schema="doc_id long, quality int, toxic int")
+    return back.groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("ids"))
+
+
+@query("select event_type, count(*) as n, round(avg(value), 4) as mean from events group by event_type")
+def json_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch.folder(spark, "report")
+    made = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 4).alias("mean"))
+    sinks.write_report(made, folder)
+    return spark.read.schema(made.schema).json(folder)
+
+
+@query(f"with s as ({SPLIT.format(cols='doc_id, lang', by='lang', t='documents')}) select split, lang, count(*) as n, count(distinct doc_id) as ids from s group by all")
+def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split as folders, read back: each row is in one part, and all rows are there."""
+    folder = scratch.folder(spark, "splits")
+    sinks.write_splits(dataset.stratified_split(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", "lang"), folder)
+    return spark.read.parquet(folder).groupBy("split", "lang").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("ids"))
+
+
+@query(f"select {HOST} as host, count(*) as n, count(distinct url) as urls from pages group by host")
+def url_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch.folder(spark, "urls")
+    sinks.write_lines(table(spark, sf_dir, "pages"), F.concat(F.lit(" "), "url", F.lit(" ")), folder)
+    return records.url_list(spark, folder).groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("urls"))
+
+
+@query(f"with p as (select {HOST} as host, row_number() over (order by page_id) - 1 as place from pages) select 'https://' || host as url, cast(min(place) as int) as place from p group by host")
+def domain_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch.folder(spark, "domains")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("- **"), text.host(F.col("url")), F.lit("/a** (note)")).alias("line"))
+    sinks.write_lines(pages, F.col("line"), folder, order="page_id")
+    return records.domain_list(spark, folder)
+
+
+# --- gates, filters, small functions -----------------------------------------
+
+
+@query(f"""
+with e as (select case when event_id % 5 = 0 then '  ' else event_type end as html, case when event_id % 7 = 0 then '' else event_type end as kind, {LABEL} as raw, props from events)
+select trim(html) <> '' and json_valid(props) and kind <> '' as saveable, contains(raw, '"TODO"') as todo, count(*) as n from e group by all""")
+def editor_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    html, kind = F.when(F.col("event_id") % 5 == 0, "  ").otherwise(F.col("event_type")), F.when(F.col("event_id") % 7 == 0, "").otherwise(F.col("event_type"))
+    rows = table(spark, sf_dir, "events").select(text.saveable(html, F.col("props"), kind).alias("saveable"), text.has_open_todo(F.expr(LABEL)).alias("todo"))
+    return rows.groupBy("saveable", "todo").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""select event_type, count(*) as n from events where contains({LABEL}, '"note": "x"') group by event_type""")
+def labels_with_note(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").filter(text.holds(F.expr(LABEL), '"note": "x"'))
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(r"""select doc_id, lang from documents where len(regexp_extract_all(text, '\p{L}{1,6}|\p{N}|[^\p{L}\p{N}\s\x0B]')) between 200 and 8000""")
+def token_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset.within_tokens(table(spark, sf_dir, "documents"), "text", 200, 8_000).select("doc_id", "lang")
+
+
+@query("select doc_id, n_chars from documents order by doc_id limit 50")
+def first_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset.first_rows(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id", 50)
+
+
+@query(rf"""
+with c as ({_CHAT}), t as (select cast(len(regexp_extract_all(user_text, '\p{{L}}{{1,6}}|\p{{N}}|[^\p{{L}}\p{{N}}\s\x0B]')) + len(regexp_extract_all(answer, '\p{{L}}{{1,6}}|\p{{N}}|[^\p{{L}}\p{{N}}\s\x0B]')) + 10 as bigint) as n from c)
+select count(*) as n, count(*) filter (n <= 24000) as kept, count(*) filter (n > 24000) as dropped, count(*) filter (n <= 24000 and n > 4096) as over_trained from t""")
+def budget_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset.budget_tally(_examples(spark, sf_dir))
+
+
+@query("""
+with t as (select conv_id, turn, case when turn % 3 = 1 then '' else text end as x from conversations)
+select conv_id, count(*) filter (x <> '') as n, md5(coalesce(string_agg(x, chr(10) || chr(10) || '<!-- FRAGMENT SEPARATOR -->' || chr(10) || chr(10) order by turn) filter (x <> ''), '')) as fragments_md5 from t group by conv_id""")
+def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.struct("turn", F.when(F.col("turn") % 3 == 1, "").otherwise(F.col("text")).alias("x")).alias("t"))
+    parts = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("t")).select("conv_id", text.without_blanks(F.col("t.x")).alias("parts"))
+    return parts.select("conv_id", F.size("parts").cast("long").alias("n"), digest(text.joined_fragments(F.col("parts"))).alias("fragments_md5"))
+
+
+@query("select conv_id, turn, md5(case when length(text) > 100 then left(text, 100) || '...' else text end) as preview_md5 from conversations")
+def previews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", digest(text.preview(F.col("text"))).alias("preview_md5"))
+
+
+@query("select 'run-' || strftime(ts, '%Y%m%d-%H%M%S') as name, count(*) as n from events group by name")
+def run_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").groupBy(text.run_name("run-", F.col("ts")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select l_quantity, round_even(l_quantity / 4, 1) as tenths, round_even(l_quantity / 4, 0) as whole, count(*) as n from lineitem group by l_quantity")
+def rounded_even(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = F.col("l_quantity")
+    counts = table(spark, sf_dir, "lineitem").groupBy("l_quantity").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("l_quantity", text.half_even(q / 4, 1).alias("tenths"), text.half_even(q / 4).alias("whole"), "n")
+
+
+@query("""
+with j as (select event_id, event_type, json_extract_string(props, '$.k') as k from events)
+select event_type, md5(string_agg('{"a": [1, {"k": ' || k || '}], "é": "x"}', '|' order by event_id)) as compact_md5,
+  md5(string_agg('{' || chr(10) || '  "a": [' || chr(10) || '    1,' || chr(10) || '    {' || chr(10) || '      "k": ' || k || chr(10) || '    }' || chr(10) || '  ],' || chr(10) || '  "é": "x"' || chr(10) || '}', '|' order by event_id)) as pretty_md5 from j group by event_type""")
+def rendered_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.concat(F.lit('{"a":[1,'), "props", F.lit('],"\\u00e9":  "x"}'))
+    made = table(spark, sf_dir, "events").select("event_id", "event_type", rendering.compact_json(raw).alias("compact"), rendering.pretty_json(raw).alias("pretty"))
+    joined = lambda c: digest(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", c))), lambda x: x[c]), "|")).alias(f"{c}_md5")
+    return made.groupBy("event_type").agg(joined("compact"), joined("pretty"))
+
+
+@query(r"""
+select lang, count(*) as n, cast(sum(case when trim(regexp_replace(regexp_replace(text, '[^\p{L}]', '', 'g'), '\s', '', 'g')) = '' then 0 else 1 end) as bigint) as lettered, round(avg(100.0 * (length(text) - length(replace(text, ' ', ''))) / nullif(length(text), 0)), 4) as spaces_pct from documents group by lang""")
+def space_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    share = text.percent_less(F.length("text"), F.length(F.replace("text", F.lit(" "), F.lit(""))))
+    return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("text").rlike(r"\p{L}")).alias("lettered"), F.round(F.avg(share), 4).alias("spaces_pct"))

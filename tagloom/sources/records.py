@@ -50,6 +50,11 @@ def rejects(rows: DataFrame) -> DataFrame:
     return validated(rows).filter("reason is not null").select("file", "reason")
 
 
+def type_counts(rows: DataFrame) -> DataFrame:
+    """type, n of the rows(raw) that are valid; what can't be read doesn't count."""
+    return valid(rows).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+
+
 def typed_by_name(rows: DataFrame) -> DataFrame:
     """rows(file, raw) with the type that the file name tells, others dropped, and whether the label disagrees."""
     named = F.when(F.col("file").contains("recipe"), "recipe").when(F.col("file").contains("job_posting"), "job_posting").when(F.col("file").contains("event"), "event")

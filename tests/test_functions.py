@@ -1,8 +1,11 @@
+import json
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from tagloom.functions import rendering
 from tagloom.functions import similarity as s
 from tagloom.functions import text as t
 from tagloom.functions import tokens
@@ -35,7 +38,9 @@ def test_small_ones(spark):
     assert one(spark, 0, lambda x: t.percent_less(x, F.lit(1)), "long") is None
     assert [one(spark, x, t.complete) for x in ("TODO", "", None, "x", '["TODO"]')] == [False, False, False, True, True]
     assert one(spark, '{"a": "TODO"}', t.has_open_todo)
-    assert one(spark, "abcdef", lambda x: t.preview(x, 3)) == "abc..."
+    assert one(spark, "abcdef", lambda x: t.preview(x, 3)) == "abc..." and one(spark, "abc", lambda x: t.preview(x, 3)) == "abc"
+    assert [one(spark, x, lambda c: t.half_even(c, 1), "double") for x in (0.25, 2.45, 0.35, -0.25, None)] == [0.2, 2.4, 0.4, -0.2, None]
+    assert [one(spark, x, lambda c: t.holds(c, '"a"')) for x in ('{"a"}', "a", None)] == [True, False, False]
     assert [one(spark, x, lambda x: t.saveable(F.lit("<p>"), x, F.lit("event"))) for x in ("{}", "{")] == [True, False]
 
 
@@ -46,11 +51,34 @@ def test_tokens(spark):
 
 def test_overlap_is_the_multisets(spark):
     rng = random.Random(1)
-    rows = [(" ".join(rng.choice("a b c dd".split()) for _ in range(rng.randint(0, 12))), " ".join(rng.choice("a b c dd".split()) for _ in range(rng.randint(0, 12)))) for _ in range(60)]
-    df = spark.createDataFrame(rows, "p string, r string")
-    for n in (1, 2):
-        for row in df.select("p", "r", s.overlap_f1(F.col("p"), F.col("r"), n).alias("f")).collect():
-            assert abs(row.f - s.grams_f1(row.p.split(), row.r.split(), n)) < 1e-12
+    rows = [(" ".join(rng.choice("a b c dd".split()) for _ in range(rng.randint(0, 12))), " ".join(rng.choice("a b c dd".split()) for _ in range(rng.randint(0, 12)))) for _ in range(60)] + [(None, "a"), ("A-b", "b a")]
+    for row in spark.createDataFrame(rows, "p string, r string").withColumn("f", s.overlap_scores("p", "r")).collect():
+        for n, got in ((1, row.f.rouge1), (2, row.f.rouge2)):
+            p, r = ([tuple(x[i : i + n]) for i in range(len(x) - n + 1)] for x in ((row.p or "").lower().replace("-", " ").split(), row.r.split()))
+            both = sum(min(p.count(g), r.count(g)) for g in set(p))
+            assert abs(got - (2 * both / (len(p) + len(r)) if both else 0)) < 1e-12
+
+
+def test_ranks(spark):
+    vocabulary = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.tiktoken")
+    ranks = tokens.Ranks(vocabulary)
+    want = {x: len(ranks.encode(x)) for x in ("Hello wonderful 42!", "", "é😀")}
+    assert want["Hello wonderful 42!"] in range(3, 12) and want[""] == 0
+    assert all(one(spark, x, ranks) == n for x, n in want.items()) and one(spark, None, ranks) is None
+    chat = [("user", "Hello wonderful 42!"), ("assistant", "é😀"), ("assistant", None)]
+    assert one(spark, chat, lambda m: tokens.of_chat(m, ranks), "array<struct<role: string, content: string>>") == sum(want.values()) + 3 * tokens.PER_MESSAGE
+
+
+def test_both_approximations_agree(spark):
+    for x in ("Hello wonderful 42!", "", " \n\t\x0b", "a\u00a0b\u3000c", "ÀÉ日本語ไทย हिन्दी ①½ ﬁ", "x" * 50 + "12345" + "!?"):
+        assert one(spark, x, tokens.approximate) == tokens.approximate_count(x)
+
+
+def test_rendering(spark):
+    raw = '{"b":[1,{"c":null}],"a":"\\u00e9",  "d": 1.50, "e": []}'
+    assert one(spark, raw, rendering.pretty_json) == json.dumps(json.loads(raw), ensure_ascii=False, indent=2)
+    assert one(spark, raw, rendering.compact_json) == '{"b": [1, {"c": null}], "a": "é", "d": 1.5, "e": []}'
+    assert one(spark, None, rendering.pretty_json) is None
 
 
 def test_lcs():

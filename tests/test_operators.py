@@ -1,10 +1,13 @@
 import json
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tagloom.operators import dataset as d
 from tagloom.operators import evaluate as e
+from tagloom.operators import quantiles as q
 from tagloom.operators import reports as r
 from tagloom.sources import records, registry, sinks
 
@@ -115,7 +118,7 @@ def test_chat(spark):
     rows = spark.createDataFrame([(1, "event", "<p>", "{}")], "id int, type string, example_html string, expected_json string")
     made = d.chat_examples(rows, registry.prompts(spark))
     m = made.first().messages
-    assert m[0].content == f"{registry.INSTRUCTION}\n\nHTML:\n<p>\n\n{registry.prompt('event')}" and m[1].content == "{}"
+    assert m[0].content == f"{registry.INSTRUCTION}\n\nHTML:\n<p>\n\n{registry.PROMPTS['event']}" and m[1].content == "{}"
     cut = d.from_chat(made.drop("prompt"), registry.prompts(spark)).first()
     assert (cut.html, cut.answer) == ("<p>", "{}") and cut.html_and_prompt.startswith("<p>\n\nReturn")
     assert d.within_budget(made).count() == 1 and d.within_budget(made, 10).count() == 0
@@ -170,6 +173,12 @@ def test_evaluation(spark):
     assert both["levenshtein_avg"].improvement_pct == 100 and both["rouge1"].improvement_pct == 100 and both["rouge2"].improvement_pct == 0
     with pytest.raises(Exception, match="no pair for example"):
         e.paired(preds.limit(1), refs).collect()
+    at_once = {x.metric: x for x in e.comparison(refs, worse, preds).collect()}
+    assert set(at_once) == set(e.METRICS) and all((at_once[m].base, at_once[m].finetuned, at_once[m].improvement_pct) == (both[m].base, both[m].finetuned, both[m].improvement_pct) for m in both)
+    assert {(x.base, x.finetuned, x.improvement_pct) for x in e.comparison(refs.limit(0), worse.limit(0), preds.limit(0)).collect()} == {(0.0, 0.0, 0.0)}
+    for short in ((refs, worse, preds.limit(1)), (refs, worse.limit(1), preds), (refs.limit(1), worse, preds)):
+        with pytest.raises(Exception, match="no pair for example"):
+            e.comparison(*short).collect()
     assert {x.value for x in e.averaged(e.scored(e.paired(preds, refs), stemmed=False).filter("false")).collect()} == {0.0}
     assert e.samples(refs, worse, preds).filter("example_idx = 1").first().finetuned_prediction == ""
 
@@ -213,3 +222,58 @@ def test_sample_means_are_of_the_first_rows(spark):
     assert got.n == 50 and got.original_mean == round(sum(x.original_tokens for x in first) / 50, 4) and got.moderate_mean == round(sum(x.moderate_tokens for x in first) / 50, 4)
     assert abs(got.reduction_mean - sum(x.moderate_reduction_pct for x in first) / 50) < 1e-3
     assert r.sample_means(pages.limit(0), "page_id").first().n == 0
+
+
+def test_null_keys_stay_in_the_split(spark):
+    rows = spark.createDataFrame([(None, "c", 1), (1, "c", 2), (2, "c", 3), (None, None, 4), (None, "c", 5)], "id long, type string, draw int").withColumn("range", F.lit("x"))
+    out = d.stratified_split(rows, "id", "type")
+    assert out.columns == ["id", "type", "draw", "range", "split"] and sorted(x.draw for x in out.collect()) == [1, 2, 3, 4, 5]
+    assert d.few_of_each_host(rows.withColumn("u", F.lit("u")), "type", "u", 1).columns == ["id", "type", "draw", "range", "u"]
+
+
+def test_quantiles_are_the_sorted_values(spark):
+    rng = random.Random(4)
+    rows = [("hot", float(rng.choice((1, 1, 1, 2, 7)))) for _ in range(3000)] + [("wide", rng.random() * 1e6 - 5e5) for _ in range(2000)] + [(None, 3.0), ("one", -1.0), ("two", 1.0), ("two", 2.0), ("two", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probabilities = [0.0, 0.1, 0.25, 0.5, 0.95, 1.0]
+    got = {x.g: x for x in q.quantiles(q.counted(df, {"g": F.col("g")}, F.col("v")), ["g"], probabilities).collect()}
+    assert set(got) == {"hot", "wide", None, "one", "two"}
+    for g, x in got.items():
+        values = [v for k, v in rows if k == g and v is not None]
+        assert x.size == len(values) and np.allclose(x.q, np.quantile(values, probabilities), rtol=1e-12, atol=1e-9)
+    every = [v for _, v in rows if v is not None]
+    assert np.allclose(q.quantiles(q.counted(df, {}, F.col("v")), [], probabilities).first().q, np.quantile(every, probabilities))
+    assert q.quantiles(q.counted(df, {}, F.col("v")), [], [0.5], upper=True).first().q == [sorted(every)[len(every) // 2]]
+    nothing = df.filter("v > 1e9")
+    assert r.upper_median(nothing, "v").first().upper_median is None and r.overall(nothing, "v").first().n == 0 and r.box_plot(nothing, "g", "v").count() == 0
+
+
+def test_statistics_of_groups(spark):
+    rows = spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("a", 4, 7), (None, 9, 1)], "g string, v int, w int")
+    got = {(x.g, x.is_total): x for x in r.grouped_stats(rows, "g", ["v", "w"]).collect()}
+    assert {k: (x.n, x.v_median, x.w_median, x.w_mean) for k, x in got.items()} == {("a", 0): (3, 2.0, 6.0, 6.0), (None, 0): (1, 9.0, 1.0, 1.0), (None, 1): (4, 3.0, 5.0, 4.3333)}
+
+
+def test_budgets_and_limits(spark):
+    rows = spark.createDataFrame([([("user", "a " * n)],) for n in (1, 10, 100)], "messages array<struct<role: string, content: string>>")
+    assert tuple(d.budget_tally(rows, 15, 10).first()) == (3, 2, 1, 1)
+    assert {x.n_tokens for x in d.within_budget(rows, 15).collect()} == {6, 15}
+    texts = spark.createDataFrame([(3, "a"), (1, "a b c"), (2, None)], "i int, text string")
+    assert [x.i for x in d.within_tokens(texts, "text", 2, 3).collect()] == [1]
+    assert [x.i for x in d.first_rows(texts, "i", 2).collect()] == [1, 2]
+
+
+def test_convert(spark, tmp_path):
+    golden = [{"example_html": "<p>é</p>", "expected_json": {"type": "event", "title": "ü", "n": [1]}}, {"example_html": "x " * 500, "expected_json": {"type": "recipe"}}]
+    (tmp_path / "golden.jsonl").write_text("\n".join(json.dumps(x, ensure_ascii=False) for x in golden))
+    d.convert(spark, f"{tmp_path}/golden.jsonl", f"{tmp_path}/chat", limit=300)
+    (line,) = [json.loads(x.raw)["messages"] for x in records.json_lines(spark, f"{tmp_path}/chat").collect()]
+    assert line[0]["content"] == f"{registry.INSTRUCTION}\n\nHTML:\n<p>é</p>\n\n{registry.PROMPTS['event']}"
+    assert line[1] == {"role": "assistant", "content": json.dumps(golden[0]["expected_json"], ensure_ascii=False, indent=2)}
+
+
+def test_level_counts_are_those_of_the_texts(spark):
+    pages = spark.createDataFrame([(1, "<div class='a'><script>x</script><p>héllo  42</p><img src=a><a href=b></a></div>"), (2, None), (3, "")], "page_id long, html string")
+    fast = {x.page_id: x for x in r.token_levels(pages, "page_id").collect()}
+    slow = {x.page_id: x for x in r.token_levels(pages, "page_id", count=lambda c: r.approximate(c)).collect()}
+    assert fast[1] == slow[1] and fast[3] == slow[3] and fast[2].original_tokens is None
