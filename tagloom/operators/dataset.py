@@ -102,7 +102,11 @@ def variations(rows: DataFrame, key: str, html: str = "example_html", seed: int
 
 
 def variation_grid(rows: DataFrame, key: str, per_base: int = 100) -> DataFrame:
-    """Each row ``per_base`` times with base_id and variation_id from 0, the original; null ids for the variation step there."""
+    """Each row ``per_base`` times with base_id and variation_id from 0, the original; null ids for the variation step there.
+
+    Rows are dealt before they multiply: one file of pages would else be one task of ``per_base`` times as many variations.
+    """
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
     grid = rows.select("*", F.col(key).alias("base_id"), F.explode(F.sequence(F.lit(0), F.lit(per_base - 1))).alias("ordinal"))
     return grid.withColumn("variation_id", F.when(F.col("ordinal") > 0, F.col("ordinal").cast("long")))
 
