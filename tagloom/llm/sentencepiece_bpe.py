@@ -12,7 +12,6 @@ outside the vocabulary become their UTF-8 bytes (byte fallback).
 from __future__ import annotations
 
 import hashlib
-import itertools
 import re
 import struct
 from collections.abc import Iterator
@@ -27,8 +26,8 @@ from .common import chunks, mapped
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 SPACE = "▁"
 NO_PAIR = np.int32(2**31 - 1)
-#: Encoded words that a worker keeps, and the longest of them.
-CACHE_WORDS = 100_000
+#: Encoded words in each half of a worker's cache, and the longest of them.
+CACHE_WORDS = 150_000
 CACHE_CHARS = 32
 
 
@@ -259,22 +258,30 @@ def model(path: str) -> PieceModel:
 
 
 class Codec:
-    """Encodes texts in chunks; words seen before come from a bounded cache."""
+    """Encodes texts in chunks; words seen before come from a bounded cache of two halves, of which the younger keeps what is met again."""
 
     def __init__(self, path: str):
         self.model = model(path)
-        self.known: dict[str, tuple[str, str]] = {}
+        self.young: dict[str, tuple[str, str]] = {}
+        self.old: dict[str, tuple[str, str]] = {}
 
     def encoded(self, words: set[str]) -> dict[str, tuple[str, str]]:
         """(ids joined by commas, their text) of each word."""
-        m = self.model
-        made = m.encode_words(new := [w for w in words if w not in self.known])
-        out = {w: (",".join(map(str, ids)), b"".join(map(m.piece_bytes.__getitem__, ids)).decode("utf-8", "replace")) for w, ids in zip(new, made, strict=True)}
-        out |= {w: self.known[w] for w in words if w not in out}
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-        room = CACHE_WORDS - len(self.known)
-        self.known.update(itertools.islice(((w, out[w]) for w in new if len(w) <= CACHE_CHARS), room))
+        m, out, new = self.model, {}, []
+        young, old = self.young, self.old
+        for w in words:
+            if (found := young.get(w)) is None and (found := old.get(w)) is not None:
+                young[w] = found  # met again: stays
+            if found is None:
+                new.append(w)
+            else:
+                out[w] = found
+        for w, ids in zip(new, m.encode_words(new), strict=True):
+            out[w] = made = (",".join(map(str, ids)), b"".join(map(m.piece_bytes.__getitem__, ids)).decode("utf-8", "replace"))
+            if len(w) <= CACHE_CHARS and len(young) < CACHE_WORDS:
+                young[w] = made
+        if len(young) >= CACHE_WORDS:
+            self.young, self.old = {}, young
         return out
 
     def both_ways(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:
