@@ -33,6 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _kept(rows: DataFrame, name: str) -> DataFrame:
+    """rows written and read again: a few numbers of each page, which several aggregates read without parsing it again."""
+    rows.write.parquet(folder := scratch.folder(rows.sparkSession, name))
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def page_lang(url: Column) -> Column:
     return F.regexp_extract(url, "^[a-z]+://[^/]+/([a-z]{2})/", 1)
 
@@ -66,7 +72,7 @@ def html_profile_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def html_size_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(page_lang(F.col("url")).alias("lang"), "html")
-    return reports.size_summary(reports.profiled(pages), "lang")
+    return reports.size_summary(_kept(reports.profiled(pages).drop("html"), "profiles"), "lang")
 
 
 @query("""
@@ -86,7 +92,7 @@ def tag_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def clean_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.level_stats(reports.token_levels(table(spark, sf_dir, "pages"), "page_id"))
+    return reports.level_stats(_kept(reports.token_levels(table(spark, sf_dir, "pages"), "page_id"), "levels"))
 
 
 @query()
