@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Callable, Iterator
 
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import extract, mutate, rendering, similarity, text, tokens
+from ..functions import extract, html_tree, mutate, rendering, similarity, text, tokens
 from ..operators import dataset, evaluate, reports
 from ..functions.kinds import SIMPLE
 from ..sources import records, registry, scratch, sinks
@@ -50,6 +51,83 @@ def digest(c: Column) -> Column:
     return F.md5(c.cast("binary"))
 
 
+SPLIT = """select {cols}, case when r <= floor(n * 0.8) then 'train' when r <= floor(n * 0.8) + floor(n * 0.1) then 'validation' else 'test' end as split
+from (select *, row_number() over (partition by {by} order by md5('42:' || doc_id), doc_id) as r, count(*) over (partition by {by}) as n from {t})"""
+
+
+# --- the same pages in SQL ---------------------------------------------------
+
+# Oracles only: the pages of the tables have few tags (unclosed <p><b> in an article, pages without an end), so patterns find what the tree does.
+TOKENS_SQL = r"cast(len(regexp_extract_all({}, '\p{{L}}{{1,6}}|\p{{N}}|[^\p{{L}}\p{{N}}\s\x0B]')) as bigint)"
+LEVELS_SQL = r"""
+raw as (select page_id, html, len(regexp_extract_all(html, '<b>')) as n_open, regexp_replace(html, '(?s)<style>.*?</style>|<script>.*?</script>', '', 'g') as plain from pages),
+unescaped_pages as (select *, replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(plain, '&amp;?', chr(2), 'g'), '(href="[^"]*)&quot;', '\1' || chr(1), 'g'), '&quot;?', '"', 'g'), '&copy;', '©'), '&middot;', '·'), '&', '&amp;'), chr(2), '&amp;'), chr(1), '&quot;') as unescaped from raw),
+minimal_pages as (select *, replace(regexp_replace(unescaped, '<(meta charset="utf-8"|br)>', '<\1/>', 'g'), '</article>', repeat('</b></p>', n_open) || '</article>') || case when contains(html, '</html>') then '' else '</body></html>' end as minimal from unescaped_pages),
+moderate_pages as (select *, replace(minimal, '<div class="ad">', '<div>') as moderate from minimal_pages),
+cleaned_pages as (select page_id, html as original, minimal, moderate,
+  regexp_replace(regexp_replace(regexp_replace(moderate, '(?s)<nav>.*?</nav>|<footer>.*?</footer>|<meta charset="utf-8"/>|<br/>', '', 'g'), '<html lang="[^"]*">', '<html>'), '<p>\s*</p>|<div>\s*</div>', '', 'g') as aggressive from moderate_pages)"""
+LONG_LEVELS_SQL = LEVELS_SQL + f""", counted as (select page_id, {", ".join(f"{TOKENS_SQL.format(x)} as {x}" for x in html_tree.LEVELS)} from cleaned_pages),
+level_rows as ({" union all ".join(f"select page_id, '{x}' as level, {x} as tokens, {'null' if x == 'original' else f'(original - {x}) * 100.0 / nullif(original, 0)'} as less from counted" for x in html_tree.LEVELS)})"""
+
+
+def _stripped(sql: str) -> str:
+    """Text of markup: no tags and comments, characters for entities, no space around."""
+    bare = rf"regexp_replace({sql}, '(?s)<!--.*?-->|<[^>]*>', '', 'g')"
+    plain = f"replace(replace(replace(regexp_replace(regexp_replace({bare}, '&amp;?', chr(2), 'g'), '&quot;?', '\"', 'g'), '&copy;', '©'), '&middot;', '·'), chr(2), '&')"
+    return rf"regexp_replace({plain}, '^\s+|\s+$', '', 'g')"
+
+
+FIELDS_SQL = rf"""
+field_texts as (select page_id, nullif({_stripped("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, '') as heading, nullif({_stripped("regexp_extract(html, '(?s)<article>.*?(<p>.*)</article>', 1)")}, '') as first_p,
+  {_stripped("regexp_extract(html, '(?s)<body>.*')")} as body, list_filter(list_transform(regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1), lambda x: {_stripped("x")}), lambda x: x <> '') as items from pages)"""
+_P = "case when length(first_p) > {} and length(first_p) < {} then to_json(first_p) end"
+_MATCH = "to_json(nullif(regexp_extract(body, '{}'), ''))"
+#: type -> field -> JSON of what the rules find on these pages; all other fields keep their template.
+_FOUND = {
+    "recipe": {"name": "to_json(heading)", "description": _P.format(20, 500), "ingredients": "case when len(items) between 1 and 29 then '[' || array_to_string(list_transform(items, lambda x: cast(to_json(x) as varchar)), ', ') || ']' end"},
+    "event": {"title": "to_json(heading)", "description": _P.format(20, 1 << 40), "price": _MATCH.format(extract.PRICE)},
+    "job_posting": {"title": "to_json(heading)"},
+    "person": {"name": "to_json(heading)", "bio": _P.format(30, 1 << 40), "email": _MATCH.format(extract.EMAIL), "phone": _MATCH.format(extract.PHONE)},
+    "error_page": {"message": "to_json(heading)", "description": "to_json(first_p)", "error_code": f"nullif(regexp_extract(body, '{extract.STATUS}'), '')"},
+    "auth_required": {"message": "to_json(heading)", "description": "to_json(first_p)"},
+}
+
+
+def _label_sql(kind: str) -> str:
+    """The label of a type as json.dumps writes it."""
+    found = _FOUND.get(kind, {})
+    parts = []
+    for name, default in registry.TEMPLATES[kind].items():
+        plain = "'" + json.dumps(default) + "'"
+        parts.append(f"'\"{name}\": ' || " + (f"coalesce(cast({found[name]} as varchar), {plain})" if name in found else plain))
+    return "'{' || " + " || ', ' || ".join(parts) + " || '}'"
+
+
+def _labels_sql(kinds: tuple[str, ...]) -> str:
+    """page_id, type, label of every page, the types by turns."""
+    cases = lambda of: " ".join(f"when {i} then {of(k)}" for i, k in enumerate(kinds))
+    turn = f"page_id % {len(kinds)}"
+    return FIELDS_SQL + f""", labelled as (select page_id, case {turn} {cases(lambda k: f"'{k}'")} end as type, case {turn} {cases(_label_sql)} end as label from field_texts)"""
+
+
+def _there(field: str) -> str:
+    return f"coalesce(json_extract_string(label, '$.{field}') not in ('', '[]', '{{}}', 'false', '0'), false)"
+
+
+def _named(field: str) -> str:
+    return f"({_there(field)} and json_extract_string(label, '$.{field}') <> 'TODO')"
+
+
+#: (type, metric) -> value of a label.
+_QUALITY = {
+    ("recipe", "has_ingredients"): _there("ingredients"), ("recipe", "ingredient_count"): "json_array_length(label, '$.ingredients')", ("recipe", "has_instructions"): _there("instructions"),
+    ("recipe", "instruction_count"): "json_array_length(label, '$.instructions')", ("recipe", "has_timing"): f"({_there('cook_time')} or {_there('prep_time')})", ("recipe", "has_rating"): _there("rating"),
+    ("job_posting", "has_title"): _named("title"), ("event", "has_title"): _there("title"), ("job_posting", "has_company"): _there("company"), ("event", "has_datetime"): _named("datetime"),
+    ("job_posting", "has_location"): _there("location"), ("event", "has_location"): _there("location"), ("event", "has_price"): _there("price"), ("job_posting", "has_description"): _there("description"),
+    ("event", "has_description"): _there("description"), ("job_posting", "description_length"): "length(coalesce(json_extract_string(label, '$.description'), ''))",
+}
+
+
 # --- profiles of pages -------------------------------------------------------
 
 
@@ -69,7 +147,11 @@ def html_profile_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(rf"""
+with {LEVELS_SQL}, p as (select page_id, length(html) as size, len(regexp_extract_all(html, '<[a-zA-Z]')) as tags, greatest(6, 4 + 2 * n_open) as depth,
+  len(list_filter(regexp_split_to_array(regexp_replace(unescaped, '(?s)<!--.*?-->|<[^>]*>', ' ', 'g'), '[\s\x{{0B}}\x{{1C}}-\x{{1F}}\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]+'), lambda w: w <> '')) as words from unescaped_pages)
+select {PAGE_LANG} as lang, count(*) as n, round(avg(size), 1) as size_mean, round(median(size), 1) as size_median, min(size) as size_min, max(size) as size_max, round(avg(tags), 1) as tags_mean, round(median(tags), 1) as tags_median,
+  round(avg(words), 1) as words_mean, round(median(words), 1) as words_median, round(avg(depth), 1) as depth_mean, max(depth) as depth_max from p join pages using (page_id) group by lang""")
 def html_size_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(page_lang(F.col("url")).alias("lang"), "html")
     return reports.size_summary(_kept(reports.profiled(pages).drop("html"), "profiles"), "lang")
@@ -90,23 +172,30 @@ def tag_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_tags(table(spark, sf_dir, "pages"))
 
 
-@query()
+@query(f"""
+with {LONG_LEVELS_SQL} select level, count(*) as n, round(avg(tokens), 4) as tokens_mean, median(tokens) as tokens_median, min(tokens) as tokens_min, max(tokens) as tokens_max, round(avg(less), 4) as reduction_mean from level_rows group by level""")
 def clean_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.level_stats(_kept(reports.token_levels(table(spark, sf_dir, "pages"), "page_id"), "levels"))
 
 
-@query()
+@query(f"""
+with {LEVELS_SQL}, s as ({SPLIT.format(cols="doc_id as page_id", by="kind", t="(select page_id as doc_id, 1 as kind from pages)")}),
+first as (select page_id from s where split = 'train' order by page_id limit 50), t as (select {TOKENS_SQL.format("original")} as a, {TOKENS_SQL.format("moderate")} as b from cleaned_pages join first using (page_id))
+select count(*) as n, round(avg(a), 4) as original_mean, round(avg(b), 4) as moderate_mean, round(avg((a - b) * 100.0 / nullif(a, 0)), 4) as reduction_mean from t""")
 def train_sample_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "html", F.lit("page").alias("type"))
     return reports.sample_means(dataset.stratified_split(pages, "page_id", "type").filter("split = 'train'"), "page_id")
 
 
-@query()
+@query(f"""
+with {LONG_LEVELS_SQL} select w as context_window, level, count(*) filter (tokens <= w) as fits from level_rows, (values {", ".join(f"({w})" for w in registry.CONTEXT_WINDOWS)}) v(w) group by w, level""")
 def context_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.context_fit(reports.token_levels(table(spark, sf_dir, "pages"), "page_id"))
 
 
-@query()
+@query(f"""
+with {LONG_LEVELS_SQL}, {_labels_sql(("job_posting",))}, r as (select level, {TOKENS_SQL.format("label")} / nullif(tokens, 0)::double as snr from level_rows join labelled using (page_id))
+select level, round(avg(snr), 6) as snr, round(1 / nullif(avg(snr), 0), 6) as inverse from r group by level""")
 def signal_to_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").withColumn("label", extract.annotated.asNondeterministic()("html", F.lit("job_posting")))
     return reports.signal_to_noise(reports.token_levels(pages, "page_id", json="label"))
@@ -193,7 +282,9 @@ def field_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.completeness(events, "event_type", "raw")
 
 
-@query()
+@query(f"""
+with {_labels_sql(tuple(registry.PROMPTS))}, m as ({" union all ".join(f"select type, '{m}' as metric, cast({v} as double) as value from labelled where type = '{k}'" for (k, m), v in _QUALITY.items())})
+select type, metric, count(*) as n, round(avg(value), 4) as mean, median(value) as median from m group by type, metric""")
 def label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
     pages = table(spark, sf_dir, "pages").withColumn("type", kind)
@@ -219,9 +310,6 @@ def relabelled_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- split, quota, variations ------------------------------------------------
 
-SPLIT = """select {cols}, case when r <= floor(n * 0.8) then 'train' when r <= floor(n * 0.8) + floor(n * 0.1) then 'validation' else 'test' end as split
-from (select *, row_number() over (partition by {by} order by md5('42:' || doc_id), doc_id) as r, count(*) over (partition by {by}) as n from {t})"""
-
 
 @query(SPLIT.format(cols="doc_id, lang", by="lang", t="documents"))
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -434,7 +522,7 @@ def extracted_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("page_id", F.get_json_object("e", "$.title").alias("title"))
 
 
-@query()
+@query(f"with {_labels_sql(registry.TYPES)} select page_id, type, label as expected_json from labelled")
 def annotated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.array(*[F.lit(k) for k in registry.TYPES])
     pages = table(spark, sf_dir, "pages").withColumn("type", F.element_at(kinds, (F.col("page_id") % len(registry.TYPES) + 1).cast("int")))
