@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges of a group.
+#: Ranges of a group, a power of two: the range of a value is found by halving.
 RANGES = 128
 
 
@@ -20,13 +20,19 @@ def counted(rows: DataFrame, by: dict[str, Column], value: Column) -> DataFrame:
     return view.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("c"))
 
 
+def range_of(cuts: Column, value: Column) -> Column:
+    """How many of the sorted cuts (one less than RANGES) are less than the value."""
+    steps = F.array(*[F.lit(RANGES >> k) for k in range(1, RANGES.bit_length())])
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(cuts, n + step - 1) < value, n + step).otherwise(n))
+
+
 def quantiles(counts: DataFrame, by: list[str], probabilities: list[float], upper: bool = False) -> DataFrame:
     """The columns of ``by``, size, and q array<double>: interpolated quantiles of counts(by..., v, c); with ``upper`` instead the element at floor(size * p), from 0."""
     cuts = counts.groupBy(*by).agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)], 1_000).alias("cuts")).select(*[F.col(b).alias(f"cut_{b}") for b in by], "cuts")
     same = lambda right: [F.col(b).eqNullSafe(F.col(f"{right}_{b}")) for b in by] or [F.lit(True)]
     every = lambda conditions: conditions[0] if len(conditions) == 1 else conditions[0] & every(conditions[1:])
     cut = counts.crossJoin(F.broadcast(cuts)) if not by else counts.join(cuts, every(same("cut")))  # without groups: one row of cuts
-    ranged = cut.select(*by, "v", "c", F.size(F.filter("cuts", lambda x: x < F.col("v"))).alias("range"))
+    ranged = cut.select(*by, "v", "c", range_of(F.col("cuts"), F.col("v")).alias("range"))
     sizes = ranged.groupBy(*by, "range").agg(F.sum("c").alias("s"))
     group = Window.partitionBy(*by)
     starts = sizes.select(

@@ -14,6 +14,7 @@ from ..functions import extract, html_tree, mutate, rendering, similarity, text,
 from ..operators import dataset, evaluate, reports
 from ..functions.kinds import SIMPLE
 from ..sources import records, registry, scratch, sinks
+from ..sources.tables import spread, table
 from ..streaming import capture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,8 +31,8 @@ def query(oracle: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"))
 
 
 def _kept(rows: DataFrame, name: str) -> DataFrame:
@@ -139,7 +140,7 @@ select lang, count(*) as n, round(avg(size), 1) as size_mean, median(size) as si
   round(avg(tags), 1) as tags_mean, median(tags) as tags_median, cast(sum(divs) as bigint) as divs, cast(sum(spans) as bigint) as spans, cast(sum(classes) as bigint) as classes, cast(sum(ids) as bigint) as ids
 from p group by lang""")
 def html_profile_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select(page_lang(F.col("url")).alias("lang"), "html")
+    pages = pages_of(spark, sf_dir).select(page_lang(F.col("url")).alias("lang"), "html")
     p = reports.profiled(pages)
     return p.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("html_size"), 1).alias("size_mean"), F.median("html_size").alias("size_median"), F.min("html_size").alias("size_min"), F.max("html_size").alias("size_max"),
@@ -153,7 +154,7 @@ with {LEVELS_SQL}, p as (select page_id, length(html) as size, len(regexp_extrac
 select {PAGE_LANG} as lang, count(*) as n, round(avg(size), 1) as size_mean, round(median(size), 1) as size_median, min(size) as size_min, max(size) as size_max, round(avg(tags), 1) as tags_mean, round(median(tags), 1) as tags_median,
   round(avg(words), 1) as words_mean, round(median(words), 1) as words_median, round(avg(depth), 1) as depth_mean, max(depth) as depth_max from p join pages using (page_id) group by lang""")
 def html_size_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select(page_lang(F.col("url")).alias("lang"), "html")
+    pages = pages_of(spark, sf_dir).select(page_lang(F.col("url")).alias("lang"), "html")
     return reports.size_summary(_kept(reports.profiled(pages).drop("html"), "profiles"), "lang")
 
 
@@ -162,20 +163,20 @@ select page_id, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) as title
   cast(len(regexp_extract_all(html, '<div[ >]')) as bigint) as n_div, cast(len(regexp_extract_all(html, '<p[ >]')) as bigint) as n_p, cast(len(regexp_extract_all(html, '<a[ >]')) as bigint) as n_a, cast(len(regexp_extract_all(html, '<h[1-6][ >]')) as bigint) as n_headings
 from (select page_id, replace(replace(replace(replace(html, '&amp;', '&'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©') as html from pages)""")
 def html_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = table(spark, sf_dir, "pages").withColumn("o", reports.html_overview.asNondeterministic()("html"))
+    made = pages_of(spark, sf_dir).withColumn("o", reports.html_overview.asNondeterministic()("html"))
     return made.select("page_id", "o.*")
 
 
 @query("""
 select tag, count(*) as n from (select unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) as tag from pages) group by tag order by n desc, tag limit 15""")
 def tag_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_tags(table(spark, sf_dir, "pages"))
+    return reports.top_tags(pages_of(spark, sf_dir))
 
 
 @query(f"""
 with {LONG_LEVELS_SQL} select level, count(*) as n, round(avg(tokens), 4) as tokens_mean, median(tokens) as tokens_median, min(tokens) as tokens_min, max(tokens) as tokens_max, round(avg(less), 4) as reduction_mean from level_rows group by level""")
 def clean_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.level_stats(_kept(reports.token_levels(table(spark, sf_dir, "pages"), "page_id"), "levels"))
+    return reports.level_stats(_kept(reports.token_levels(pages_of(spark, sf_dir), "page_id"), "levels"))
 
 
 @query(f"""
@@ -190,14 +191,14 @@ def train_sample_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 with {LONG_LEVELS_SQL} select w as context_window, level, count(*) filter (tokens <= w) as fits from level_rows, (values {", ".join(f"({w})" for w in registry.CONTEXT_WINDOWS)}) v(w) group by w, level""")
 def context_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.context_fit(reports.token_levels(table(spark, sf_dir, "pages"), "page_id"))
+    return reports.context_fit(reports.token_levels(pages_of(spark, sf_dir), "page_id"))
 
 
 @query(f"""
 with {LONG_LEVELS_SQL}, {_labels_sql(("job_posting",))}, r as (select level, {TOKENS_SQL.format("label")} / nullif(tokens, 0)::double as snr from level_rows join labelled using (page_id))
 select level, round(avg(snr), 6) as snr, round(1 / nullif(avg(snr), 0), 6) as inverse from r group by level""")
 def signal_to_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").withColumn("label", extract.annotated.asNondeterministic()("html", F.lit("job_posting")))
+    pages = pages_of(spark, sf_dir).withColumn("label", extract.annotated.asNondeterministic()("html", F.lit("job_posting")))
     return reports.signal_to_noise(reports.token_levels(pages, "page_id", json="label"))
 
 
@@ -287,7 +288,7 @@ with {_labels_sql(tuple(registry.PROMPTS))}, m as ({" union all ".join(f"select
 select type, metric, count(*) as n, round(avg(value), 4) as mean, median(value) as median from m group by type, metric""")
 def label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
-    pages = table(spark, sf_dir, "pages").withColumn("type", kind)
+    pages = pages_of(spark, sf_dir).withColumn("type", kind)
     labelled = pages.withColumn("expected_json", extract.annotated.asNondeterministic()("html", "type")).select("type", "expected_json")
     return reports.quality_summary(reports.quality_flags(labelled))
 
@@ -335,7 +336,7 @@ def variation_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def page_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("example_html"))
+    pages = pages_of(spark, sf_dir).select("page_id", F.col("html").alias("example_html"))
     # One variation of every page: the target follows the table.
     made = dataset.variations(dataset.with_quota(pages, "page_id", 2 * pages.count()), "page_id")
     return made.select("page_id", "ordinal", "variation_id", digest(F.col("example_html")).alias("html_md5"), "metadata.augmentations", "metadata.applied")
@@ -343,7 +344,7 @@ def page_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def exploratory_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("example_html"))
+    pages = pages_of(spark, sf_dir).select("page_id", F.col("html").alias("example_html"))
     made = dataset.variations(dataset.variation_grid(pages, "page_id"), "page_id", profile="exploratory")
     return made.select("base_id", "ordinal", "variation_id", digest(F.col("example_html")).alias("html_md5"), "metadata.augmentations", "metadata.applied")
 
@@ -371,7 +372,7 @@ def whitespace_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
         for texts in batches:
             yield texts.map(lambda t: mutate.spaced(t, always))
 
-    return table(spark, sf_dir, "pages").select("page_id", digest(spaced("html")).alias("html_md5"))
+    return pages_of(spark, sf_dir).select("page_id", digest(spaced("html")).alias("html_md5"))
 
 
 # --- chat --------------------------------------------------------------------
@@ -380,7 +381,7 @@ def whitespace_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
     answer = F.concat(F.lit('{"type":"'), kind, F.lit('", "url":"'), "url", F.lit('"}'))
-    rows = table(spark, sf_dir, "pages").select("page_id", kind.alias("type"), F.col("html").alias("example_html"), answer.alias("expected_json"))
+    rows = pages_of(spark, sf_dir).select("page_id", kind.alias("type"), F.col("html").alias("example_html"), answer.alias("expected_json"))
     return dataset.chat_examples(rows, registry.prompts(spark))
 
 
@@ -518,14 +519,14 @@ def comparison_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 select page_id, nullif(trim(replace(replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '&amp;', '&'), '&quot;', '"')), '') as title from pages""")
 def extracted_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = table(spark, sf_dir, "pages").withColumn("e", extract.extracted.asNondeterministic()("html", F.lit("job_posting")))
+    made = pages_of(spark, sf_dir).withColumn("e", extract.extracted.asNondeterministic()("html", F.lit("job_posting")))
     return made.select("page_id", F.get_json_object("e", "$.title").alias("title"))
 
 
 @query(f"with {_labels_sql(registry.TYPES)} select page_id, type, label as expected_json from labelled")
 def annotated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.array(*[F.lit(k) for k in registry.TYPES])
-    pages = table(spark, sf_dir, "pages").withColumn("type", F.element_at(kinds, (F.col("page_id") % len(registry.TYPES) + 1).cast("int")))
+    pages = pages_of(spark, sf_dir).withColumn("type", F.element_at(kinds, (F.col("page_id") % len(registry.TYPES) + 1).cast("int")))
     return pages.select("page_id", "type", extract.annotated("html", "type").alias("expected_json"))
 
 

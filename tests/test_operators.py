@@ -10,6 +10,7 @@ from tagloom.operators import evaluate as e
 from tagloom.operators import quantiles as q
 from tagloom.operators import reports as r
 from tagloom.sources import records, registry, sinks
+from tagloom.sources.tables import spread, table
 
 FILES = {
     "annotation_recipe_1": '{"example_html": "<p>é</p>", "expected_json": {"type": "recipe", "b": 1.5, "a": null}}',
@@ -277,3 +278,23 @@ def test_level_counts_are_those_of_the_texts(spark):
     fast = {x.page_id: x for x in r.token_levels(pages, "page_id").collect()}
     slow = {x.page_id: x for x in r.token_levels(pages, "page_id", count=lambda c: r.approximate(c)).collect()}
     assert fast[1] == slow[1] and fast[3] == slow[3] and fast[2].original_tokens is None
+
+
+def test_small_tables_are_spread(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(1000).selectExpr("id", "cast(id % 7 as string) as x")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one.parquet")
+    rows.repartition(4 * cores).write.parquet(f"{tmp_path}/many.parquet")
+    dealt = spread(table(spark, str(tmp_path), "one"))
+    assert dealt.rdd.getNumPartitions() == cores and sorted(r.id for r in dealt.collect()) == list(range(1000))
+    many = spread(table(spark, str(tmp_path), "many"))
+    assert "Repartition" not in many._jdf.queryExecution().optimizedPlan().toString()
+    rows.limit(0).write.parquet(f"{tmp_path}/none.parquet")
+    assert spread(table(spark, str(tmp_path), "none")).count() == 0
+
+
+def test_ranges_are_found_by_halving(spark):
+    cuts = sorted([1.0] * 40 + [float(x) for x in range(q.RANGES - 41)])
+    values = [-1.0, 0.0, 0.5, 1.0, 1.5, 40.0, 85.5, 86.0, 87.0, 1e9]
+    made = spark.createDataFrame([(cuts, v) for v in values], "c array<double>, v double").select("v", q.range_of(F.col("c"), F.col("v")).alias("n"))
+    assert {r.v: r.n for r in made.collect()} == {v: sum(c < v for c in cuts) for v in values}
