@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import tables
+
 #: Words are runs of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -98,7 +100,9 @@ def mapped(df: DataFrame, run, schema) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the folder; documents and pages that lie in fewer row groups than there are cores are dealt over the cores."""
+    rows = tables.table(spark, sf_dir, name)
+    return tables.spread(rows) if name in ("documents", "pages") else rows
 
 
 def chunks(texts: list[str], limit: int = CHUNK_CHARS):

@@ -99,6 +99,30 @@ def test_discriminant_against_the_formula():
     assert np.allclose(m.scores(x), 1 / (1 + np.exp(logs[0] - logs[1])))
 
 
+def naive_statistics(text):
+    """The twelve statistics by their definitions, character by character."""
+    n = dict.fromkeys(("lower", "upper", "digit", "space", "symbol", "stop", "loud", "other"), 0)
+    for c in text:
+        kind = "symbol" if c in quality_qda.SYMBOLS else "stop" if c in ".,;:'-" else "loud" if c in "!?" else "space" if c.isspace() else "digit" if c.isdigit() else ("upper" if c.isupper() else "lower") if c.isalpha() else "other"
+        n[kind] += 1
+    words = text.split()
+    count, chars = max(1, len(words)), max(1, len(text) - n["space"])
+    lines = [x for x in text.split("\n") if x.strip()]
+    again = sum(words[i] == words[i - 1] for i in range(1, len(words)))
+    alone = sum(len(w) == 1 and not w.isalnum() for w in words)
+    shares = [n["symbol"] / chars, n["upper"] / chars, n["digit"] / chars, n["loud"] / chars, n["stop"] / chars, n["other"] / chars]
+    ends = [again / count, (len(lines) - len(set(lines))) / max(1, len(lines)), alone / count]
+    return [np.log(1 + len(words)), np.log(1 + chars / count), *np.sqrt(shares), np.log((len(set(words)) + 1) / (count + 1) ** 0.75), *np.sqrt(ends)]
+
+
+def test_statistics_are_the_naive_ones():
+    rng = random.Random(12)
+    parts = ["Word", "word", "the", "ÉCOLE", "straße", "日本", "½", "٣", "42", "#", "$$", "!", "?!", "|", "-", "a,b", "\n", "\n\n", "\t", "\u3000", "😀", "\x00", "line\n", "{x}"]
+    for _ in range(500):
+        text = "".join(rng.choice(parts) + rng.choice(("", " ", " ")) for _ in range(rng.randint(0, 40)))
+        assert np.allclose(quality_qda.statistics(text), naive_statistics(text)), repr(text)
+
+
 def _held_out(spark, operator, label, good, bad, mod):
     rng = random.Random(5)
     rows, marks = [], []

@@ -1,6 +1,10 @@
+import math
 import re
 from collections import Counter
 
+import regex
+import xxhash
+
 from tagloom.llm import quality_rules as q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -54,6 +58,42 @@ def test_ratio_is_the_brute_forces(spark):
         assert abs(sum(weights[b] for b in r.b) / len(r.b) - r.r) < 1e-6
 
 
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute_buckets(t):
+    """By definition: a bucket for each word, and one for each pair of neighbouring shapes."""
+    shaped = regex.sub(r"\p{N}+", "0", regex.sub(r"\p{Lu}+", "A", regex.sub(r"\p{Ll}+", "a", t)))
+    shapes = [x.encode() for x in WORD.findall(shaped)]
+    single = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) % q.WORD_BUCKETS for w in WORD.findall(t)]
+    pair = lambda a, b: signed(xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42))) % q.SHAPE_BUCKETS + q.WORD_BUCKETS
+    return single + [pair(a, b) for a, b in zip(shapes, [*shapes[1:], b""], strict=False)]
+
+
+def test_weights_and_verdicts_are_recomputed(spark):
+    rules = q.Rules()
+    texts = [*TEXTS, *GOOD, *BAD, "\n".join([GOOD[0]] * 2), GOOD[1].upper(), GOOD[2] + " AB CD EF GH", "# " + GOOD[3], "Ünïcode wörter " * 3 + GOOD[4], "x1 Y22 zzz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    raw, target = Counter(), Counter()
+    for t in texts:
+        t = t or ""
+        n, _, symbols, dup, _ = brute(t)
+        good = n >= rules.trusted_words and 100 * symbols <= rules.trusted_symbol_percent * len(t) and 100 * len(regex.findall(r"\p{Lu}{2,}", t)) <= rules.trusted_capital_percent * n and not dup
+        for b in brute_buckets(t):
+            raw[b] += 1
+            target[b] += good
+    share = sum(target.values()) / sum(raw.values())
+    assert 0 < share < 1
+    weights = q.fit(df, rules)
+    want = {b: math.log((target[b] + rules.shrink) / (raw[b] * share + rules.shrink)) for b in raw}
+    assert all(abs(weights[b] - w) < 1e-5 for b, w in want.items()) and all(w == 0 for b, w in enumerate(weights) if b not in want)
+    for r in q.judged(df, weights, rules).collect():
+        buckets = brute_buckets(texts[r.doc_id] or "")
+        llr = sum(want[b] for b in buckets) / len(buckets) if buckets else 0.0
+        assert abs(r.llr - llr) < 1e-4 and (r.kept == (not r.base_failed and llr >= rules.threshold) or abs(llr - rules.threshold) < 1e-4), texts[r.doc_id]
+
+
 def test_empty_table_and_no_python(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert q.keep(empty).count() == 0
