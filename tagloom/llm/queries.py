@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, labelled, language_id, ngram_join, quality_qda, quality_rules, sentencepiece_bpe, substring_dedup, toxicity, warc
+from . import chat_format, decontaminate, fill_in_middle, labelled, language_id, ngram_join, quality_qda, quality_rules, sentencepiece_bpe, substring_dedup, token_alignment, toxicity, vector_search, warc
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,43 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_qda.fit(_learnt(spark, sf_dir, "quality", 3, 1))
     scored = quality_qda.scores(table(spark, sf_dir, "documents"), model)
     return scored.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+with d as (select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as hex, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u from documents),
+h as (select *, cast(len(u) as bigint) as n, list_transform([0, 1, 2, 3], lambda k: list_sum(list_transform(range(8), lambda i: cast((instr('0123456789abcdef', substr(hex, cast(8 * k + i + 1 as bigint), 1)) - 1) as bigint) << cast(28 - 4 * i as bigint)))) as h from d),
+c as (select *, least(h[1] % (n + 1), h[2] % (n + 1)) as i, greatest(h[1] % (n + 1), h[2] % (n + 1)) as j,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h[3] % 100 >= 50 then 'plain' when h[4] % 100 < 80 then 'spm' else 'psm' end as form from h),
+p as (select *, array_to_string(u[:cast(i as bigint)], '') as a, array_to_string(u[cast(i as bigint) + 1:cast(j as bigint)], '') as b, array_to_string(u[cast(j as bigint) + 1:], '') as z from c)
+select doc_id, n, form, case when form <> 'plain' then length(a) end as prefix_chars, case when form <> 'plain' then length(b) end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || a || '<S>' || z || '<M>' || b else '<S>' || z || '<P>' || a || '<M>' || b end) as output_sha256,
+  sha256(t) as restored_sha256
+from p
+"""
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment.alignments(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), piece_model())
+
+
+@query
+def op13_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vector_search.top_inner_products(rows, rows.filter(F.col("vec_id") % 50 == 0))
+
+
+ORACLES["op13_top_k_search"] = """
+with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
+"""
