@@ -24,6 +24,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,9 @@ class ByteLevel:
         own = ordered and all([x.id for x in self.slow.model.tokenize(t)] == [i] for t, i in vocab.items())
         self.fast = tiktoken.Encoding("byte_level", pat_str=PATTERN, mergeable_ranks={self.bytes[i]: i for i in vocab.values()}, special_tokens={}) if own else None
 
+    def spelt(self, ids: list[int]) -> bytes | None:
+        return self.fast.decode_bytes(ids) if self.fast else spelt(self.bytes, ids)
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [self.fast.encode_ordinary(t) if self.fast and not LONG_SPACE.search(t) else self.slow.encode(t, add_special_tokens=False).ids for t in texts]
 
@@ -98,7 +102,7 @@ class Pieces:
         return bytes([int(piece[3:5], 16)]) if self.library.is_byte(i) else piece.replace(SPACE_MARK, " ").encode()
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
+        return [self.library.encode(t) for t in texts]
 
 
 @functools.lru_cache(maxsize=4)
@@ -107,12 +111,19 @@ def loaded(kind: type, path: str):
     return kind(path)
 
 
+def flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids behind each other, and how many each text has."""
+    n = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), n
+
+
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = loaded(ByteLevel, path_a), loaded(Pieces, path_b)
-        # what follows an id in the text of the groups: A's "," or "|", B's "," or ";"
-        self.shown = [f"{i}{s}" for size, ends in ((self.a.size, ",|"), (self.b.size, ",;")) for s in ends for i in range(size)]
         self.len_a, self.len_b = (np.array([len(x or b"") for x in m.bytes], np.int64) for m in (self.a, self.b))
+        # an id and what follows it in the text of the groups, in eight bytes: A's "," or "|", B's "," or ";"
+        shown = [f"{i}{s}".encode() for size, ends in ((self.a.size, ",|"), (self.b.size, ",;")) for s in ends for i in range(size)]
+        self.shown, self.shown_len = np.array(shown, "S8").view(np.uint64), np.array([len(x) for x in shown], np.int64)
 
     def encoded(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and B; none where the text is null or empty, or a tokenizer doesn't give back space + text."""
@@ -121,40 +132,45 @@ class Aligner:
         whole = [" " + texts[i] for i in found]
         for i, t, a, b in zip(found, whole, self.a.encode(whole), self.b.encode([t[1:] for t in whole]), strict=True):
             raw = t.encode()
-            if spelt(self.a.bytes, a) == raw and spelt(self.b.bytes, b) == raw:
+            if self.a.spelt(a) == raw and spelt(self.b.bytes, b) == raw:
                 ids_a[i], ids_b[i] = a, b
         return ids_a, ids_b
 
-    def aligned(self, texts: list[str | None]) -> tuple[list[tuple[int, int, int, int, str]], tuple[np.ndarray, ...]]:
-        """Of each text (n_a, n_b, n_groups, n_links, groups); of all, sorted, the distinct (id of A, place of the text, id of B) and how often each is linked."""
-        ids_a, ids_b = self.encoded(texts)
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        flat_a, flat_b = (np.fromiter((i for x in ids for i in x), np.int64, int(n.sum())) for ids, n in ((ids_a, n_a), (ids_b, n_b)))
-        end_a, end_b = np.cumsum(self.len_a[flat_a]), np.cumsum(self.len_b[flat_b])
-        first_a, first_b = (np.concatenate(([0], np.cumsum(n))) for n in (n_a, n_b))
-        pieces = np.union1d(end_a, end_b)  # texts follow each other, and each ends for both at once
+    def aligned(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[bytes], tuple[np.ndarray, ...]]:
+        """n_a, n_b, n_groups, n_links of the texts; their groups as text; of all, sorted, the distinct (id of A, place of the text, id of B) and how often each is linked."""
+        (a, n_a), (b, n_b) = map(flat, self.encoded(texts))
+        end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
+        pieces = np.concatenate((end_a, end_b))  # texts follow each other, and each ends for both at once
+        pieces.sort(kind="stable")
+        pieces = pieces[fresh(pieces)]
         of_a, of_b = np.searchsorted(end_a, pieces), np.searchsorted(end_b, pieces)
-        groups = end_a[np.isin(end_a, end_b, assume_unique=True)]
-        doc = np.repeat(np.arange(len(texts)), n_a)[of_a]
-        n_links = np.bincount(doc, minlength=len(texts))
-        closes_a, closes_b = np.isin(end_a, groups, assume_unique=True), np.isin(end_b, groups, assume_unique=True)
+        is_a, is_b = end_a[of_a] == pieces, end_b[of_b] == pieces
+        closes_a, closes_b = is_b[is_a], is_a[is_b]
+        doc_a = np.repeat(np.arange(len(texts)), n_a)
+        doc = doc_a[of_a]
         group_a, group_b = (np.cumsum(c) - c for c in (closes_a, closes_b))
-        n_groups = np.bincount(np.repeat(np.arange(len(texts)), n_a)[closes_a], minlength=len(texts))
         # a token's place among those of both, group by group, A's before B's
-        order = np.empty(len(flat_a) + len(flat_b), np.int64)
+        order = np.empty(len(a) + len(b), np.int64)
         up_to_a = np.concatenate((np.flatnonzero(closes_a) + 1, [0]))  # tokens of A up to the end of a group
         before_b = np.concatenate(([0], np.flatnonzero(closes_b) + 1))  # tokens of B before a group
-        order[np.arange(len(flat_a)) + before_b[group_a]] = flat_a + self.a.size * closes_a
-        order[np.arange(len(flat_b)) + up_to_a[group_b]] = 2 * self.a.size + flat_b + self.b.size * closes_b
-        at, docs = (first_a + first_b).tolist(), []
-        for i in range(len(texts)):
-            shown = "".join(map(self.shown.__getitem__, order[at[i] : at[i + 1]].tolist()))[:-1]
-            docs.append((int(n_a[i]), int(n_b[i]), int(n_groups[i]), int(n_links[i]), shown))
-        key = (flat_a[of_a] * max(1, len(texts)) + doc) * self.b.size + flat_b[of_b]
-        pair, count = np.unique(key, return_counts=True)
-        left, b = np.divmod(pair, self.b.size)
-        a, place = np.divmod(left, max(1, len(texts)))
-        return docs, (a, place, b, count)
+        order[np.arange(len(a)) + before_b[group_a]] = a + self.a.size * closes_a
+        order[np.arange(len(b)) + up_to_a[group_b]] = 2 * self.a.size + b + self.b.size * closes_b
+        long = self.shown_len[order]
+        letters = self.shown[order].view(np.uint8).reshape(-1, 8)[np.arange(8) < long[:, None]].tobytes()
+        at = np.concatenate(([0], np.cumsum(long)))[np.concatenate(([0], np.cumsum(n_a + n_b)))].tolist()
+        groups = [letters[x : y - 1] if y > x else b"" for x, y in zip(at, at[1:], strict=False)]
+        key = (a[of_a] * max(1, len(texts)) + doc) * self.b.size + b[of_b]
+        key.sort()
+        start = np.flatnonzero(fresh(key))
+        left, linked = np.divmod(key[start], self.b.size)
+        id_a, place = np.divmod(left, max(1, len(texts)))
+        numbers = [n_a, n_b, np.bincount(doc_a[closes_a], minlength=len(texts)), np.bincount(doc, minlength=len(texts))]
+        return numbers, groups, (id_a, place, linked, np.diff(np.concatenate((start, [len(key)]))))
+
+
+def fresh(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array has another value than before."""
+    return np.concatenate((np.ones(min(1, len(x)), bool), x[1:] != x[:-1]))
 
 
 def spelt(table: list[bytes | None], ids: list[int]) -> bytes | None:
@@ -177,9 +193,8 @@ def laid_out(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for batch in batches:
             texts, row = batch.column(2).to_pylist(), batch.column(1).to_numpy()
             for start, end in chunks(texts, ALIGN_CHARS):
-                own, (a, place, b, times) = aligner.aligned(texts[start:end])
-                *numbers, groups = zip(*own, strict=True)
-                sha = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+                numbers, groups, (a, place, b, times) = aligner.aligned(texts[start:end])
+                sha = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
                 n = end - start
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, n), pa.array(row[start:end]), *(pa.array(x, pa.int64()) for x in numbers), pa.array(sha, pa.string()), pa.nulls(n, pa.int32()), *(pa.nulls(n, pa.list_(pa.int32())) for _ in range(3))], schema=schema)
                 if len(a):
@@ -194,14 +209,16 @@ def laid_out(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 
 def shares(part: np.ndarray, b: np.ndarray, row: np.ndarray, times: np.ndarray, known: dict[int, tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, links that are their id's best, sum of counts) from the postings of some whole parts; ``known``: ids of B and whole counts of an id that is split."""
+    """(row, links that are their id's best, sum of counts) of each document in some whole parts; the postings of a part come document by document.
+
+    known: ids of B and whole counts of an id that is split.
+    """
     order = np.lexsort((b, part))
-    part, b, row, times = part[order], b[order], row[order], times[order].astype(np.int64)
-    new = np.concatenate(([True], (np.diff(part) != 0) | (np.diff(b) != 0)))
-    pair, start = np.cumsum(new) - 1, np.flatnonzero(new)
+    pair = fresh(part[order] << 32 | b[order])
+    start = np.flatnonzero(pair)
     count = np.diff(np.concatenate((start, [len(b)])))
-    of_part, of_b = part[start], b[start]
-    first = np.flatnonzero(np.concatenate(([True], np.diff(of_part) != 0)))
+    of_part, of_b = part[order][start], b[order][start]
+    first = np.flatnonzero(fresh(of_part))
     best = np.maximum.reduceat(count, first)
     for i, p in enumerate(of_part[first].tolist()):
         if p in known:
@@ -209,12 +226,11 @@ def shares(part: np.ndarray, b: np.ndarray, row: np.ndarray, times: np.ndarray,
             here = slice(first[i], first[i + 1] if i + 1 < len(first) else len(of_b))
             count[here] = whole[np.searchsorted(ids, of_b[here])]
             best[i] = whole.max()
-    best = np.repeat(best, np.diff(np.concatenate((first, [len(of_b)]))))
-    rows, place = np.unique(row, return_inverse=True)
-    n_best, total = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-    np.add.at(n_best, place, times * (count == best)[pair])
-    np.add.at(total, place, times * count[pair])
-    return rows, n_best, total
+    is_best = count == np.repeat(best, np.diff(np.concatenate((first, [len(of_b)]))))
+    of = np.empty(len(b), np.int64)
+    of[order] = np.cumsum(pair) - 1
+    own = np.flatnonzero(fresh(part) | fresh(row))
+    return row[own], np.add.reduceat(times * is_best[of], own), np.add.reduceat(times * count[of], own)
 
 
 def contributions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +266,7 @@ def contributions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 known[number] = (b, values[3][edges[3][i] : edges[3][i + 1]])
                 continue
             places, times = (v[e[i] : e[i + 1]] for v, e in zip(values[1:3], edges[1:3], strict=True))
-            kept.append((np.full(len(b), number), b, at[i] + places, times))
+            kept.append((np.full(len(b), number), b, at[i] + places, times.astype(np.int64)))
             size += len(b)
     yield from done()
 
@@ -284,5 +300,5 @@ def alignments(docs: DataFrame, path_a: str, path_b: str, run: int = RUN) -> Dat
 
 def groups_of(text: str, path_a: str, path_b: str) -> list[tuple[list[int], list[int]]]:
     """The groups of one text: ids of A and of B that cover the same bytes."""
-    (_, _, _, _, shown), = Aligner(path_a, path_b).aligned([text])[0]
+    shown = Aligner(path_a, path_b).aligned([text])[1][0].decode()
     return [tuple([int(i) for i in side.split(",")] for side in group.split("|")) for group in shown.split(";")] if shown else []
