@@ -78,8 +78,10 @@ def _stripped(sql: str) -> str:
     return rf"regexp_replace({plain}, '^\s+|\s+$', '', 'g')"
 
 
+#: What ends a paragraph by the rules of HTML: its end tag, the start of a block, the end of what it stands in.
+PARAGRAPH_END = r"</(?:p|div|article|section|main|li|ul|ol|td|body|html)\s*>|<(?:address|article|aside|blockquote|center|details|dialog|dir|div|dl|dd|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hgroup|hr|li|main|menu|nav|ol|p|pre|section|summary|table|ul)[\s/>]|$"
 FIELDS_SQL = rf"""
-field_texts as (select page_id, nullif({_stripped("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, '') as heading, nullif({_stripped("regexp_extract(html, '(?s)<article>.*?(<p>.*)</article>', 1)")}, '') as first_p,
+field_texts as (select page_id, nullif({_stripped("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, '') as heading, nullif({_stripped(f"regexp_extract(html, '(?s)<p>(.*?)(?:{PARAGRAPH_END})', 1)")}, '') as first_p,
   {_stripped("regexp_extract(html, '(?s)<body>.*')")} as body, list_filter(list_transform(regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1), lambda x: {_stripped("x")}), lambda x: x <> '') as items from pages)"""
 _P = "case when length(first_p) > {} and length(first_p) < {} then to_json(first_p) end"
 _MATCH = "to_json(nullif(regexp_extract(body, '{}'), ''))"
@@ -198,7 +200,7 @@ def context_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 with {LONG_LEVELS_SQL}, {_labels_sql(("job_posting",))}, r as (select level, {TOKENS_SQL.format("label")} / nullif(tokens, 0)::double as snr from level_rows join labelled using (page_id))
 select level, round(avg(snr), 6) as snr, round(1 / nullif(avg(snr), 0), 6) as inverse from r group by level""")
 def signal_to_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = pages_of(spark, sf_dir).withColumn("label", extract.annotated.asNondeterministic()("html", F.lit("job_posting")))
+    pages = pages_of(spark, sf_dir).withColumn("label", extract.annotated("html", F.lit("job_posting"), "url"))
     return reports.signal_to_noise(reports.token_levels(pages, "page_id", json="label"))
 
 
@@ -289,7 +291,7 @@ select type, metric, count(*) as n, round(avg(value), 4) as mean, median(value)
 def label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
     pages = pages_of(spark, sf_dir).withColumn("type", kind)
-    labelled = pages.withColumn("expected_json", extract.annotated.asNondeterministic()("html", "type")).select("type", "expected_json")
+    labelled = pages.withColumn("expected_json", extract.annotated("html", "type", "url")).select("type", "expected_json")
     return reports.quality_summary(reports.quality_flags(labelled))
 
 
@@ -519,7 +521,7 @@ def comparison_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 select page_id, nullif(trim(replace(replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '&amp;', '&'), '&quot;', '"')), '') as title from pages""")
 def extracted_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = pages_of(spark, sf_dir).withColumn("e", extract.extracted.asNondeterministic()("html", F.lit("job_posting")))
+    made = pages_of(spark, sf_dir).withColumn("e", extract.extracted("html", F.lit("job_posting"), "url"))
     return made.select("page_id", F.get_json_object("e", "$.title").alias("title"))
 
 
@@ -527,15 +529,16 @@ def extracted_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 def annotated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.array(*[F.lit(k) for k in registry.TYPES])
     pages = pages_of(spark, sf_dir).withColumn("type", F.element_at(kinds, (F.col("page_id") % len(registry.TYPES) + 1).cast("int")))
-    return pages.select("page_id", "type", extract.annotated("html", "type").alias("expected_json"))
+    return pages.select("page_id", "type", extract.annotated("html", "type", "url").alias("expected_json"))
 
 
 @query(r"""
 select doc_id, nullif(regexp_extract(text, '\$\d+(?:\.\d{2})?'), '') as price, nullif(regexp_extract(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}'), '') as email,
   nullif(regexp_extract(text, '\(\d{3}\)\s*\d{3}-\d{4}|\d{3}-\d{3}-\d{4}'), '') as phone, nullif(regexp_extract(text, '\b(404|500|503|502|403|429)\b'), '') as status from documents""")
 def first_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = {"price": extract.PRICE, "email": extract.EMAIL, "phone": extract.PHONE, "status": extract.STATUS}
-    return table(spark, sf_dir, "documents").select("doc_id", *[extract.first_match(F.col("text"), p).alias(n) for n, p in found.items()])
+    text = F.col("text")
+    found = {"price": extract.first_match(text, extract.PRICE, "$"), "email": extract.first_match(text, extract.EMAIL_AT_RUNS, "@"), "phone": extract.first_match(text, extract.PHONE, "-"), "status": extract.first_match(text, extract.STATUS)}
+    return table(spark, sf_dir, "documents").select("doc_id", *[c.alias(n) for n, c in found.items()])
 
 
 @query("""
@@ -544,6 +547,16 @@ def page_framework(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", extract.framework(F.col("html")).alias("framework"))
 
 
+@query("""
+with l as (select page_id, regexp_extract(url, '^([a-z]+)://', 1) as scheme, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) as host, regexp_extract_all(html, '<a href="([^"]*)"', 1) as refs from pages)
+select page_id, i - 1 as place, replace(replace(refs[i], '&amp;', '&'), '&quot;', '"') as reference, scheme, host, replace(replace(refs[i], '&amp;', '&'), '&quot;', '"') as path from (select *, unnest(range(1, len(refs) + 1)) as i from l)""")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every link of every page, resolved at the page's URL; the oracle holds as all references of these pages are paths from the root, in letters that stay or are escaped and read back."""
+    links = pages_of(spark, sf_dir).select("page_id", F.posexplode(extract.page_links.asNondeterministic()("html", "url")).alias("place", "link"))
+    part = lambda p: F.regexp_extract("link.url", r"^([a-z]+)://([^/]+)(/.*)$", p)
+    return links.select("page_id", F.col("place").cast("long").alias("place"), "link.reference", part(1).alias("scheme"), part(2).alias("host"), F.try_url_decode(F.replace(part(3), F.lit("+"), F.lit("%2B"))).alias("path"))
+
+
 # --- URLs --------------------------------------------------------------------
 
 HOST = "nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')"
