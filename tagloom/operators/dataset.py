@@ -13,11 +13,10 @@ from ..functions.kinds import struct
 from ..functions.rendering import pretty_json
 from ..functions.text import after_marker, without_prompt
 from ..functions.tokens import approximate, of_chat
-from ..sources import records, registry, sinks
+from ..sources import records, registry, scratch, sinks
+from .order import numbered
 
 SPLITS = ("train", "validation", "test")
-#: Ranges of a key in which rows are ranked apart.
-RANGES = 256
 
 
 def draw(key: Column, seed: int) -> Column:
@@ -25,11 +24,28 @@ def draw(key: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
 
 
-def stratified_split(rows: DataFrame, key: str, stratum: str, ratios: tuple[float, float] = (0.8, 0.1), seed: int = 42) -> DataFrame:
-    """rows with ``split``. In each class, ordered by a draw, the first floor(n * ratio) rows are train, the next validation, the rest test.
+def apportioned(classes: DataFrame, count: str, total: Column, seed: int, into: str) -> DataFrame:
+    """classes(class, ``count``, ...) with ``into``: each class's part of ``total`` (of the column one_n, the sum of the counts).
 
-    Sizes are exact in each class, so the split is disjoint and exhaustive; rows
-    with a null key come first and null is a class of its own. Ranks within a large class are not computed in one task: rows are ranked
+    A class has the whole part of its share, and the classes with the largest remainders one more each until the total is
+    used up; ties go by a draw. Whole numbers throughout, so the parts add up to the total and depend on nothing else.
+    """
+    share = F.col(count) * F.col("total")
+    first = classes.withColumn("total", total).withColumns({"whole": F.when(F.col("one_n") > 0, F.floor(share / F.col("one_n"))).otherwise(0).cast("long")})
+    first = first.withColumn("rest", F.col(count) * F.col("total") - F.col("whole") * F.col("one_n"))
+    placed = numbered(first, F.col("rest"), draw(F.coalesce(F.col("class").cast("string"), F.lit("")), seed), F.col("class"), descending=True).select("row.*", "place")
+    given = first.agg(F.sum("whole").alias("given"))  # one row
+    part = F.col("whole") + F.when(F.col("place") < F.col("total") - F.col("given"), 1).otherwise(0)
+    return placed.join(F.broadcast(given)).select(*classes.columns, part.cast("long").alias(into))
+
+
+def stratified_split(rows: DataFrame, key: str, stratum: str, ratios: tuple[float, float] = (0.8, 0.1), seed: int = 42, least: int = 2) -> DataFrame:
+    """rows with ``split``: floor(n * ratio) rows of all are train, half of the others (for ratios of 0.8 and 0.1; rounded down) validation, the rest test.
+
+    Both numbers are shared out over the classes by largest remainders (``apportioned``), so the totals hold whatever the sizes
+    of the classes; in each class rows go in the order of a draw. Sizes are exact, the split is disjoint and exhaustive;
+    rows with a null key come first and null is a class of its own. A class of fewer than ``least`` rows is an error when
+    the split is read. Ranks within a large class are not computed in one task: rows are ranked
     within a range of draws, and the counts of the ranges before are added.
     """
     # The row is one column from here on, so its names can't clash.
@@ -40,14 +56,21 @@ def stratified_split(rows: DataFrame, key: str, stratum: str, ratios: tuple[floa
     before = counts.select(
         F.col("class").alias("of_class"), F.col("range").alias("of_range"),
         F.coalesce(F.sum("c").over(by_class.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        F.sum("c").over(by_class).alias("n"),
     )
+    sizes = scratch.kept(counts.groupBy("class").agg(F.sum("c").alias("c")), "classes")
+    one = sizes.agg(F.sum("c").alias("one_n"), F.min("c").alias("one_least"))  # one row
+    train = apportioned(sizes.join(F.broadcast(one)), "c", F.floor(F.col("one_n") * ratios[0]).cast("long"), seed, "train")
+    left = train.withColumn("c", F.col("c") - F.col("train")).drop("one_n")
+    left = left.join(F.broadcast(left.agg(F.sum("c").alias("one_n"))))
+    of_rest = ratios[1] / (1 - ratios[0]) if ratios[0] < 1 else 0.0
+    quotas = apportioned(left, "c", F.floor(F.round(F.col("one_n") * of_rest, 6)).cast("long"), seed + 1, "validation")
+    quotas = quotas.select(F.col("class").alias("quota_class"), "train", "validation", "one_least")
     ranked = ranged.withColumn("rank", F.row_number().over(Window.partitionBy("class", "range").orderBy("draw", "key")))
-    joined = ranked.join(before, F.col("class").eqNullSafe(F.col("of_class")) & (F.col("range") == F.col("of_range")))
-    rank, n = F.col("rank") + F.col("before"), F.col("n")
-    train, val = F.floor(n * ratios[0]), F.floor(n * ratios[1])
-    split = F.when(rank <= train, SPLITS[0]).when(rank <= train + val, SPLITS[1]).otherwise(SPLITS[2])
-    return joined.select("row.*", split.alias("split"))
+    joined = ranked.join(before, F.col("class").eqNullSafe(F.col("of_class")) & (F.col("range") == F.col("of_range"))).join(quotas, F.col("class").eqNullSafe(F.col("quota_class")))
+    rank = F.col("rank") + F.col("before")
+    split = F.when(rank <= F.col("train"), SPLITS[0]).when(rank <= F.col("train") + F.col("validation"), SPLITS[1]).otherwise(SPLITS[2])
+    small = F.raise_error(F.concat(F.lit(f"a class has fewer than {least} rows: "), F.col("one_least").cast("string")))
+    return joined.select("row.*", F.when(F.col("one_least") < least, small).otherwise(split).alias("split"))
 
 
 def small_classes(rows: DataFrame, stratum: str, least: int = 2) -> DataFrame:
@@ -61,34 +84,30 @@ def split_table(rows: DataFrame, stratum: str) -> DataFrame:
 
 
 def with_quota(rows: DataFrame, key: str, target: int) -> DataFrame:
-    """Each row once as the original (ordinal 0, null variation_id) and as many variations as brings the total to the target; key is a number.
+    """Each row once as the original (ordinal 0, null variation_id) and as many variations as brings the total to the target.
 
     (target - n) is shared evenly; the first rows by key get one more until the
     rest is used up. variation_id counts variations over all rows, by key. At
-    or above the target there are no variations.
+    or above the target there are no variations. A column of rows that is called ordinal or variation_id is an error.
     """
-    # Positions come from ranks within key ranges and the counts of the ranges before: no global sort in one task.
-    cuts = rows.agg(F.percentile_approx(key, [i / RANGES for i in range(1, RANGES)], 10_000)).first()[0] or []
-    place = F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]), lambda c: c < F.col(key))) if cuts else F.lit(0)
-    ranged = rows.withColumn("__range", place)
-    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__c"))  # at most RANGES rows
-    starts = sizes.select(F.col("__range").alias("__r"), F.coalesce(F.sum("__c").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__start"), F.sum("__c").over(Window.partitionBy()).alias("__n"))
-    ranked = ranged.withColumn("__rank", F.row_number().over(Window.partitionBy("__range").orderBy(key)) - 1)
-    placed = ranked.join(F.broadcast(starts), F.col("__range") == F.col("__r"))
-    return expand_quota(placed.withColumn("__place", F.col("__start") + F.col("__rank")), target, rows.columns, F.col("__place"), F.col("__n"))
-
+    if clash := {"ordinal", "variation_id"} & set(rows.columns):
+        raise ValueError(f"columns clash: {sorted(clash)}")
+    placed = numbered(rows, F.col(key))  # the row is one column, so its names can't clash with those used here
+    missing = F.greatest(F.lit(target) - F.col("n"), F.lit(0)).cast("long")
+    each, extra = F.floor(missing / F.col("n")), missing % F.col("n")
+    first = F.col("place") * each + F.least(F.col("place"), extra)
+    count = each + F.when(F.col("place") < extra, 1).otherwise(0)
+    out = placed.select("row", first.cast("long").alias("first"), F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long"))).alias("ordinal"))
+    return out.select("row.*", "ordinal", F.when(F.col("ordinal") > 0, F.col("first") + F.col("ordinal") - 1).alias("variation_id"))
 
-def expand_quota(rows: DataFrame, target: int, columns: list[str], place: Column, n: Column) -> DataFrame:
-    missing = F.greatest(F.lit(target) - n, F.lit(0)).cast("long")
-    each, extra = F.floor(missing / n), missing % n
-    count = each + F.when(place < extra, 1).otherwise(0)
-    first = place * each + F.least(place, extra)
-    out = rows.select(*columns, first.cast("long").alias("__first"), F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long"))).alias("ordinal"))
-    return out.select(*columns, "ordinal", F.when(F.col("ordinal") > 0, F.col("__first") + F.col("ordinal") - 1).alias("variation_id"))
 
+def variations(rows: DataFrame, key: str, html: str = "example_html", seed: int = 42, profile: str = "standard", metadata: str = "metadata") -> DataFrame:
+    """Rows of ``with_quota`` with their html varied, and ``metadata`` (null for originals): variation_id, augmentations (as the gates chose), applied.
 
-def variations(rows: DataFrame, key: str, html: str = "example_html", seed: int = 42, profile: str = "standard") -> DataFrame:
-    """Rows of ``with_quota`` with their html varied, and metadata (null for originals): variation_id, augmentations (as the gates chose), applied."""
+    A column of rows that is called as ``metadata`` is an error.
+    """
+    if metadata in rows.columns:
+        raise ValueError(f"columns clash: {metadata}")
 
     @F.pandas_udf(struct("html string, augmentations array<string>, applied array<string>"))
     def vary(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -96,9 +115,9 @@ def variations(rows: DataFrame, key: str, html: str = "example_html", seed: int
             made = [(t, None, None) if pd.isna(v) else mutate.vary(t or "", seed, k, int(v), profile) for t, k, v in zip(texts, keys, ids, strict=True)]
             yield pd.DataFrame(made, columns=["html", "augmentations", "applied"])
 
-    made = rows.withColumn("__v", vary.asNondeterministic()(F.col(html), F.col(key).cast("string"), F.col("variation_id")))
-    meta = F.when(F.col("variation_id").isNotNull(), F.struct("variation_id", "__v.augmentations", "__v.applied"))
-    return made.withColumns({html: F.col("__v.html"), "metadata": meta}).drop("__v")
+    made = rows.select(F.struct("*").alias("row"), vary.asNondeterministic()(F.col(html), F.col(key).cast("string"), F.col("variation_id")).alias("varied"))
+    meta = F.when(F.col("row.variation_id").isNotNull(), F.struct("row.variation_id", "varied.augmentations", "varied.applied"))
+    return made.select(*[F.col("varied.html").alias(c) if c == html else F.col("row")[c].alias(c) for c in rows.columns], meta.alias(metadata))
 
 
 def variation_grid(rows: DataFrame, key: str, per_base: int = 100) -> DataFrame:

@@ -5,27 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import edit_distance, edit_similarity, overlap_scores, rouge_scores
+from ..functions.similarity import edits, overlap_scores, rouge_scores
 
 METRICS = ("rouge1", "rouge2", "rougeL", "levenshtein_normalized", "levenshtein_avg")
 LOWER_IS_BETTER = ("levenshtein_avg",)
 
 
 def paired(predictions: DataFrame, references: DataFrame, key: str = "example_idx") -> DataFrame:
-    """predictions(key, prediction) and references(key, reference) joined; a key on one side alone is an error when it is read. A null prediction (a failure) is an empty text."""
+    """predictions(key, prediction) and references(key, reference) joined one to one. A key on one side alone, twice on a side, or null is an error when it is read. A null prediction (a failure) is an empty text."""
     return _checked(references, {"prediction": predictions}, key).select(key, "prediction", "reference")
 
 
+def _once(side: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """key, the value of a row with it, and how many rows have it. The join after it finds the rows already dealt by the key."""
+    return side.groupBy(F.col(key).alias(key)).agg(F.struct(F.max(value).alias(value), F.count(F.lit(1)).alias("n")).alias(f"of_{name}"))
+
+
 def _checked(references: DataFrame, sides: dict[str, DataFrame], key: str) -> DataFrame:
     """key, reference and a column for the predictions of each side. All are dealt by the key once."""
-    out = references.select(F.col(key).alias(key), F.struct("reference").alias("of_references"))
+    out = _once(references, key, "reference", "references")
     for name, side in sides.items():
-        out = out.join(side.select(F.col(key).alias(key), F.struct("prediction").alias(f"of_{name}")), key, "full_outer")
-    missing = F.col("of_references").isNull()
-    for name in sides:
-        missing |= F.col(f"of_{name}").isNull()
+        out = out.join(_once(side, key, "prediction", name), key, "full_outer")
+    every = [f"of_{name}" for name in ("references", *sides)]
+    missing, repeated = F.lit(False), F.lit(False)
+    for name in every:
+        missing |= F.col(name).isNull()
+        repeated |= F.coalesce(F.col(name)["n"], F.lit(0)) > 1
+    shown = F.coalesce(F.col(key).cast("string"), F.lit("null"))
     # On the reference, which every use reads.
-    reference = F.when(missing, F.raise_error(F.concat(F.lit("no pair for example "), F.col(key).cast("string")))).otherwise(F.coalesce("of_references.reference", F.lit("")))
+    reference = F.when(repeated, F.raise_error(F.concat(F.lit("several rows for example "), shown))).when(missing, F.raise_error(F.concat(F.lit("no pair for example "), shown))).otherwise(F.coalesce("of_references.reference", F.lit("")))
     texts = [F.coalesce(f"of_{name}.prediction", F.lit("")).alias(name) for name in sides]
     return out.select(key, reference.alias("reference"), *texts)
 
@@ -33,9 +41,8 @@ def _checked(references: DataFrame, sides: dict[str, DataFrame], key: str) -> Da
 def scored(pairs: DataFrame, stemmed: bool = True) -> DataFrame:
     """pairs(prediction, reference) with each metric of each pair. Plain scores don't stem and leave ROUGE-L out."""
     p, r = F.col("prediction"), F.col("reference")
-    edits = {"levenshtein_avg": edit_distance(p, r).cast("double"), "levenshtein_normalized": edit_similarity(p, r)}
-    made = pairs.withColumn("__s", (rouge_scores if stemmed else overlap_scores).asNondeterministic()(p, r))
-    return made.select(*pairs.columns, "__s.*", *[c.alias(n) for n, c in edits.items()])
+    made = pairs.select(F.struct("*").alias("pair"), (rouge_scores if stemmed else overlap_scores).asNondeterministic()(p, r).alias("grams"), edits.asNondeterministic()(p, r).alias("edits"))
+    return made.select("pair.*", "grams.*", F.col("edits.distance").cast("double").alias("levenshtein_avg"), F.col("edits.similarity").alias("levenshtein_normalized"))
 
 
 def averaged(scores: DataFrame) -> DataFrame:
@@ -72,8 +79,5 @@ def compared(base: DataFrame, tuned: DataFrame) -> DataFrame:
 
 
 def samples(references: DataFrame, base: DataFrame, tuned: DataFrame, key: str = "example_idx") -> DataFrame:
-    """key, reference, base_prediction, finetuned_prediction."""
-    out = references.select(key, "reference")
-    for side, name in ((base, "base_prediction"), (tuned, "finetuned_prediction")):
-        out = out.join(side.select(key, F.coalesce("prediction", F.lit("")).alias(name)), key)
-    return out
+    """key, reference, base_prediction, finetuned_prediction, paired one to one as in ``paired``."""
+    return _checked(references, {"base_prediction": base, "finetuned_prediction": tuned}, key)

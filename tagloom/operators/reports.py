@@ -52,8 +52,8 @@ def html_levels(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def profiled(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages with the columns of the profile; each page is parsed once. Filter before, not after."""
-    made = pages.withColumn("__p", html_profile.asNondeterministic()(F.col(html)))
-    return made.select(*pages.columns, "__p.*")
+    made = pages.select(F.struct("*").alias("row"), html_profile.asNondeterministic()(F.col(html)).alias("profile"))
+    return made.select("row.*", "profile.*")
 
 
 def _long(rows: DataFrame, by: dict[str, Column], values: list[str]) -> DataFrame:
@@ -141,8 +141,8 @@ def option_labels(counts: DataFrame, by: str, target: int = registry.TARGET) ->
 
 
 def label_fields(rows: DataFrame, by: str, raw: str) -> DataFrame:
-    """by, field, is_complete for each top-level field of each label (JSON text)."""
-    view = rows.select(F.col(by).alias(by), F.parse_json(raw).alias("v"))
+    """by, field, is_complete for each top-level field of each label (JSON text). A label that isn't JSON has no fields."""
+    view = rows.select(F.col(by).alias(by), F.try_parse_json(raw).alias("v"))
     fields = view.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("v").outer()))
     return fields.select(by, F.col("key").alias("field"), complete(F.try_variant_get("value", "$", "string")).alias("is_complete"))
 
@@ -155,8 +155,8 @@ def completeness(rows: DataFrame, by: str, raw: str) -> DataFrame:
 
 
 def quality_flags(rows: DataFrame, raw: str = "expected_json") -> DataFrame:
-    """type and the flags and counts that apply to it, null where they don't. A flag asks for a value that isn't null, empty, false or an empty list."""
-    v = F.parse_json(raw)
+    """type and the flags and counts that apply to it, null where they don't. A flag asks for a value that isn't null, empty, false or an empty list; a label that isn't JSON has none."""
+    v = F.try_parse_json(raw)
     text = lambda f: F.try_variant_get(v, f"$.{f}", "string")
     there = lambda f: F.coalesce(~text(f).isin("", "[]", "{}", "false", "0"), F.lit(False))
     named = lambda f: there(f) & (text(f) != "TODO")
@@ -175,12 +175,21 @@ def quality_summary(flags: DataFrame) -> DataFrame:
     """type, metric, n, mean (share for a flag), median of quality_flags; metrics that don't apply have no row."""
     names = [c for c in flags.columns if c != "type"]
     long = flags.select("type", *[F.col(c).cast("double").alias(c) for c in names]).unpivot("type", names, "metric", "value").filter("value is not null")
-    return long.groupBy("type", "metric").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 4).alias("mean"), F.median("value").alias("median"))
+    means = long.groupBy("type", "metric").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 4).alias("mean"))
+    counts = quantiles.counted(long, {"of_type": F.col("type"), "of_metric": F.col("metric")}, F.col("value"))
+    middle = quantiles.quantiles(counts, ["of_type", "of_metric"], [0.5])
+    same = F.col("type").eqNullSafe(F.col("of_type")) & (F.col("metric") == F.col("of_metric"))
+    return means.join(middle, same).select("type", "metric", "n", "mean", F.get("q", F.lit(0)).alias("median"))
 
 
 def canonical(raw: Column) -> Column:
-    """JSON with sorted keys: equal for equal values, whatever the order of keys."""
-    return F.parse_json(raw).cast("string")
+    """JSON with sorted keys: equal for equal values, whatever the order of keys. Null for what isn't JSON."""
+    return F.try_parse_json(raw).cast("string")
+
+
+def unreadable(rows: DataFrame, raw: str) -> DataFrame:
+    """n rows, and n_unreadable: labels that aren't JSON, which the other reports pass over."""
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.try_parse_json(raw).isNull()).alias("n_unreadable"))
 
 
 def consistent_groups(rows: DataFrame, by: str, raw: str) -> DataFrame:
@@ -204,8 +213,9 @@ def upper_median(rows: DataFrame, value: str) -> DataFrame:
 def unlike_original(rows: DataFrame, base: str, variation: str, raw: str) -> DataFrame:
     """base, n_unlike: variations whose label differs from that of variation 0 of their base. Originals are summed up before they meet their variations."""
     text = canonical(F.col(raw))
-    first = rows.filter(F.col(variation) == 0).groupBy(base).agg(F.min(text).alias("__first"))
-    return rows.join(first, base).groupBy(base).agg(F.count_if(~text.eqNullSafe(F.col("__first"))).alias("n_unlike"))
+    view = rows.select(F.col(base).alias("base"), F.col(variation).alias("variation"), text.alias("text"))
+    first = view.filter(F.col("variation") == 0).groupBy("base").agg(F.min("text").alias("first"))
+    return view.join(first, "base").groupBy("base").agg(F.count_if(~F.col("text").eqNullSafe(F.col("first"))).alias("n_unlike")).withColumnRenamed("base", base)
 
 
 def validation_tally(rows: DataFrame, html: str, raw: str, required: list[str]) -> DataFrame:

@@ -35,12 +35,6 @@ def pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "pages"))
 
 
-def _kept(rows: DataFrame, name: str) -> DataFrame:
-    """rows written and read again: a few numbers of each page, which several aggregates read without parsing it again."""
-    rows.write.parquet(folder := scratch.folder(rows.sparkSession, name))
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
-
-
 def page_lang(url: Column) -> Column:
     return F.regexp_extract(url, "^[a-z]+://[^/]+/([a-z]{2})/", 1)
 
@@ -52,8 +46,14 @@ def digest(c: Column) -> Column:
     return F.md5(c.cast("binary"))
 
 
-SPLIT = """select {cols}, case when r <= floor(n * 0.8) then 'train' when r <= floor(n * 0.8) + floor(n * 0.1) then 'validation' else 'test' end as split
-from (select *, row_number() over (partition by {by} order by md5('42:' || doc_id), doc_id) as r, count(*) over (partition by {by}) as n from {t})"""
+#: Largest remainders in two stages: train of all, then validation of the rest.
+SPLIT = """select {cols}, case when r <= train then 'train' when r <= train + validation then 'validation' else 'test' end as split
+from (select *, row_number() over (partition by {by} order by md5('42:' || doc_id), doc_id) as r from {t}) members join (
+  select k, train, w2 + case when row_number() over (order by rest2 desc, md5('43:' || k), k) <= t2 - sum(w2) over () then 1 else 0 end as validation from (
+    select *, (c2 * t2) // n2 as w2, (c2 * t2) % n2 as rest2 from (select *, sum(c2) over () as n2, cast(floor(sum(c2) over () * 0.5) as bigint) as t2 from (select *, c - train as c2 from (
+      select *, w + case when row_number() over (order by rest desc, md5('42:' || k), k) <= t - sum(w) over () then 1 else 0 end as train from (
+        select *, (c * t) // n as w, (c * t) % n as rest from (select k, c, sum(c) over () as n, cast(floor(sum(c) over () * 0.8) as bigint) as t from (
+          select coalesce(cast({by} as varchar), '') as k, count(*) as c from {t} group by 1))))))) ) quotas on k = coalesce(cast({by} as varchar), '')"""
 
 
 # --- the same pages in SQL ---------------------------------------------------
@@ -157,7 +157,7 @@ select {PAGE_LANG} as lang, count(*) as n, round(avg(size), 1) as size_mean, rou
   round(avg(words), 1) as words_mean, round(median(words), 1) as words_median, round(avg(depth), 1) as depth_mean, max(depth) as depth_max from p join pages using (page_id) group by lang""")
 def html_size_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = pages_of(spark, sf_dir).select(page_lang(F.col("url")).alias("lang"), "html")
-    return reports.size_summary(_kept(reports.profiled(pages).drop("html"), "profiles"), "lang")
+    return reports.size_summary(scratch.kept(reports.profiled(pages).drop("html"), "profiles"), "lang")
 
 
 @query("""
@@ -178,7 +178,7 @@ def tag_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 with {LONG_LEVELS_SQL} select level, count(*) as n, round(avg(tokens), 4) as tokens_mean, median(tokens) as tokens_median, min(tokens) as tokens_min, max(tokens) as tokens_max, round(avg(less), 4) as reduction_mean from level_rows group by level""")
 def clean_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.level_stats(_kept(reports.token_levels(pages_of(spark, sf_dir), "page_id"), "levels"))
+    return reports.level_stats(scratch.kept(reports.token_levels(pages_of(spark, sf_dir), "page_id"), "levels"))
 
 
 @query(f"""
@@ -445,8 +445,8 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 with p as ({PAIRS}) select conv_id, turn, cast(levenshtein(prediction, reference) as bigint) as distance,
   round(case when greatest(length(prediction), length(reference)) = 0 then 1.0 else 1.0 - levenshtein(prediction, reference) / greatest(length(prediction), length(reference))::double end, 6) as similarity from p""")
 def edit_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p, r = F.col("prediction"), F.col("reference")
-    return _pairs(spark, sf_dir).select("conv_id", "turn", similarity.edit_distance(p, r).cast("long").alias("distance"), F.round(similarity.edit_similarity(p, r), 6).alias("similarity"))
+    made = _pairs(spark, sf_dir).select("conv_id", "turn", similarity.edits.asNondeterministic()("prediction", "reference").alias("e"))
+    return made.select("conv_id", "turn", "e.distance", F.round("e.similarity", 6).alias("similarity"))
 
 
 OVERLAP = f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -16,3 +16,9 @@ def folder(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="tagloom-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """rows written and read again: what several later steps read without making it anew."""
+    rows.write.parquet(place := folder(rows.sparkSession, name))
+    return rows.sparkSession.read.schema(rows.schema).parquet(place)

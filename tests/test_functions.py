@@ -1,5 +1,6 @@
 import json
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -97,11 +98,35 @@ def test_stems():
         assert s.stem(word) == stem, word
 
 
+def test_distance_is_the_tables():
+    rng = random.Random(3)
+    for _ in range(600):
+        alphabet = rng.choice(["ab", "abc", "aé😀x", "abcdefghij"])
+        a, b = ("".join(rng.choice(alphabet) for _ in range(rng.randint(0, rng.choice([5, 30, 150])))) for _ in range(2))
+        if rng.random() < 0.3:
+            b = a[: len(a) // 2] + b[:5] + a[len(a) // 2 :]
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row = row, [i]
+            for k, y in enumerate(b, 1):
+                row.append(min(before[k] + 1, row[-1] + 1, before[k - 1] + (x != y)))
+        assert s.distance(a, b) == s.distance(b, a) == row[-1]
+
+
+def test_long_texts_are_cheap():
+    rng = random.Random(4)
+    a, b = ("".join(rng.choice("abcdefgh ") for _ in range(30_000)) for _ in range(2))
+    start = time.process_time()
+    assert 0 < s.distance(a, b) < 30_000
+    assert time.process_time() - start < 2
+    assert s.distance(a, a[:10_000] + "x" + a[10_001:]) <= 1 and s.distance(a, "") == 30_000
+
+
 def test_metric_identities(spark):
-    df = spark.createDataFrame([("héllo wörld 😀", "héllo wörld 😀"), ("", ""), ("", "x"), ("kitten", "sitting")], "p string, r string")
+    df = spark.createDataFrame([("héllo wörld 😀", "héllo wörld 😀"), ("", None), ("", "x"), ("kitten", "sitting")], "p string, r string")
     p, r = F.col("p"), F.col("r")
-    got = df.select(s.edit_distance(p, r).alias("d"), s.edit_distance(r, p).alias("e"), s.edit_similarity(p, r).alias("n"), s.rouge_scores(p, r).alias("s")).collect()
-    assert [x.d for x in got] == [x.e for x in got] == [0, 0, 1, 3]
-    assert [round(x.n, 4) for x in got] == [1, 1, 0, round(1 - 3 / 7, 4)]
+    got = df.select(s.edits(p, r).alias("d"), s.edits(r, p).alias("e"), s.rouge_scores(p, r).alias("s")).collect()
+    assert [x.d for x in got] == [x.e for x in got] and [x.d.distance for x in got] == [0, 0, 1, 3]
+    assert [round(x.d.similarity, 4) for x in got] == [1, 1, 0, round(1 - 3 / 7, 4)]
     assert got[0].s.rougeL == 1 and got[1].s.rouge1 == 0
     assert Counter(s.stemmed("Running runs ran")) == Counter(["run", "run", "ran"])

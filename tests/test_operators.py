@@ -1,3 +1,4 @@
+import hashlib
 import json
 import random
 
@@ -9,6 +10,7 @@ from tagloom.operators import dataset as d
 from tagloom.operators import evaluate as e
 from tagloom.operators import quantiles as q
 from tagloom.operators import reports as r
+from tagloom.operators.order import numbered
 from tagloom.sources import records, registry, sinks
 from tagloom.sources.tables import spread, table
 
@@ -78,16 +80,91 @@ def test_domain_list(spark, tmp_path):
     assert [x.host for x in records.url_list(spark, f"{tmp_path}/urls.txt").collect()] == ["a.org", "b.org"]
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 10, 11, 1000])
-def test_split_sizes(spark, n):
-    rows = spark.range(n).select(F.col("id"), F.lit("c").alias("type")).union(spark.range(n, n + 7).select("id", F.lit(None).cast("string")))
+def shared_out(counts, total, seed):
+    """Largest remainders in plain Python."""
+    n = sum(counts.values())
+    parts = {k: c * total // n if n else 0 for k, c in counts.items()}
+    name = lambda k: "" if k is None else str(k)
+    order = sorted(counts, key=lambda k: (-(counts[k] * total % n if n else 0), hashlib.md5(f"{seed}:{name(k)}".encode()).hexdigest(), name(k)))
+    for k in order[: total - sum(parts.values())]:
+        parts[k] += 1
+    return parts
+
+
+@pytest.mark.parametrize("sizes", [{"c": 2, None: 7}, {"c": 3, "d": 10, None: 11}, {"c": 1000, "d": 2, "e": 37}, {f"k{i}": 9 for i in range(100)}])
+def test_split_sizes(spark, sizes):
+    rows = spark.createDataFrame([(i, k, "x") for i, k in enumerate(k for k, n in sizes.items() for _ in range(n))], "id long, type string, train string")
     out = d.stratified_split(rows.repartition(3), "id", "type")
-    assert out.count() == n + 7
-    sizes = {(x.type, x.split): x.c for x in out.groupBy("type", "split").agg(F.count("*").alias("c")).collect()}
-    train, val = n * 8 // 10, n // 10
-    assert [sizes.get(("c", s), 0) for s in d.SPLITS] == [train, val, n - train - val]
+    got = {(x.type, x.split): x.c for x in out.groupBy("type", "split").agg(F.count("*").alias("c")).collect()}
+    n = sum(sizes.values())
+    train = shared_out(sizes, n * 8 // 10, 42)
+    left = {k: c - train[k] for k, c in sizes.items()}
+    val = shared_out(left, sum(left.values()) // 2, 43)
+    assert {(k, s): c for k in sizes for s, c in zip(d.SPLITS, (train[k], val[k], left[k] - val[k]), strict=True) if c} == got
+    assert [sum(c for (_, s), c in got.items() if s == name) for name in d.SPLITS] == [n * 8 // 10, (n - n * 8 // 10) // 2, n - n * 8 // 10 - (n - n * 8 // 10) // 2]
     assert {x.id: x.split for x in out.collect()} == {x.id: x.split for x in d.stratified_split(rows.coalesce(1), "id", "type").collect()}
-    assert {x.type for x in d.small_classes(rows, "type").collect()} == ({"c"} if n < 2 else set())
+
+
+def test_small_classes(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, type string")
+    assert [x.type for x in d.small_classes(rows, "type").collect()] == ["b"]
+    with pytest.raises(Exception, match="fewer than 2 rows"):
+        d.stratified_split(rows, "id", "type").collect()
+    assert d.stratified_split(rows, "id", "type", least=1).count() == 3
+    assert d.stratified_split(rows.limit(0), "id", "type").count() == 0
+
+
+def test_numbered(spark):
+    rows = spark.createDataFrame([(i * 7 % 100 if i % 9 else None, i, "x") for i in range(100)], "k int, place int, n string").repartition(5)
+    got = sorted((x.place, x.row.k, x.row.place, x.n) for x in numbered(rows, F.col("k"), F.col("place")).collect())
+    assert [x[0] for x in got] == list(range(100)) and {x[3] for x in got} == {100}
+    want = sorted(((r.k, r.place) for r in rows.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    assert [x[1:3] for x in got] == want
+    down = sorted((x.place, x.row.k, x.row.place) for x in numbered(rows, F.col("k"), F.col("place"), descending=True).collect())
+    assert [x[1:] for x in down] == sorted(want, key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
+    assert numbered(rows.limit(0), F.col("k")).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = spark.createDataFrame([(i, "<div><p>x</p></div>", i + 5, "m", "f") for i in range(3)], "id long, example_html string, __range int, __v string, first string")
+    out = d.with_quota(rows, "id", 6)
+    assert out.columns == [*rows.columns, "ordinal", "variation_id"] and {(x.id, x["__range"], x["__v"], x["first"]) for x in out.collect()} == {(i, i + 5, "m", "f") for i in range(3)}
+    made = d.variations(out, "id")
+    assert made.columns == [*out.columns, "metadata"] and {x["__v"] for x in made.collect()} == {"m"}
+    with pytest.raises(ValueError, match="clash"):
+        d.with_quota(rows.withColumn("ordinal", F.lit(1)), "id", 6)
+    with pytest.raises(ValueError, match="clash"):
+        d.variations(out.withColumn("metadata", F.lit(1)), "id")
+    assert d.variations(out.withColumn("metadata", F.lit(1)), "id", metadata="lineage").columns[-2:] == ["metadata", "lineage"]
+    odd = spark.createDataFrame([(1, "<p>x", "a", "b")], "page_id long, html string, __p string, profile string")
+    assert r.profiled(odd).first()["profile"] == "b" and r.profiled(odd).columns[:4] == odd.columns
+    pairs = spark.createDataFrame([("a", "a", 1, "z")], "prediction string, reference string, __s int, edits string")
+    assert e.scored(pairs).first()["edits"] == "z"
+    notes = spark.createDataFrame([(1, 0, "{}", "q"), (1, 1, "[]", "q")], "base int, variation int, text string, first string")
+    assert r.unlike_original(notes, "base", "variation", "text").first().n_unlike == 1
+
+
+def test_malformed_labels(spark):
+    rows = spark.createDataFrame([("recipe", "{"), ("recipe", '{"ingredients": ["a"]}'), ("recipe", None)], "type string, expected_json string")
+    assert [tuple(x) for x in r.completeness(rows, "type", "expected_json").collect()] == [("recipe", "ingredients", 1, 3, round(100 / 3, 4), 100.0)]
+    assert r.quality_summary(r.quality_flags(rows)).filter("metric = 'has_ingredients'").first().n == 3
+    assert tuple(r.consistency(rows, "type", "expected_json").first()) == (3, 0, 1)
+    assert tuple(r.unreadable(rows, "expected_json").first()) == (3, 2)
+
+
+@pytest.mark.parametrize("side", ["references", "base", "tuned"])
+def test_pairs_are_one_to_one(spark, side):
+    refs = spark.createDataFrame([(1, "a"), (2, "b")], "example_idx int, reference string")
+    preds = spark.createDataFrame([(1, "a"), (2, "b")], "example_idx int, prediction string")
+    three = {"references": refs, "base": preds, "tuned": preds}
+    assert e.samples(*three.values()).count() == 2
+    twice = three | {side: three[side].union(three[side].filter("example_idx = 1"))}
+    for call in (e.comparison, e.samples):
+        with pytest.raises(Exception, match="several rows for example 1"):
+            call(*twice.values()).collect()
+    gone = three | {side: three[side].filter("example_idx = 2")}
+    with pytest.raises(Exception, match="no pair for example 1"):
+        e.samples(*gone.values()).collect()
 
 
 @pytest.mark.parametrize(("n", "target"), [(1, 5), (3, 3), (4, 2), (3, 11), (7, 100), (0, 5)])
@@ -227,7 +304,7 @@ def test_sample_means_are_of_the_first_rows(spark):
 
 def test_null_keys_stay_in_the_split(spark):
     rows = spark.createDataFrame([(None, "c", 1), (1, "c", 2), (2, "c", 3), (None, None, 4), (None, "c", 5)], "id long, type string, draw int").withColumn("range", F.lit("x"))
-    out = d.stratified_split(rows, "id", "type")
+    out = d.stratified_split(rows, "id", "type", least=1)
     assert out.columns == ["id", "type", "draw", "range", "split"] and sorted(x.draw for x in out.collect()) == [1, 2, 3, 4, 5]
     assert d.few_of_each_host(rows.withColumn("u", F.lit("u")), "type", "u", 1).columns == ["id", "type", "draw", "range", "u"]
 
