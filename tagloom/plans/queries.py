@@ -727,14 +727,50 @@ def url_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.url_list(spark, folder).groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("urls"))
 
 
-@query(f"with p as (select {HOST} as host, row_number() over (order by page_id) - 1 as place from pages) select 'https://' || host as url, cast(min(place) as int) as place from p group by host")
+@query(f"with p as (select {HOST} as host, row_number() over (order by page_id) - 1 as place from pages) select 'https://' || host as url, cast(min(place) as bigint) as place from p group by host")
 def domain_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bullets in the order of the pages, in many files that follow each other, read back with their places."""
     folder = scratch.folder(spark, "domains")
     pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("- **"), text.host(F.col("url")), F.lit("/a** (note)")).alias("line"))
     sinks.write_lines(pages, F.col("line"), folder, order="page_id")
     return records.domain_list(spark, folder)
 
 
+@query("select row_number() over (order by event_id) - 1 as place, event_id, json_extract_string(props, '$.k') as k from events")
+def ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines in the order of their ids, in many files, read back strictly with the place of each line."""
+    folder = scratch.folder(spark, "ordered")
+    events = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit(', "props": '), "props", F.lit("}")).alias("line"))
+    sinks.write_lines(events, F.col("line"), folder, order="event_id")
+    back = records.lines(spark, folder)
+    return back.select("place", F.get_json_object("raw", "$.id").cast("long").alias("event_id"), F.get_json_object("raw", "$.props.k").alias("k"))
+
+
+@query(f"""
+with a as (select case page_id % 3 {_TYPES} end as type, page_id % 2 as run from pages)
+select type, count(*) as n, count(*) filter (run = 1) as n_new from a group by type""")
+def annotation_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each page's annotation, scanned in two runs: half of the files come between them, and the second run reads these alone."""
+    folder, state = scratch.folder(spark, "annotation-files"), scratch.folder(spark, "scan")
+    kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
+    raw = F.concat(F.lit('{\n  "example_html": "<p>",\n  "expected_json": {\n    "type": "'), kind, F.lit('"\n  }\n}'))
+    rows = table(spark, sf_dir, "pages").select("page_id", raw.alias("value"))
+    for half in (0, 1):
+        rows.filter(F.col("page_id") % 2 == half).select("value").write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+        found = records.scan_new(spark, folder, state, names="part-*")
+    new = F.col("batch") > found.agg(F.min("batch")).first()[0]
+    return found.filter("reason is null").groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if(new).alias("n_new"))
+
+
+@query("""
+with s as ({split}), t as (select * from s where split = 'test' order by doc_id limit 40) select doc_id, lang from t""".format(split=SPLIT.format(cols="doc_id, lang", by="lang", t="documents")))
+def published_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty rows of the test split of a published table; the other splits' files aren't read."""
+    folder = scratch.folder(spark, "published")
+    sinks.write_splits(dataset.stratified_split(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", "lang"), folder)
+    return records.published(spark, folder, "test", limit=40, order="doc_id").select("doc_id", "lang")
+
+
 # --- gates, filters, small functions -----------------------------------------
 
 
@@ -797,14 +833,12 @@ def rounded_even(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with j as (select event_id, event_type, json_extract_string(props, '$.k') as k from events)
-select event_type, md5(string_agg('{"a": [1, {"k": ' || k || '}], "é": "x"}', '|' order by event_id)) as compact_md5,
-  md5(string_agg('{' || chr(10) || '  "a": [' || chr(10) || '    1,' || chr(10) || '    {' || chr(10) || '      "k": ' || k || chr(10) || '    }' || chr(10) || '  ],' || chr(10) || '  "é": "x"' || chr(10) || '}', '|' order by event_id)) as pretty_md5 from j group by event_type""")
+with j as (select event_id, json_extract_string(props, '$.k') as k from events)
+select event_id, md5('{"a": [1, {"k": ' || k || '}], "é": "x"}') as compact_md5,
+  md5('{' || chr(10) || '  "a": [' || chr(10) || '    1,' || chr(10) || '    {' || chr(10) || '      "k": ' || k || chr(10) || '    }' || chr(10) || '  ],' || chr(10) || '  "é": "x"' || chr(10) || '}') as pretty_md5 from j""")
 def rendered_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.concat(F.lit('{"a":[1,'), "props", F.lit('],"\\u00e9":  "x"}'))
-    made = table(spark, sf_dir, "events").select("event_id", "event_type", rendering.compact_json(raw).alias("compact"), rendering.pretty_json(raw).alias("pretty"))
-    joined = lambda c: digest(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", c))), lambda x: x[c]), "|")).alias(f"{c}_md5")
-    return made.groupBy("event_type").agg(joined("compact"), joined("pretty"))
+    return table(spark, sf_dir, "events").select("event_id", digest(rendering.compact_json(raw)).alias("compact_md5"), digest(rendering.pretty_json(raw)).alias("pretty_md5"))
 
 
 @query(r"""

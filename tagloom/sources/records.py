@@ -2,15 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import scratch
+
 KEYS = ("example_html", "expected_json")
 
 
-def annotation_files(spark: SparkSession, folder: str) -> DataFrame:
-    """file, raw of every annotation_*.json; one object in each file, in order of names when sorted by file."""
-    return spark.read.text(f"{folder}/annotation_*.json", wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("raw"))
+#: Names of annotation files.
+ANNOTATIONS = "annotation_*.json"
+
+
+def annotation_files(spark: SparkSession, folder: str, names: str = ANNOTATIONS) -> DataFrame:
+    """file, raw of every annotation file; one object in each file, in order of names when sorted by file. Spark packs small files into tasks by size."""
+    return spark.read.text(f"{folder}/{names}", wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("raw"))
+
+
+def scan_new(spark: SparkSession, folder: str, state: str, names: str = ANNOTATIONS) -> DataFrame:
+    """file, type, reason of all annotation files so far; only files that no scan with this ``state`` has read are read.
+
+    The files are a stream that ends with what is there. Its log tells which have been read; what was found in them is
+    appended below ``state``, a folder for each batch, so a batch that runs again replaces its own rows.
+    """
+    files = spark.readStream.schema("value string").option("pathGlobFilter", names).text(folder, wholetext=True)
+    found = validated(files.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("raw"))).select("file", "type", "reason")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{state}/found/batch={number}")
+
+    found.writeStream.foreachBatch(keep).option("checkpointLocation", f"{state}/log").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("file string, type string, reason string, batch long").parquet(f"{state}/found")
 
 
 def has_key(json: Column, path: str) -> Column:
@@ -62,13 +84,29 @@ def typed_by_name(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"type_by_name": named, "disagrees": ~own.eqNullSafe(named)}).filter("type_by_name is not null")
 
 
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line (from 1 in its file), place (from 0 over all files, in order of their names), raw of text files.
+
+    No sort: the lines of each part of a file that a task reads are counted first, in a pass of its own; a line's number is its
+    place in its part and the sum of the counts before, one number for each part.
+    """
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("mark"), F.col("value").alias("raw"))
+    parts = rows.groupBy("file", "block").agg(F.min("mark").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # of parts, not of lines
+    in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(F.col("file").alias("of_file"), F.col("block").alias("of_block"), "first", *[F.coalesce(F.sum("n").over(w), F.lit(0)).alias(name) for name, w in (("place_start", before), ("line_start", in_file))])
+    known = scratch.kept(starts, "lines")  # its size is known when the join is planned
+    at = F.col("mark") - F.col("first")
+    joined = rows.join(known, (F.col("file") == F.col("of_file")) & (F.col("block") == F.col("of_block")))
+    return joined.select("file", (F.col("line_start") + at + 1).alias("line"), (F.col("place_start") + at).alias("place"), "raw")
+
+
 def json_lines(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """line, raw of a JSON lines file. Strict: a blank or malformed line is an error when it is read."""
-    rows = spark.read.text(path).select(F.col("value").alias("raw"))
-    if strict:
-        bad = F.try_parse_json("raw").isNull()
-        rows = rows.select(F.when(bad, F.raise_error(F.concat(F.lit("not a line of JSON: "), F.left("raw", F.lit(80))))).otherwise(F.col("raw")).alias("raw"))
-    return rows
+    """raw of JSON lines files, and with ``strict`` file and line before it (as ``lines`` gives them): there a blank or malformed line is an error, which names its line, when it is read."""
+    if not strict:
+        return spark.read.text(path).select(F.col("value").alias("raw"))
+    where = F.concat(F.lit("line "), F.col("line").cast("string"), F.lit(" of "), F.col("file"), F.lit(": not a line of JSON: "), F.left("raw", F.lit(80)))
+    return lines(spark, path).select("file", "line", F.when(F.try_parse_json("raw").isNull(), F.raise_error(where)).otherwise(F.col("raw")).alias("raw"))
 
 
 def url_list(spark: SparkSession, path: str) -> DataFrame:
@@ -93,5 +131,15 @@ def domains(lines: DataFrame) -> DataFrame:
 
 
 def domain_list(spark: SparkSession, path: str) -> DataFrame:
-    whole = spark.read.text(path, wholetext=True)
-    return domains(whole.select(F.posexplode(F.split("value", r"\r?\n")).alias("place", "line")))
+    """``domains`` of Markdown files, in order of their names."""
+    return domains(lines(spark, path).select("place", F.col("raw").alias("line")))
+
+
+def published(spark: SparkSession, path: str, split: str, limit: int | None = None, order: str | None = None) -> DataFrame:
+    """The rows of one split of a published table (folders ``split=...``); others aren't read. With ``limit``, the first rows in ``order``."""
+    rows = spark.read.parquet(path).filter(F.col("split") == split)
+    if limit is None:
+        return rows
+    if order is None:
+        raise ValueError("a limit needs an order that tells rows apart")
+    return rows.orderBy(order).limit(limit)

@@ -23,10 +23,11 @@ def chat_line(messages: Column) -> Column:
 
 
 def write_lines(df: DataFrame, line: Column, path: str, order: str | None = None) -> None:
-    """One text file in each partition, or with ``order`` (a column) one file in that order: small results only."""
-    out = df.select(line.alias("value"), *([F.col(order)] if order else []))
+    """One text file for each partition; with ``order`` (a column) the files, in order of their names, hold the lines in that order: each has a range of it."""
+    out = df.select(line.alias("value"), *([F.col(order).alias("at")] if order else []))
     if order:
-        out = out.repartition(1).sortWithinPartitions(order)
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartitionByRange(parts, "at").sortWithinPartitions("at")
     out.select("value").write.mode("overwrite").text(path)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import safe_timestamp
 
 PAYLOAD = "html string, label string, url string, timestamp string"
+STORED = "name string, batch long, timestamp string, type string, example_html string, expected_json string"
 
 
 def payloads(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,17 +36,81 @@ def latest(rows: DataFrame) -> DataFrame:
     return by_name.select("name", "x.*")
 
 
+class Store:
+    """The last save of each name, kept in a folder by batches that are merged as they grow.
+
+    ``new/batch=N`` holds the last row of each name in a batch, ``base/upto=N`` the last row of each name of all batches up
+    to N. When the batches after a base hold more than ``share`` of its bytes, base and batches are merged into the next
+    base: so reading costs the live rows and a bounded part more, and over time each row is written a bounded number
+    of times. A base counts once it is complete; the one before stays until the next, for readers that began with it.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, share: float = 0.25):
+        self.spark, self.folder, self.share = spark, folder.rstrip("/"), share
+        place = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self.files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+
+    def _numbers(self, kind: str, key: str) -> list[int]:
+        """The complete folders of a kind, by number."""
+        if not self.files.exists(self._path(kind)):
+            return []
+        found = [s.getPath().getName() for s in self.files.listStatus(self._path(kind))]
+        numbers = [int(n.removeprefix(f"{key}=")) for n in found if n.startswith(f"{key}=")]
+        return sorted(n for n in numbers if self.files.exists(self._path(f"{kind}/{key}={n}/_SUCCESS")))
+
+    def _size(self, names: list[str]) -> int:
+        return sum(self.files.getContentSummary(self._path(n)).getLength() for n in names)
+
+    def parts(self) -> tuple[int, list[str]]:
+        """The batch up to which the base goes (-1: no base), and the folders that hold the store: base and later batches."""
+        upto = max(self._numbers("base", "upto"), default=-1)
+        return upto, [f"base/upto={upto}"] * (upto >= 0) + [f"new/batch={n}" for n in self._numbers("new", "batch") if n > upto]
+
+    def add(self, rows: DataFrame, number: int) -> None:
+        """A batch of annotations. Adding it again changes nothing."""
+        if number <= self.parts()[0]:
+            return
+        latest(rows.withColumn("batch", F.lit(number).cast("long"))).write.mode("overwrite").parquet(f"{self.folder}/new/batch={number}")
+        upto, names = self.parts()
+        if self._size([n for n in names if n.startswith("new/")]) > self.share * self._size([n for n in names if n.startswith("base/")]):
+            self.merge()
+
+    def merge(self) -> None:
+        """Base and later batches become the next base; what is older than the base before goes."""
+        upto, names = self.parts()
+        last = max(self._numbers("new", "batch"), default=-1)
+        if last > upto:
+            latest(self._read(names)).write.mode("overwrite").parquet(f"{self.folder}/base/upto={last}")
+            for n in self._numbers("base", "upto"):
+                if n < upto:
+                    self.files.delete(self._path(f"base/upto={n}"), True)
+            for n in self._numbers("new", "batch"):
+                if n <= upto:
+                    self.files.delete(self._path(f"new/batch={n}"), True)
+
+    def _read(self, names: list[str]) -> DataFrame:
+        rows = self.spark.read.schema(STORED)
+        return rows.parquet(*[f"{self.folder}/{n}" for n in names]) if names else self.spark.createDataFrame([], STORED)
+
+    def rows(self) -> DataFrame:
+        """name, timestamp, type, example_html, expected_json of the last save of each name."""
+        return latest(self._read(self.parts()[1])).drop("batch")
+
+
 def save(captures: DataFrame, folder: str, checkpoint: str):
-    """Appends each batch to a table below ``folder``; ``saved`` reads it with the last row of each name. Running a batch again writes the same folder again."""
+    """Upserts each batch of captures into the ``Store`` in a folder; ``saved`` reads it. Running a batch again changes nothing."""
 
     def write(batch: DataFrame, number: int) -> None:
-        annotations(batch).withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        Store(batch.sparkSession, folder).add(annotations(batch), number)
 
     return captures.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 def saved(spark: SparkSession, folder: str) -> DataFrame:
-    return latest(spark.read.option("basePath", folder).parquet(folder).withColumn("batch", F.col("batch").cast("long"))).drop("batch")
+    return Store(spark, folder).rows()
 
 
 def running_counts(captures: DataFrame) -> DataFrame:

@@ -375,3 +375,63 @@ def test_ranges_are_found_by_halving(spark):
     values = [-1.0, 0.0, 0.5, 1.0, 1.5, 40.0, 85.5, 86.0, 87.0, 1e9]
     made = spark.createDataFrame([(cuts, v) for v in values], "c array<double>, v double").select("v", q.range_of(F.col("c"), F.col("v")).alias("n"))
     assert {r.v: r.n for r in made.collect()} == {v: sum(c < v for c in cuts) for v in values}
+
+
+def test_lines_of_many_files(spark, tmp_path):
+    """Numbers of lines whose files are read in many parts, against the files themselves."""
+    rng = random.Random(1)
+    want = []
+    for f in "cab":
+        rows = [f"{f}{i}" + "x" * rng.randrange(200) for i in range(rng.randrange(300, 900))]
+        (tmp_path / f"{f}.txt").write_text("\n".join(rows) + "\n" * (f == "a"))
+    (tmp_path / "d.txt").write_text("")
+    for f in "abc":
+        want += [(f"{f}.txt", i, x) for i, x in enumerate((tmp_path / f"{f}.txt").read_text().splitlines(), 1)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (before, "5000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = sorted((x.place, x.file.rpartition("/")[2], x.line, x.raw) for x in records.lines(spark, f"file://{tmp_path}").collect())
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert [x[0] for x in got] == list(range(len(want))) and [x[1:] for x in got] == want
+
+
+def test_strict_lines_name_the_line(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"a": 1}\n' * 41 + "{\n" + '{"a": 2}\n')
+    with pytest.raises(Exception, match=r"line 42 of file:.*a\.jsonl: not a line of JSON: \{"):
+        records.json_lines(spark, f"{tmp_path}/a.jsonl").collect()
+    assert records.json_lines(spark, f"{tmp_path}/a.jsonl", strict=False).count() == 43
+    (tmp_path / "b.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n')
+    with pytest.raises(Exception, match="line 2 of"):
+        records.json_lines(spark, f"{tmp_path}/b.jsonl").collect()
+
+
+def test_ordered_files_follow_each_other(spark, tmp_path):
+    rows = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k"), F.col("id").alias("value")).repartition(7)
+    sinks.write_lines(rows, F.col("k").cast("string"), f"{tmp_path}/out", order="k")
+    files = sorted((tmp_path / "out").glob("part-*"))
+    assert len(files) > 1 and "".join(f.read_text() for f in files).split() == [str(i) for i in range(1000)]
+    assert [x.raw for x in records.lines(spark, f"{tmp_path}/out").orderBy("place").collect()] == [str(i) for i in range(1000)]
+
+
+def test_scans_read_new_files_alone(spark, tmp_path):
+    (folder := tmp_path / "in").mkdir()
+    put = lambda name, kind: (folder / f"annotation_{name}.json").write_text(json.dumps({"example_html": "x", "expected_json": {"type": kind}}, indent=2))
+    put("1", "recipe"), put("2", "event")
+    (folder / "other.json").write_text("{}")
+    scan = lambda: records.scan_new(spark, f"file://{folder}", f"file://{tmp_path}/state")
+    assert sorted((x.file, x.type, x.batch) for x in scan().collect()) == [("annotation_1.json", "recipe", 0), ("annotation_2.json", "event", 0)]
+    (folder / "annotation_1.json").write_text("{")  # read before: not again
+    (folder / "annotation_4.json").write_text("{")
+    put("3", "event")
+    assert sorted((x.file, x.type, x.reason, x.batch) for x in scan().collect() if x.batch) == [("annotation_3.json", "event", None, 1), ("annotation_4.json", None, "not JSON", 1)]
+    assert scan().count() == 4 and scan().agg(F.max("batch")).first()[0] == 1
+
+
+def test_published_rows(spark, tmp_path):
+    sinks.write_splits(spark.range(20).select("id", F.when(F.col("id") % 2 == 0, "test").otherwise("train").alias("split")), f"{tmp_path}/t")
+    assert sorted(x.id for x in records.published(spark, f"{tmp_path}/t", "test", 3, "id").collect()) == [0, 2, 4]
+    assert records.published(spark, f"{tmp_path}/t", "train").count() == 10
+    with pytest.raises(ValueError):
+        records.published(spark, f"{tmp_path}/t", "test", 3)

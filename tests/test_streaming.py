@@ -1,4 +1,5 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -38,3 +39,51 @@ def test_each_key_once(spark, tmp_path):
     q = capture.once(rows, "k", "ts").writeStream.format("memory").queryName("once").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.k for r in spark.table("once").select(F.col("k")).collect()) == [1, 2]
+
+
+def annotated(spark, rows):
+    return spark.createDataFrame([(n, "t", h, "{}", s) for n, h, s in rows], "name string, type string, example_html string, expected_json string, timestamp string")
+
+
+def test_store_keeps_the_last_save_of_each_name(spark, tmp_path):
+    """Against a dictionary: late, repeated and equal saves, batches that run again, merges between."""
+    rng = random.Random(1)
+    store, last = capture.Store(spark, f"file://{tmp_path}/store"), {}
+    batches = []
+    for number in range(9):
+        rows = [(f"n{rng.randrange(12)}", f"{number}-{i}", f"2024-01-01T00:00:0{rng.randrange(9)}") for i in range(rng.randrange(1, 9))]
+        batches.append(rows)
+        store.add(annotated(spark, rows), number)
+        if number in (2, 6):
+            store.add(annotated(spark, rows), number)  # runs again at once
+        for name, html, stamp in sorted(rows, key=lambda x: (x[2], x[1])):
+            last[name] = (stamp, html)
+        assert {x.name: (x.timestamp, x.example_html) for x in store.rows().collect()} == last
+    upto, parts = store.parts()
+    assert upto >= 0
+    store.add(annotated(spark, batches[0]), 0)  # long merged
+    assert store.parts() == (upto, parts) and {x.name: (x.timestamp, x.example_html) for x in store.rows().collect()} == last
+    store.merge()
+    assert len(store.parts()[1]) == 1 and store.spark.read.parquet(f"{store.folder}/{store.parts()[1][0]}").count() == len(last)
+    assert {x.name: (x.timestamp, x.example_html) for x in store.rows().collect()} == last
+
+
+def test_store_of_nothing_and_half_written_folders(spark, tmp_path):
+    store = capture.Store(spark, f"file://{tmp_path}/store")
+    assert store.rows().count() == 0
+    store.merge()
+    store.add(annotated(spark, [("a", "1", "x")]), 0)
+    (tmp_path / "store/base/upto=7").mkdir(parents=True)  # a merge that was lost before its end
+    (tmp_path / "store/new/batch=5").mkdir()
+    assert [x.example_html for x in store.rows().collect()] == ["1"]
+    store.add(annotated(spark, [("a", "2", "x")]), 1)
+    assert [x.example_html for x in store.rows().collect()] == ["2"]
+
+
+def test_store_reads_the_live_rows(spark, tmp_path):
+    """However often names are saved again, what a read opens stays a small multiple of the live rows."""
+    store = capture.Store(spark, f"file://{tmp_path}/store")
+    for number in range(12):
+        store.add(annotated(spark, [(f"n{i}", "x" * 500, str(number)) for i in range(40)]), number)
+    assert sum(spark.read.parquet(f"{store.folder}/{p}").count() for p in store.parts()[1]) <= 80
+    assert len(list((tmp_path / "store/new").glob("batch=*"))) <= 3 and len(list((tmp_path / "store/base").glob("upto=*"))) <= 2
