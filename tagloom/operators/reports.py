@@ -12,7 +12,7 @@ from ..functions import html_tree
 from ..functions.kinds import SIMPLE, struct
 from ..functions.text import complete, percent_less
 from ..functions.tokens import approximate, approximate_count
-from ..sources import registry
+from ..sources import registry, scratch
 from . import quantiles
 
 
@@ -82,17 +82,28 @@ def _medians(long: DataFrame, by: list[str]) -> DataFrame:
     return quantiles.quantiles(counts, [*by, "variable"], [0.5]).select(*by, "variable", F.get("q", F.lit(0)).alias("median"))
 
 
+def _tally(rows: DataFrame, by: dict[str, Column], values: list[str]) -> DataFrame:
+    """The columns of ``by``, variable, v (null too), c: how often each value occurs, written once. All statistics come from these counts, so rows are read once."""
+    long = _long(rows, by, values).withColumnRenamed("value", "v")
+    return scratch.kept(long.groupBy(*by, "variable", "v").agg(F.count(F.lit(1)).alias("c")), "tally")
+
+
+def _weighted_mean() -> Column:
+    return F.try_divide(F.sum(F.col("v") * F.col("c")), F.sum(F.when(F.col("v").isNotNull(), F.col("c"))))
+
+
 def grouped_stats(rows: DataFrame, by: str, values: list[str]) -> DataFrame:
-    """Mean, median, min, max of each value by group and over all (null group). Medians of all come from the counts of the groups."""
-    view = rows.select(F.col(by).alias("g"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
-    stats = [x for i, v in enumerate(values) for x in (F.round(F.avg(f"v{i}"), 4).alias(f"{v}_mean"), F.min(f"v{i}").alias(f"{v}_min"), F.max(f"v{i}").alias(f"{v}_max"))]
-    means = view.groupingSets([["g"], []], "g").agg(F.grouping("g").cast("int").alias("is_total"), F.count(F.lit(1)).alias("n"), *stats)
-    counts = quantiles.counted(_long(rows, {"g": F.col(by)}, values), {"g": F.col("g"), "variable": F.col("variable"), "total": F.lit(0)}, F.col("value"))
-    whole = counts.groupBy("variable", "v").agg(F.sum("c").alias("c")).select(F.lit(None).cast(rows.schema[by].dataType).alias("g"), "variable", F.lit(1).alias("total"), "v", "c")
-    found = quantiles.quantiles(counts.unionByName(whole), ["g", "variable", "total"], [0.5])
-    wide = found.groupBy(F.col("g").alias("mg"), "total").agg(*[F.max(F.when(F.col("variable") == v, F.get("q", F.lit(0)))).alias(f"{v}_median") for v in values])
-    joined = means.join(wide, F.col("g").eqNullSafe(F.col("mg")) & (F.col("is_total") == F.col("total")), "left")
-    return joined.select(F.col("g").alias(by), "is_total", "n", *[f"{v}_{x}" for v in values for x in ("mean", "median", "min", "max")])
+    """Mean, median, min, max of each value by group and over all (null group)."""
+    tally = _tally(rows, {"g": F.col(by)}, values)
+    totals = tally.groupBy("variable", "v").agg(F.sum("c").alias("c")).select(F.lit(None).cast(rows.schema[by].dataType).alias("g"), "variable", "v", "c", F.lit(1).alias("total"))
+    both = tally.withColumn("total", F.lit(0)).unionByName(totals)
+    plain = both.groupBy("g", "total", "variable").agg(F.sum("c").alias("n"), F.round(_weighted_mean(), 4).alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
+    middle = quantiles.quantiles(both.filter("v is not null"), ["g", "variable", "total"], [0.5]).select(F.col("g").alias("mg"), F.col("variable").alias("mv"), F.col("total").alias("mt"), F.get("q", F.lit(0)).alias("median"))
+    joined = plain.join(middle, F.col("g").eqNullSafe(F.col("mg")) & (F.col("variable") == F.col("mv")) & (F.col("total") == F.col("mt")), "left")
+    of = lambda v, x: F.max(F.when(F.col("variable") == v, F.col(x)))
+    kind = lambda v, x: rows.schema[v].dataType if x in ("min", "max") else "double"
+    wide = joined.groupBy("g", "total").agg(F.max("n").alias("n"), *[of(v, x).cast(kind(v, x)).alias(f"{v}_{x}") for v in values for x in ("mean", "median", "min", "max")])
+    return wide.select(F.col("g").alias(by), F.col("total").alias("is_total"), "n", *[f"{v}_{x}" for v in values for x in ("mean", "median", "min", "max")])
 
 
 def overall(rows: DataFrame, value: str) -> DataFrame:
@@ -105,11 +116,14 @@ def overall(rows: DataFrame, value: str) -> DataFrame:
 
 def described(rows: DataFrame, values: list[str]) -> DataFrame:
     """variable, count, mean, std, min, quartiles (interpolated), max; one row for each value."""
-    long = _long(rows, {}, values)
-    means = long.groupBy(F.col("variable").alias("name")).agg(F.count("value").alias("count"), F.round(F.avg("value"), 4).alias("mean"), F.round(F.stddev_samp("value"), 4).alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    found = quantiles.quantiles(quantiles.counted(long, {"variable": F.col("variable")}, F.col("value")), ["variable"], [0.25, 0.5, 0.75])
+    tally = _tally(rows, {}, values)
+    there = F.sum(F.when(F.col("v").isNotNull(), F.col("c")).otherwise(0))
+    means = tally.groupBy(F.col("variable").alias("name")).agg(there.alias("count"), _weighted_mean().alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
+    off = F.col("v") - F.col("mean")
+    spread = tally.join(F.broadcast(means), F.col("variable") == F.col("name")).groupBy("name", "count", "mean", "min", "max").agg(F.sqrt(F.try_divide(F.sum(off * off * F.col("c")), F.nullif(F.col("count"), F.lit(1)) - 1)).alias("std"))  # a row for each value
+    found = quantiles.quantiles(tally.filter("v is not null"), ["variable"], [0.25, 0.5, 0.75])
     q = [F.round(F.get("q", F.lit(i)), 4).alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
-    return means.join(found, F.col("name") == F.col("variable"), "left").select(F.col("name").alias("variable"), "count", "mean", "std", "min", *q, "max")
+    return spread.join(found, F.col("name") == F.col("variable"), "left").select(F.col("name").alias("variable"), "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min", *q, "max")
 
 
 def box_plot(rows: DataFrame, by: str, value: str) -> DataFrame:

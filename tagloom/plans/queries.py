@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import extract, html_tree, mutate, rendering, similarity, text, tokens
+from ..functions import extract, html_tree, invariants, mutate, rendering, similarity, text, tokens
 from ..operators import dataset, evaluate, reports
 from ..functions.kinds import SIMPLE
 from ..sources import records, registry, scratch, sinks
@@ -351,6 +351,20 @@ def exploratory_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("base_id", "ordinal", "variation_id", digest(F.col("example_html")).alias("html_md5"), "metadata.augmentations", "metadata.applied")
 
 
+@query("""
+with v as (select profile, k * (select count(*) from pages) as n from (values ('standard', 4), ('exploratory', 4)) t(profile, k)) select profile, n, n as n_kept, n as n_exact, n as n_labels from v""")
+def variation_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four variations of each page by either profile: all keep the original's tags, texts and label, and name just what they changed. The oracle says so; a comparison of the pages finds out."""
+    pages = pages_of(spark, sf_dir).select("page_id", F.col("html").alias("example_html"), F.col("html").alias("original"), F.concat(F.lit('{"url": "'), "url", F.lit('"}')).alias("expected_json"), F.md5("url").alias("label_md5"))
+    made = {"standard": dataset.with_quota(pages, "page_id", 5 * pages.count()), "exploratory": dataset.variation_grid(pages, "page_id", 5).drop("base_id")}
+    out = None
+    for profile, rows in made.items():
+        varied = dataset.variations(rows.filter(F.col("ordinal") > 0), "page_id", profile=profile)
+        seen = varied.select(F.lit(profile).alias("profile"), invariants.checked("original", "example_html", "metadata.applied", profile).alias("x"), (F.md5(F.get_json_object("expected_json", "$.url")) == F.col("label_md5")).alias("same"))
+        out = seen if out is None else out.unionByName(seen)
+    return out.groupBy("profile").agg(F.count(F.lit(1)).alias("n"), F.count_if("x.kept").alias("n_kept"), F.count_if("x.exact").alias("n_exact"), F.count_if("same").alias("n_labels"))
+
+
 @query("""
 select count(*) as n, count(*) filter (trim(event_type) <> '') as html_ok, count(*) filter (json_valid(props)) as json_ok, count(*) filter (json_exists(props, '$.k')) as keys_ok from events""")
 def validation_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -616,6 +630,29 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.groupBy("lang").agg(F.sum(F.length("text").cast("long")).alias("chars"), F.sum(tokens.approximate(F.col("text"))).alias("tokens"))
 
 
+def vocabulary() -> tokens.Ranks:
+    """Counts by a public vocabulary: byte-level BPE of 50,256 tokens."""
+    import public_tokenizers
+
+    return tokens.Ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query()
+def vocabulary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Characters and tokens by language: of the vocabulary, as the approximation says, and the ratio of the two."""
+    texts = pages_of(spark, sf_dir).select(F.lit("page").alias("kind"), page_lang(F.col("url")).alias("lang"), F.col("html").alias("text"))
+    texts = texts.unionByName(spread(table(spark, sf_dir, "documents")).select(F.lit("document").alias("kind"), "lang", "text"))
+    counted = texts.select("kind", "lang", F.length("text").cast("long").alias("chars"), vocabulary()(F.col("text")).alias("tokens"), tokens.approximate(F.col("text")).alias("approximate"))
+    sums = counted.groupBy("kind", "lang").agg(*[F.sum(c).alias(c) for c in ("chars", "tokens", "approximate")])
+    return sums.withColumn("ratio", F.round(F.try_divide("approximate", "tokens"), 4))
+
+
+@query()
+def vocabulary_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``budget_tally`` by the vocabulary."""
+    return dataset.budget_tally(_examples(spark, sf_dir), count=vocabulary())
+
+
 @query(f"""
 with a as (select 'annotation_' || event_type || '_' || replace(left({STAMP}, 19), ':', '-') || '.json' as name, event_type as type, {STAMP} as timestamp, props from events)
 select name, arg_max(type, (timestamp, props)) as type, max(timestamp) as timestamp from a group by name""")
