@@ -10,7 +10,7 @@ from ..sources.registry import HTML_MARKER
 
 def word_count(text: Column) -> Column:
     """Words between white space as Unicode has it; empty text has none."""
-    return F.size(F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")).cast("long")
+    return F.regexp_count(text, F.lit(r"(?U)\S+")).cast("long")
 
 
 def after_marker(text: Column, marker: str = HTML_MARKER) -> Column:

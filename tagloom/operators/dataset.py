@@ -24,7 +24,11 @@ def draw(key: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
 
 
-def apportioned(classes: DataFrame, count: str, total: Column, seed: int, into: str) -> DataFrame:
+#: So many classes at most are ranked in one task; beyond, by ranges as all rows are.
+FEW_CLASSES = 10_000
+
+
+def apportioned(classes: DataFrame, count: str, total: Column, seed: int, into: str, few: bool = False) -> DataFrame:
     """classes(class, ``count``, ...) with ``into``: each class's part of ``total`` (of the column one_n, the sum of the counts).
 
     A class has the whole part of its share, and the classes with the largest remainders one more each until the total is
@@ -33,10 +37,14 @@ def apportioned(classes: DataFrame, count: str, total: Column, seed: int, into:
     share = F.col(count) * F.col("total")
     first = classes.withColumn("total", total).withColumns({"whole": F.when(F.col("one_n") > 0, F.floor(share / F.col("one_n"))).otherwise(0).cast("long")})
     first = first.withColumn("rest", F.col(count) * F.col("total") - F.col("whole") * F.col("one_n"))
-    placed = numbered(first, F.col("rest"), draw(F.coalesce(F.col("class").cast("string"), F.lit("")), seed), F.col("class"), descending=True).select("row.*", "place")
-    given = first.agg(F.sum("whole").alias("given"))  # one row
+    tie = draw(F.coalesce(F.col("class").cast("string"), F.lit("")), seed)
+    if few:
+        every = Window.partitionBy()
+        placed = first.withColumns({"place": F.row_number().over(Window.orderBy(F.desc("rest"), tie, "class")) - 1, "given": F.sum("whole").over(every)})
+    else:
+        placed = numbered(first, F.col("rest"), tie, F.col("class"), descending=True).select("row.*", "place").join(F.broadcast(first.agg(F.sum("whole").alias("given"))))  # one row
     part = F.col("whole") + F.when(F.col("place") < F.col("total") - F.col("given"), 1).otherwise(0)
-    return placed.join(F.broadcast(given)).select(*classes.columns, part.cast("long").alias(into))
+    return placed.select(*classes.columns, part.cast("long").alias(into))
 
 
 def stratified_split(rows: DataFrame, key: str, stratum: str, ratios: tuple[float, float] = (0.8, 0.1), seed: int = 42, least: int = 2) -> DataFrame:
@@ -59,11 +67,12 @@ def stratified_split(rows: DataFrame, key: str, stratum: str, ratios: tuple[floa
     )
     sizes = scratch.kept(counts.groupBy("class").agg(F.sum("c").alias("c")), "classes")
     one = sizes.agg(F.sum("c").alias("one_n"), F.min("c").alias("one_least"))  # one row
-    train = apportioned(sizes.join(F.broadcast(one)), "c", F.floor(F.col("one_n") * ratios[0]).cast("long"), seed, "train")
+    few = sizes.count() <= FEW_CLASSES
+    train = apportioned(sizes.join(F.broadcast(one)), "c", F.floor(F.col("one_n") * ratios[0]).cast("long"), seed, "train", few)
     left = train.withColumn("c", F.col("c") - F.col("train")).drop("one_n")
     left = left.join(F.broadcast(left.agg(F.sum("c").alias("one_n"))))
     of_rest = ratios[1] / (1 - ratios[0]) if ratios[0] < 1 else 0.0
-    quotas = apportioned(left, "c", F.floor(F.round(F.col("one_n") * of_rest, 6)).cast("long"), seed + 1, "validation")
+    quotas = apportioned(left, "c", F.floor(F.round(F.col("one_n") * of_rest, 6)).cast("long"), seed + 1, "validation", few)
     quotas = quotas.select(F.col("class").alias("quota_class"), "train", "validation", "one_least")
     ranked = ranged.withColumn("rank", F.row_number().over(Window.partitionBy("class", "range").orderBy("draw", "key")))
     joined = ranked.join(before, F.col("class").eqNullSafe(F.col("of_class")) & (F.col("range") == F.col("of_range"))).join(quotas, F.col("class").eqNullSafe(F.col("quota_class")))

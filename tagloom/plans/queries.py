@@ -16,6 +16,7 @@ from ..functions.kinds import SIMPLE
 from ..sources import records, registry, scratch, sinks
 from ..sources.tables import spread, table
 from ..streaming import capture
+from . import rouge_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -226,7 +227,7 @@ select lang, cast(grouping(lang) as int) as is_total, count(*) as n, round(avg(n
   round(avg(words), 4) as words_mean, median(words) as words_median, min(words) as words_min, max(words) as words_max
 from d group by grouping sets ((lang), ())""")
 def length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("lang", "n_chars", text.word_count(F.col("text")).alias("words"))
+    docs = spread(table(spark, sf_dir, "documents")).select("lang", "n_chars", text.word_count(F.col("text")).alias("words"))
     return reports.grouped_stats(docs, "lang", ["n_chars", "words"])
 
 
@@ -477,16 +478,20 @@ def overlap_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("conv_id", "turn", F.round("s.rouge1", 6).alias("rouge1"), F.round("s.rouge2", 6).alias("rouge2"))
 
 
-@query()
+@query(f"""
+with recursive {rouge_sql.scores(f"select conv_id * 1000 + turn as k, reference, prediction from ({PAIRS})", ("prediction",))}
+select k // 1000 as conv_id, k % 1000 as turn, round(rouge1, 6) as rouge1, round(rouge2, 6) as rouge2, round(rougel, 6) as "rougeL" from rouge""")
 def rouge_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.scored(_pairs(spark, sf_dir)).drop("prediction", "reference")
+    made = evaluate.scored(_pairs(spark, sf_dir))
+    return made.select("conv_id", "turn", *[F.round(c, 6).alias(c) for c in ("rouge1", "rouge2", "rougeL")])
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """References, and the predictions of two made-up models: the turn before, and the reference's first half."""
     rows = _pairs(spark, sf_dir).select((F.col("conv_id") * 1000 + F.col("turn")).alias("example_idx"), "reference", "prediction")
     half = F.left("reference", F.floor(F.length("reference") / 2).cast("int"))
-    return rows.select("example_idx", "reference"), rows.select("example_idx", "prediction"), rows.select("example_idx", half.alias("prediction"))
+    failed = F.nullif("prediction", F.lit(""))  # a first turn has none before it: a prediction that failed
+    return rows.select("example_idx", "reference"), rows.select("example_idx", failed.alias("prediction")), rows.select("example_idx", half.alias("prediction"))
 
 
 def _f1(n: int, side: str) -> str:
@@ -514,7 +519,13 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluate.comparison(*_sides(spark, sf_dir), stemmed=False))
 
 
-@query()
+@query(
+    "with recursive " + rouge_sql.scores(f"select row_number() over () as k, reference, prediction as a_, left(reference, cast(floor(length(reference) / 2) as int)) as b_ from ({PAIRS})", ("a_", "b_")).replace("rouge as (select", "rouge as materialized (select")
+    + ", s as (select k, reference, a_ as a, b_ as b from pairs_), m as ("
+    + " union all ".join(f"select '{m}' as metric, (select avg({m.lower()}) from rouge where side = 'a_') as base, (select avg({m.lower()}) from rouge where side = 'b_') as tuned" for m in ("rouge1", "rouge2", "rougeL"))
+    + "".join(f" union all select '{m}', {of('a')}, {of('b')}" for m, of in _METRICS.items() if m.startswith("lev"))
+    + ") select metric, round(base, 6) as base, round(tuned, 6) as finetuned, round(case when base > 0 then (case when metric = 'levenshtein_avg' then base - tuned else tuned - base end) * 100 / base else 0 end, 4) as improvement_pct from m"
+)
 def model_comparison_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluate.comparison(*_sides(spark, sf_dir)))
 
@@ -561,6 +572,16 @@ def page_framework(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", extract.framework(F.col("html")).alias("framework"))
 
 
+@query(f"""
+with {FIELDS_SQL} select page_id, cast(case when len(items) between 1 and 5 then len(items) else 0 end as bigint) as n, case when len(items) between 1 and 5 then array_to_string(items, '|') end as names from field_texts""")
+def pricing_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with their list items as headings of plans: up to five are a pricing table, more are something else."""
+    html = F.replace(F.replace("html", F.lit("<li>"), F.lit("<h3>")), F.lit("</li>"), F.lit("</h3>"))
+    made = pages_of(spark, sf_dir).select("page_id", extract.extracted(html, F.lit("pricing_table")).alias("e"))
+    plans = F.from_json(F.get_json_object("e", "$.plans"), "array<struct<name: string, price: string, features: array<string>>>")
+    return made.select("page_id", plans.alias("plans")).select("page_id", F.coalesce(F.size("plans"), F.lit(0)).cast("long").alias("n"), F.array_join("plans.name", "|").alias("names"))
+
+
 @query("""
 with l as (select page_id, regexp_extract(url, '^([a-z]+)://', 1) as scheme, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) as host, regexp_extract_all(html, '<a href="([^"]*)"', 1) as refs from pages)
 select page_id, i - 1 as place, replace(replace(refs[i], '&amp;', '&'), '&quot;', '"') as reference, scheme, host, replace(replace(refs[i], '&amp;', '&'), '&quot;', '"') as path from (select *, unnest(range(1, len(refs) + 1)) as i from l)""")
@@ -720,6 +741,21 @@ def golden_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.get_json_object("expected_json", "$.page").cast("long").alias("page_id"), digest(F.col("example_html")).alias("html_md5"), "type", F.col("reason").isNull().alias("valid"))
 
 
+@query(rf"""
+with c as ({_CHAT}), t as (select md5(user_text) as user_md5, md5(answer) as answer_md5, len(regexp_extract_all(user_text, '\p{{L}}{{1,6}}|\p{{N}}|[^\p{{L}}\p{{N}}\s\x0B]')) + len(regexp_extract_all(answer, '\p{{L}}{{1,6}}|\p{{N}}|[^\p{{L}}\p{{N}}\s\x0B]')) + 10 as n from c)
+select user_md5, answer_md5, count(*) as n from t where n <= 24000 group by all""")
+def converted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of golden lines converted to chat lines within the budget, and read back."""
+    source, target = scratch.folder(spark, "golden"), scratch.folder(spark, "converted")
+    kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
+    label = F.concat(F.lit('{"type":"'), kind, F.lit('", "url":"'), "url", F.lit('"}'))
+    sinks.write_lines(pages_of(spark, sf_dir).withColumn("label", label), sinks.golden_line(F.col("html"), F.col("label")), source)
+    dataset.convert(spark, source, target)
+    back = records.json_lines(spark, target, strict=False).select(F.from_json("raw", "messages array<struct<role: string, content: string>>").alias("x")).select("x.messages")
+    part = lambda i, name: digest(F.get("messages", F.lit(i))["content"]).alias(name)
+    return back.groupBy(part(0, "user_md5"), part(1, "answer_md5")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"with c as ({_CHAT}) select page_id, md5(user_text) as user_md5, md5(answer) as answer_md5 from c")
 def chat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat examples written as JSON lines and read back; the line holds no lineage, so the page comes from its url's row."""

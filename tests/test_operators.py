@@ -91,8 +91,10 @@ def shared_out(counts, total, seed):
     return parts
 
 
+@pytest.mark.parametrize("few", [0, 10_000])
 @pytest.mark.parametrize("sizes", [{"c": 2, None: 7}, {"c": 3, "d": 10, None: 11}, {"c": 1000, "d": 2, "e": 37}, {f"k{i}": 9 for i in range(100)}])
-def test_split_sizes(spark, sizes):
+def test_split_sizes(spark, sizes, few, monkeypatch):
+    monkeypatch.setattr(d, "FEW_CLASSES", few)
     rows = spark.createDataFrame([(i, k, "x") for i, k in enumerate(k for k, n in sizes.items() for _ in range(n))], "id long, type string, train string")
     out = d.stratified_split(rows.repartition(3), "id", "type")
     got = {(x.type, x.split): x.c for x in out.groupBy("type", "split").agg(F.count("*").alias("c")).collect()}
