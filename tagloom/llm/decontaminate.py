@@ -1,8 +1,11 @@
 """Benchmark decontamination by question templates.
 
-Tokens are canonicalised: numbers, units and names (capitalised words that
-don't begin a sentence) become typed placeholders, other words lose case and
-outer punctuation. Windows of eight canonical tokens of the benchmark are the
+Tokens are canonicalised: numbers, units and names become typed placeholders,
+other words lose case and outer punctuation; formulas are cut at their operators,
+so that spaces in them make no difference. A capitalised word within a sentence is a
+name. One that begins a sentence may be, so there are two typed forms: in one it
+is a plain word, in the other a name, unless it is among the words that open questions and
+sentences. Windows of eight canonical tokens of the benchmark are the
 build side of a hash join with those of the documents. Whether a word is a name
 depends on its capitals, so windows are joined by their plain tokens as well,
 which have no placeholders and no case: copies in capitals, in title case, in
@@ -24,7 +27,8 @@ number of windows; a larger benchmark takes several passes.
 Edge cases: null or empty texts match nothing; an item shorter than a window is
 one window of its length; an item of one or two tokens says nothing within a
 longer text, so it contaminates the documents that hold nothing else; repeated
-rows each give their result; windows in which most tokens are placeholders have no typed
+rows each give their result; an item shorter than a window has no second typed
+form; windows in which most tokens are placeholders have no typed
 form (they would fit anything), so they count where they are copied literally.
 """
 
@@ -52,6 +56,15 @@ pound pounds ounce ounces second seconds minute minutes hour hours day days week
 dollar dollars euro euros cent cents percent degree degrees watt watts volt volts""".split()
 NUMBER_WORDS = """zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen
 eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split()
+OPENERS = """a about after all although an and another any are as at because before both but by calculate can compute consider
+could despite determine did do does during each either estimate evaluate every explain express few find first for from
+give given has have he her here hers him his how however i if imagine in into is it its later let list many more most
+much my name neither next no none not now of on once only or other our over per please prove select several she show
+simplify since so solve some still such suppose than that the their them then there these they this those through
+to today together under until use was we were what when where whether which while who whom whose why will with would
+write yesterday yet you your""".split()
+#: Where a formula is cut: at operators, at a minus or slash next to a digit or before a letter that stands alone.
+OPERATOR = re.compile(r"[=+*<>^\u00d7\u00f7\u2212]+|(?<=\d)[-/](?=\w)|(?<=\w)[-/](?=\d)|(?<=\b\w)-(?=\w\b)")
 NUMBER = re.compile(r"[+-]?\d[\d.,/:]*[^\W\d_]{0,3}")
 PLACEHOLDERS = ("\0number", "\0unit", "\0name")
 ENDS = (".", "!", "?", ":")
@@ -85,6 +98,13 @@ def strip(token: str) -> str:
     return token[i:j]
 
 
+def cut(raw: str) -> list[str]:
+    """A token's parts between operators; a token without, or an address, is one part."""
+    if raw.isalpha() or "://" in raw or "@" in raw:
+        return [raw]
+    return [part for part in OPERATOR.split(raw) if part] or [raw]
+
+
 class Canon:
     """Canonical tokens of a text, with a bounded cache by raw token."""
 
@@ -97,11 +117,13 @@ class Canon:
         n = CACHE_TOKENS // 8
         self.first, self.inner, self.plain = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
         self.slot, self.ends, self.empty = np.zeros(n, np.int8), np.zeros(n, bool), np.zeros(n, bool)
+        # Whether it may be a name at the beginning of a sentence, and whether it is several tokens.
+        self.named, self.several = np.zeros(n, bool), np.zeros(n, bool)
 
     def _learn(self, raw: str) -> int:
         i = len(self.index)
         if i == len(self.first):
-            for name in ("first", "inner", "plain", "slot", "ends", "empty"):
+            for name in ("first", "inner", "plain", "slot", "ends", "empty", "named", "several"):
                 own = getattr(self, name)
                 setattr(self, name, np.concatenate((own, np.zeros_like(own))))
         core = strip(raw)
@@ -114,29 +136,38 @@ class Canon:
         self.slot[i] = (plain != low) + 2 * (name != low)
         self.ends[i] = raw.endswith(ENDS)
         self.empty[i] = not core
+        self.named[i] = name != plain and low not in OPENERS
+        self.several[i] = len(cut(raw)) > 1
         self.index[raw] = i
         return i
 
+    def _ids(self, raw: list[str]) -> np.ndarray:
+        get = self.index.get
+        return np.array([i if (i := get(t)) is not None else self._learn(t) for t in raw], np.int64)
+
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Hashes of the canonical tokens, whether each is a placeholder, and the raw tokens."""
-        return self.both(text)[:3]
+        return self.forms(text)[:3]
 
-    def both(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
-        """As ``tokens``, with the hashes of the plain tokens."""
+    def forms(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """As ``tokens``, with the hashes of the plain tokens, and hashes and placeholders of the second typed form."""
         raw = (text or "").split()
         if len(self.index) > CACHE_TOKENS:
             self._reset()
-        get = self.index.get
-        ids = [i if (i := get(t)) is not None else self._learn(t) for t in raw]
-        first, inner, slot, ends, empty = self.first, self.inner, self.slot, self.ends, self.empty
-        at = np.array(ids, np.int64)
-        if len(at) and empty[at].any():
-            kept = ~empty[at]
+        at = self._ids(raw)
+        if len(at) and self.several[at].any():
+            raw = [part for t, many in zip(raw, self.several[at].tolist(), strict=True) for part in (cut(t) if many else (t,))]
+            at = self._ids(raw)
+        if len(at) and self.empty[at].any():
+            kept = ~self.empty[at]
             raw = [t for t, k in zip(raw, kept.tolist(), strict=True) if k]
             at = at[kept]
         begins = np.ones(len(at), bool)
-        begins[1:] = ends[at[:-1]]
-        return np.where(begins, first[at], inner[at]), np.where(begins, slot[at] & 1, slot[at] >> 1).astype(bool), raw, self.plain[at]
+        begins[1:] = self.ends[at[:-1]]
+        plainly = begins & ~self.named[at]
+        first, inner, slot = self.first[at], self.inner[at], self.slot[at]
+        one, two = (np.where(where, first, inner) for where in (begins, plainly))
+        return one, np.where(begins, slot & 1, slot >> 1).astype(bool), raw, self.plain[at], two, np.where(plainly, slot & 1, slot >> 1).astype(bool)
 
 
 class Probe:
@@ -147,14 +178,17 @@ class Probe:
         # Typed and plain windows share a table: without placeholders they are the same, with them no hash is both. With each goes whether it is plain.
         found: dict[int, list[tuple[np.ndarray, ...]]] = defaultdict(list)
         for n, (_, text) in enumerate(items):
-            tokens, slots, raw, plain = canon.both(text)
+            tokens, slots, _, plain, other, more = canon.forms(text)
             if not len(tokens):
                 continue
             w = min(spec.window, len(tokens))
             literal = windows(plain, w)
-            if w >= spec.min_typed:
-                q, h = self.usable(windows(tokens, w), slots, w)
-                typed = h != literal[q]
+            first = np.zeros(len(literal), np.uint64)
+            for form, places in ((tokens, slots), (other, more)) if w == spec.window else ((tokens, slots),) if w >= spec.min_typed else ():
+                whole = windows(form, w)
+                q, h = self.usable(whole, places, w)
+                typed = (h != literal[q]) & (h != first[q])
+                first = whole
                 found[w].append((h[typed], np.full(int(typed.sum()), n), q[typed], np.zeros(int(typed.sum()), bool)))
             found[w].append((literal, np.full(len(literal), n), np.arange(len(literal)), np.ones(len(literal), bool)))
         self.tables = {}
@@ -172,24 +206,25 @@ class Probe:
         ok = np.flatnonzero(sums[w:] - sums[:-w] <= min(self.spec.max_slots, w // 2)) if len(hashes) else np.empty(0, np.int64)
         return ok, hashes[ok]
 
-    def item(self, n: int, canon: Canon) -> tuple[int, np.ndarray, list[str], int]:
-        """Number of tokens, placeholders, raw tokens and window of an item that was met."""
+    def item(self, n: int, canon: Canon) -> tuple[int, np.ndarray, list[str], int, np.ndarray]:
+        """Number of tokens, placeholders, raw tokens, window and placeholders of either form of an item that was met."""
         if n not in self.seen:
             if len(self.seen) > 2_000:
                 self.seen.clear()
-            _, slots, raw = canon.tokens(self.items[n][1])
-            self.seen[n] = (len(raw), slots, raw, min(self.spec.window, len(raw)))
+            _, slots, raw, _, _, more = canon.forms(self.items[n][1])
+            self.seen[n] = (len(raw), slots, raw, min(self.spec.window, len(raw)), more)
         return self.seen[n]
 
     def matches(self, canon: Canon, text: str | None) -> list[tuple[int, int, float, int]]:
         """(item, consistent windows, their share of the item's, changed slots) for each item that contaminates the text."""
-        tokens, slots, raw, plain = canon.both(text)
+        tokens, slots, raw, plain, other, more = canon.forms(text)
+        forms = [tokens] + [plain] * bool(slots.any()) + [other] * bool((more != slots).any())
         lines: dict[tuple[int, int], tuple[set[int], set[int]]] = defaultdict(lambda: (set(), set()))
         for w, (shift, bits, keys, ns, qs, is_plain) in self.tables.items():
             if w < self.spec.min_inside and w != len(tokens):
                 continue
-            hashes = windows(tokens, w)
-            for h in (hashes, windows(plain, w)) if slots.any() else (hashes,):
+            for form in forms if w == self.spec.window else forms[: 1 + bool(slots.any())]:
+                h = windows(form, w)
                 at = np.flatnonzero(bits[(h >> shift).astype(np.int64)])
                 low, high = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
                 for k in np.flatnonzero(low < high).tolist():
@@ -207,26 +242,26 @@ class Probe:
                     good[n, way] = (before[0] | kept, max(before[1], self._run(kept, facts[3])), max(before[2], changed))
         out: dict[int, tuple[int, int, float, int]] = {}
         for (n, _), (kept, run, changed) in good.items():
-            size, _, _, w = self.item(n, canon)
+            size, _, _, w, _ = self.item(n, canon)
             share = len(kept) / (size - w + 1)
             if (run >= min(self.spec.min_run, size) or share >= self.spec.share) and (n not in out or out[n][1] < len(kept)):
                 out[n] = (self.items[n][0], len(kept), share, changed)
         return list(out.values())
 
     @staticmethod
-    def _bare(facts: tuple[int, np.ndarray, list[str], int], starts: set[int]) -> set[int]:
+    def _bare(facts: tuple, starts: set[int]) -> set[int]:
         """Those of an item's windows that have no placeholders."""
-        _, slots, _, w = facts
+        _, slots, _, w, _ = facts
         return {q for q in starts if not slots[q : q + w].any()}
 
     @staticmethod
-    def _consistent(facts: tuple[int, np.ndarray, list[str], int], shift: int, starts: list[int], slots: np.ndarray, raw: list[str], literal: set[int] | frozenset[int] = frozenset()) -> tuple[set[int], int]:
+    def _consistent(facts: tuple, shift: int, starts: list[int], slots: np.ndarray, raw: list[str], literal: set[int] | frozenset[int] = frozenset()) -> tuple[set[int], int]:
         """Windows along an alignment whose placeholders correspond: each value of the item stands for one value of the text. And how many values differ.
 
         Each value of the item is bound to what most of its places in these windows hold (the first of equals), so one
         chance pair rules out its own windows alone. Literal windows all count, and their values stand for themselves.
         """
-        _, its_slots, its_raw, w = facts
+        _, _, its_raw, w, its_slots = facts
         places = sorted({i for q in starts if q not in literal for i in range(q, q + w) if its_slots[i]})
         pairs = {i: (strip(its_raw[i]).casefold(), strip(raw[i + shift]).casefold()) for i in places}
         bound: dict[str, str] = {}

@@ -26,6 +26,32 @@ def test_slots_must_correspond():
     assert len(kept) < len(tokens) - 7
 
 
+APPLES = "Alice has 5 apples. Alice eats 2 apples. How many are left?"
+
+
+def test_names_that_begin_sentences():
+    assert hits(APPLES.replace("Alice", "Bob").replace("5", "7").replace("2", "3"), [(1, APPLES)]) == {1}
+    assert hits(f"Before it. {APPLES.replace('Alice', 'Bob')} After it.", [(1, APPLES)]) == {1}
+    assert hits("First Bob has 5 apples. Then Bob eats 2 apples. How many are left?", [(1, APPLES)]) == hits("", [(1, APPLES)])  # other words
+    # one name can't stand for two, and opening words are no names
+    two = "Alice gives 5 pens to her friend. Berta gives 2 pens to her friend. Alice has 9 pens at the end of it."
+    assert hits(two.replace("Alice", "Carol").replace("Berta", "Dora"), [(1, two)]) == {1}
+    question = "What is the largest city of the country that France borders on?"
+    assert hits("Paris is the capital of Spain", [(1, "What is the capital of France")]) == set()
+    assert hits(question.replace("France", "Spain"), [(1, question)]) == {1}
+    low = "the largest ship in the port of Hamburg carries 40 boats to the sea"
+    assert hits("The largest ship in the port of Bremen carries 50 boats to the sea", [(1, low)]) == {1}
+
+
+def test_formulas_with_and_without_spaces():
+    item = "Solve the equation x+3=7 for x and then say what 2*x-1 is, if the answer is a whole number"
+    for spaced in (item.replace("x+3=7", "x + 3 = 7"), item.replace("x+3=7", "x+ 3 =7").replace("2*x-1", "2 * x - 1"), item.replace("2*x-1", "2*x -1")):
+        assert hits(spaced, [(1, item)]) == {1} and hits(item, [(1, spaced)]) == {1}
+    assert hits(item.replace("x+3=7", "x + 5 = 9"), [(1, item)]) == {1}
+    assert d.cut("https://a.b/c=d+e") == ["https://a.b/c=d+e"] and d.cut("well-known") == ["well-known"] and d.cut("=") == ["="]
+    assert d.cut("2020-01-02") == ["2020", "01", "02"] and d.cut("3.5") == ["3.5"] and d.cut("a=b") == ["a", "b"]
+
+
 def test_clean_texts_stay():
     assert hits("A train leaves the station and nobody knows when it will ever come back to the village.") == set()
     assert hits("1 2 3 4 5 6 7 8 9 10 11 12 13 14", [(1, "9 8 7 6 5 4 3 2 1 0 11 12 13 14")]) == set()
