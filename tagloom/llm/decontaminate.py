@@ -66,7 +66,9 @@ write yesterday yet you your""".split()
 #: Where a formula is cut: at operators, at a minus or slash next to a digit or before a letter that stands alone.
 OPERATOR = re.compile(r"[=+*<>^\u00d7\u00f7\u2212]+|(?<=\d)[-/](?=\w)|(?<=\w)[-/](?=\d)|(?<=\b\w)-(?=\w\b)")
 NUMBER = re.compile(r"[+-]?\d[\d.,/:]*[^\W\d_]{0,3}")
+UNITS, NUMBER_WORDS, OPENERS = map(frozenset, (UNITS, NUMBER_WORDS, OPENERS))
 PLACEHOLDERS = ("\0number", "\0unit", "\0name")
+NAME_HASH = xxhash.xxh3_64_intdigest(PLACEHOLDERS[2])
 ENDS = (".", "!", "?", ":")
 #: Tokens that a worker keeps.
 CACHE_TOKENS = 300_000
@@ -113,37 +115,33 @@ class Canon:
 
     def _reset(self) -> None:
         self.index: dict[str, int] = {}
-        # By token: hash at the beginning of a sentence, elsewhere and without placeholders, placeholder at either place (bits), sentence end, nothing left.
-        n = CACHE_TOKENS // 8
-        self.first, self.inner, self.plain = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-        self.slot, self.ends, self.empty = np.zeros(n, np.int8), np.zeros(n, bool), np.zeros(n, bool)
-        # Whether it may be a name at the beginning of a sentence, and whether it is several tokens.
-        self.named, self.several = np.zeros(n, bool), np.zeros(n, bool)
+        # By token: hash at the beginning of a sentence, elsewhere and without placeholders, placeholder at either place (bits),
+        # sentence end, nothing left, whether it may be a name at the beginning of a sentence, whether it is several tokens.
+        self.facts = [np.zeros(CACHE_TOKENS // 8, kind) for kind in (np.uint64, np.uint64, np.uint64, np.int8, bool, bool, bool, bool)]
+        self.new: list[tuple] = []
 
     def _learn(self, raw: str) -> int:
-        i = len(self.index)
-        if i == len(self.first):
-            for name in ("first", "inner", "plain", "slot", "ends", "empty", "named", "several"):
-                own = getattr(self, name)
-                setattr(self, name, np.concatenate((own, np.zeros_like(own))))
         core = strip(raw)
         low = core.casefold()
-        plain = PLACEHOLDERS[0] if NUMBER.fullmatch(core) or low in NUMBER_WORDS else PLACEHOLDERS[1] if low in UNITS else low
-        name = PLACEHOLDERS[2] if plain == low and core[:1].isupper() else plain
-        self.first[i] = xxhash.xxh3_64_intdigest(plain)
-        self.inner[i] = xxhash.xxh3_64_intdigest(name)
-        self.plain[i] = xxhash.xxh3_64_intdigest(low)
-        self.slot[i] = (plain != low) + 2 * (name != low)
-        self.ends[i] = raw.endswith(ENDS)
-        self.empty[i] = not core
-        self.named[i] = name != plain and low not in OPENERS
-        self.several[i] = len(cut(raw)) > 1
-        self.index[raw] = i
+        word = core.isalpha()
+        plain = PLACEHOLDERS[0] if not word and NUMBER.fullmatch(core) or low in NUMBER_WORDS else PLACEHOLDERS[1] if low in UNITS else low
+        named = plain is low and core[:1].isupper()
+        h = xxhash.xxh3_64_intdigest(plain)
+        self.new.append((h, NAME_HASH if named else h, h if plain is low else xxhash.xxh3_64_intdigest(low), 2 * named if plain is low else 3, raw.endswith(ENDS), not core, named and low not in OPENERS, not word and len(cut(raw)) > 1))
+        i = self.index[raw] = len(self.index)
         return i
 
     def _ids(self, raw: list[str]) -> np.ndarray:
         get = self.index.get
-        return np.array([i if (i := get(t)) is not None else self._learn(t) for t in raw], np.int64)
+        ids = np.array([i if (i := get(t)) is not None else self._learn(t) for t in raw], np.int64)
+        if self.new:
+            end = len(self.index)
+            while end > len(self.facts[0]):
+                self.facts = [np.concatenate((x, np.zeros_like(x))) for x in self.facts]
+            for own, values in zip(self.facts, zip(*self.new, strict=True), strict=True):
+                own[end - len(self.new) : end] = values
+            self.new.clear()
+        return ids
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Hashes of the canonical tokens, whether each is a placeholder, and the raw tokens."""
@@ -155,19 +153,21 @@ class Canon:
         if len(self.index) > CACHE_TOKENS:
             self._reset()
         at = self._ids(raw)
-        if len(at) and self.several[at].any():
-            raw = [part for t, many in zip(raw, self.several[at].tolist(), strict=True) for part in (cut(t) if many else (t,))]
+        several = self.facts[7][at]
+        if several.any():
+            raw = [part for t, many in zip(raw, several.tolist(), strict=True) for part in (cut(t) if many else (t,))]
             at = self._ids(raw)
-        if len(at) and self.empty[at].any():
-            kept = ~self.empty[at]
+        first, inner, plain, slot, ends, empty, named, _ = self.facts
+        if empty[at].any():
+            kept = ~empty[at]
             raw = [t for t, k in zip(raw, kept.tolist(), strict=True) if k]
             at = at[kept]
         begins = np.ones(len(at), bool)
-        begins[1:] = self.ends[at[:-1]]
-        plainly = begins & ~self.named[at]
-        first, inner, slot = self.first[at], self.inner[at], self.slot[at]
+        begins[1:] = ends[at[:-1]]
+        plainly = begins & ~named[at]
+        first, inner, slot = first[at], inner[at], slot[at]
         one, two = (np.where(where, first, inner) for where in (begins, plainly))
-        return one, np.where(begins, slot & 1, slot >> 1).astype(bool), raw, self.plain[at], two, np.where(plainly, slot & 1, slot >> 1).astype(bool)
+        return one, np.where(begins, slot & 1, slot >> 1).astype(bool), raw, plain[at], two, np.where(plainly, slot & 1, slot >> 1).astype(bool)
 
 
 class Probe:
