@@ -96,12 +96,42 @@ def test_stages_take_odd_tables(spark, k):
         assert out.count() <= len(r)
 
 
+@pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))
+def test_stages_are_right_on_odd_rows(spark, k):
+    """Null and empty texts, null ids, repeated rows, long texts, copies, a benchmark item, extra columns: each stage against what it must keep."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8))) for _ in range(5000)]
+    plain = "The small house by the river was sold last year to a family from the north , and they have since planted apple trees , roses and a long hedge along the road so that nobody can see them eat breakfast on warm mornings when most of their neighbours are already at work in the city"
+    long, item = " ".join(rng.choice(words) for _ in range(30_000)), table(spark, DATA, "benchmark").orderBy("item_id").first().text
+    texts = [(1, plain), (1, plain), (None, plain), (7, f"{plain} again"), (2, None), (3, ""), (4, "word " * 30_000), (5, long), (6, f"x {long} y"), (8, f"{' '.join(words[:40])} {item} {' '.join(words[40:80])}")]
+    docs = spark.createDataFrame([(d, t, "en", "s", t if t is None else len(t), "x", 1, [1]) for d, t in texts], "doc_id long, text string, lang string, source string, n_chars long, node string, marks int, w array<int>")
+    name, stage = corpus_pipeline.STAGES[k]
+    out = stage(spark, docs, DATA)
+    if name.startswith("Sentence"):
+        library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+        sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        want = [(d, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids))) for d, t in texts for ids in [library.encode(t or "")]]
+        assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, want))
+        return
+    without = lambda *gone: [x for x in texts if x[0] not in gone]
+    want = {
+        "quality rules": without(2, 3, 4),  # no words, or one said over and over
+        "n-gram Jaccard join": [x for i, x in enumerate(texts) if i != 1 and x[0] not in (6, 7)],  # a null id is linked with nothing
+        "substring dedup": without(6, 7) + [(6, "x y"), (7, "again")],  # a null id is no smaller id
+        "benchmark decontamination": without(8),
+    }[name]
+    got = [(r.doc_id, r.text, r.n_chars, r.node) for r in out.collect()]
+    assert sorted(map(repr, got)) == sorted(repr((d, t, t if t is None else len(t), "x")) for d, t in want)
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_cover_their_tables(spark, name):
     out = queries.QUERIES[name](spark, DATA)
     n = out.count()
     if name.startswith("op5"):
         assert out.filter(F.col("doc_id").isNull()).isEmpty()
+    elif name.startswith("op13"):
+        assert n == 5 * table(spark, DATA, "embeddings").filter(F.col("vec_id") % 50 == 0).count()
     elif name.startswith("op2"):
         assert n == table(spark, DATA, "conversations").select("conv_id").distinct().count() + 1
     else:
