@@ -20,7 +20,8 @@ APPROXIMATE = r"\p{L}{1,6}|\p{N}|[^\p{L}\p{N}\s]"
 #: What a chat template adds to each message.
 PER_MESSAGE = 5
 
-_loaded: dict[str, object] = {}
+#: Vocabularies of a worker, by file and pattern.
+_loaded: dict[tuple[str, str], object] = {}
 _pattern = None
 
 
@@ -48,11 +49,11 @@ class Ranks:
     def encode(self, text: str) -> list[int]:
         import tiktoken
 
-        if self.path not in _loaded:
+        if (own := (self.path, self.pattern)) not in _loaded:
             with open(self.path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            _loaded[self.path] = tiktoken.Encoding(self.path, pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
-        return _loaded[self.path].encode_ordinary(text)
+            _loaded[own] = tiktoken.Encoding(self.path, pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
+        return _loaded[own].encode_ordinary(text)
 
     def __call__(self, text: Column) -> Column:
         """Tokens of a text; null for null."""

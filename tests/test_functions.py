@@ -66,6 +66,9 @@ def test_ranks(spark):
     want = {x: len(ranks.encode(x)) for x in ("Hello wonderful 42!", "", "é😀")}
     assert want["Hello wonderful 42!"] in range(3, 12) and want[""] == 0
     assert all(one(spark, x, ranks) == n for x, n in want.items()) and one(spark, None, ranks) is None
+    other = tokens.Ranks(vocabulary, r"\S|\s")  # the same file with another pattern, in the same workers
+    assert one(spark, "Hello wonderful 42!", other) == len("Hello wonderful 42!")
+    assert all(one(spark, x, ranks) == n for x, n in want.items())
     chat = [("user", "Hello wonderful 42!"), ("assistant", "é😀"), ("assistant", None)]
     assert one(spark, chat, lambda m: tokens.of_chat(m, ranks), "array<struct<role: string, content: string>>") == sum(want.values()) + 3 * tokens.PER_MESSAGE
 
