@@ -118,14 +118,19 @@ def variations(rows: DataFrame, key: str, html: str = "example_html", seed: int
     if metadata in rows.columns:
         raise ValueError(f"columns clash: {metadata}")
 
-    @F.pandas_udf(struct("html string, augmentations array<string>, applied array<string>"))
+    # Names go from Python as one text: Arrow takes lists of texts one by one.
+    @F.pandas_udf(struct("html string, augmentations string, applied string"))
     def vary(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, keys, ids in batches:
-            made = [(t, None, None) if pd.isna(v) else mutate.vary(t or "", seed, k, int(v), profile) for t, k, v in zip(texts, keys, ids, strict=True)]
+            made = []
+            for t, k, v in zip(texts, keys, ids, strict=True):
+                page, *names = (t, (), ()) if pd.isna(v) else mutate.vary(t or "", seed, k, int(v), profile)
+                made.append((page, *map(" ".join, names)))
             yield pd.DataFrame(made, columns=["html", "augmentations", "applied"])
 
     made = rows.select(F.struct("*").alias("row"), vary.asNondeterministic()(F.col(html), F.col(key).cast("string"), F.col("variation_id")).alias("varied"))
-    meta = F.when(F.col("row.variation_id").isNotNull(), F.struct("row.variation_id", "varied.augmentations", "varied.applied"))
+    names = [F.filter(F.split(F.col(f"varied.{c}"), " "), lambda x: x != "").alias(c) for c in ("augmentations", "applied")]
+    meta = F.when(F.col("row.variation_id").isNotNull(), F.struct("row.variation_id", *names))
     return made.select(*[F.col("varied.html").alias(c) if c == html else F.col("row")[c].alias(c) for c in rows.columns], meta.alias(metadata))
 
 

@@ -100,3 +100,26 @@ def test_exploratory_variations():
         assert h.visible_text(h.parse(html)).split() == text
         seen |= set(applied)
     assert seen == {n for n, _ in mutate.GATES["exploratory"]}
+
+
+ODD = (
+    PAGE, "", " ", "text\n", "\n a &amp b < c &lt", "<p>x", "<br>", "<script>a</p> < b</script><b>c", "<script>open", "<style/>x", "<body/>", "<div><body class=' a  b '><i style='x:y'>1</i></body></div><body>2</body>",
+    "<title>a &amp b</title><textarea><b>c</textarea><xmp><i>", "<!-- a > b --><?pi x?><![CDATA[ y ]]><!DOCTYPE html><body><!-- c --></body>", '<a href="?a&b=1" "q"=x =y @click=z (k)>t</a>', "<B\u0130 x='\"&gt;'>a\x00b\r\nc\xa0 </b\u0130>", "<pre>  a\n b </pre><svg><style>a<b>c</b></style></svg>",
+    "<html><head></head><body>" + "<div>" * 80 + "x" + "</div>" * 40 + "</body> after </html> end",
+)
+
+
+@pytest.mark.parametrize("page", ODD)
+def test_variations_by_outline_are_those_of_the_tree(page, monkeypatch):
+    quick = [mutate.vary(page, 42, "b", v, "exploratory") for v in range(150)]
+    monkeypatch.setattr(mutate, "_vary_outline", lambda *_: None)
+    assert quick == [mutate.vary(page, 42, "b", v, "exploratory") for v in range(150)]
+
+
+def test_variations_of_a_page_parse_it_once(monkeypatch):
+    parsed, parse = [], h.parse
+    monkeypatch.setattr(mutate, "parse", lambda html: parsed.append(html) or parse(html))
+    page = PAGE.replace("Title", "Another title") + "<p>only here</p>"
+    for v in range(100):
+        mutate.vary(page, 42, 7, v, "exploratory")
+    assert len(parsed) < 20  # the page, the page as written, and a comment in each name of a tag
