@@ -14,6 +14,7 @@ from ..functions.rendering import pretty_json
 from ..functions.text import after_marker, without_prompt
 from ..functions.tokens import approximate, of_chat
 from ..sources import records, registry, scratch, sinks
+from ..sources.tables import in_small_batches
 from .order import numbered
 
 SPLITS = ("train", "validation", "test")
@@ -117,6 +118,7 @@ def variations(rows: DataFrame, key: str, html: str = "example_html", seed: int
     """
     if metadata in rows.columns:
         raise ValueError(f"columns clash: {metadata}")
+    in_small_batches(rows.sparkSession)
 
     # Names go from Python as one text: Arrow takes lists of texts one by one.
     @F.pandas_udf(struct("html string, augmentations string, applied string"))

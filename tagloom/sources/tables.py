@@ -6,7 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of an Arrow batch that Python gets.
+BATCH_BYTES = 4_000_000
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """Python functions of this session get at most BATCH_BYTES of rows at a time, whatever the length of the texts: 10,000 rows, Spark's only bound else, are as large as the texts in them. Spark reads the setting when a plan runs."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    in_small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

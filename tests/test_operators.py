@@ -437,3 +437,20 @@ def test_published_rows(spark, tmp_path):
     assert records.published(spark, f"{tmp_path}/t", "train").count() == 10
     with pytest.raises(ValueError):
         records.published(spark, f"{tmp_path}/t", "test", 3)
+
+
+def test_python_gets_small_batches_of_tables(spark, tmp_path):
+    import pandas as pd
+
+    from tagloom.sources import tables
+
+    @F.pandas_udf("long")
+    def size(texts: pd.Series) -> pd.Series:
+        return pd.Series([int(texts.str.len().sum())] * len(texts))
+
+    spark.range(200).select(F.repeat(F.lit("x"), 100_000).alias("html")).coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert tables.table(spark, str(tmp_path), "pages").select(F.max(size("html"))).first()[0] < 2 * tables.BATCH_BYTES
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    d.variations(spark.createDataFrame([(1, "<p>", None)], "id int, example_html string, variation_id long"), "id")
+    assert spark.read.parquet(f"{tmp_path}/pages.parquet").select(F.max(size("html"))).first()[0] < 2 * tables.BATCH_BYTES
