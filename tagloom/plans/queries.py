@@ -827,9 +827,11 @@ def annotation_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, state = scratch.folder(spark, "annotation-files"), scratch.folder(spark, "scan")
     kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
     raw = F.concat(F.lit('{\n  "example_html": "<p>",\n  "expected_json": {\n    "type": "'), kind, F.lit('"\n  }\n}'))
-    rows = table(spark, sf_dir, "pages").select("page_id", raw.alias("value"))
+    rows = pages_of(spark, sf_dir).select("page_id", raw.alias("value"))  # dealt: files are written one after another in a task
     for half in (0, 1):
-        rows.filter(F.col("page_id") % 2 == half).select("value").write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+        # tasks move their own files into place (version 2): the driver would move them all, one by one
+        out = rows.filter(F.col("page_id") % 2 == half).select("value").write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        out.option("maxRecordsPerFile", 1).text(folder)
         found = records.scan_new(spark, folder, state, names="part-*")
     new = F.col("batch") > found.agg(F.min("batch")).first()[0]
     return found.filter("reason is null").groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if(new).alias("n_new"))

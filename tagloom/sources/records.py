@@ -29,7 +29,8 @@ def scan_new(spark: SparkSession, folder: str, state: str, names: str = ANNOTATI
     found = validated(files.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("raw"))).select("file", "type", "reason")
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{state}/found/batch={number}")
+        # Spark reads 32 small files in a task at most; without this each such task would leave a file of its own.
+        batch.coalesce(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(f"{state}/found/batch={number}")
 
     found.writeStream.foreachBatch(keep).option("checkpointLocation", f"{state}/log").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("file string, type string, reason string, batch long").parquet(f"{state}/found")

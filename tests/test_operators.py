@@ -454,3 +454,11 @@ def test_python_gets_small_batches_of_tables(spark, tmp_path):
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
     d.variations(spark.createDataFrame([(1, "<p>", None)], "id int, example_html string, variation_id long"), "id")
     assert spark.read.parquet(f"{tmp_path}/pages.parquet").select(F.max(size("html"))).first()[0] < 2 * tables.BATCH_BYTES
+
+
+def test_a_scan_of_many_files_leaves_few(spark, tmp_path):
+    (folder := tmp_path / "in").mkdir()
+    for i in range(200):
+        (folder / f"annotation_{i}.json").write_text('{"example_html": "x", "expected_json": {"type": "event"}}')
+    assert records.scan_new(spark, f"file://{folder}", f"file://{tmp_path}/state").count() == 200
+    assert len(list((tmp_path / "state" / "found" / "batch=0").glob("*.parquet"))) <= spark.sparkContext.defaultParallelism
