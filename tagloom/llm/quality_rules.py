@@ -50,36 +50,42 @@ def bound(value: Column, body) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
-def repeat_words(words: Column) -> Column:
-    """How many words lie in a five-word window that occurs twice or more in the text (windows compared by 64-bit hashes)."""
+def hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def windows_of(hashes: Column) -> Column:
+    """Hashes of five words, from those of the words. The last four hash what is left, each another number of words, so they equal none."""
+    return F.transform(hashes, lambda x, i: F.xxhash64(x, *[F.get(hashes, i + k) for k in range(1, WINDOW)]))
+
+
+def repeats_in(hashes: Column) -> Column:
+    """How many words lie in windows whose hash occurs twice or more."""
 
     def covered(hashes: Column) -> Column:
-        ranked = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        ranked = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         twice = lambda s: F.filter(s, lambda x, k: ((k > 0) & (F.get(s, k - 1)["h"] == x["h"])) | (F.get(s, k + 1)["h"] == x["h"]))
-        places = lambda s: F.array_sort(F.transform(twice(s), lambda x: x["i"]))
+        places = lambda s: F.sort_array(F.transform(twice(s), lambda x: x["i"]))
         steps = lambda p: F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(p, k + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
         return bound(ranked, lambda s: bound(places(s), steps))
 
-    def windows(h: Column) -> Column:
-        """Hashes of five words from those of two and four: each step looks up one element."""
-        two = F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1)))
-        four = lambda p: F.transform(p, lambda x, i: F.xxhash64(x, F.get(p, i + 2)))
-        five = lambda q: F.slice(F.transform(q, lambda x, i: F.xxhash64(x, F.get(h, i + 4))), F.lit(1), F.size(h) - (WINDOW - 1))
-        return bound(two, lambda p: bound(four(p), five))
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(covered(hashes))
 
-    def count(w: Column) -> Column:
-        hashes = bound(F.transform(w, lambda x: F.xxhash64(x)), windows)
-        return F.when(F.size(w) < WINDOW, F.lit(0)).otherwise(bound(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h))))
 
-    return bound(words, count)
+def repeat_words(words: Column) -> Column:
+    """How many words lie in a five-word window that occurs twice or more in the text (windows compared by 64-bit hashes)."""
+    return F.when(F.size(words) < WINDOW, F.lit(0)).otherwise(bound(bound(hashes_of(words), windows_of), repeats_in))
 
 
 def dup_lines(text: Column) -> Column:
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    return bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
+    lines = F.array_remove(F.split(F.coalesce(text, F.lit("")), "\n"), "")
+    worded = lambda x: F.filter(x, lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    repeated = lambda x: F.size(x) - F.size(F.array_distinct(x))
+    # Most texts have no two equal lines at all: these are not looked at one by one.
+    return bound(lines, lambda x: F.when(repeated(x) == 0, F.lit(0)).otherwise(bound(worded(x), repeated)))
 
 
 def symbols_of(text: Column) -> Column:
@@ -93,11 +99,20 @@ def shapes_of(text: Column) -> Column:
     return words_of(shaped)
 
 
+def with_next(shapes: Column, body) -> Column:
+    """body(hash) for each pair of neighbouring shapes, the last with an empty one; an empty text has none."""
+    return F.transform(shapes, lambda x, i: body(F.xxhash64(x, F.coalesce(F.get(shapes, i + 1), F.lit("")))))
+
+
+def bucket_numbers(hashes: Column, shapes: Column) -> Column:
+    # The numbers of buckets are powers of two, so their low bits are the remainder.
+    single = F.transform(hashes, lambda h: h.bitwiseAND(WORD_BUCKETS - 1))
+    return F.concat(single, with_next(shapes, lambda h: h.bitwiseAND(SHAPE_BUCKETS - 1) + F.lit(WORD_BUCKETS)))
+
+
 def buckets_of(text: Column, words: Column) -> Column:
     """Bucket numbers of a text's n-grams: each word, and each pair of neighbouring shapes."""
-    single = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(WORD_BUCKETS)).cast("int"))
-    pairs = lambda s: F.transform(s, lambda x, i: (F.pmod(F.xxhash64(x, F.coalesce(F.get(s, i + 1), F.lit(""))), F.lit(SHAPE_BUCKETS)) + WORD_BUCKETS).cast("int"))
-    return F.concat(single, bound(shapes_of(text), pairs))
+    return bound(shapes_of(text), lambda s: bucket_numbers(hashes_of(words), s))
 
 
 def trusted(text: Column, words: Column, rules: Rules) -> Column:
@@ -112,8 +127,8 @@ def trusted(text: Column, words: Column, rules: Rules) -> Column:
 
 def fit(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> list[float]:
     """Weight of each bucket: log of its count among trusted documents over the count expected from the raw corpus."""
-    worded = docs.select(F.col(text).cast("string").alias("t")).select("t", words_of(F.col("t")).alias("w"))
-    flagged = worded.select(F.coalesce(trusted(F.col("t"), F.col("w"), rules), F.lit(False)).cast("long").alias("good"), buckets_of(F.col("t"), F.col("w")).alias("buckets"))
+    worded = docs.select(F.col(text).cast("string").alias("t")).select("t", words_of(F.col("t")).alias("w"), shapes_of(F.col("t")).alias("s"))
+    flagged = worded.select(F.coalesce(trusted(F.col("t"), F.col("w"), rules), F.lit(False)).cast("long").alias("good"), bucket_numbers(hashes_of(F.col("w")), F.col("s")).alias("buckets"))
     # A step of its own: else the flag is computed for every n-gram. Outer: else a filter on the array's size computes it twice.
     grams = flagged.select("good", F.explode_outer("buckets").alias("bucket")).filter("bucket is not null")
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target")).collect()  # at most as many rows as buckets
@@ -126,25 +141,35 @@ def fit(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> list[flo
     return weights
 
 
+def mean_weight(hashes: Column, shapes: Column, weights: list[float]) -> Column:
+    """Mean weight of the buckets of words with these hashes and of these shapes; 0 without any."""
+    of = lambda part: F.split(F.lit(",".join(f"{w:.6f}" for w in part)), ",").cast("array<double>")  # noqa: E731  # folded to one constant
+    word, shape = of(weights[:WORD_BUCKETS]), of(weights[WORD_BUCKETS:])
+    singles = F.aggregate(hashes, F.lit(0.0), lambda a, h: a + word[h.bitwiseAND(WORD_BUCKETS - 1)])
+    pairs = with_next(shapes, lambda h: shape[h.bitwiseAND(SHAPE_BUCKETS - 1)])
+    n = F.size(hashes) + F.size(shapes)
+    return F.when(n == 0, F.lit(0.0)).otherwise(F.aggregate(pairs, singles, lambda a, x: a + x) / n)
+
+
 def ratio(text: Column, words: Column, weights: list[float]) -> Column:
     """Log-likelihood ratio per n-gram; 0 without n-grams."""
-    table = F.split(F.lit(",".join(f"{w:.6f}" for w in weights)), ",").cast("array<double>")  # folded to one constant
-    mean = lambda b: F.when(F.size(b) == 0, F.lit(0.0)).otherwise(F.aggregate(b, F.lit(0.0), lambda a, x: a + F.get(table, x)) / F.size(b))
-    return bound(buckets_of(text, words), mean)
+    return bound(shapes_of(text), lambda s: bound(hashes_of(words), lambda h: mean_weight(h, s, weights)))
 
 
 def judged(docs: DataFrame, weights: list[float], rules: Rules = Rules(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, the base counts, base_failed, llr and kept of every document."""
-    t, w = F.col("t"), F.col("w")
+    t, w, h, s, five = (F.col(c) for c in ("t", "w", "h", "s", "five"))
     base = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).select("k", "t", words_of(t).alias("w"))
-    counted = base.select(
+    # Steps of their own: what several columns take is computed once, and array functions outside of lambdas run as compiled code.
+    hashed = base.select("k", "t", "w", hashes_of(w).alias("h"), shapes_of(t).alias("s"))
+    counted = hashed.select("*", windows_of(h).alias("five")).select(
         F.col("k").alias(key),
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         symbols_of(t).cast("long").alias("n_symbols"),
         dup_lines(t).cast("long").alias("n_dup_lines"),
-        repeat_words(w).cast("long").alias("n_repeat_words"),
-        ratio(t, w, weights).alias("llr"),
+        repeats_in(five).cast("long").alias("n_repeat_words"),
+        mean_weight(h, s, weights).alias("llr"),
     )
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.repeat_percent * F.col("n_words"))
     return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= rules.threshold))

@@ -99,3 +99,16 @@ def test_empty_table_and_no_python(spark):
     assert q.keep(empty).count() == 0
     plan = q.judged(empty, q.fit(empty))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_words_are_hashed_once_and_sorted_without_a_comparing_lambda(spark):
+    df = spark.createDataFrame(list(enumerate(GOOD)), "doc_id long, text string")
+    plan = q.judged(df, q.fit(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"xxhash64\(lambda \w+#\d+, 42\)", plan)) == 1
+    assert "lambda left" not in plan
+
+
+def test_blank_and_repeated_lines(spark):
+    texts = ["a\n\n\nb", " \n \na\n\t\n\t", "a\na\n\na", "a \na\n a", "\n\n", "a\n \nb\n \na"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(r.n == brute(texts[r.doc_id])[3] for r in df.select("doc_id", q.dup_lines(df.text).alias("n")).collect())
