@@ -83,3 +83,23 @@ def test_levels_double():
 def test_no_candidate_ends_the_loop(spark):
     df = spark.createDataFrame([(i, " ".join(f"{i}w{k}" for k in range(70))) for i in range(5)], "doc_id long, text string")
     assert [(r.n_words, r.n_removed) for r in s.digests(df).collect()] == [(70, 0)] * 5
+
+
+def test_hashes_tell_words_apart_wherever_they_lie(monkeypatch):
+    from tagloom.llm import hashing
+
+    rng = random.Random(5)
+    plain = ["a", "aa", "b", "ab", "ba", "\x00", "\x00\x00", "é", "日本", "\xa0", "\x85", "x" * 64, "x" * 65, "x" * 300, "A", "Z"] + ["".join(rng.choices("ab", k=rng.randint(1, 12))) for _ in range(3000)]
+    # Two words of 2,048 letters whose polynomials of any base agree modulo 2**64.
+    odd = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    plain += [odd, odd.translate({97: "b", 98: "a"})]
+    text = "".join(rng.choice([" ", "\n", "\t ", "\x0b", "\x0c\r"]) + w for w in plain)
+    for block in (1 << 18, 100):  # words longer than a block stand alone
+        monkeypatch.setattr(hashing, "BLOCK", block)
+        for t in (text, text + " ", text.strip()):
+            hashes = hashing.WordHasher().of(t).tolist()
+            assert len(hashes) == len(plain) and len(set(zip(plain, hashes, strict=True))) == len(set(plain)) == len(set(hashes))
+            assert hashes[:50] == [hashing.WordHasher().of(w)[0] for w in plain[:50]]
+        assert hashing.WordHasher().of("Ab É", lower=True).tolist() == hashing.WordHasher().of("ab É").tolist()
+        assert not len(hashing.WordHasher().of(None)) and not len(hashing.WordHasher().of(" \n "))
+    assert not isinstance(hashing.WordHasher(), dict)  # no table of words to keep and look up
