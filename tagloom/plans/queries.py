@@ -827,14 +827,21 @@ def annotation_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, state = scratch.folder(spark, "annotation-files"), scratch.folder(spark, "scan")
     kind = F.element_at(F.array(*[F.lit(k) for k in registry.PROMPTS]), (F.col("page_id") % 3 + 1).cast("int"))
     raw = F.concat(F.lit('{\n  "example_html": "<p>",\n  "expected_json": {\n    "type": "'), kind, F.lit('"\n  }\n}'))
-    rows = pages_of(spark, sf_dir).select("page_id", raw.alias("value"))  # dealt: files are written one after another in a task
+    # a folder holds few enough files for the driver to know their names; every second one comes in the second run
+    n = -(-table(spark, sf_dir, "pages").count() // (2 * records.SCAN_FILES))
+    shard = F.pmod(F.xxhash64("page_id"), F.lit(max(n, 1))).alias("shard")
+    rows = pages_of(spark, sf_dir).select("page_id", raw.alias("value"), shard)  # dealt: files are written one after another in a task
     for half in (0, 1):
         # tasks move their own files into place (version 2): the driver would move them all, one by one
-        out = rows.filter(F.col("page_id") % 2 == half).select("value").write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-        out.option("maxRecordsPerFile", 1).text(folder)
-        found = records.scan_new(spark, folder, state, names="part-*")
-    new = F.col("batch") > found.agg(F.min("batch")).first()[0]
-    return found.filter("reason is null").groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if(new).alias("n_new"))
+        out = rows.filter(F.col("page_id") % 2 == half).select("value", "shard").write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        out.partitionBy("shard").option("maxRecordsPerFile", 1).text(folder)
+        shards = rows.filter(F.col("page_id") % 2 <= half).select("shard").distinct().collect()  # those there are
+        found = records.scan_new(spark, folder, state, names="part-*", parts=[f"shard={x.shard}" for x in shards])
+        if not half:
+            first = scratch.kept(found.groupBy("part").agg(F.max("batch").alias("last")), "first-run")  # a row for each folder
+    new = F.col("last").isNull() | (F.col("batch") > F.col("last"))
+    runs = found.filter("reason is null").join(F.broadcast(first), "part", "left")
+    return runs.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if(new).alias("n_new"))
 
 
 @query("""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,21 +22,46 @@ def annotation_files(spark: SparkSession, folder: str, names: str = ANNOTATIONS)
     return spark.read.text(f"{folder}/{names}", wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("raw"))
 
 
-def scan_new(spark: SparkSession, folder: str, state: str, names: str = ANNOTATIONS) -> DataFrame:
-    """file, type, reason of all annotation files so far; only files that no scan with this ``state`` has read are read.
+#: Files of one batch of a scan: the driver plans a batch as a whole and holds some 14 kB for each file.
+SCAN_FILES = 4_000
+
+#: While a scan runs: a batch's files are looked up in few tasks (else one for each file, and the driver keeps a record of
+#: every task), and what the driver knows of a file isn't kept for later reads, as there are none.
+LISTING = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "64", "spark.sql.hive.filesourcePartitionFileCacheSize": "0"}
+
 
-    The files are a stream that ends with what is there. Its log tells which have been read; what was found in them is
-    appended below ``state``, a folder for each batch, so a batch that runs again replaces its own rows.
+def scan_new(spark: SparkSession, folder: str, state: str, names: str = ANNOTATIONS, parts: Iterable[str] | None = None) -> DataFrame:
+    """file, type, reason, part, batch of all annotation files so far; only files that no scan with this ``state`` has read are read.
+
+    The files are a stream that ends with what is there, SCAN_FILES at a time. Its log tells which have been read; what was
+    found in them is appended below ``state``, a folder for each batch, so a batch that runs again replaces its own rows.
+    The driver knows the names of all files of a stream. Where there are too many for that, ``parts`` names the folders below
+    ``folder`` that hold them: each is a stream of its own, with its own log and batches, one after another.
     """
-    files = spark.readStream.schema("value string").option("pathGlobFilter", names).text(folder, wholetext=True)
-    found = validated(files.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("raw"))).select("file", "type", "reason")
+    if parts is None:
+        _scan_folder(spark, folder, f"{state}/log", f"{state}/found", names)
+    else:
+        for part in parts:
+            own = "part=" + quote(part, safe="")  # Spark reads the name back
+            _scan_folder(spark, f"{folder}/{part}", f"{state}/log/{own}", f"{state}/found/{own}", names)
+    return spark.read.schema("file string, type string, reason string, part string, batch long").parquet(f"{state}/found")
+
 
+def _scan_folder(spark: SparkSession, folder: str, log: str, place: str, names: str) -> None:
     def keep(batch: DataFrame, number: int) -> None:
         # Spark reads 32 small files in a task at most; without this each such task would leave a file of its own.
-        batch.coalesce(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(f"{state}/found/batch={number}")
-
-    found.writeStream.foreachBatch(keep).option("checkpointLocation", f"{state}/log").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("file string, type string, reason string, batch long").parquet(f"{state}/found")
+        batch.repartition(1).write.mode("overwrite").parquet(f"{place}/batch={number}")
+
+    before = {k: spark.conf.get(k) for k in LISTING}
+    try:  # Spark reads these as the stream runs
+        for k, v in LISTING.items():
+            spark.conf.set(k, v)
+        files = spark.readStream.schema("value string").option("pathGlobFilter", names).option("maxFilesPerTrigger", SCAN_FILES).text(folder, wholetext=True)
+        found = validated(files.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("raw"))).select("file", "type", "reason")
+        found.writeStream.foreachBatch(keep).option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def has_key(json: Column, path: str) -> Column:

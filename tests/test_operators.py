@@ -462,3 +462,31 @@ def test_a_scan_of_many_files_leaves_few(spark, tmp_path):
         (folder / f"annotation_{i}.json").write_text('{"example_html": "x", "expected_json": {"type": "event"}}')
     assert records.scan_new(spark, f"file://{folder}", f"file://{tmp_path}/state").count() == 200
     assert len(list((tmp_path / "state" / "found" / "batch=0").glob("*.parquet"))) <= spark.sparkContext.defaultParallelism
+
+
+def test_scans_are_bounded(spark, tmp_path, monkeypatch):
+    """The driver plans a batch as a whole, and knows the names of one folder at a time."""
+    monkeypatch.setattr(records, "SCAN_FILES", 50)
+    for part, n in (("2024-05", 120), ("k=v 1", 7)):
+        (tmp_path / "in" / part).mkdir(parents=True)
+        for i in range(n):
+            (tmp_path / "in" / part / f"annotation_{i}.json").write_text('{"example_html": "x", "expected_json": {"type": "event"}}')
+    before = {k: spark.conf.get(k) for k in records.LISTING}
+    flat = records.scan_new(spark, f"file://{tmp_path}/in/2024-05", f"file://{tmp_path}/flat").groupBy("batch").count().collect()
+    assert {x.batch: x["count"] for x in flat} == {0: 50, 1: 50, 2: 20}
+    scan = lambda: sorted(map(tuple, records.scan_new(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/state", parts=["2024-05", "k=v 1"]).groupBy("part", "batch").count().collect()))
+    first = [("2024-05", 0, 50), ("2024-05", 1, 50), ("2024-05", 2, 20), ("k=v 1", 0, 7)]
+    assert scan() == first
+    (tmp_path / "in" / "k=v 1" / "annotation_7.json").write_text("{")
+    assert scan() == [*first, ("k=v 1", 1, 1)]
+    assert {k: spark.conf.get(k) for k in records.LISTING} == before
+
+
+def test_annotation_scan_in_many_folders(spark, monkeypatch):
+    from tagloom.plans import queries
+
+    monkeypatch.setattr(records, "SCAN_FILES", 5)
+    ids = [x.page_id for x in table(spark, "/root/testdata/sf0.001", "pages").select("page_id").collect()]
+    kinds = list(registry.PROMPTS)
+    got = {x.type: (x.n, x.n_new) for x in queries.QUERIES["annotation_scan"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == {k: (sum(i % 3 == at for i in ids), sum(i % 3 == at and i % 2 == 1 for i in ids)) for at, k in enumerate(kinds)}
