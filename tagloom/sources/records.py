@@ -25,9 +25,13 @@ def annotation_files(spark: SparkSession, folder: str, names: str = ANNOTATIONS)
 #: Files of one batch of a scan: the driver plans a batch as a whole and holds some 14 kB for each file.
 SCAN_FILES = 4_000
 
-#: While a scan runs: a batch's files are looked up in few tasks (else one for each file, and the driver keeps a record of
-#: every task), and what the driver knows of a file isn't kept for later reads, as there are none.
-LISTING = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "64", "spark.sql.hive.filesourcePartitionFileCacheSize": "0"}
+#: While a scan runs: a batch's files are looked up in few tasks (else one for each file) and read many in a task (else few, as
+#: each counts for 4 MB), for the driver keeps a record of every task; what it knows of a file isn't kept for later reads, as there are none.
+SCAN_SETTINGS = {
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+    "spark.sql.files.openCostInBytes": "256k",
+    "spark.sql.hive.filesourcePartitionFileCacheSize": "0",
+}
 
 
 def scan_new(spark: SparkSession, folder: str, state: str, names: str = ANNOTATIONS, parts: Iterable[str] | None = None) -> DataFrame:
@@ -49,12 +53,12 @@ def scan_new(spark: SparkSession, folder: str, state: str, names: str = ANNOTATI
 
 def _scan_folder(spark: SparkSession, folder: str, log: str, place: str, names: str) -> None:
     def keep(batch: DataFrame, number: int) -> None:
-        # Spark reads 32 small files in a task at most; without this each such task would leave a file of its own.
+        # without this each task that reads files would leave one of its own
         batch.repartition(1).write.mode("overwrite").parquet(f"{place}/batch={number}")
 
-    before = {k: spark.conf.get(k) for k in LISTING}
+    before = {k: spark.conf.get(k) for k in SCAN_SETTINGS}
     try:  # Spark reads these as the stream runs
-        for k, v in LISTING.items():
+        for k, v in SCAN_SETTINGS.items():
             spark.conf.set(k, v)
         files = spark.readStream.schema("value string").option("pathGlobFilter", names).option("maxFilesPerTrigger", SCAN_FILES).text(folder, wholetext=True)
         found = validated(files.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("raw"))).select("file", "type", "reason")

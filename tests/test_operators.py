@@ -471,7 +471,7 @@ def test_scans_are_bounded(spark, tmp_path, monkeypatch):
         (tmp_path / "in" / part).mkdir(parents=True)
         for i in range(n):
             (tmp_path / "in" / part / f"annotation_{i}.json").write_text('{"example_html": "x", "expected_json": {"type": "event"}}')
-    before = {k: spark.conf.get(k) for k in records.LISTING}
+    before = {k: spark.conf.get(k) for k in records.SCAN_SETTINGS}
     flat = records.scan_new(spark, f"file://{tmp_path}/in/2024-05", f"file://{tmp_path}/flat").groupBy("batch").count().collect()
     assert {x.batch: x["count"] for x in flat} == {0: 50, 1: 50, 2: 20}
     scan = lambda: sorted(map(tuple, records.scan_new(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/state", parts=["2024-05", "k=v 1"]).groupBy("part", "batch").count().collect()))
@@ -479,7 +479,7 @@ def test_scans_are_bounded(spark, tmp_path, monkeypatch):
     assert scan() == first
     (tmp_path / "in" / "k=v 1" / "annotation_7.json").write_text("{")
     assert scan() == [*first, ("k=v 1", 1, 1)]
-    assert {k: spark.conf.get(k) for k in records.LISTING} == before
+    assert {k: spark.conf.get(k) for k in records.SCAN_SETTINGS} == before
 
 
 def test_annotation_scan_in_many_folders(spark, monkeypatch):
